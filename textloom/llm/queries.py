@@ -15,8 +15,38 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textloom.llm.quality_rules import score_quality
+
+    scored = score_quality(table(spark, sf_dir, "documents"))
+    return scored.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good")
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textloom.llm.mixing import mix_rates
+
+    return mix_rates(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textloom.llm.ngram_join import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents"), width=4, percent=85)
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from textloom.llm.bpe import bpe_digest
+
+    return bpe_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
+    "op3_mixing": op3_mixing,
+    "op4_ngram_join": op4_ngram_join,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_bpe": op9_bpe,
 }
 
 ORACLES: dict[str, str] = {
