@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,3 +38,20 @@ def materialize(df: DataFrame, tag: str, partition_by: tuple[str, ...] = ()) ->
     path = f"{scratch(spark)}/textloom/{tag}-{uuid.uuid4().hex}"
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Ids that a broadcast may hold: about 32 MB when built.
+BROADCAST_IDS = 500_000
+
+
+def keep_ids(df: DataFrame, ids: DataFrame, col: str, anti: bool = False, ids_col: str | None = None) -> DataFrame:
+    """The rows of ``df`` whose ``col`` is in ``ids`` (null equals null), or is not with ``anti``.
+
+    ``ids`` must be cheap to count (a written table). Up to ``BROADCAST_IDS`` of them are sent to
+    the executors, so that the wide rows of ``df`` stay where they are; beyond that both sides are
+    shuffled, with the narrow one hashed.
+    """
+    ids = ids.select(F.col(ids_col or col).alias("_keep_id"))
+    small = ids.count() <= BROADCAST_IDS
+    ids = F.broadcast(ids) if small else ids.hint("shuffle_hash")
+    return df.join(ids, df[col].eqNullSafe(ids["_keep_id"]), "left_anti" if anti else "left_semi")
