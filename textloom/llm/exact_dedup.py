@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.session import materialize
+from textloom.session import keep_ids, materialize
 
 SPACE = b" \t\n\x0b\x0c\r"
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
@@ -154,3 +154,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.lower(F.hex("sha")).alias("text_sha256"),
         "n_chars",
     )
+
+
+def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with their own columns; rows repeated under one id stay together."""
+    gone = exact_dedup(docs, id_col, text_col).where("NOT kept").select(F.col(id_col).alias("_gone")).distinct()
+    return keep_ids(docs, materialize(gone, "exact-gone"), id_col, anti=True, ids_col="_gone")

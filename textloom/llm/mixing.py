@@ -120,5 +120,5 @@ def mix_rates(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source
 def mix_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as the mix takes it, own columns only."""
     taken = mix_rates(docs, id_col, source_col, text_col).groupBy(F.col(id_col).alias("_mix_id"), F.col("text_hash").alias("_mix_hash")).agg(F.max("copies").alias("_mix_copies"))
-    found = docs.join(taken.where("_mix_copies > 0"), docs[id_col].eqNullSafe(F.col("_mix_id")) & (F.xxhash64(docs[text_col].cast("string")) == F.col("_mix_hash")))
+    found = docs.join(taken.where("_mix_copies > 0").hint("shuffle_hash"), docs[id_col].eqNullSafe(F.col("_mix_id")) & (F.xxhash64(docs[text_col].cast("string")) == F.col("_mix_hash")))
     return found.withColumn("_mix_again", F.explode(F.expr("sequence(1, _mix_copies)"))).select(*[docs[c] for c in docs.columns])

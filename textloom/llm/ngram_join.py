@@ -32,15 +32,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm.components import components
+from textloom.llm.hashing import mix, words_table
 from textloom.session import keep_ids, materialize
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-WORD_CACHE = 1_000_000
 #: Cost model: a candidate check in signature rows, and the chance that two documents of one
 #: band share a given shingle.
 CHECK_COST = 8.0
@@ -50,38 +49,13 @@ STAR_ROUNDS = 3
 _U = np.uint64
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser (multiply and shift)."""
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
-
-
-class _Words(dict):
-    """Word to hash, remembered up to a bound."""
-
-    def __init__(self, seed: int) -> None:
-        self.seed = seed
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORD_CACHE:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word, self.seed)
-        return h
-
-
-@lru_cache(maxsize=4)
-def _words(seed: int) -> _Words:
-    return _Words(seed)
-
-
 def shingle_set(text: str | None, width: int, seed: int) -> np.ndarray:
     """Ascending distinct shingle hashes of one text."""
     words = (text or "").encode().translate(LOWER).split()
     n = len(words)
     if not n:
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(_words(seed).__getitem__, words), np.uint64, n)
+    h = np.fromiter(map(words_table(seed).__getitem__, words), np.uint64, n)
     k = min(width, n)
     total = np.full(n - k + 1, k, np.uint64)
     for i in range(k):
@@ -140,7 +114,8 @@ def allocate(low: int, high: int, differ: int, rows_in_band: float) -> tuple[int
         q = (low + high) / 2 / (single + double)
         chance = math.exp(-q * (1 - SHARED_SHINGLE)) - math.exp(-q)
         rows = single + double * (1 + q)
-        cost = rows + CHECK_COST * rows_in_band * (single + double * (1 + q) / max(SHARED_SHINGLE, 1e-9) * 0.01) * chance
+        # A neighbourhood signature has one shingle less, which multiplies its chance by about e.
+        cost = rows + CHECK_COST * rows_in_band * (single + double * (1 + math.e * q)) * chance
         if best is None or cost < best[0]:
             best = (cost, single, double)
     return (best[1], best[2]) if best else (0, differ // 2 + 1)

@@ -1,11 +1,10 @@
 """Quality rules by weak supervision, in Spark SQL functions only.
 
-Every document gets base counts, each rule turns counts into a vote (good 1, bad -1) or abstains
-(0), and expectation-maximisation over the vote patterns of the whole table estimates how
-accurate each rule is in each class. A document's posterior probability of being good replaces
+Every document gets base counts, each rule votes on the counts (good 1 or bad -1) or abstains (0), and expectation-maximisation over the vote patterns of the whole table estimates how
+often each rule votes in each class. A document's posterior probability of being good replaces
 "all rules must pass".
 
-The votes are aggregated to patterns first: there are at most ``3 ** len(RULES)`` of them however
+The votes are aggregated to patterns first: there are at most ``2 ** len(RULES)`` of them however
 large the table, so the iterations run inside one row as a higher-order ``aggregate`` over that
 bounded array and no document is read twice: the counts are written once as a narrow table.
 
@@ -20,28 +19,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.session import materialize
+from textloom.session import keep_ids, materialize
 
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 ITERATIONS = 25
-PRIOR_GOOD = 0.8
+PRIOR_GOOD = 0.85
 THRESHOLD = 0.5
-#: Weight, in documents, of the prior belief that a rule is right this often when it votes.
+#: Weight, in documents, of the prior belief about how often a rule votes in its own class and in
+#: the other. A rule is taken to be ``SPECIFIC`` times as likely to vote in its own class at
+#: least, which keeps the two classes of the estimate from trading places or following length.
 PRIOR_WEIGHT = 20.0
-PRIOR_RIGHT = 0.85
-
-#: name, vote good when, vote bad when (over the base counts); neither: the rule abstains.
-RULES: list[tuple[str, str, str]] = [
-    ("length", "n_words >= 80", "n_words < 50"),
-    ("word_size", "word_chars BETWEEN 3 * n_words AND 9 * n_words", "word_chars < 2 * n_words OR word_chars > 13 * n_words"),
-    ("symbols", "100 * n_symbols <= word_chars", "100 * n_symbols > 5 * word_chars"),
-    ("dup_lines", "10 * n_dup_lines <= n_lines", "10 * n_dup_lines > 3 * n_lines"),
-    ("repeats", "100 * n_repeat_words <= 15 * n_words", "100 * n_repeat_words > 35 * n_words"),
-    ("capitals", "100 * n_capitals <= 10 * word_chars", "100 * n_capitals > 40 * word_chars"),
-    ("stops", "100 * n_stops >= n_words", "n_stops = 0 AND n_words >= 30"),
+PRIOR_OWN = {-1: 0.2, 1: 0.8}
+SPECIFIC = {-1: 50.0, 1: 1.2}
+
+#: name, vote (good 1, bad -1), when (over the base counts); otherwise the rule abstains.
+RULES: list[tuple[str, int, str]] = [
+    ("symbols", -1, "100 * n_symbols > 4 * word_chars"),
+    ("dup_lines", -1, "10 * n_dup_lines > 3 * n_lines"),
+    ("repeats", -1, "100 * n_repeat_words > 35 * n_words"),
+    ("capitals", -1, "100 * n_capitals > 40 * word_chars"),
+    ("word_size", -1, "word_chars < 2 * n_words OR word_chars > 14 * n_words"),
+    ("no_stops", -1, "n_stops = 0 AND n_words >= 100"),
+    ("length", 1, "n_words >= 80"),
+    ("stops", 1, "100 * n_stops >= n_words"),
 ]
 
 
@@ -50,28 +53,29 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
 
 
-def _repeat_words(words: Column, n: Column, hashes: Column, width: int = 3) -> Column:
-    """Words inside a ``width``-word window that occurs at least twice, first included.
+def _with_repeat_words(df: DataFrame, width: int = 3) -> DataFrame:
+    """Adds ``n_repeat_words``: words inside a window of ``width`` that occurs at least twice.
 
     A window's hash is packed above its position into one long, so that a primitive sort brings
     equal windows together; neighbours are then compared word by word, so a hash collision
-    cannot count.
+    cannot count. Each array is a column of its own: a lambda that named an expression instead
+    would evaluate it again for every element.
     """
-    bits = F.ceil(F.log2(n + 2)).cast("int")
-    mask = F.expr("shiftleft(1L, ceil(log2(n_words + 2))) - 1")
+    df = df.withColumn("_bits", F.ceil(F.log2(F.size("_words") + 2)).cast("int")).withColumn("_mask", F.expr("shiftleft(1L, _bits) - 1"))
     packed = F.transform(
-        F.sequence(F.lit(0), n - width),
-        lambda i: F.call_function("shiftleft", F.xxhash64(*[F.get(hashes, i + k) for k in range(width)]), bits).bitwiseOR(i.cast("long")),
-    )
-    ordered = F.array_sort(packed)
-    same = lambda a, b: (F.call_function("shiftright", a, bits) == F.call_function("shiftright", b, bits)) & (F.slice(words, a.bitwiseAND(mask).cast("int") + 1, width) == F.slice(words, b.bitwiseAND(mask).cast("int") + 1, width))
-    marked = F.filter(
-        F.transform(ordered, lambda x, i: F.when((i > 0) & same(x, F.get(ordered, i - 1)) | same(x, F.get(ordered, i + 1)), x.bitwiseAND(mask))),
-        lambda x: x.isNotNull(),
+        F.sequence(F.lit(0), F.size("_words") - width),
+        lambda i: F.call_function("shiftleft", F.xxhash64(*[F.get("_hashes", i + k) for k in range(width)]), F.col("_bits")).bitwiseOR(i.cast("long")),
     )
+    df = df.withColumn("_ordered", F.when(F.size("_words") > width, F.sort_array(packed)).otherwise(F.expr("CAST(array() AS ARRAY<BIGINT>)")))
+    key = lambda x: F.call_function("shiftright", x, F.col("_bits"))
+    at = lambda x: F.slice("_words", x.bitwiseAND(F.col("_mask")).cast("int") + 1, width)
+    # The slices are compared only where the keys agree.
+    same = lambda a, b: F.when(key(a) == key(b), at(a) == at(b)).otherwise(False)
+    marked = F.transform("_ordered", lambda x, i: F.when(F.when(i > 0, same(x, F.get("_ordered", i - 1))).otherwise(False) | same(x, F.get("_ordered", i + 1)), x.bitwiseAND(F.col("_mask"))))
+    df = df.withColumn("_marked", F.sort_array(F.array_compact(marked)))
     state = F.struct(F.lit(-width).cast("long").alias("last"), F.lit(0).cast("long").alias("covered"))
     step = lambda s, p: F.struct(p.alias("last"), (s["covered"] + F.least(F.lit(width).cast("long"), p - s["last"])).alias("covered"))
-    return F.when(n < width + 1, F.lit(0).cast("long")).otherwise(F.aggregate(F.array_sort(marked), state, step, lambda s: s["covered"]))
+    return df.withColumn("n_repeat_words", F.aggregate("_marked", state, step, lambda s: s["covered"]))
 
 
 #: Frequent function words of the corpus languages (fixed values).
@@ -84,52 +88,58 @@ def base_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     lines = F.filter(F.split(text, "\n"), lambda x: F.regexp_replace(x, SPACE, "") != "")
     out = docs.withColumn("_words", words_of(text)).withColumn("n_words", F.size("_words").cast("long"))
     out = out.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w))).withColumn("_lines", lines)
-    joined = F.array_join("_words", "")
+    out = _with_repeat_words(out.withColumn("_joined", F.array_join("_words", "")))
+    without = lambda pattern: (F.length("_joined") - F.length(F.regexp_replace("_joined", pattern, ""))).cast("long")
     return out.select(
         *docs.columns,
         "n_words",
-        F.length(joined).cast("long").alias("word_chars"),
-        (F.length(joined) - F.length(F.regexp_replace(joined, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.length("_joined").cast("long").alias("word_chars"),
+        without(SYMBOLS).alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        _repeat_words(F.col("_words"), F.size("_words"), F.col("_hashes")).alias("n_repeat_words"),
+        "n_repeat_words",
         F.size("_lines").cast("long").alias("n_lines"),
-        (F.length(joined) - F.length(F.regexp_replace(joined, r"\p{Lu}", ""))).cast("long").alias("n_capitals"),
+        without(r"\p{Lu}").alias("n_capitals"),
         F.size(F.filter("_words", lambda w: F.lower(w).isin(STOPS))).cast("long").alias("n_stops"),
     )
 
 
 def votes() -> Column:
     """The rules' votes on one row of base counts, as an array of tinyint."""
-    return F.array(*[F.expr(f"CAST(CASE WHEN {bad} THEN -1 WHEN {good} THEN 1 ELSE 0 END AS TINYINT)") for _, good, bad in RULES])
+    return F.array(*[F.expr(f"CAST(CASE WHEN {when} THEN {vote} ELSE 0 END AS TINYINT)") for _, vote, when in RULES])
 
 
 def _log_odds(vote_array: str, params: str) -> str:
-    """SQL: log odds of "good" for an array of votes under params.
-
-    ``params.good[k]`` and ``params.bad[k]`` are the chances that rule k votes good, given that it
-    votes at all, for good and for bad documents.
-    """
+    """SQL: log odds of "good" for an array of votes; ``good[k]`` and ``bad[k]`` are the chances
+    that rule k votes in a good and in a bad document, so abstaining is evidence too."""
     return (
         f"ln({params}.prior / (1 - {params}.prior)) + aggregate(zip_with({vote_array}, zip_with({params}.good, {params}.bad, (g, b) -> struct(g, b)), "
-        "(v, p) -> CASE WHEN v > 0 THEN ln(p.g / p.b) WHEN v < 0 THEN ln((1 - p.g) / (1 - p.b)) ELSE 0D END), 0D, (s, x) -> s + x)"
+        "(v, p) -> CASE WHEN v <> 0 THEN ln(p.g / p.b) ELSE ln((1 - p.g) / (1 - p.b)) END), 0D, (s, x) -> s + x)"
     )
 
 
-def estimate(voted: DataFrame) -> DataFrame:
-    """One row ``params``: prior and per-rule accuracies, by EM over the vote patterns of ``voted``."""
-    k = len(RULES)
+def estimate(voted: DataFrame, rules: list[tuple[str, int, str]] = RULES) -> DataFrame:
+    """One row ``params``: prior and how often each rule votes in each class, by EM over the vote patterns of ``voted``."""
+    k = len(rules)
     patterns = voted.groupBy("votes").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    # At most 3 ** k patterns: a bounded array whatever the number of documents.
+    # At most 2 ** k patterns: a bounded array whatever the number of documents.
     one = patterns.agg(F.array_sort(F.collect_list(F.struct("votes", "n"))).alias("patterns"))
-    start = f"named_struct('prior', {PRIOR_GOOD}D, 'good', array_repeat({PRIOR_RIGHT}D, {k}), 'bad', array_repeat({round(1 - PRIOR_RIGHT, 4)}D, {k}))"
+    doubles = lambda values: f"array({', '.join(f'{v}D' for v in values)})"
+    own = [PRIOR_OWN[v] for _, v, _ in rules]
+    other = [PRIOR_OWN[v] / SPECIFIC[v] for _, v, _ in rules]
+    good = [o if v > 0 else x for (_, v, _), o, x in zip(rules, own, other, strict=True)]
+    bad = [o if v < 0 else x for (_, v, _), o, x in zip(rules, own, other, strict=True)]
+    start = f"named_struct('prior', {PRIOR_GOOD}D, 'good', {doubles(good)}, 'bad', {doubles(bad)})"
     # E step: q is the posterior of each pattern. M step: weighted shares, with the prior's weight.
-    share = lambda weight, right: f"transform(sequence(0, {k - 1}), r -> ({right}D * {PRIOR_WEIGHT}D + aggregate(e, 0D, (s, x) -> s + CASE WHEN x.votes[r] > 0 THEN {weight} ELSE 0D END)) / ({PRIOR_WEIGHT}D + aggregate(e, 0D, (s, x) -> s + CASE WHEN x.votes[r] <> 0 THEN {weight} ELSE 0D END)))"
-    # A let-binding: transform over a one-element array names the E step's result.
-    step = (
-        "element_at(transform(array(transform(patterns, x -> named_struct('votes', x.votes, 'n', x.n, 'q', 1 / (1 + exp(-(" + _log_odds("x.votes", "p") + ")))))), "
-        f"e -> named_struct('prior', least(0.99D, greatest(0.01D, ({PRIOR_GOOD}D * {PRIOR_WEIGHT}D + aggregate(e, 0D, (s, x) -> s + x.q * x.n)) / ({PRIOR_WEIGHT}D + aggregate(e, 0D, (s, x) -> s + x.n)))), "
-        f"'good', {share('x.q * x.n', PRIOR_RIGHT)}, 'bad', {share('(1 - x.q) * x.n', round(1 - PRIOR_RIGHT, 4))})), 1)"
+    share = lambda weight, prior: f"transform({doubles(prior)}, (b, r) -> (b * {PRIOR_WEIGHT}D + aggregate(e, 0D, (s, x) -> s + CASE WHEN x.votes[r] <> 0 THEN {weight} ELSE 0D END)) / ({PRIOR_WEIGHT}D + aggregate(e, 0D, (s, x) -> s + {weight})))"
+    most = lambda mine, theirs, sign: f"zip_with({mine}, zip_with({theirs}, {doubles([1 / SPECIFIC[v] if v == sign else 1e9 for _, v, _ in rules])}, (t, f) -> t * f), (m, c) -> least(0.999D, greatest(1e-6D, least(m, c))))"
+    # Let-bindings: transform over a one-element array names an intermediate result.
+    e_step = "transform(patterns, x -> named_struct('votes', x.votes, 'n', x.n, 'q', 1 / (1 + exp(-(" + _log_odds("x.votes", "p") + ")))))"
+    m_step = (
+        f"named_struct('prior', least(0.99D, greatest(0.01D, ({PRIOR_GOOD}D * {PRIOR_WEIGHT}D + aggregate(e, 0D, (s, x) -> s + x.q * x.n)) / ({PRIOR_WEIGHT}D + aggregate(e, 0D, (s, x) -> s + x.n)))), "
+        f"'good', {share('x.q * x.n', good)}, 'bad', {share('(1 - x.q) * x.n', bad)})"
     )
+    held = f"named_struct('prior', u.prior, 'good', {most('u.good', 'u.bad', -1)}, 'bad', {most('u.bad', 'u.good', 1)})"
+    step = f"element_at(transform(transform(array({e_step}), e -> {m_step}), u -> {held}), 1)"
     return one.select(F.expr(f"aggregate(sequence(1, {ITERATIONS}), {start}, (p, i) -> {step})").alias("params"))
 
 
@@ -147,5 +157,5 @@ def score_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def filter_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are kept, with their own columns only."""
-    good = score_quality(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("_good")).distinct()
-    return docs.join(good, docs[id_col].eqNullSafe(good["_good"]), "left_semi")
+    out = score_quality(docs, id_col, text_col).where("NOT kept").select(F.col(id_col).alias("_rejected")).distinct()
+    return keep_ids(docs, materialize(out, "quality-rejected"), id_col, anti=True, ids_col="_rejected")
