@@ -104,8 +104,9 @@ def mix_rates(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source
 
     def diffuse(s: Column, d: Column) -> Column:
         want = s["err"] + d["rate"] * d["size"]
-        low = F.floor(d["rate"]).cast("int")
-        high = F.least(F.lit(CAP), low + 1)
+        # One copy beyond the rate's neighbours lets small documents make up for large ones.
+        low = F.greatest(F.lit(0), F.floor(d["rate"]).cast("int") - 1)
+        high = F.least(F.lit(CAP), F.floor(d["rate"]).cast("int") + 2)
         copies = F.when(d["size"] == 0, F.lit(1)).otherwise(F.least(high, F.greatest(low, F.round(want / F.nullif(d["size"], F.lit(0))).cast("int"))))
         return F.struct((want - copies * d["size"]).alias("err"), F.concat(s["copies"], F.array(copies)).alias("copies"))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from textloom.session import table
 
@@ -41,12 +42,49 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textloom.llm.chat_format import format_chats
+
+    out = format_chats(table(spark, sf_dir, "conversations"))
+    return out.select("conv_id", "turn", "given", "role", F.length("rendered").cast("long").alias("n_chars"), F.sha2("rendered", 256).alias("rendered_sha256"))
+
+
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textloom.llm.repeated_bytes import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textloom.llm.substring_dedup import substring_dedup
+
+    return substring_dedup(table(spark, sf_dir, "documents"))
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textloom.llm.pii import detect_pii
+
+    out = detect_pii(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_id", "n_secret")
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textloom.llm.toxicity import score_toxicity
+
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_chat_formatting": op2_chat_formatting,
     "op3_mixing": op3_mixing,
     "op4_ngram_join": op4_ngram_join,
+    "op5_suffix_array_dedup": op5_suffix_array_dedup,
+    "op6_substring_dedup": op6_substring_dedup,
+    "op7_pii": op7_pii,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_bpe": op9_bpe,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES: dict[str, str] = {

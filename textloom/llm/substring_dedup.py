@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.hashing import mix, rolling, word_hashes, words_of
+from textloom.llm.hashing import rolling, word_hashes, words_of
 from textloom.session import keep_ids, materialize
 
 LENGTH = 50
@@ -48,7 +48,7 @@ def _digest(words: list[bytes]) -> str:
 
 def _scan(block: int, owner_bits: int):
     """Per document: length, digest, name of the sequence and its grid blocks; per partition: probes by owner."""
-    schema = pa.schema([("kind", pa.string()), ("id", pa.int64()), ("n", pa.int64()), ("sha", pa.string()), ("name", pa.int64()), ("blocks", pa.list_(pa.int64())), ("owner", pa.int32()), ("probes", pa.binary()), ("several", pa.binary()), ("index", pa.binary())])
+    schema = pa.schema([("kind", pa.string()), ("key", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("sha", pa.string()), ("blocks", pa.list_(pa.int64())), ("owner", pa.int32()), ("probes", pa.binary()), ("several", pa.binary()), ("index", pa.binary())])
     shift = _U(64 - owner_bits)
 
     def split(parts: list[np.ndarray], grids: list[np.ndarray]) -> pa.RecordBatch:
@@ -66,13 +66,12 @@ def _scan(block: int, owner_bits: int):
         parts, grids, held = [], [], 0
         for batch in batches:
             rows = []
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for key, i, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 words = words_of(text)
                 h = word_hashes(words)
                 r = rolling(h, block)
-                name = int(mix(np.array([(mix(h + np.arange(len(h), dtype=np.uint64) * _U(0x9E3779B97F4A7C15))).sum(dtype=np.uint64) + _U(len(h))], np.uint64)).view(np.int64)[0])
                 grid = np.unique(r[::block])
-                rows.append({"kind": "doc", "id": i, "n": len(words), "sha": _digest(words), "name": name, "blocks": cut(grid, owner_bits) if len(words) >= 2 * block else []})
+                rows.append({"kind": "doc", "key": key, "id": i, "n": len(words), "sha": _digest(words), "blocks": cut(grid, owner_bits) if len(words) >= 2 * block else []})
                 if len(words) >= 2 * block:
                     parts.append(np.unique(r))
                     grids.append(grid)
@@ -139,7 +138,7 @@ def _remove(length: int):
                 kept = [w for w, k in zip(words, keep.tolist(), strict=True) if k]
                 removed.append(len(words) - len(kept))
                 shas.append(_digest(kept))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(removed, pa.int64()), pa.array(shas)], names=["id", "gone", "kept_sha"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(removed, pa.int64()), pa.array(shas, pa.string())], names=["cut_key", "gone", "kept_sha"])
 
     return run
 
@@ -156,36 +155,32 @@ def covered(h: np.ndarray, windows: np.ndarray, length: int) -> np.ndarray:
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """``id_col, n_words, n_removed, kept_sha256`` for every row."""
     block = length // 2
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    source = docs.select(F.xxhash64(F.col(id_col), text).alias("key"), F.col(id_col).cast("long").alias("id"), text.alias("text"))
     # A block's chance to be hit by accident is the number of probes over 2 ** (32 + owner bits).
     owner_bits = min(20, max(6, (docs.count() * 512).bit_length() + SPARE_BITS - 32))
-    schema = "kind string, id long, n long, sha string, name long, blocks array<long>, owner int, probes binary, several binary, index binary"
+    schema = "kind string, key long, id long, n long, sha string, blocks array<long>, owner int, probes binary, several binary, index binary"
     scan = materialize(source.mapInArrow(_scan(block, owner_bits), schema), "substring-scan")
-    doc = scan.where("kind = 'doc'").select("id", "n", "sha", "name", "blocks")
+    doc = scan.where("kind = 'doc'").select("key", "id", "n", "sha", "blocks")
     shared = scan.where("kind = 'sent'").select("owner", "probes", "several", "index").groupBy("owner").applyInArrow(_answer(owner_bits), "block long")
 
     # The first document of each word sequence; the others go whole. The digest decides equality.
     firsts = doc.groupBy("sha").agg(F.min(F.coalesce("id", F.lit(LAST))).alias("first"))
-    named = doc.select("id", "n", "sha").join(firsts, "sha").withColumn("whole", F.expr(f"n >= {length} AND coalesce(id, {LAST}) > first"))
-    named = materialize(named.select("id", "n", "sha", "whole"), "substring-named")
-    blocks = doc.select("id", "sha", F.explode("blocks").alias("block"))
-    hits = blocks.join(shared, "block").groupBy("id").agg(F.collect_set("block").alias("hits"))
-    alone = named.where("NOT whole").select(F.col("id").alias("one")).distinct()
-    hits = materialize(hits.join(alone, F.col("id").eqNullSafe(F.col("one")), "left_semi"), "substring-hits")
-
-    near = keep_ids(source, hits.select("id"), "id")
-    probes = near.join(hits.withColumnRenamed("id", "hit_id").hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("hit_id"))).select("id", "text", "hits")
-    windows = materialize(probes.mapInArrow(_near_hits(length, block, owner_bits), "window long, id long"), "substring-windows")
+    named = doc.select("key", "id", "n", "sha").join(firsts, "sha").withColumn("whole", F.expr(f"n >= {length} AND coalesce(id, {LAST}) > first"))
+    named = materialize(named.select("key", "id", "n", "sha", "whole"), "substring-named")
+    hits = doc.select("key", F.explode("blocks").alias("block")).join(shared, "block").groupBy("key").agg(F.collect_set("block").alias("hits"))
+    alone = named.where("NOT whole").select("key").distinct()
+    hits = materialize(hits.join(alone, "key", "left_semi"), "substring-hits")
+
+    near = keep_ids(source, hits, "key").join(hits.withColumnRenamed("key", "hit_key").hint("shuffle_hash"), F.col("key") == F.col("hit_key"))
+    windows = materialize(near.select("id", "text", "hits").mapInArrow(_near_hits(length, block, owner_bits), "window long, id long"), "substring-windows")
     least = windows.groupBy("window").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").select("window", "first")
     later = windows.join(least, "window").where("id > first").groupBy("id").agg(F.collect_set("window").alias("windows"))
+    later = later.join(named.select("key", F.coalesce("id", F.lit(LAST)).alias("id")).distinct(), "id").select("key", "windows")
     later = materialize(later, "substring-later")
-    again = keep_ids(source, later.select(F.expr(f"nullif(id, {LAST})").alias("id")), "id")
-    cut_rows = again.join(later.withColumnRenamed("id", "late_id").hint("shuffle_hash"), F.coalesce("id", F.lit(LAST)) == F.col("late_id")).select("id", "text", "windows")
-    cut_rows = cut_rows.mapInArrow(_remove(length), "id long, gone long, kept_sha string")
-    if not named.groupBy("id").count().where("count > 1").isEmpty():  # ids that repeat name several rows
-        raise ValueError("substring_dedup needs an id for each row")
-    cut_rows = cut_rows.withColumnRenamed("id", "cut_id")
-    out = named.join(cut_rows, F.col("id").eqNullSafe(F.col("cut_id")), "left")
+    again = keep_ids(source, later, "key").join(later.withColumnRenamed("key", "late_key").hint("shuffle_hash"), F.col("key") == F.col("late_key"))
+    cut_rows = again.select("key", "text", "windows").mapInArrow(_remove(length), "cut_key long, gone long, kept_sha string").dropDuplicates(["cut_key"])
+    out = named.join(cut_rows, F.col("key") == F.col("cut_key"), "left")
     nothing = hashlib.sha256(b"").hexdigest()
     return out.select(
         F.col("id").alias(id_col), F.col("n").alias("n_words"),
