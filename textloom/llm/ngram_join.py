@@ -13,9 +13,10 @@ signatures. The allocation has spare segments for that; the few sets that still
 filled segments also emit their empty ones, which meet only each other.
 
 Copies collapse first: equal sets are one node. Candidates of one signature are checked against
-its least node (a star, not all pairs); links found there make components, and only nodes that a
-signature holds together but links don't are checked again, star by star, then pair by pair.
-Each check counts the exact intersection over the whole texts.
+its least node (a star, not all pairs); links found there make components. Nodes that a signature
+holds together but links don't are then compared by parity sketches, which bound the difference
+of two sets from below, block by block of bounded size, and only pairs that the bound leaves
+are emitted. Each surviving pair's exact intersection is counted over the whole texts.
 
 Edge cases: null or empty texts have no shingles and link with nothing; texts with fewer words
 than a shingle are one sequence; repeated rows are equal sets; a null id may be a
@@ -43,9 +44,10 @@ LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Cost model: a candidate check in signature rows, and the chance that two documents of one
 #: band share a given shingle.
 CHECK_COST = 8.0
-SHARED_SHINGLE = 0.002
-#: Star rounds over what links left apart, before the rest is checked pair by pair.
-STAR_ROUNDS = 3
+SHARED_SHINGLE = 0.00002
+#: Bits of a parity sketch, and rows of a block when one signature's nodes are compared by sketch.
+SKETCH_BITS = 2048
+BLOCK_ROWS = 2048
 _U = np.uint64
 
 
@@ -72,6 +74,16 @@ def set_name(tokens: np.ndarray) -> tuple[int, int]:
     return int(pair[0]), int(pair[1])
 
 
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """Parities of the set's counts in ``SKETCH_BITS`` cells, as longs.
+
+    Each shingle of a symmetric difference flips one cell, so the sketches of two sets differ in
+    at most as many bits as the sets differ in shingles.
+    """
+    cells = (mix(tokens ^ _U(0x0F0F0F0F0F0F0F0F)) % _U(SKETCH_BITS)).astype(np.int64)
+    return np.packbits((np.bincount(cells, minlength=SKETCH_BITS) & 1).astype(np.uint8)).view(np.int64)
+
+
 @dataclass(frozen=True)
 class Band:
     """Sets of ``low`` to ``high`` shingles, and larger ones that may still match them."""
@@ -167,12 +179,36 @@ def signatures(tokens: np.ndarray, all_bands: tuple[Band, ...]) -> np.ndarray:
 def _name_rows(width: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
+            rows, sketches = [], []
             for text in batch.column(1).to_pylist():
                 tokens = shingle_set(text, width, seed)
                 rows.append((len(tokens), *set_name(tokens)))
+                sketches.append(sketch(tokens))
             size, node, check = zip(*rows, strict=True) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(node, pa.int64()), pa.array(check, pa.int64())], names=["id", "size", "node", "check"])
+            flat = np.concatenate(sketches) if sketches else np.empty(0, np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * (SKETCH_BITS // 64)), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(node, pa.int64()), pa.array(check, pa.int64()), lists], names=["id", "size", "node", "check", "sketch"])
+
+    return run
+
+
+def _cross_rows(percent: int):
+    def run(table: pa.Table) -> pa.Table:
+        """Pairs of one block pair that have different roots and may still be similar by size and sketch."""
+        i, j = table["i"][0].as_py(), table["j"][0].as_py()
+        node, root, size, side = (table[c].to_numpy() for c in ("node", "root", "size", "side"))
+        bits = np.array(table["sketch"].combine_chunks().flatten()).view(np.uint64).reshape(len(node), -1)
+        out_a, out_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        right = np.flatnonzero(side == j)
+        for k in np.flatnonzero(side == i):
+            # Inside one block a pair is met once; between two blocks each side stands once.
+            r = right[(root[right] != root[k]) & ((node[right] > node[k]) if i == j else True)]
+            r = r[(np.minimum(size[r], size[k]) * 100 >= percent * np.maximum(size[r], size[k]))]
+            differ = np.bitwise_count(bits[r] ^ bits[k]).sum(1, dtype=np.int64)
+            r = r[differ * (100 + percent) <= (100 - percent) * (size[r] + size[k])]
+            out_a.append(np.minimum(node[r], node[k]))
+            out_b.append(np.maximum(node[r], node[k]))
+        return pa.table({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
 
     return run
 
@@ -223,9 +259,9 @@ class _Join:
         self.source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
         self.width, self.percent = width, percent
         for self.seed in range(100):
-            named = self.source.mapInArrow(_name_rows(width, self.seed), "id long, size long, node long, check long")
+            named = self.source.mapInArrow(_name_rows(width, self.seed), "id long, size long, node long, check long, sketch array<long>")
             self.named = materialize(named, "jaccard-named")
-            nodes = self.named.where("size > 0").groupBy("node").agg(F.min("id").alias("rep"), F.first("size").alias("size"), F.min("check").alias("low"), F.max("check").alias("high"), F.count(F.lit(1)).alias("rows"))
+            nodes = self.named.where("size > 0").groupBy("node").agg(F.min("id").alias("rep"), F.first("size").alias("size"), F.first("sketch").alias("sketch"), F.min("check").alias("low"), F.max("check").alias("high"), F.count(F.lit(1)).alias("rows"))
             self.nodes = materialize(nodes, "jaccard-nodes")
             # Two different sets under one name: all names are made anew.
             if self.nodes.where("low <> high").isEmpty():
@@ -241,16 +277,20 @@ class _Join:
             reps = self.nodes.select(F.col("rep").alias("id"), "node")
             spare = self.named.where("size > 0").join(copies, "node", "left_semi").join(reps, ["id", "node"], "left_anti").select("id").distinct()
             singles = keep_ids(self.source, materialize(spare, "jaccard-spare"), "id", anti=True)
-        made = singles.mapInArrow(_signature_rows(self.width, self.seed, self.percent, rows), "sig long, node long").repartition("sig")
+        made = singles.mapInArrow(_signature_rows(self.width, self.seed, self.percent, rows), "sig long, node long")
+        # Both uses filter alike, so that they share one exchange.
+        made = made.where("sig IS NOT NULL AND node IS NOT NULL").repartition("sig")
         groups = made.groupBy("sig").agg(F.min("node").alias("pivot"), F.max("node").alias("last"), F.count(F.lit(1)).alias("n")).where("pivot <> last")
         found = made.join(groups.hint("shuffle_hash"), "sig").where("node <> pivot")
         return materialize(found.select(F.expr("CASE WHEN n > 2 THEN sig END AS sig"), "pivot", "node"), "jaccard-candidates")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs ``(a, b)`` of nodes that are as similar as wanted."""
-        sized = self.nodes.select("node", "size")
-        near = pairs.join(sized.select(F.col("node").alias("a"), F.col("size").alias("m")), "a").join(sized.select(F.col("node").alias("b"), F.col("size").alias("n")), "b")
-        near = near.where(f"least(m, n) * 100 >= {self.percent} * greatest(m, n)").select("a", "b")
+        sized = self.nodes.select("node", "size", "sketch")
+        a, b = (sized.select(F.col("node").alias(k), F.col("size").alias(f"n{k}"), F.col("sketch").alias(f"s{k}")) for k in "ab")
+        near = pairs.join(a, "a").join(b, "b").where(f"least(na, nb) * 100 >= {self.percent} * greatest(na, nb)")
+        differ = "aggregate(zip_with(sa, sb, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
+        near = near.where(f"{differ} * {100 + self.percent} <= {100 - self.percent} * (na + nb)").select("a", "b")
         pairs = materialize(near, "jaccard-pairs")
         wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
         reps = self.nodes.join(wanted, "node", "left_semi").select(F.col("rep").alias("id"))
@@ -274,24 +314,16 @@ class _Join:
         found = self.candidates()
         links = self.verified(found.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct())
         roots = components(links)
-        rest = found.where("sig IS NOT NULL").select("sig", "node")
-        for k in range(STAR_ROUNDS + 1):
-            at = rest.join(roots, "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"))
-            apart = at.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("node").alias("pivot")).where("low <> high")
-            rest = materialize(at.join(apart.select("sig", "pivot"), "sig"), "jaccard-rest")
-            if rest.isEmpty():
-                break
-            if k < STAR_ROUNDS:
-                heads = rest.where("node = pivot").select("sig", F.col("root").alias("head")).distinct()
-                pairs = rest.where("node <> pivot").join(heads, "sig").where("root <> head").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-            else:
-                left = rest.select("sig", F.col("node").alias("a"), F.col("root").alias("ra"))
-                pairs = left.join(rest.select("sig", F.col("node").alias("b"), "root"), "sig").where("a < b AND ra <> root").select("a", "b")
-            more = self.verified(pairs.distinct())
-            links = links.unionByName(more)
-            if not more.isEmpty():
-                roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
-            rest = rest.where("node <> pivot").select("sig", "node")
+        at = found.where("sig IS NOT NULL").select("sig", "node").join(roots, "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"))
+        apart = at.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n")).where("low <> high")
+        rest = at.join(apart.select("sig", F.expr(f"int(ceil(n / {BLOCK_ROWS}))").alias("blocks")), "sig").join(self.nodes.select("node", "size", "sketch"), "node")
+        rest = rest.withColumn("side", F.expr("int(pmod(xxhash64(node), blocks))")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+        rest = rest.select("sig", "node", "root", "size", "sketch", "side", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
+        pairs = rest.groupBy("sig", "i", "j").applyInArrow(_cross_rows(self.percent), "a long, b long").distinct()
+        more = self.verified(pairs)
+        if not more.isEmpty():
+            roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+        links = links.unionByName(more)
         return links, roots
 
 
