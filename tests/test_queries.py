@@ -5,6 +5,7 @@ import os
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 
 from textloom.plans import registry
@@ -24,10 +25,10 @@ def duck():
 
 
 def plain(v):
-    if v is None or v != v:
-        return None
     if isinstance(v, (list, tuple, np.ndarray)):
         return tuple(plain(x) for x in v)
+    if v is None or v is pd.NA or v != v:
+        return None
     if isinstance(v, (bool, np.bool_)):
         return bool(v)
     if isinstance(v, (float, np.floating)):

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Spans that a sweep must not touch: code, links, tags and front matter.
 PROTECTED = re.compile(r"(```.*?```|`[^`\n]*`|\]\([^)\n]*\)|<[^>\n]*>|\A---\n.*?\n---\n)", re.S)
@@ -25,7 +26,7 @@ def outside_protected(text: str, rewrite: Callable[[str], str]) -> str:
 def protected_udf(rewrite: Callable[[str], str]):
     """A column function that rewrites text outside protected spans."""
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def run(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: None if t is None else outside_protected(t, rewrite))
 
@@ -70,7 +71,7 @@ def markdown_html(text: str) -> str:
     return "\n".join(out)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def markdown_to_html(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else markdown_html(t))
 
@@ -84,7 +85,7 @@ def insert_marker(text: str, at: int, marker: str) -> str:
     return text[:at] + marker + text[at:]
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def marker_inserted(texts: pd.Series, ats: pd.Series, markers: pd.Series) -> pd.Series:
     return pd.Series([t if t is None or pd.isna(a) else insert_marker(t, int(a), m) for t, a, m in zip(texts, ats, markers, strict=True)])
 
@@ -117,7 +118,7 @@ def code_map(text: str) -> list[tuple[int, str]]:
     return out
 
 
-@F.pandas_udf("array<struct<code: int, unicode: string>>")
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("code", T.IntegerType()), T.StructField("unicode", T.StringType())])))
 def code_map_entries(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: [{"code": c, "unicode": u} for c, u in code_map(t)])
 

@@ -19,6 +19,10 @@ def words(text: Column, separators: str = BLANK) -> Column:
     return F.filter(F.split(text, separators), lambda w: w != "")
 
 
+def _restorer(mark: str, original: str):
+    return lambda piece: F.replace(piece, F.lit(mark), F.lit(original))
+
+
 def sentences(line: Column, abbreviations: tuple[str, ...] = (), closing: str = "[\"”’»)]?") -> Column:
     """Sentences of one line: after ``.!?`` runs with an optional closing mark, before blanks.
 
@@ -29,7 +33,7 @@ def sentences(line: Column, abbreviations: tuple[str, ...] = (), closing: str =
         line = F.regexp_replace(line, re.escape(a) + r"(?=\s+[^\p{Lu}])", f"\u0002{k}\u0003")
     pieces = F.split(F.regexp_replace(line, rf"([.!?]+{closing})\s+", "$1\u0001"), "\u0001")
     for k, a in enumerate(abbreviations):
-        pieces = F.transform(pieces, lambda p, k=k, a=a: F.replace(p, F.lit(f"\u0002{k}\u0003"), F.lit(a)))
+        pieces = F.transform(pieces, _restorer(f"\u0002{k}\u0003", a))
     return F.filter(pieces, lambda p: F.trim(p) != "")
 
 

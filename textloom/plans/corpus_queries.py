@@ -12,7 +12,7 @@ from textloom.session import table
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 STOP = ["the", "of", "and", "to", "in", "is", "a", "de", "la", "le", "und", "die", "der"]
-FEATURES = [("commas", ","), ("periods", r"\."), ("capitals", "[A-Z]"), ("digits", "[0-9]"), ("pipes", r"\|"), ("percents", "%"), ("ats", "@"), ("short_words", r"\b[a-z]{1,2}\b"), ("exclamations", "!"), ("questions", r"\?")]
+FEATURES = [("commas", ","), ("periods", r"\."), ("capitals", "[A-Z]"), ("digits", "[0-9]"), ("pipes", r"\|"), ("percents", "%"), ("ats", "@"), ("short_words", " [a-z]{1,2} "), ("exclamations", "!"), ("questions", r"\?")]
 PROBES = ["th", "tion", "aa", "the", "and", "ing"]
 
 
