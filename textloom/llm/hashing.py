@@ -7,7 +7,8 @@ from functools import lru_cache
 import numpy as np
 import xxhash
 
-WORD_CACHE = 1_000_000
+#: Words that a worker remembers: about 40 MB.
+WORD_CACHE = 250_000
 _U = np.uint64
 #: Odd, so that it has an inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
@@ -63,3 +64,9 @@ def rolling(h: np.ndarray, length: int) -> np.ndarray:
     up, down = _powers(1 << max(10, n.bit_length()))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(h) * up[:n], dtype=np.uint64)])
     return mix((sums[length:] - sums[:-length]) * down[: n - length + 1] + _U(length))
+
+
+def lists_of(column) -> list[np.ndarray]:
+    """The rows of an Arrow list column of longs as numpy views (no Python numbers)."""
+    offsets, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+    return [values[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]

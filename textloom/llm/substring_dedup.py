@@ -32,12 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.hashing import rolling, word_hashes, words_of
+from textloom.llm.hashing import lists_of, rolling, word_hashes, words_of
 from textloom.session import keep_ids, materialize
 
 LENGTH = 50
 SPARE_BITS = 12
-FLUSH = 3_000_000
+FLUSH = 1_000_000
 _U = np.uint64
 LAST = 2**63 - 1
 
@@ -112,10 +112,10 @@ def _near_hits(length: int, block: int, owner_bits: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, text, hits in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                h = word_hashes(words_of(text))
+            for i, text, hits in zip(batch.column(0).to_pylist(), batch.column(1), lists_of(batch.column(2)), strict=True):
+                h = word_hashes(words_of(text.as_py()))
                 grid = rolling(h, block)[::block] >> _U(32 - owner_bits)
-                at = np.flatnonzero(np.isin(grid.view(np.int64), np.array(hits, np.int64))) * block
+                at = np.flatnonzero(np.isin(grid.view(np.int64), hits)) * block
                 if not len(at):
                     continue
                 starts = np.unique((at[:, None] - np.arange(length - block + 1)[None, :]).ravel())
@@ -132,9 +132,9 @@ def _remove(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             removed, shas = [], []
-            for text, windows in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                words = words_of(text)
-                keep = ~covered(word_hashes(words), np.array(windows, np.int64), length)
+            for text, windows in zip(batch.column(1), lists_of(batch.column(2)), strict=True):
+                words = words_of(text.as_py())
+                keep = ~covered(word_hashes(words), windows, length)
                 kept = [w for w, k in zip(words, keep.tolist(), strict=True) if k]
                 removed.append(len(words) - len(kept))
                 shas.append(_digest(kept))
