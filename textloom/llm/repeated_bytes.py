@@ -159,7 +159,10 @@ def _mark(length: int, gram: int):
         shared = values[np.concatenate(bits).astype(bool)] if bits else values[:0]
         out: dict[str, list] = {"cut_key": [], "gone": [], "spans": [], "kept_sha": []}
         for key, raw, starts, h in rows:
-            kept, gone, spans = cut_runs(raw, starts[np.isin(h, shared)], length)
+            # shared is ascending: each lookup is a binary search.
+            at = np.minimum(np.searchsorted(shared, h), max(len(shared) - 1, 0))
+            hit = shared[at] == h if len(shared) else np.zeros(len(h), bool)
+            kept, gone, spans = cut_runs(raw, starts[hit], length)
             for name, v in zip(out, (key, gone, spans, hashlib.sha256(kept).hexdigest()), strict=True):
                 out[name].append(v)
         return pa.table({"cut_key": pa.array(out["cut_key"], pa.int64()), "gone": pa.array(out["gone"], pa.int64()), "spans": pa.array(out["spans"], pa.int64()), "kept_sha": pa.array(out["kept_sha"], pa.string())})
