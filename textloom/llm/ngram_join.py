@@ -192,23 +192,34 @@ def _name_rows(width: int, seed: int):
     return run
 
 
-def _cross_rows(percent: int):
+def _cross_rows(percent: int, best: bool):
     def run(table: pa.Table) -> pa.Table:
-        """Pairs of one block pair that have different roots and may still be similar by size and sketch."""
+        """Pairs of one block pair that have different roots and may still be similar by size and sketch.
+
+        With ``best``, only the pair of least difference for each two roots.
+        """
         i, j = table["i"][0].as_py(), table["j"][0].as_py()
         node, root, size, side = (table[c].to_numpy() for c in ("node", "root", "size", "side"))
         bits = np.array(table["sketch"].combine_chunks().flatten()).view(np.uint64).reshape(len(node), -1)
-        out_a, out_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        found = [np.empty((5, 0), np.int64)]
         right = np.flatnonzero(side == j)
         for k in np.flatnonzero(side == i):
             # Inside one block a pair is met once; between two blocks each side stands once.
             r = right[(root[right] != root[k]) & ((node[right] > node[k]) if i == j else True)]
             r = r[(np.minimum(size[r], size[k]) * 100 >= percent * np.maximum(size[r], size[k]))]
             differ = np.bitwise_count(bits[r] ^ bits[k]).sum(1, dtype=np.int64)
-            r = r[differ * (100 + percent) <= (100 - percent) * (size[r] + size[k])]
-            out_a.append(np.minimum(node[r], node[k]))
-            out_b.append(np.maximum(node[r], node[k]))
-        return pa.table({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
+            near = differ * (100 + percent) <= (100 - percent) * (size[r] + size[k])
+            r, differ = r[near], differ[near]
+            rows = np.stack([np.minimum(root[r], root[k]), np.maximum(root[r], root[k]), differ, np.minimum(node[r], node[k]), np.maximum(node[r], node[k])])
+            if best and len(r):
+                order = np.lexsort(rows[::-1])
+                rows = rows[:, order[np.append(True, (np.diff(rows[:2, order]) != 0).any(0))]]
+            found.append(rows)
+        rows = np.concatenate(found, axis=1)
+        if best and rows.shape[1]:
+            order = np.lexsort(rows[::-1])
+            rows = rows[:, order[np.append(True, (np.diff(rows[:2, order]) != 0).any(0))]]
+        return pa.table({"a": rows[3], "b": rows[4]})
 
     return run
 
@@ -314,16 +325,18 @@ class _Join:
         found = self.candidates()
         links = self.verified(found.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct())
         roots = components(links)
-        at = found.where("sig IS NOT NULL").select("sig", "node").join(roots, "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"))
-        apart = at.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n")).where("low <> high")
-        rest = at.join(apart.select("sig", F.expr(f"int(ceil(n / {BLOCK_ROWS}))").alias("blocks")), "sig").join(self.nodes.select("node", "size", "sketch"), "node")
-        rest = rest.withColumn("side", F.expr("int(pmod(xxhash64(node), blocks))")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-        rest = rest.select("sig", "node", "root", "size", "sketch", "side", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
-        pairs = rest.groupBy("sig", "i", "j").applyInArrow(_cross_rows(self.percent), "a long, b long").distinct()
-        more = self.verified(pairs)
-        if not more.isEmpty():
-            roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
-        links = links.unionByName(more)
+        # First one pair for any two classes, as one link joins them; then whatever may still link.
+        for best in (True, False):
+            at = found.where("sig IS NOT NULL").select("sig", "node").join(roots, "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"))
+            apart = at.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n")).where("low <> high")
+            rest = at.join(apart.select("sig", F.expr(f"int(ceil(n / {BLOCK_ROWS}))").alias("blocks")), "sig").join(self.nodes.select("node", "size", "sketch"), "node")
+            rest = rest.withColumn("side", F.expr("int(pmod(xxhash64(node), blocks))")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+            rest = rest.select("sig", "node", "root", "size", "sketch", "side", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
+            pairs = rest.groupBy("sig", "i", "j").applyInArrow(_cross_rows(self.percent, best), "a long, b long").distinct()
+            more = self.verified(pairs)
+            if not more.isEmpty():
+                roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+            links = links.unionByName(more)
         return links, roots
 
 
