@@ -211,6 +211,14 @@ def test_chat_viterbi_is_optimal(spark):
         assert score == pytest.approx(best, abs=1e-6)
 
 
+def test_chat_repeated_rows(spark):
+    """Equal rows of several lines stay whole."""
+    rows = [(1, 0, "user", "why?\nand how?\nwhen?")] * 3 + [(1, 1, "assistant", "so it is\nand so")] * 2 + [(1, 1, "assistant", "else\nmore")]
+    got = chat_format.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    bodies = [(r.turn, "\n".join(x for x in r.rendered.split("\n") if not x.startswith("<|")).strip()) for r in got]
+    assert sorted(bodies) == sorted((r[1], r[3]) for r in rows)
+
+
 def test_chat_empty(spark):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string, extra int")
     assert chat_format.format_chats(df).collect() == []

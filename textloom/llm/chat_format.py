@@ -68,7 +68,9 @@ def _lines(chats: DataFrame, conv: str, turn: str, role: str, text: str) -> Data
         F.col(conv).cast("string").alias("conv"), F.col(turn).cast("long").alias("turn"), F.col(role).cast("string").alias("given"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
-    lines = rows.select("conv", "turn", "given", F.xxhash64("text", "given").alias("row"), F.posexplode(F.split("text", "\n")).alias("at", "line"))
+    # Equal rows have one hash and are told apart by their number; which is which cannot show.
+    rows = rows.withColumn("copy", F.monotonically_increasing_id())
+    lines = rows.select("conv", "turn", "given", F.xxhash64("text", "given").alias("row"), "copy", F.posexplode(F.split("text", "\n")).alias("at", "line"))
     state = F.lit(None).cast("int")
     for k, name in enumerate(ROLES):
         state = F.when(F.lower("given") == name, F.lit(k)).otherwise(state)
@@ -187,7 +189,7 @@ def number_lines(lines: DataFrame) -> DataFrame:
     lines = lines.withColumn("conv", F.coalesce(F.concat(F.lit("c"), "conv"), F.lit("n"))).withColumn("span", span)
     counts = lines.groupBy("conv", "span").count()
     offsets = counts.withColumn("offset", F.coalesce(F.sum("count").over(Window.partitionBy("conv").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("count")
-    inside = Window.partitionBy("conv", "span").orderBy(F.col("turn").asc_nulls_first(), "row", "at")
+    inside = Window.partitionBy("conv", "span").orderBy(F.col("turn").asc_nulls_first(), "row", "copy", "at")
     return lines.withColumn("n", F.row_number().over(inside)).join(offsets, ["conv", "span"]).withColumn("pos", (F.col("offset") + F.col("n") - 1).cast("long")).drop("n", "offset", "span")
 
 
@@ -200,7 +202,7 @@ def format_chats(chats: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     placed = placed.withColumn("head", F.col("pos") - F.col("at"))
     # A message's lines in order; a new speaker inside it opens a new turn.
     parts = F.array_sort(F.collect_list(F.struct("at", "role", "body")))
-    message = placed.groupBy("conv", "turn", "row", "head").agg(F.first("given").alias("given"), parts.alias("parts"))
+    message = placed.groupBy("conv", "turn", "row", "copy", "head").agg(F.first("given").alias("given"), parts.alias("parts"))
     turns = F.transform("parts", lambda p, i: F.concat(F.when((i == 0) | (F.get(F.col("parts"), i - 1)["role"] != p["role"]), F.concat(F.lit("<|"), p["role"], F.lit("|>\n"))).otherwise(F.lit("")), p["body"]))
     conv = F.when(F.col("conv") != "n", F.expr("substr(conv, 2)")).cast(chats.schema[conv_col].dataType)
     return message.select(conv.alias(conv_col), F.col("turn").alias(turn_col), "given", F.element_at("parts", 1)["role"].alias("role"), F.concat(F.array_join(turns, "\n"), F.lit("\n")).alias("rendered"))
