@@ -6,6 +6,8 @@ from collections import Counter
 import corpus_pipeline
 from test_first_five import jaccard_brute
 from textloom.llm import quality_rules
+from textloom.llm.exact_dedup import drop_exact_copies
+from textloom.llm.ngram_join import drop_near_copies
 from textloom.session import materialize
 
 DIR = "/root/testdata/sf0.001"
@@ -45,3 +47,30 @@ def test_run_odd(spark, tmp_path):
         spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/{k}/documents.parquet")
         got = corpus_pipeline.run(spark, f"{tmp_path}/{k}").collect()
         assert {r.doc_id for r in got} <= {4}
+
+
+def test_rows_without_own_id(spark, real):
+    """A row is judged by itself, not by others that repeat its id or have none."""
+    scored = quality_rules.score_quality(real).select("doc_id", "kept").collect()
+    good, bad = (sorted(r.doc_id for r in scored if r.kept == k)[:3] for k in (True, False))
+    alias = {good[0]: None, bad[0]: None, bad[1]: good[1]}
+    rows = [(alias.get(r.doc_id, r.doc_id), *r[1:]) for r in real.collect()]
+    got = quality_rules.filter_quality(spark.createDataFrame(rows, real.schema)).select("text").collect()
+    kept = {r.doc_id for r in scored if r.kept}
+    assert Counter(r.text for r in got) == Counter(r.text for r in real.collect() if r.doc_id in kept)
+
+    rows = [(1, "a b c"), (None, "abc"), (None, "own text"), (2, "a bc"), (2, "other text"), (3, "x"), (None, "x"), (None, None), (4, "")]
+    got = drop_exact_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {tuple(r) for r in got} == {(1, "a b c"), (None, "own text"), (2, "other text"), (3, "x"), (4, "")}
+
+
+def test_near_copies_without_own_id(spark):
+    text = lambda k: " ".join(f"{k}w{i}" for i in range(60))
+    near = lambda k: text(k).replace(f"{k}w30", "other")
+    rows = [(None, text("a")), (None, text("a").upper()), (None, text("b")), (3, near("b")), (4, text("c")), (5, text("c")), (5, text("d")), (6, near("d")), (None, text("e")), (None, near("e")), (None, text("f")), (None, ""), (7, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in drop_near_copies(df).collect()]
+    one = [[r for r in got if r[1] and r[1].lower() in (text(k), near(k))] for k in "abcdef"]
+    assert [len(x) for x in one] == [1] * 6
+    assert one[1:4] == [[rows[3]], [rows[4]], [rows[6]]]
+    assert len(got) == 8

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from textloom.llm.components import components
 from textloom.llm.hashing import mix, words_table
-from textloom.session import keep_ids, materialize
+from textloom.session import keep_ids, materialize, row_hash
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Cost model: a candidate check in signature rows, and the chance that two documents of one
@@ -48,6 +48,9 @@ SHARED_SHINGLE = 0.00002
 #: Bits of a parity sketch, and rows of a block when one signature's nodes are compared by sketch.
 SKETCH_BITS = 2048
 BLOCK_ROWS = 2048
+#: The row that stands for others: the least id (null last), then the least text hash.
+LEAST_ROW = "min(struct(id IS NULL AS none, id, row))"
+IS_REP = "id <=> rep AND row = rep_row"
 _U = np.uint64
 
 
@@ -187,7 +190,7 @@ def _name_rows(width: int, seed: int):
             size, node, check = zip(*rows, strict=True) if rows else ((), (), ())
             flat = np.concatenate(sketches) if sketches else np.empty(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * (SKETCH_BITS // 64)), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(node, pa.int64()), pa.array(check, pa.int64()), lists], names=["id", "size", "node", "check", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(size, pa.int64()), pa.array(node, pa.int64()), pa.array(check, pa.int64()), lists], names=["id", "row", "size", "node", "check", "sketch"])
 
     return run
 
@@ -267,12 +270,13 @@ class _Join:
     """The tables of one run."""
 
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> None:
-        self.source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+        self.source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), row_hash(text_col).alias("row"))
         self.width, self.percent = width, percent
         for self.seed in range(100):
-            named = self.source.mapInArrow(_name_rows(width, self.seed), "id long, size long, node long, check long, sketch array<long>")
+            named = self.source.mapInArrow(_name_rows(width, self.seed), "id long, row long, size long, node long, check long, sketch array<long>")
             self.named = materialize(named, "jaccard-named")
-            nodes = self.named.where("size > 0").groupBy("node").agg(F.min("id").alias("rep"), F.first("size").alias("size"), F.first("sketch").alias("sketch"), F.min("check").alias("low"), F.max("check").alias("high"), F.count(F.lit(1)).alias("rows"))
+            nodes = self.named.where("size > 0").groupBy("node").agg(F.expr(LEAST_ROW).alias("least"), F.first("size").alias("size"), F.first("sketch").alias("sketch"), F.min("check").alias("low"), F.max("check").alias("high"), F.count(F.lit(1)).alias("rows"))
+            nodes = nodes.select("*", F.col("least.id").alias("rep"), F.col("least.row").alias("rep_row")).drop("least")
             self.nodes = materialize(nodes, "jaccard-nodes")
             # Two different sets under one name: all names are made anew.
             if self.nodes.where("low <> high").isEmpty():
@@ -283,11 +287,10 @@ class _Join:
         """``sig, pivot, node``: every signature that several nodes share; sig only where three or more do."""
         rows = self.named.count()
         singles = self.source
-        copies = self.nodes.where("rows > 1").select("node")
+        copies = self.nodes.where("rows > 1").select("node", "rep", "rep_row")
         if not copies.isEmpty():
-            reps = self.nodes.select(F.col("rep").alias("id"), "node")
-            spare = self.named.where("size > 0").join(copies, "node", "left_semi").join(reps, ["id", "node"], "left_anti").select("id").distinct()
-            singles = keep_ids(self.source, materialize(spare, "jaccard-spare"), "id", anti=True)
+            spare = self.named.where("size > 0").select("id", "row", "node").join(copies, "node").where(f"NOT ({IS_REP})").select("id", "row").distinct()
+            singles = keep_ids(self.source, materialize(spare, "jaccard-spare"), "id", anti=True, row=F.col("row"))
         made = singles.mapInArrow(_signature_rows(self.width, self.seed, self.percent, rows), "sig long, node long")
         # Both uses filter alike, so that they share one exchange.
         made = made.where("sig IS NOT NULL AND node IS NOT NULL").repartition("sig")
@@ -304,8 +307,8 @@ class _Join:
         near = near.where(f"{differ} * {100 + self.percent} <= {100 - self.percent} * (na + nb)").select("a", "b")
         pairs = materialize(near, "jaccard-pairs")
         wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-        reps = self.nodes.join(wanted, "node", "left_semi").select(F.col("rep").alias("id"))
-        rows = keep_ids(self.source, materialize(reps, "jaccard-reps"), "id")
+        reps = self.nodes.join(wanted, "node", "left_semi").select(F.col("rep").alias("id"), F.col("rep_row").alias("row"))
+        rows = keep_ids(self.source, materialize(reps, "jaccard-reps"), "id", row=F.col("row"))
 
         def named(batches: Iterator[pa.RecordBatch], width=self.width, seed=self.seed) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -340,18 +343,23 @@ class _Join:
         return links, roots
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """``id_col, n_shingles, component_id`` for every row; linked texts share the least id reachable."""
+def _classes(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
+    """``id, row, size, component, rep, rep_row`` for every row: its class's least id, and the row that stands for the class."""
     run = _Join(docs, id_col, text_col, width, percent)
     _, roots = run.roots()
-    placed = run.nodes.join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
-    least = placed.groupBy("root").agg(F.min("rep").alias("component"))
-    by_node = placed.join(least, "root").select("node", "component")
-    out = run.named.join(by_node, "node", "left")
+    placed = run.nodes.join(roots, "node", "left").select("node", F.col("rep").alias("id"), F.col("rep_row").alias("row"), F.coalesce("root", "node").alias("root"))
+    least = placed.groupBy("root").agg(F.min("id").alias("component"), F.expr(LEAST_ROW).alias("least"))
+    by_node = placed.select("node", "root").join(least, "root").select("node", "component", F.col("least.id").alias("rep"), F.col("least.row").alias("rep_row"))
+    return run.named.join(by_node, "node", "left").select("id", "row", "size", "component", "rep", "rep_row")
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+    """``id_col, n_shingles, component_id`` for every row; linked texts share the least id reachable."""
+    out = _classes(docs, id_col, text_col, width, percent)
     return out.select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), F.when(F.col("size") == 0, F.col("id")).otherwise(F.coalesce("component", "id")).alias("component_id"))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` with one document (the least id) of each linked class; own columns only."""
-    gone = jaccard_components(docs, id_col, text_col, width, percent).where(f"component_id <> {id_col}").select(F.col(id_col).alias("_gone")).distinct()
-    return keep_ids(docs, materialize(gone, "jaccard-gone"), id_col, anti=True, ids_col="_gone")
+    gone = _classes(docs, id_col, text_col, width, percent).where(f"size > 0 AND NOT ({IS_REP})").select(F.col("id").alias("_gone"), "row").distinct()
+    return keep_ids(docs, materialize(gone, "jaccard-gone"), id_col, anti=True, ids_col="_gone", row=row_hash(text_col))

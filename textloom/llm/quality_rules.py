@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.session import keep_ids, materialize
+from textloom.session import keep_ids, materialize, row_hash
 
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
@@ -157,5 +157,6 @@ def score_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def filter_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are kept, with their own columns only."""
-    out = score_quality(docs, id_col, text_col).where("NOT kept").select(F.col(id_col).alias("_rejected")).distinct()
-    return keep_ids(docs, materialize(out, "quality-rejected"), id_col, anti=True, ids_col="_rejected")
+    keyed = docs.select(id_col, text_col, row_hash(text_col).alias("row"))
+    out = score_quality(keyed, id_col, text_col, keep=("row",)).where("NOT kept").select(F.col(id_col).alias("_rejected"), "row").distinct()
+    return keep_ids(docs, materialize(out, "quality-rejected"), id_col, anti=True, ids_col="_rejected", row=row_hash(text_col))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -44,14 +44,24 @@ def materialize(df: DataFrame, tag: str, partition_by: tuple[str, ...] = ()) ->
 BROADCAST_IDS = 500_000
 
 
-def keep_ids(df: DataFrame, ids: DataFrame, col: str, anti: bool = False, ids_col: str | None = None) -> DataFrame:
+def row_hash(text_col: str) -> Column:
+    """With the id, what tells one row from others that repeat its id or have none."""
+    return F.xxhash64(F.col(text_col).cast("string"))
+
+
+def keep_ids(df: DataFrame, ids: DataFrame, col: str, anti: bool = False, ids_col: str | None = None, row: Column | None = None) -> DataFrame:
     """The rows of ``df`` whose ``col`` is in ``ids`` (null equals null), or is not with ``anti``.
 
+    With ``row``, a key of the rows of ``df``, the column ``row`` of ``ids`` must be equal too.
+
     ``ids`` must be cheap to count (a written table). Up to ``BROADCAST_IDS`` of them are sent to
     the executors, so that the wide rows of ``df`` stay where they are; beyond that both sides are
     shuffled, with the narrow one hashed.
     """
-    ids = ids.select(F.col(ids_col or col).alias("_keep_id"))
+    ids = ids.select(F.col(ids_col or col).alias("_keep_id"), *([] if row is None else [F.col("row").alias("_keep_row")]))
     small = ids.count() <= BROADCAST_IDS
     ids = F.broadcast(ids) if small else ids.hint("shuffle_hash")
-    return df.join(ids, df[col].eqNullSafe(ids["_keep_id"]), "left_anti" if anti else "left_semi")
+    same = df[col].eqNullSafe(ids["_keep_id"])
+    if row is not None:
+        same &= row == ids["_keep_row"]
+    return df.join(ids, same, "left_anti" if anti else "left_semi")
