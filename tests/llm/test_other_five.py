@@ -148,6 +148,22 @@ def test_toxicity_restores_words():
     assert "stupid" in r.words("so s t u p i d they said")
 
 
+def test_toxicity_reads_whole_channel():
+    """Long tokens, several spaced words, doubled letters and tokens without letters."""
+    tri = defaultdict(int)
+    for w in ["stupid", "idiot", "loser", "you", "are", "an", "a", "the", "and", "letter", "book"]:
+        w = "^^" + w + "^"
+        for k in range(len(w) - 2):
+            tri[tuple(w[k : k + 3])] += 50
+    r = toxicity.Restorer(toxicity.CharModel(tri))
+    for odd, plain in (("stu" + "u" * 70 + "pid", "stupid"), ("s-t-u-p-i-d" + "-" * 70, "stupid"), ("stuupid", "stupid"), ("idiott", "idiot"), ("10$3r", "loser"), ("letter", "letter"), ("book", "book")):
+        assert r.word(odd) == plain, odd
+    assert r.word("|0$3r") == "loser" and r.word("4") == "a"
+    for text, words in (("a s t u p i d", ["a", "stupid"]), ("y o u a r e a n i d i o t", ["you", "are", "an", "idiot"]), ("y o u " * 30 + "l o s e r", ["you", "loser"])):
+        assert set(words) <= set(r.words(text)), (text, r.words(text))
+    assert len(r.word("b@" * 100_000)) > 0
+
+
 def test_toxicity_held_out(spark):
     d = "/root/testdata/sf0.1"
     labels = table(spark, d, "labels")

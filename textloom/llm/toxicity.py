@@ -11,8 +11,8 @@ Bounds, all parameters: the trigram model knows ``ALPHABET`` letters (others sha
 lexicon keeps the ``LEXICON`` strongest words, the logistic fit sees the numbers (no texts) of at
 most ``FIT_ROWS`` labelled rows, smallest hash first. Counts cover all rows.
 
-Edge cases: null and empty texts score as texts without hits; very long tokens are read in linear
-time and those over ``MAX_TOKEN`` characters as they stand; equal texts score alike; without
+Edge cases: null and empty texts score as texts without hits; tokens of any length are read in
+linear time (those over ``KEEP_TOKEN`` characters are not remembered); equal texts score alike; without
 labels (or with one class only) every score is the prior; an empty table gives an empty result; a
 null id counts as not held out; other columns are ignored.
 """
@@ -32,10 +32,12 @@ from pyspark.sql import functions as F
 ALPHABET = 64
 LEXICON = 2000
 FIT_ROWS = 50_000
-MAX_TOKEN = 64
+KEEP_TOKEN = 64
 CACHE = 300_000
 FLUSH_WORDS = 500_000
 PREDICT = 0.7
+#: Channel cost of a word boundary between spaced letters.
+BOUNDARY = -1.0
 EDGE = "^"
 OTHER = "?"
 
@@ -45,7 +47,7 @@ READINGS = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "*": "aeiou", "#": "aeiou", "%": "aeiou",
 }
 SEPARATORS = frozenset(".-_*~'`,:;/\\|·+=^")
-ODD = re.compile(r"[\W\d_]|(.)\1\1")
+ODD = re.compile(r"[\W\d_]|(.)\1")
 SPACED = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
 TRIM = ".,;:?\"()[]{}«»“”"
 
@@ -86,8 +88,12 @@ class CharModel:
         return got
 
 
-def lattice(token: str) -> list[list[tuple[str, float]]]:
-    """Readings of each run of equal characters: letters (possibly none) and their channel cost."""
+def lattice(token: str, spaced: bool = False) -> list[list[tuple[str, float]]]:
+    """Readings of each run of equal characters: letters (possibly none) and their channel cost.
+
+    With ``spaced``, a blank (the end of a word) may stand before any of them but the first, and
+    between equal letters.
+    """
     out = []
     for m in re.finditer(r"(.)\1*", token, re.S):
         c, n = m[1], len(m[0])
@@ -96,6 +102,8 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
             reads.append((c, 0.0 if n == 1 else -1.0))
             if n >= 2:
                 reads.append((c + c, 0.0 if n == 2 else -1.5))
+                if spaced:
+                    reads.append((c + " " + c, BOUNDARY))
         else:
             reads += [(x, -1.0) for x in READINGS.get(c, "")]
             if c in READINGS and n == 2:
@@ -104,28 +112,38 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
                 reads.append(("", -0.5))
             if c.isdigit():
                 reads.append((c * min(n, 2), -3.0))
+        if spaced and out:
+            reads += [(" " + x, cost + BOUNDARY) for x, cost in reads if x]
         out.append(reads)
     return out
 
 
-def restore(token: str, model: CharModel) -> str:
-    """The likeliest word behind one lower-case token."""
-    if not ODD.search(token) or len(token) > MAX_TOKEN or not any(c.isalpha() for c in token):
+def restore(token: str, model: CharModel, spaced: bool = False) -> str:
+    """The likeliest word behind one lower-case token, or words (blanks between them) behind ``spaced`` letters."""
+    if not spaced and not ODD.search(token) or not any(c.isalpha() or c in READINGS for c in token):
         return token
-    # Beam of states: the last two letters; per state the best score and its text.
-    states: dict[str, tuple[float, str]] = {EDGE * 2: (0.0, "")}
-    for reads in lattice(token):
-        now: dict[str, tuple[float, str]] = {}
-        for last, (score, text) in states.items():
+    # Beam of states: the last two letters; per state the best score and its readings, last first.
+    states: dict[str, tuple[float, tuple]] = {EDGE * 2: (0.0, ())}
+    for reads in lattice(token, spaced):
+        now: dict[str, tuple[float, tuple]] = {}
+        for last, (score, path) in states.items():
             for letters, cost in reads:
                 s, at = score + cost, last
                 for c in letters:
-                    s += model.log(at[0], at[1], c)
-                    at = at[1] + c
+                    if c == " ":
+                        s, at = s + model.log(at[0], at[1], EDGE), EDGE * 2
+                    else:
+                        s += model.log(at[0], at[1], c)
+                        at = at[1] + c
                 if at not in now or s > now[at][0]:
-                    now[at] = (s, text + letters)
+                    now[at] = (s, (letters, path))
         states = now
-    return max((s + model.log(at[0], at[1], EDGE), text) for at, (s, text) in states.items())[1]
+    path = max((s + model.log(at[0], at[1], EDGE), at, path) for at, (s, path) in states.items())[2]
+    out = []
+    while path:
+        letters, path = path
+        out.append(letters)
+    return "".join(reversed(out))
 
 
 class Restorer:
@@ -137,15 +155,20 @@ class Restorer:
     def word(self, token: str) -> str:
         got = self.known.get(token)
         if got is None:
+            got = restore(_fold(token), self.model)
+            if len(token) > KEEP_TOKEN:
+                return got
             if len(self.known) >= CACHE:
                 self.known.clear()
-            got = self.known[token] = restore(_fold(token), self.model)
+            self.known[token] = got
         return got
 
     def words(self, text: str) -> list[str]:
         out = list(map(self.word, text.split()))
         for m in SPACED.finditer(text):
-            out.append(restore(_fold(m[0].replace(" ", "")), self.model))
+            letters = _fold(m[0].replace(" ", ""))
+            whole, split = restore(letters, self.model), restore(letters, self.model, True).split()
+            out += split if [whole] == split else [whole, *split]
         return out
 
 
