@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,16 +16,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """The shared folder for cut lineage.
+    """The shared folder for cut lineage, one for each application; it goes when the application ends.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only where that is unset (tests, one
-    machine) is a temporary folder made, once per session, and remembered in the same setting's
-    place so that later calls agree.
+    A cluster names it in ``spark.checkpoint.dir``. Only on one machine (tests) may that be unset:
+    then a temporary folder is made, once per session, and remembered in the session.
     """
-    path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("textloom.scratch", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="textloom-")
-        spark.conf.set("textloom.scratch", path)
+    known = spark.conf.get("textloom.scratch", None)
+    if known:
+        return known
+    context = spark.sparkContext
+    root = context.getConf().get("spark.checkpoint.dir", None)
+    if not root:
+        if not re.match(r"local($|\[)", context.master):
+            raise RuntimeError("a cluster must name a shared folder in spark.checkpoint.dir")
+        root = tempfile.mkdtemp(prefix="textloom-")
+    path = f"{root}/textloom/{context.applicationId}"
+    hadoop = context._jvm.org.apache.hadoop.fs.Path(path)
+    store = hadoop.getFileSystem(context._jsc.hadoopConfiguration())
+    store.mkdirs(hadoop)
+    store.deleteOnExit(hadoop)
+    spark.conf.set("textloom.scratch", path)
     return path
 
 
@@ -35,7 +46,7 @@ def materialize(df: DataFrame, tag: str, partition_by: tuple[str, ...] = ()) ->
     computed once however often it is read.
     """
     spark = df.sparkSession
-    path = f"{scratch(spark)}/textloom/{tag}-{uuid.uuid4().hex}"
+    path = f"{scratch(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -65,3 +76,23 @@ def keep_ids(df: DataFrame, ids: DataFrame, col: str, anti: bool = False, ids_co
     if row is not None:
         same &= row == ids["_keep_row"]
     return df.join(ids, same, "left_anti" if anti else "left_semi")
+
+
+#: More keys than this can't each hold more than one part in as many of all rows.
+HOT_KEYS = 1000
+
+
+def join_groups(df: DataFrame, groups: DataFrame, key: str, weight: str, rows: int) -> DataFrame:
+    """Left join of ``df`` with ``groups``, which has one row a ``key`` and how many rows of ``df`` it has.
+
+    Keys that more than one in ``HOT_KEYS`` of all ``rows`` carry are at most ``HOT_KEYS``: they are
+    broadcast, so their rows stay where they are. The others are shuffled, none of them hot. Both
+    inputs are read several times and should be written tables.
+    """
+    least = max(100, rows // HOT_KEYS)
+    hot = groups.where(F.col(weight) > least)
+    if hot.isEmpty():
+        return df.join(groups, key, "left")
+    near = df.join(F.broadcast(hot), key)
+    rest = df.join(F.broadcast(hot.select(key)), key, "left_anti").join(groups.where(F.col(weight) <= least), key, "left")
+    return near.unionByName(rest)
