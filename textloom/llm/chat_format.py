@@ -1,10 +1,11 @@
 """Chat formatting: roles of transcript lines by a hidden Markov model, then canonical turns.
 
 Every line of a transcript is an observation: which speaker marker it starts with, whether it
-opens a message, how long it is, whether it asks, and so on. The hidden state is the speaker. The
-model's counts come from all lines whose role is given (one aggregation over a bounded number of
-feature codes), smoothed. Roles are then decoded by Viterbi and each line's turn is rendered as
-``<|role|>`` and the text without its marker.
+opens a message and how long that message is, how long the line is, whether it asks, and so on. The
+hidden state is the speaker. Start, transition and emission tables are learned from all lines whose
+role is given (aggregations over a bounded number of codes), added to pseudo-counts; those of the
+markers say that a speaker mostly uses their own marker or none. Roles are then decoded by Viterbi
+and each line's turn is rendered as ``<|role|>`` and the text without its marker.
 
 Viterbi is a product of small max-plus matrices, which may be grouped at will: lines go into
 blocks of ``BLOCK`` by their order number, blocks into blocks of blocks, until a conversation is
@@ -19,8 +20,8 @@ ignored.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,10 @@ from textloom.session import materialize
 ROLES = ("system", "user", "assistant")
 BLOCK = 64
 SMOOTH = 1.0
-MARKER_COST = 6.0
+#: Pseudo-counts of a line's marker: none, the speaker's own, another speaker's.
+MARKER_PRIOR = (50.0, 10.0, 0.02)
+#: Feature codes of opening lines, and of all lines.
+OPENING, CODES = 28, 56
 LEVELS = 12
 
 #: Speaker markers at the start of a line, by role (fixed values).
@@ -56,10 +60,17 @@ def strip_marker(line: Column) -> Column:
     return F.regexp_replace(line, _LEAD % "|".join(MARKERS[r] for r in ROLES), "")
 
 
-def line_code(line: Column, opens: Column) -> Column:
-    """Feature code of a line without its marker: opening line, length class, question, list or code."""
-    size = F.least(F.lit(6), F.floor(F.log2(F.length(line) / 16 + 1))).cast("int")
-    return (opens.cast("int") + 2 * size + 14 * line.contains("?").cast("int") + 28 * line.rlike(r"^\s*([-*•]|\d+\.|```|    )").cast("int")).cast("int")
+def line_code(line: Column, opens: Column, size: Column) -> Column:
+    """Feature code of a line without its marker.
+
+    A line that opens a message: the message's length class and whether the line asks. Others: the line's length class,
+    question, list or code.
+    """
+    classes = lambda n, unit, most: F.least(F.lit(most), F.floor(F.log2(n / unit + 1) * 2)).cast("int")
+    asks = line.contains("?").cast("int")
+    opening = classes(size, 32, 13) + 14 * asks
+    inside = OPENING + classes(F.length(line), 32, 6) + 7 * asks + 14 * line.rlike(r"^\s*([-*•]|\d+\.|```|    )").cast("int")
+    return F.when(opens, opening).otherwise(inside).cast("int")
 
 
 def _lines(chats: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
@@ -70,43 +81,59 @@ def _lines(chats: DataFrame, conv: str, turn: str, role: str, text: str) -> Data
     )
     # Equal rows have one hash and are told apart by their number; which is which cannot show.
     rows = rows.withColumn("copy", F.monotonically_increasing_id())
-    lines = rows.select("conv", "turn", "given", F.xxhash64("text", "given").alias("row"), "copy", F.posexplode(F.split("text", "\n")).alias("at", "line"))
+    lines = rows.select("conv", "turn", "given", F.xxhash64("text", "given").alias("row"), "copy", F.length("text").alias("size"), F.posexplode(F.split("text", "\n")).alias("at", "line"))
     state = F.lit(None).cast("int")
     for k, name in enumerate(ROLES):
         state = F.when(F.lower("given") == name, F.lit(k)).otherwise(state)
     lines = lines.withColumn("mark", marker(F.col("line"))).withColumn("body", strip_marker(F.col("line")))
-    return lines.withColumn("code", line_code(F.col("body"), F.col("at") == 0)).withColumn("state", state)
+    return lines.withColumn("code", line_code(F.col("body"), F.col("at") == 0, F.col("size"))).withColumn("state", state).drop("size")
+
+
+@dataclass(frozen=True)
+class Model:
+    """Log probabilities: ``start[to]``, ``move[from, to]``, ``emit[state, code]``, ``said[opens, state, marker]``."""
 
+    start: np.ndarray
+    move: np.ndarray
+    emit: np.ndarray
+    said: np.ndarray
 
-def learn(lines: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Log start, transition and emission tables from the lines with a given role."""
+
+def learn(lines: DataFrame) -> Model:
+    """The model from the numbered lines with a given role; counts of a bounded number of codes are collected."""
     known = lines.where("state IS NOT NULL")
-    k, codes = len(ROLES), 56
-    emit = np.full((k, codes), SMOOTH)
-    for r in known.groupBy("state", "code").count().collect():
+    k = len(ROLES)
+    emit = np.full((k, CODES), SMOOTH)
+    none, own, other = MARKER_PRIOR
+    said = np.full((2, k, k + 1), other)
+    said[:, :, 0] = none
+    said[:, np.arange(k), np.arange(k) + 1] = own
+    for r in known.groupBy("state", F.expr("int(at = 0)").alias("opens"), "mark", "code").count().collect():
         emit[r.state, r.code] += r["count"]
-    # A turn's first line follows the turn before; the next rows by number are joined, not windowed.
-    heads = known.where("at = 0").groupBy("conv", "turn").agg(F.min("state").alias("state"))
-    after = heads.select("conv", (F.col("turn") - 1).alias("turn"), F.col("state").alias("then"))
+        said[r.opens, r.state, r.mark] += r["count"]
+    # A message's first line follows the line before it; lines are joined by number, not windowed.
+    heads = known.where("at = 0").select("conv", "pos", F.col("state").alias("then"))
+    before = known.select("conv", (F.col("pos") + 1).alias("pos"), "state")
     move = np.full((k, k), SMOOTH)
-    for r in heads.join(after, ["conv", "turn"]).groupBy("state", "then").count().collect():
+    for r in heads.join(before, ["conv", "pos"]).groupBy("state", "then").count().collect():
         move[r.state, r.then] += r["count"]
     start = np.full(k, SMOOTH)
-    for r in heads.where("turn = 0").groupBy("state").count().collect():
+    for r in known.where("pos = 0").groupBy("state").count().collect():
         start[r.state] += r["count"]
     norm = lambda x: np.log(x / x.sum(-1, keepdims=True))
-    return norm(start), norm(move), norm(emit)
+    return Model(norm(start), norm(move), norm(emit), norm(said))
 
 
-def line_scores(start: np.ndarray, move: np.ndarray, emit: np.ndarray, code: np.ndarray, mark: np.ndarray, opens: np.ndarray) -> np.ndarray:
-    """Max-plus step matrices ``[line, from, to]``; inside a turn the speaker stays unless a marker says otherwise."""
+def line_scores(model: Model, code: np.ndarray, mark: np.ndarray, opens: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Max-plus step matrices ``[line, from, to]``; inside a message the speaker stays unless a marker says otherwise.
+
+    The first line of a conversation has no line before it: its step is the start's, from any state.
+    """
     k = len(ROLES)
     stay = np.where(np.eye(k, dtype=bool), 0.0, -50.0)
-    step = np.where((opens | (mark > 0))[:, None, None], move[None], stay[None])
-    seen = emit[:, code].T.copy()
-    said = mark > 0
-    seen[said] -= MARKER_COST
-    seen[said, mark[said] - 1] += MARKER_COST
+    step = np.where((opens | (mark > 0))[:, None, None], model.move[None], stay[None])
+    step = np.where(first[:, None, None], np.broadcast_to(model.start, (k, k))[None], step)
+    seen = model.emit[:, code].T + model.said[opens.astype(int), :, mark]
     return step + seen[:, None, :]
 
 
@@ -117,13 +144,13 @@ def _product(steps: np.ndarray) -> np.ndarray:
     return out
 
 
-def _matrices(model, group_cols: list[str]):
+def _matrices(model: Model, group_cols: list[str]):
     """Step matrix of each line (flattened)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             t = batch.to_pydict()
-            m = line_scores(*model, np.array(t["code"], int), np.array(t["mark"], int), np.array(t["at"], int) == 0) if t["code"] else np.empty((0, 3, 3))
+            m = line_scores(model, np.array(t["code"], int), np.array(t["mark"], int), np.array(t["at"], int) == 0, np.array(t["pos"], int) == 0) if t["code"] else np.empty((0, 3, 3))
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in group_cols] + [pa.array(m.reshape(len(m), -1).tolist(), pa.list_(pa.float64()))], names=[*group_cols, "m"])
 
     return run
@@ -154,9 +181,8 @@ def _hand_down(table: pa.Table) -> pa.Table:
     return pa.table({"conv": table["conv"], "pos": table["pos"], "state": pa.array(states[::-1], pa.int64())})
 
 
-def decode(lines: DataFrame, model: tuple[np.ndarray, np.ndarray, np.ndarray]) -> DataFrame:
+def decode(lines: DataFrame, model: Model) -> DataFrame:
     """``conv, pos, state`` for every line of ``lines`` (conv, pos, at, mark, code)."""
-    start = model[0]
     level = lines.select("conv", "pos", "at", "mark", "code").mapInArrow(_matrices(model, ["conv", "pos"]), "conv string, pos long, m array<double>")
     levels = [materialize(level, "chat-level")]
     for _ in range(LEVELS):
@@ -164,9 +190,9 @@ def decode(lines: DataFrame, model: tuple[np.ndarray, np.ndarray, np.ndarray]) -
             break
         up = levels[-1].withColumn("block", F.expr(f"pos div {BLOCK}"))
         levels.append(materialize(up.groupBy("conv", "block").applyInArrow(_multiply, "conv string, pos long, m array<double>"), "chat-level"))
-    # The whole conversation: the best last state; the first line's step starts from the best first.
+    # The whole conversation: the best last state (the first line's step is the same from any state).
     k = len(ROLES)
-    best = F.expr(f"transform(sequence(0, {k * k - 1}), i -> struct(m[i] + element_at(array({', '.join(f'{x}D' for x in start)}), int(i div {k}) + 1) AS s, -i AS i))")
+    best = F.expr(f"transform(sequence(0, {k * k - 1}), i -> struct(m[i] AS s, -i AS i))")
     top = levels[-1].select("conv", "pos", F.array_max(best).alias("b"))
     known = top.select("conv", "pos", F.expr(f"int((-b.i) div {k})").alias("first"), F.expr(f"int((-b.i) % {k})").alias("last"))
     for level in reversed(levels[:-1]):

@@ -1,18 +1,21 @@
 """Personal data by a semi-Markov conditional random field over whole spans.
 
 Four kinds have a base definition (leftmost matches, then a filter); those spans always stay. A
-segment model adds spans of further kinds: it scores whole candidate segments (shape of the
-joined text, digits, checksums, the word before) and a dynamic program over at most
-``MAX_TOKENS`` tokens a segment chooses boundaries and kinds jointly, the base kinds competing.
-Added spans that touch a base span are dropped.
+segment model adds spans of further kinds. It is a log-linear model over segmentations: a segment
+is a plain token, or an entity of at most ``MAX_TOKENS`` tokens whose score comes from features of
+its whole span (shape of the joined text, digits, checksums, the word before); neighbouring
+segments score by their kinds. A dynamic program chooses boundaries and kinds jointly, the base
+kinds competing. Added spans that touch a base span are dropped.
 
 Entities need a digit or a mark, so the program runs over islands of such tokens; everywhere
-else every segment is plain and costs nothing. Long islands are cut nowhere: the program is
+else every segment is plain. Long islands are cut nowhere when they are decoded: the program is
 linear in their length.
 
-The weights are learned here, by averaged structured perceptron steps on at most ``SAMPLE``
-islands that the base spans and a few seed patterns label. The islands come from all documents,
-smallest hash first, so the choice is the same in every run.
+The weights maximise the conditional likelihood, with a Gaussian prior: sums over all
+segmentations forward and backward give the expected features. The labels are the base spans and
+seed patterns. Islands of all documents become feature patterns with counts; the fit sees at most
+``SAMPLE`` distinct ones, smallest hash first, so the choice is the same in every run. Longer islands
+are cut to pieces of ``TRAIN_TOKENS`` tokens between labelled spans for that; none is left out.
 
 Edge cases: null and empty texts have no spans; very long runs of digits or letters take linear
 time; equal texts get equal spans; repeated rows are answered one by one; an empty table gives
@@ -23,9 +26,10 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,11 +37,15 @@ from pyspark.sql import functions as F
 BASE_KINDS = ("email", "ip", "card", "phone")
 ADDED_KINDS = ("id", "secret")
 KINDS = BASE_KINDS + ADDED_KINDS
+LABELS = ("plain", *KINDS)
 SAMPLE = 3000
-EPOCHS = 4
 MAX_TOKENS = 6
-#: An island that serves for training has at most so many tokens (decoding has no such bound).
-TRAIN_TOKENS = 60
+TRAIN_TOKENS = 16
+STEPS = 150
+RATE = 0.3
+PRIOR = 0.02
+#: Patterns that a task counts before it passes them on.
+FLUSH = 50_000
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
@@ -46,10 +54,17 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TRIGGER = re.compile(r"[0-9@=_]")
 TOKEN = re.compile(r"\S+")
+TAIL = ".,;:!?\"'#*$%&)"
+KEYS = r"password|passwd|pwd|api[_-]?key|access[_-]?key|secret|token"
+#: Patterns that label islands: what group ``v`` matches, or all of it.
 SEEDS = (
     ("id", re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])")),
+    ("id", re.compile(r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?!\w)")),
+    ("id", re.compile(r"(?<![\w:])(?:[0-9A-Fa-f]{2}:){5}[0-9A-Fa-f]{2}(?![\w:])")),
     ("secret", re.compile(r"(?<!\w)(?:AKIA|ghp_|sk-|sk_live_|xox[bp]-)[A-Za-z0-9_-]{10,}")),
-    ("secret", re.compile(r"(?i)(?:password|passwd|api[_-]?key|secret|token)[=:]\S{6,}")),
+    ("secret", re.compile(r"(?<!\w)eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")),
+    ("secret", re.compile(rf"(?i)(?<![A-Za-z])(?:{KEYS})[\"']?\x20?[=:]\x20?[\"']?(?P<v>[^\s\"']{{6,}})")),
+    ("secret", re.compile(r"://[^\s/:@]{1,64}:(?P<v>[^\s/:@]{3,64})@")),
 )
 
 
@@ -104,84 +119,140 @@ def islands(text: str) -> Iterator[list[tuple[int, int]]]:
         yield run
 
 
-def segment_features(segment: str, before: str, n: int) -> list[str]:
-    """Features of one whole candidate segment."""
-    core = segment.strip(".,;:!?\"'")
+#: Features of a segment, each a bit of its mask.
+FEATURES = (
+    *(f"n{n}" for n in range(1, MAX_TOKENS + 1)), *(f"d{d}" for d in (0, 1, 2, 3, 4, 10, 14, 20)), "at", "at.domain", "plus", "ip", "card.luhn", "card.no", "3-2-4", "pairs",
+    "letters.first", "dotted", "hex.long", "mixed.long", "upper.digit", "assign", "assign.key", "under", "quoted", "mark.only", "no.letters", "key.before", "login", "long",
+)
+_BIT = {f: 1 << k for k, f in enumerate(FEATURES)}
+_KEY = re.compile(rf"(?i)(?:{KEYS}|key|pass|ssn)")
+_ID = re.compile(r"[0-9]{3}-[0-9]{2}-[0-9]{4}")
+_PAIRS = re.compile(r"(?:[0-9A-Fa-f]{2}:){5}[0-9A-Fa-f]{2}")
+_HEX = re.compile(r"[0-9A-Fa-f]{20,}")
+_LOGIN = re.compile(r"://[^/:@]+:[^/@]+@")
+
+
+def segment_features(segment: str, before: str, n: int) -> int:
+    """Features of one whole candidate segment of ``n`` tokens after the word ``before``, as a mask."""
+    core = segment.strip(".,;:!?\"'#*$%&")
     digits = [c for c in core if "0" <= c <= "9"]
     d = len(digits)
     out = [f"n{n}", f"d{min(d, 4) if d < 10 else 10 if d < 14 else 14 if d < 20 else 20}"]
+    letters = [c for c in core if c.isalpha()]
     if "@" in core:
         out.append("at")
         if DOMAIN.search(core.partition("@")[2]):
             out.append("at.domain")
+        if _LOGIN.search(core):
+            out.append("login")
     if core.startswith("+"):
         out.append("plus")
     if IP.fullmatch(core):
         out.append("ip")
     if CARD.fullmatch(core) and 14 <= d <= 19:
         out.append("card.luhn" if luhn("".join(digits)) else "card.no")
-    if re.fullmatch(r"[0-9]{3}-[0-9]{2}-[0-9]{4}", core):
+    if _ID.fullmatch(core):
         out.append("3-2-4")
+    if _PAIRS.fullmatch(core):
+        out.append("pairs")
+    if core[:2].isalpha() and core[:2].isupper() and core[2:4].isdigit():
+        out.append("letters.first")
+    if core.count(".") == 2:
+        out.append("dotted")
     if n == 1:
-        letters = [c for c in core if c.isalpha()]
+        if _HEX.fullmatch(core):
+            out.append("hex.long")
         if d >= 3 and len(letters) >= 8 and len(core) >= 16:
             out.append("mixed.long")
         if any(c.isupper() for c in letters) and d and len(core) >= 12:
             out.append("upper.digit")
         if "=" in core or ":" in core:
-            key = re.split("[=:]", core)[0].lower()
             out.append("assign")
-            if re.search("pass|key|secret|token", key):
+            if _KEY.search(re.split("[=:]", core)[0]):
                 out.append("assign.key")
         if "_" in core:
             out.append("under")
-        if not d and "@" not in core and "=" not in core:
-            out.append("plain.mark")
-    if not any(c.isalpha() for c in core):
+        if segment[:1] in "\"'":
+            out.append("quoted")
+        if len(core) >= 20:
+            out.append("long")
+    if not letters:
         out.append("no.letters")
-    if re.search("pass|key|secret|token|ssn|id", before):
+        if not d:
+            out.append("mark.only")
+    if _KEY.search(before[-30:]):
         out.append("key.before")
-    return out
+    return sum(_BIT[f] for f in out)
+
+
+def masks_of(text: str, tokens: list[tuple[int, int]], before: str) -> list[list[int]]:
+    """``[j][k]``: mask of the segment from token ``max(0, j + 1 - MAX_TOKENS) + k`` to token ``j``.
+
+    The word before a segment is the last that is not a bare mark, so that ``key = value`` is seen.
+    """
+    prior, words = before, []
+    for a, b in tokens:
+        words.append(prior)
+        word = text[max(a, b - 30) : b]
+        if any(c.isalnum() for c in word):
+            prior = word
+    return [[segment_features(text[tokens[i][0] : tokens[j][1]], words[i], j + 1 - i) for i in range(max(0, j + 1 - MAX_TOKENS), j + 1)] for j in range(len(tokens))]
 
 
 class SegmentModel:
-    """Weights of ``kind|feature``; plain tokens score 0."""
+    """Weights ``[feature, kind]`` of entities and ``[label, label]`` of neighbours; a plain token scores its neighbours only."""
 
-    def __init__(self, weights: dict[str, float] | None = None) -> None:
-        self.weights = weights if weights is not None else {}
+    def __init__(self, weights: np.ndarray | None = None, moves: np.ndarray | None = None) -> None:
+        self.weights = np.zeros((len(FEATURES), len(KINDS))) if weights is None else weights
+        self.moves = np.zeros((len(LABELS), len(LABELS))) if moves is None else moves
+        self._steps, self._scores, self._rows = self.moves.T.tolist(), {}, self.weights.tolist()
 
-    def decode(self, text: str, tokens: list[tuple[int, int]], before: str) -> list[tuple[int, int, str]]:
+    def scores(self, mask: int) -> list[float]:
+        got = self._scores.get(mask)
+        if got is None:
+            on = [self._rows[k] for k in range(len(FEATURES)) if mask >> k & 1]
+            got = self._scores[mask] = [sum(r[k] for r in on) for k in range(len(KINDS))]
+        return got
+
+    def decode(self, masks: list[list[int]]) -> list[tuple[int, int, str]]:
         """Best segmentation: ``(first token, end token, kind)`` of its entities."""
-        n, get = len(tokens), self.weights.get
-        best: list[float] = [0.0] * (n + 1)
-        how: list[tuple[int, str] | None] = [None] * (n + 1)
-        for j in range(1, n + 1):
-            best[j] = best[j - 1]
-            for i in range(max(0, j - MAX_TOKENS), j):
-                prior = text[slice(*tokens[i - 1])].lower() if i else before
-                features = segment_features(text[tokens[i][0] : tokens[j - 1][1]], prior, j - i)
-                for kind in KINDS:
-                    score = best[i] + sum(get(f"{kind}|{f}", 0.0) for f in features)
-                    if score > best[j] + 1e-9:
-                        best[j], how[j] = score, (i, kind)
-        out, j = [], n
+        best = [[0.0] + [-1e18] * len(KINDS)]
+        into, how = [], []
+        for j, column in enumerate(masks):
+            # From each label at the token's start to each next label: the best score and where it came from.
+            into.append([max((b + m, p) for p, (b, m) in enumerate(zip(best[j], row, strict=True))) for row in self._steps])
+            now, at = [into[j][0][0]] + [-1e18] * len(KINDS), [(j, into[j][0][1])] * len(LABELS)
+            first = j + 1 - len(column)
+            for k, mask in enumerate(column):
+                for label, score in enumerate(self.scores(mask), 1):
+                    s, p = into[first + k][label]
+                    if s + score > now[label] + 1e-9:
+                        now[label], at[label] = s + score, (first + k, p)
+            best.append(now)
+            how.append(at)
+        out, j, label = [], len(masks), 0
+        if masks:
+            label = max(range(len(LABELS)), key=lambda x: (best[-1][x], -x))
         while j:
-            if how[j] is None:
-                j -= 1
-            else:
-                out.append((how[j][0], j, how[j][1]))
-                j = how[j][0]
+            i, p = how[j - 1][label]
+            if label:
+                out.append((i, j, LABELS[label]))
+            j, label = i, p
         return out[::-1]
 
 
-def gold_segments(text: str, tokens: list[tuple[int, int]], spans: list[tuple[str, int, int]]) -> list[tuple[int, int, str]]:
-    """Token segments that labelled spans cover; overlapping later ones are left out."""
-    out, free = [], 0
+def gold_segments(tokens: list[tuple[int, int]], spans: list[tuple[str, int, int]]) -> list[tuple[int, int, str]]:
+    """Token segments that labelled spans (by start) cover; overlapping later ones are left out."""
+    out, at = [], 0
     for kind, a, b in spans:
-        hit = [k for k, (s, e) in enumerate(tokens) if s < b and e > a]
-        if hit and hit[0] >= free and len(hit) <= MAX_TOKENS:
-            out.append((hit[0], hit[-1] + 1, kind))
-            free = hit[-1] + 1
+        while at < len(tokens) and tokens[at][1] <= a:
+            at += 1
+        end = at
+        while end < len(tokens) and tokens[end][0] < b and end - at <= MAX_TOKENS:
+            end += 1
+        if at < end <= at + MAX_TOKENS:
+            out.append((at, end, kind))
+            at = end
     return out
 
 
@@ -190,31 +261,120 @@ def word_before(text: str, at: int) -> str:
 
 
 def labelled(text: str) -> list[tuple[str, int, int]]:
-    seeds = [(kind, *m.span()) for kind, pattern in SEEDS for m in pattern.finditer(text)]
+    seeds = [(kind, *(m.span("v") if "v" in pattern.groupindex else m.span())) for kind, pattern in SEEDS for m in pattern.finditer(text)]
     return sorted(base_spans(text) + seeds, key=lambda s: (s[1], -s[2]))
 
 
-def train(rows: list[tuple[str, str]]) -> SegmentModel:
-    """Averaged perceptron over ``(word before, island text)`` rows."""
-    model, total, steps = SegmentModel(defaultdict(float)), defaultdict(float), 0
-    data = []
-    for before, text in rows:
-        tokens = [m.span() for m in TOKEN.finditer(text)]
-        data.append((before, text, tokens, gold_segments(text, tokens, labelled(text))))
-    for _ in range(EPOCHS):
-        for before, text, tokens, gold in data:
-            steps += 1
-            guess = model.decode(text, tokens, before)
-            if guess == gold:
-                continue
-            for sign, segments in ((1.0, gold), (-1.0, guess)):
-                for i, j, kind in segments:
-                    prior = text[slice(*tokens[i - 1])].lower() if i else before
-                    for f in segment_features(text[tokens[i][0] : tokens[j - 1][1]], prior, j - i):
-                        model.weights[f"{kind}|{f}"] += sign
-                        total[f"{kind}|{f}"] += sign * steps
-    # Average of the weights over all steps.
-    return SegmentModel({k: w - total[k] / (steps + 1) for k, w in model.weights.items() if w or total[k]})
+#: One training island: its masks, and its gold segments ``(first, end, label number)``.
+Example = tuple[tuple[tuple[int, ...], ...], tuple[tuple[int, int, int], ...]]
+
+
+def examples(text: str) -> Iterator[Example]:
+    """Labelled islands of one text as feature patterns, long ones in pieces."""
+    spans = labelled(text)
+    at = 0
+    for tokens in islands(text):
+        while at < len(spans) and spans[at][2] <= tokens[0][0]:
+            at += 1
+        here = []
+        for s in spans[at:]:
+            if s[1] >= tokens[-1][1]:
+                break
+            here.append(s)
+        gold = gold_segments(tokens, here)
+        masks = masks_of(text, tokens, word_before(text, tokens[0][0]))
+        start = 0
+        while start < len(tokens):
+            end = min(len(tokens), start + TRAIN_TOKENS)
+            crossing = [i for i, j, _ in gold if i < end < j]
+            end = crossing[0] if crossing and crossing[0] > start else end
+            piece = tuple(tuple(m for k, m in enumerate(masks[j]) if j + 1 - len(masks[j]) + k >= start) for j in range(start, end))
+            yield piece, tuple((i - start, j - start, LABELS.index(kind)) for i, j, kind in gold if i >= start and j <= end)
+            start = end
+
+
+def _lse(x: np.ndarray, axis: int) -> np.ndarray:
+    top = x.max(axis, keepdims=True)
+    return (top + np.log(np.exp(x - top).sum(axis, keepdims=True))).squeeze(axis)
+
+
+class _Batch:
+    """Examples of one length, with the index ``(i, j)`` of their segments."""
+
+    def __init__(self, rows: list[Example], weights: list[float]) -> None:
+        n = len(rows[0][0])
+        self.n, self.weights = n, np.array(weights)
+        self.at = {(j + 1 - len(c) + k, j + 1): 0 for j, c in enumerate(rows[0][0]) for k in range(len(c))}
+        self.at = {key: x for x, key in enumerate(self.at)}
+        masks = np.array([[m for c in r[0] for m in c] for r in rows], np.int64)
+        self.bits = (masks[:, :, None] >> np.arange(len(FEATURES)) & 1).astype(float)
+        self.gold = np.zeros((len(rows), len(self.at), len(LABELS)))
+        self.steps = np.zeros((len(LABELS), len(LABELS)))
+        for b, (_, segments) in enumerate(rows):
+            last, free = 0, 0
+            whole = []
+            for i, j, label in segments:
+                whole += [(k, k + 1, 0) for k in range(free, i)] + [(i, j, label)]
+                free = j
+            for i, j, label in whole + [(k, k + 1, 0) for k in range(free, n)]:
+                if label:
+                    self.gold[b, self.at[i, j], label] = 1
+                self.steps[last, label] += weights[b]
+                last = label
+
+    def gradient(self, weights: np.ndarray, moves: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """Log likelihood and its gradient, by sums over all segmentations."""
+        size, kinds = len(self.weights), slice(1, None)
+        score = np.zeros((size, len(self.at), len(LABELS)))
+        score[:, :, kinds] = self.bits @ weights
+        low = -1e30
+        alpha = [np.full((size, len(LABELS)), low)]
+        alpha[0][:, 0] = 0.0
+        into = []
+        for j in range(1, self.n + 1):
+            into.append(_lse(alpha[j - 1][:, :, None] + moves[None], 1))
+            parts = [into[i] + score[:, self.at[i, j]] for i in range(self.n) if (i, j) in self.at]
+            now = _lse(np.stack(parts), 0)
+            now[:, 0] = into[j - 1][:, 0]
+            alpha.append(now)
+        total = _lse(alpha[self.n], 1)
+        beta: list = [None] * self.n + [np.zeros((size, len(LABELS)))]
+        expected, d_moves = np.zeros_like(score), self.steps.copy()
+        for i in range(self.n - 1, -1, -1):
+            parts = []
+            for j in range(i + 1, self.n + 1):
+                if (i, j) in self.at:
+                    x = score[:, self.at[i, j]] + beta[j]
+                    expected[:, self.at[i, j], kinds] = np.exp(into[i] + x - total[:, None])[:, kinds]
+                    parts.append(x)
+            out = _lse(np.stack(parts), 0)
+            out[:, 0] = beta[i + 1][:, 0]
+            step = moves[None] + out[:, None, :]
+            d_moves -= (np.exp(alpha[i][:, :, None] + step - total[:, None, None]) * self.weights[:, None, None]).sum(0)
+            beta[i] = _lse(step, 2)
+        gain = float((self.weights * ((self.gold * score).sum((1, 2)) - total)).sum() + (self.steps * moves).sum())
+        d_weights = np.einsum("bsf,bsk->fk", self.bits, (self.gold - expected)[:, :, kinds] * self.weights[:, None, None])
+        return gain, d_weights, d_moves
+
+
+def train(patterns: list[tuple[Example, int]]) -> SegmentModel:
+    """Weights of greatest penalised likelihood (Adam's steps over all patterns); a pattern weighs as its count's logarithm."""
+    by_size: dict[int, list] = {}
+    for example, n in patterns:
+        by_size.setdefault(len(example[0]), []).append((example, float(np.log1p(n))))
+    batches = [_Batch([e for e, _ in rows], [w for _, w in rows]) for _, rows in sorted(by_size.items())]
+    size = len(FEATURES) * len(KINDS)
+    x, first, second = np.zeros(size + len(LABELS) ** 2), 0.0, 0.0
+    # Ties go to plain tokens.
+    x[:size] = -0.1
+    total = sum(w for rows in by_size.values() for _, w in rows) or 1.0
+    for step in range(1, STEPS + 1) if batches else ():
+        weights, moves = x[:size].reshape(len(FEATURES), -1), x[size:].reshape(len(LABELS), -1)
+        found = [b.gradient(weights, moves) for b in batches]
+        g = np.concatenate([sum(f[1] for f in found).ravel(), sum(f[2] for f in found).ravel()]) / total - PRIOR * x / np.sqrt(total)
+        first, second = 0.9 * first + 0.1 * g, 0.99 * second + 0.01 * g * g
+        x = x + RATE * (1 - step / (STEPS + 1)) * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
+    return SegmentModel(x[:size].reshape(len(FEATURES), -1).round(9), x[size:].reshape(len(LABELS), -1).round(9))
 
 
 def find_spans(text: str, model: SegmentModel) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
@@ -223,33 +383,49 @@ def find_spans(text: str, model: SegmentModel) -> tuple[list[tuple[str, int, int
         return [], []
     base, added = base_spans(text), []
     for tokens in islands(text):
-        for i, j, kind in model.decode(text, tokens, word_before(text, tokens[0][0])):
+        for i, j, kind in model.decode(masks_of(text, tokens, word_before(text, tokens[0][0]))):
             if kind in ADDED_KINDS:
                 a, b = tokens[i][0], tokens[j - 1][1]
-                while b > a + 1 and text[b - 1] in ".,;:!?\"'":
+                if kind == "secret" and j == i + 1 and (m := re.match(r"[^=:]*[=:](?!//)", text[a:b])) and _KEY.search(m[0]):
+                    a += m.end()
+                while b > a + 1 and text[b - 1] in TAIL:
                     b -= 1
+                while a < b - 1 and text[a] in "\"'(":
+                    a += 1
                 if not any(s < b and e > a for _, s, e in base):
                     added.append((kind, a, b))
     return base, added
 
 
-def _islands_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _patterns_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct training patterns of a task with their counts: masks by token, and gold segments, as lists of longs."""
+    schema = pa.schema([("sizes", pa.list_(pa.int64())), ("masks", pa.list_(pa.int64())), ("gold", pa.list_(pa.int64())), ("n", pa.int64())])
+    seen: Counter = Counter()
+
+    def flush() -> pa.RecordBatch:
+        rows = [{"sizes": [len(c) for c in masks], "masks": [m for c in masks for m in c], "gold": [x for g in gold for x in g], "n": n} for (masks, gold), n in seen.items()]
+        return pa.RecordBatch.from_pylist(rows, schema=schema)
+
     for batch in batches:
-        rows = []
         for text in batch.column(0).to_pylist():
             if text and TRIGGER.search(text):
-                for tokens in islands(text):
-                    if len(tokens) <= TRAIN_TOKENS:
-                        a, b = tokens[0][0], tokens[-1][1]
-                        rows.append({"before": word_before(text, a), "island": text[a:b]})
-        yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("before", pa.string()), ("island", pa.string())]))
+                seen.update(examples(text))
+                if len(seen) > FLUSH:
+                    yield flush()
+                    seen.clear()
+    yield flush()
 
 
 def learn(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> SegmentModel:
-    """A model from at most ``sample`` distinct islands of all documents."""
-    found = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_islands_of, "before string, island string")
-    rows = found.distinct().orderBy(F.xxhash64("before", "island"), "before", "island").limit(sample).collect()
-    return train([(r.before, r.island) for r in rows])
+    """A model from at most ``sample`` distinct patterns of the islands of all documents."""
+    found = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_patterns_of, "sizes array<long>, masks array<long>, gold array<long>, n long")
+    found = found.groupBy("sizes", "masks", "gold").agg(F.sum("n").alias("n"))
+    rows = found.orderBy(F.xxhash64("masks", "gold"), "masks", "gold").limit(sample).collect()
+    patterns = []
+    for r in rows:
+        masks, gold = iter(r.masks), iter(r.gold)
+        patterns.append(((tuple(tuple(next(masks) for _ in range(k)) for k in r.sizes), tuple(zip(gold, gold, gold, strict=True))), r.n))
+    return train(patterns)
 
 
 def _show(spans: list[tuple[str, int, int]]) -> str:
@@ -257,21 +433,23 @@ def _show(spans: list[tuple[str, int, int]]) -> str:
 
 
 def detect_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: SegmentModel | None = None) -> DataFrame:
-    """``id_col, n_<kind> of every kind, base_sha256, spans`` for every row."""
-    weights = (model or learn(docs, text_col)).weights
+    """``id_col, n_<kind> of every kind, base_sha256, spans, n_spans`` for every row."""
+    model = model or learn(docs, text_col)
+    weights, moves = model.weights, model.moves
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = SegmentModel(weights)
+        own = SegmentModel(weights, moves)
         for batch in batches:
-            out: dict[str, list] = {k: [] for k in (*KINDS, "base", "spans")}
+            out: dict[str, list] = {k: [] for k in (*KINDS, "base", "spans", "all")}
             for text in batch.column(1).to_pylist():
                 base, added = find_spans(text or "", own)
                 for k in KINDS:
                     out[k].append(sum(s[0] == k for s in base) + sum(s[0] == k for s in added))
                 out["base"].append(hashlib.sha256(_show(base).encode()).hexdigest())
                 out["spans"].append(_show(base + added))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(out[k], pa.int64()) for k in KINDS], pa.array(out["base"], pa.string()), pa.array(out["spans"], pa.string())], names=["id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans"])
+                out["all"].append(len(base) + len(added))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(out[k], pa.int64()) for k in KINDS], pa.array(out["base"], pa.string()), pa.array(out["spans"], pa.string()), pa.array(out["all"], pa.int64())], names=["id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans", "n_spans"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    schema = ", ".join(["id long", *[f"n_{k} long" for k in KINDS], "base_sha256 string", "spans string"])
+    schema = ", ".join(["id long", *[f"n_{k} long" for k in KINDS], "base_sha256 string", "spans string", "n_spans long"])
     return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
