@@ -1,8 +1,8 @@
 """Exact dedup by Golomb-coded fingerprint exchange.
 
-1. Every input partition normalises its texts (white space deleted), hashes them and keeps one
-   signature row per document. Its distinct fingerprints, split by owner (top bits) and sorted,
-   are Golomb-Rice coded: a few bytes per document leave the partition.
+1. Texts are normalised (white space deleted) and hashed in the JVM; a partition sees one narrow
+   signature row per document. The distinct fingerprints of each ``CHUNK_ROWS`` rows, split by owner
+   (top bits) and sorted, are Golomb-Rice coded: a few bytes per document leave the partition.
 2. An owner decodes what all partitions sent it, finds values that more than one partition
    holds and answers each partition with a bitmap over that partition's sorted list.
 3. Only documents whose bit is set (or whose fingerprint repeats inside the partition) are
@@ -21,7 +21,6 @@ gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -31,14 +30,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.session import keep_ids, materialize
+from textloom.session import join_groups, keep_ids, materialize
 
-SPACE = b" \t\n\x0b\x0c\r"
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
 FALSE_SUSPECT_BITS = 20
 ENTRIES_PER_OWNER = 1 << 20
+#: Rows whose fingerprints make one list: what a task holds at a time.
+CHUNK_ROWS = 200_000
 
-_SIG = "kind string, pid int, id long, n_chars long, sha binary, owner int, rank int, local_dup boolean, n int, rice int, blob binary"
+_SIG = "kind string, pid long, id long, n_chars long, sha binary, owner int, rank int, local_dup boolean, n int, rice int, blob binary"
 
 
 def rice_encode(values: np.ndarray, rice: int) -> bytes:
@@ -78,37 +78,40 @@ def best_rice(n: int, span_bits: int) -> int:
 
 
 def _signer(fp_bits: int, owner_bits: int):
+    """Rows ``(id, n_chars, sha, fingerprint)`` to signature rows, and coded lists of each ``CHUNK_ROWS`` of them."""
     span = fp_bits - owner_bits
+    schema = pa.schema([("kind", pa.string()), ("pid", pa.int64()), ("id", pa.int64()), ("n_chars", pa.int64()), ("sha", pa.binary()), ("owner", pa.int32()), ("rank", pa.int32()), ("local_dup", pa.bool_()), ("n", pa.int32()), ("rice", pa.int32()), ("blob", pa.binary())])
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, sizes, shas = [], [], []
-        for batch in batches:
-            ids += batch.column(0).to_pylist()
-            for text in batch.column(1).to_pylist():
-                text = text or ""
-                sizes.append(len(text))
-                shas.append(hashlib.sha256(text.encode().translate(None, SPACE)).digest())
-        if not ids:
-            return
-        pid = TaskContext.get().partitionId()
-        heads = np.frombuffer(b"".join(s[:8] for s in shas), ">u8").astype(np.uint64) >> np.uint64(64 - fp_bits)
+    def encode(held: list[pa.RecordBatch], pid: int) -> Iterator[pa.RecordBatch]:
+        heads = np.concatenate([b.column(3).to_numpy() for b in held]).view(np.uint64) >> np.uint64(64 - fp_bits)
         distinct, where, copies = np.unique(heads, return_inverse=True, return_counts=True)
         owner = (distinct >> np.uint64(span)).astype(np.int64)
-        first = np.searchsorted(owner, owner)
-        rank = np.arange(len(distinct)) - first
-        schema = pa.schema([("kind", pa.string()), ("pid", pa.int32()), ("id", pa.int64()), ("n_chars", pa.int64()), ("sha", pa.binary()), ("owner", pa.int32()), ("rank", pa.int32()), ("local_dup", pa.bool_()), ("n", pa.int32()), ("rice", pa.int32()), ("blob", pa.binary())])
-        m = len(ids)
-        null = lambda kind, n: pa.nulls(n, kind)
-        for i in range(0, m, 10_000):
-            k, w = min(10_000, m - i), where[i : i + 10_000]
-            yield pa.RecordBatch.from_arrays([pa.array(["doc"] * k), pa.array([pid] * k, pa.int32()), pa.array(ids[i : i + k], pa.int64()), pa.array(sizes[i : i + k], pa.int64()), pa.array(shas[i : i + k], pa.binary()), pa.array(owner[w].astype(np.int32)), pa.array(rank[w].astype(np.int32)), pa.array(copies[w] > 1), null(pa.int32(), k), null(pa.int32(), k), null(pa.binary(), k)], schema=schema)
+        rank = np.arange(len(distinct)) - np.searchsorted(owner, owner)
+        at = 0
+        for b in held:
+            k, w = b.num_rows, where[at : at + b.num_rows]
+            at += k
+            yield pa.RecordBatch.from_arrays([pa.array(["doc"] * k), pa.array(np.full(k, pid)), b.column(0), b.column(1), b.column(2), pa.array(owner[w].astype(np.int32)), pa.array(rank[w].astype(np.int32)), pa.array(copies[w] > 1), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], schema=schema)
+        edges = np.searchsorted(owner, np.arange((1 << owner_bits) + 1))
         rows = []
-        for o in np.unique(owner).tolist():
-            mine = distinct[owner == o] & np.uint64((1 << span) - 1)
+        for o in np.flatnonzero(edges[1:] > edges[:-1]).tolist():
+            mine = distinct[edges[o] : edges[o + 1]] & np.uint64((1 << span) - 1)
             rice = best_rice(len(mine), span)
             rows.append({"kind": "blob", "pid": pid, "owner": o, "n": len(mine), "rice": rice, "blob": rice_encode(mine, rice)})
         yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pid, held, rows = TaskContext.get().partitionId() << 32, [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                rows += batch.num_rows
+            if rows >= CHUNK_ROWS:
+                yield from encode(held, pid)
+                pid, held, rows = pid + 1, [], 0
+        if held:
+            yield from encode(held, pid)
+
     return sign
 
 
@@ -126,25 +129,28 @@ def _answer(table: pa.Table) -> pa.Table:
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int | None = None) -> DataFrame:
     """One row per input row: ``id_col, keep_id, group_size, kept, text_sha256, n_chars``."""
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    blank = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    norm = F.regexp_replace(blank, SPACE_CLASS, "")
+    source = docs.select(F.col(id_col).cast("long").alias("id"), F.length(blank).cast("long").alias("n_chars"), norm.alias("norm"))
     rows = docs.count() if rows is None else rows
     owner_bits = max(4, (rows // ENTRIES_PER_OWNER).bit_length())
     fp_bits = min(62, FALSE_SUSPECT_BITS + max(rows, 1).bit_length() + 1)
-    sent = materialize(source.mapInArrow(_signer(fp_bits, owner_bits), _SIG), "exact-sig")
-    answers = sent.where("kind = 'blob'").select("pid", "owner", "n", "rice", "blob").groupBy("owner").applyInArrow(_answer, "pid int, owner int, bits array<long>")
+    signed = source.select("id", "n_chars", F.unhex(F.sha2(F.col("norm").cast("binary"), 256)).alias("sha"), F.xxhash64("norm").alias("fingerprint"))
+    sent = materialize(signed.mapInArrow(_signer(fp_bits, owner_bits), _SIG), "exact-sig")
+    answers = sent.where("kind = 'blob'").select("pid", "owner", "n", "rice", "blob").groupBy("owner").applyInArrow(_answer, "pid long, owner int, bits array<long>")
     doc = sent.where("kind = 'doc'").select("pid", "owner", "rank", "id", "n_chars", "sha", "local_dup")
     bit = F.expr("getbit(element_at(bits, int(rank div 64) + 1), int(rank % 64))") == 1
     flagged = materialize(doc.join(answers, ["pid", "owner"]).withColumn("suspect", F.col("local_dup") | bit).select("id", "n_chars", "sha", "suspect"), "exact-flag")
     suspects = flagged.where("suspect").select("id").distinct()
 
-    blank = F.coalesce("text", F.lit(""))
-    texts = source.join(suspects.hint("shuffle_hash"), source["id"].eqNullSafe(suspects["id"]), "left_semi")
-    texts = texts.select("id", F.length(blank).cast("long").alias("chars"), F.regexp_replace(blank, SPACE_CLASS, "").alias("norm"))
     # Grouping by the bytes is the verification. Long buffers keep this a hash aggregate.
-    equal = texts.groupBy("norm", "chars").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"))
-    equal = equal.select(F.unhex(F.sha2(F.col("norm").cast("binary"), 256)).alias("sha"), "chars", "least", "copies")
-    groups = equal.groupBy("sha").agg(F.max_by("least", "chars").alias("keep"), F.sum("copies").alias("size"))
-    out = flagged.join(groups, "sha", "left")
+    texts = keep_ids(source, suspects, "id")
+    equal = texts.groupBy("norm", "n_chars").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"))
+    equal = equal.select(F.unhex(F.sha2(F.col("norm").cast("binary"), 256)).alias("sha"), "n_chars", "least", "copies")
+    groups = equal.groupBy("sha").agg(F.max_by("least", "n_chars").alias("keep"), F.sum("copies").alias("size"))
+    groups = materialize(groups.where("size > 1"), "exact-groups")
+    out = join_groups(flagged.where("suspect"), groups, "sha", "size", rows)
+    out = out.unionByName(flagged.where("NOT suspect"), allowMissingColumns=True)
     keep_id = F.when(F.col("size").isNull(), F.col("id")).otherwise(F.col("keep"))
     return out.select(
         F.col("id").alias(id_col),
