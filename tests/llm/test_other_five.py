@@ -57,11 +57,29 @@ def bytes_brute(rows, length):
     return out
 
 
-@pytest.mark.parametrize(("name", "length", "gram"), [("odd", 400, 64), ("odd", 60, 16), ("real", 400, 64), ("empty", 400, 64)])
-def test_repeated_bytes(request, name, length, gram):
+@pytest.mark.parametrize(("name", "length", "order", "gram"), [("odd", 400, 7, 64), ("odd", 60, 3, 16), ("odd", 51, 3, 20), ("real", 400, 7, 64), ("empty", 400, 7, 64)])
+def test_repeated_bytes(request, name, length, order, gram):
     df = request.getfixturevalue(name)
-    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeated_bytes.remove_repeats(df, length=length, gram=gram).collect()}
-    assert got == bytes_brute(rows_of(df), length)
+    rows, v = rows_of(df), repeated_bytes.difference_cover(order)[0]
+    got = repeated_bytes.remove_repeats(df, length=length, order=order, gram=gram).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == bytes_brute(rows, length)
+    long, short = bytes_brute(rows, 4 * v - 1), bytes_brute(rows, 3 * v)
+    for r in got:
+        assert r.n_repeats >= (long[r.doc_id][1] > 0) and (r.n_repeats == 0 or short[r.doc_id][1] > 0)
+
+
+@pytest.mark.parametrize("order", [2, 3, 5, 7, 11])
+def test_difference_cover(order):
+    v, members = repeated_bytes.difference_cover(order)
+    assert len(members) == order + 1 and {(a - b) % v for a in members.tolist() for b in members.tolist()} == set(range(v))
+
+
+def test_planes_round_trip():
+    names = np.sort(np.random.default_rng(1).integers(0, 1 << 63, 1000).astype(np.uint64) * np.uint64(2))
+    assert (repeated_bytes.from_planes(repeated_bytes.planes(names)) == names).all()
+    parts = list(repeated_bytes._split(names, np.zeros(1000, bool), 4))
+    assert [o for o, _, _ in parts] == sorted({int(x) >> 60 for x in names.tolist()})
+    assert (np.concatenate([repeated_bytes.from_planes(b) for _, b, _ in parts]) == names).all()
 
 
 def test_repeated_rows(spark):

@@ -1,20 +1,29 @@
-"""Removal of every byte inside a long string that occurs anywhere else.
-
-This is the result a suffix array gives by comparing adjacent prefixes, found another way (the
-README says why, with figures): a difference-cover suffix sort moves many bytes for each byte of
-text, while here only strings near a proven repeat are looked at one by one.
-
-1. Anchors: of the ``LENGTH - GRAM + 1`` grams inside any string of ``LENGTH`` bytes, the one of
-   least hash is an anchor (all of them if they tie). Equal strings have equal anchors wherever
-   they stand, so a repeated string contains an anchor that occurs twice. Anchors are about two
-   in ``LENGTH - GRAM`` bytes.
-2. Texts that are whole copies are answered at once; one of each stays as a reference.
-3. Strings that hold a repeated anchor are hashed at every byte. A bucket of documents sends its
-   distinct 64-bit hashes, sorted and split by owner, and gets bitmaps of those that occur twice;
-   then it marks the bytes, merges them to runs and drops them.
-
-A passage in very many documents is one anchor row a document, aggregated in the map tasks, and
-one hash per bucket. Buckets hold a bounded number of documents, chosen by hash.
+"""Removal of every byte inside a long string that occurs anywhere else, by a difference cover.
+
+A suffix is *sampled* if its place in its document, modulo ``v``, lies in a difference cover: for
+any two places there is a step below ``v`` after which both are sampled. So if two strings of
+``4 v - 1`` bytes are equal, then somewhere in their first ``v`` places two sampled suffixes start
+with the same three tuples of ``v`` bytes.
+
+0. Regions. Most text has no repeat, and sorting its sampled suffixes would move several bytes for
+   each byte of input (the README has figures). A string of ``4 v - 1`` bytes holds an anchor, the
+   gram of least hash; equal strings have equal anchors. Anchors of all documents are compared, and
+   the steps below see only the strings around anchors that occur twice.
+1. Sample. The tuple triples of the sampled suffixes get names, which are sorted among owners; each
+   owner compares neighbours and answers which names occur twice.
+2. Recursion. A string of ``LENGTH`` bytes that repeats has a repeated triple in each ``v`` places
+   of its start and further on, as far as triples fit into it: names of names. Strings that lack one
+   are dropped.
+3. Merge. The suffixes left, sampled or not, are sorted by the name of their first ``LENGTH``
+   bytes, neighbours are compared, and the bytes of equal ones marked, merged to runs and dropped.
+
+Names are 64-bit hashes, whose order stands for that of the strings: any order will do for finding
+equal neighbours. A list of names is sent sorted, split by owner and byte plane by byte plane; what
+comes back is a bitmap.
+
+Texts that are whole copies are answered at once; one of each stays as a reference. A passage in
+very many documents is one name for each bucket of documents. Buckets hold a bounded number of
+bytes (or one document), owners a bounded number of names.
 
 Edge cases: null is empty; texts shorter than ``LENGTH`` keep everything; overlapping
 occurrences inside one document count; texts of one repeated byte have one anchor; repeated
@@ -26,21 +35,58 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm.hashing import rolling
-from textloom.session import keep_ids, materialize
+from textloom.session import join_groups, keep_ids, materialize
 
 LENGTH = 400
+#: The cover's modulus is ``ORDER ** 2 + ORDER + 1``; ``ORDER`` is a prime.
+ORDER = 7
 GRAM = 64
-DOCS_PER_BUCKET = 400
+#: What a bucket of documents holds, what a task gathers before it sends, and what an owner gets.
+BUCKET_BYTES = 2 << 20
+CHUNK_ANCHORS = 400_000
+OWNER_NAMES = 1 << 22
 _U = np.uint64
 
 
+@lru_cache(maxsize=8)
+def difference_cover(order: int) -> tuple[int, np.ndarray]:
+    """``(v, members)``: a perfect difference set of ``order + 1`` members modulo ``v``.
+
+    The zeros of a linear recurrence of degree 3 and greatest period over the field of ``order``
+    elements, taken modulo ``v``.
+    """
+    v, period = order * order + order + 1, order**3 - 1
+    for a, b, c in product(range(order), range(order), range(1, order)):
+        state, zeros = (0, 0, 1), []
+        for n in range(period):
+            if n < v and not state[0]:
+                zeros.append(n)
+            state = (state[1], state[2], (a * state[2] + b * state[1] + c * state[0]) % order)
+            if state == (0, 0, 1):
+                break
+        if n == period - 1:
+            return v, np.array(zeros)
+    raise ValueError("the order is no prime")
+
+
+def sampled_mask(n: int, order: int) -> np.ndarray:
+    """Which of the places ``0 .. n - 1`` are sampled."""
+    v, members = difference_cover(order)
+    out = np.zeros(v, bool)
+    out[members] = True
+    return np.resize(out, n) if n > 0 else np.zeros(0, bool)
+
+
 def _raw(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
@@ -70,75 +116,186 @@ def anchor_flags(grams: np.ndarray, width: int) -> np.ndarray:
     return sliding(np.concatenate([edge, least, edge]), width, np.maximum) == grams
 
 
-def _scan(length: int, gram: int):
+# --- the exchange of names ------------------------------------------------------------------
+
+
+def planes(values: np.ndarray) -> bytes:
+    """Ascending names, byte plane by byte plane, so that the leading ones compress."""
+    return values.astype(">u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def from_planes(blob: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(8, -1).T).view(">u8").ravel().astype(np.uint64)
+
+
+def _split(values: np.ndarray, twice: np.ndarray, owner_bits: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """Ascending distinct names by owner (their leading bits): ``(owner, names, bits of those that occur twice here)``."""
+    owner = (values >> _U(64 - owner_bits)).astype(np.int64)
+    edges = np.flatnonzero(np.diff(owner, prepend=-1, append=1 << owner_bits))
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        yield int(owner[a]), planes(values[a:b]), np.packbits(twice[a:b]).tobytes()
+
+
+def _answer(table: pa.Table) -> pa.Table:
+    """One owner: which names occur twice, in one bucket or in two. Names are sorted and neighbours compared."""
+    lists = [from_planes(b) for b in table["names"].to_pylist()]
+    twice = [np.unpackbits(np.frombuffer(b, np.uint8), count=len(x)).astype(bool) for b, x in zip(table["twice"].to_pylist(), lists, strict=True)]
+    values = np.sort(np.concatenate(lists))
+    shared = values[1:][values[1:] == values[:-1]]
+    bits = [np.packbits(_among(x, shared) | t).tobytes() for x, t in zip(lists, twice, strict=True)]
+    return pa.table({"bucket": table["bucket"], "owner": table["owner"], "n": pa.array([len(x) for x in lists], pa.int64()), "bits": pa.array(bits, pa.binary())})
+
+
+def _among(values: np.ndarray, ascending: np.ndarray) -> np.ndarray:
+    if not len(ascending):
+        return np.zeros(len(values), bool)
+    return ascending[np.minimum(np.searchsorted(ascending, values), len(ascending) - 1)] == values
+
+
+def _distinct(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct names, ascending, and which of them occur twice."""
+    values, counts = np.unique(np.concatenate(parts) if parts else np.empty(0, np.uint64), return_counts=True)
+    return values, counts > 1
+
+
+def _repeated(parts: list[np.ndarray], answers: pa.Table) -> np.ndarray:
+    """The names of a bucket that its owners found twice, ascending."""
+    values, _ = _distinct(parts)
+    answers = answers.sort_by("owner")
+    bits = [np.unpackbits(np.frombuffer(b, np.uint8), count=n) for b, n in zip(answers["bits"].to_pylist(), answers["n"].to_pylist(), strict=True)]
+    return values[np.concatenate(bits).astype(bool)] if bits else values[:0]
+
+
+def _answers(sent: DataFrame) -> DataFrame:
+    return sent.groupBy("owner").applyInArrow(_answer, "bucket long, owner int, n long, bits binary")
+
+
+# --- step 0: regions ------------------------------------------------------------------------
+
+_SCAN = pa.schema([("kind", pa.string()), ("bucket", pa.int64()), ("key", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("sha", pa.string()), ("sampled", pa.int64()), ("anchors", pa.binary()), ("owner", pa.int32()), ("names", pa.binary()), ("twice", pa.binary())])
+
+
+def _scan(order: int, gram: int, owner_bits: int):
+    """A row for each document, and the anchors' lists of each chunk of documents."""
+    v, _ = difference_cover(order)
+    width = 4 * v - 1 - gram + 1
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, parts, held = TaskContext.get().partitionId() << 32, [], 0
+
+        def send() -> pa.RecordBatch:
+            rows = [{"kind": "sent", "bucket": bucket, "owner": o, "names": names, "twice": twice} for o, names, twice in _split(*_distinct(parts), owner_bits)]
+            return pa.RecordBatch.from_pylist(rows, schema=_SCAN)
+
         for batch in batches:
-            n, sha, once, twice = [], [], [], []
-            for text in batch.column(2).to_pylist():
-                raw = _raw(text)
+            rows = []
+            for key, i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                raw = _raw(text.as_py())
                 grams = _hashes(raw, gram)
-                values, counts = np.unique(grams[anchor_flags(grams, length - gram + 1)], return_counts=True)
-                n.append(len(raw))
-                sha.append(hashlib.sha256(raw).hexdigest())
-                once.append(values[counts == 1].view(np.int64))
-                twice.append(values[counts > 1].view(np.int64))
-            listed = lambda x: pa.array(x, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(sha, pa.string()), listed(once), listed(twice)], names=["key", "id", "n", "sha", "once", "twice"])
+                found = np.sort(grams[anchor_flags(grams, width)])
+                parts.append(found)
+                held += len(found)
+                rows.append({"kind": "doc", "bucket": bucket, "key": key, "id": i, "n": len(raw), "sha": hashlib.sha256(raw).hexdigest(), "sampled": int(sampled_mask(len(raw) - 3 * v + 1, order).sum()), "anchors": found.tobytes()})
+                if held >= CHUNK_ANCHORS:
+                    yield pa.RecordBatch.from_pylist(rows, schema=_SCAN)
+                    yield send()
+                    bucket, parts, held, rows = bucket + 1, [], 0, []
+            yield pa.RecordBatch.from_pylist(rows, schema=_SCAN)
+        if held:
+            yield send()
 
     return run
 
 
-def region_hashes(raw: bytes, anchors: list[int], length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts of the strings that hold one of ``anchors``, ascending, and their hashes."""
+def _keep_anchors(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Documents of one chunk that hold a repeated anchor, with those anchors."""
+    lists = [np.frombuffer(b, np.uint64) for b in left["anchors"].to_pylist()]
+    shared = _repeated(lists, right)
+    kept = [np.unique(x[_among(x, shared)]) for x in lists]
+    some = pa.array([len(x) > 0 for x in kept], pa.bool_())
+    return pa.table({"key": left["key"], "n": left["n"], "anchors": pa.array([x.tobytes() for x in kept], pa.binary())}).filter(some)
+
+
+# --- steps 1 to 3 ---------------------------------------------------------------------------
+
+
+def region_samples(raw: bytes, anchors: np.ndarray, order: int, gram: int) -> np.ndarray:
+    """Sampled places whose triple lies in a string of ``4 v - 1`` bytes around one of ``anchors``."""
+    v, _ = difference_cover(order)
+    length = 4 * v - 1
     grams = _hashes(raw, gram)
-    at = np.flatnonzero(anchor_flags(grams, length - gram + 1))
-    at = at[np.isin(grams[at].view(np.int64), np.array(anchors, np.int64))]
-    change = np.zeros(len(raw) - length + 2, np.int64)
+    at = np.flatnonzero(anchor_flags(grams, length - gram + 1) & _among(grams, anchors))
+    change = np.zeros(len(raw) + 1, np.int64)
     np.add.at(change, np.maximum(at - (length - gram), 0), 1)
-    np.add.at(change, np.minimum(at, len(raw) - length) + 1, -1)
-    starts = np.flatnonzero(np.cumsum(change)[:-1] > 0)
-    return starts, _hashes(raw, length)[starts]
+    np.add.at(change, np.minimum(at + v, len(raw)), -1)
+    places = np.cumsum(change)[: len(raw) - 3 * v + 1] > 0
+    return np.flatnonzero(places & sampled_mask(len(places), order))
+
+
+def candidates(n: int, samples: np.ndarray, length: int, order: int) -> np.ndarray:
+    """Places of strings of ``length`` bytes with a repeated triple (``samples``) in each ``v`` places where one fits."""
+    v, _ = difference_cover(order)
+    if n < length:
+        return np.empty(0, np.int64)
+    seen = np.zeros(n + 1, np.int64)
+    seen[samples + 1] = 1
+    seen = np.cumsum(seen)
+    ok = np.ones(n - length + 1, bool)
+    for start in range(0, length - 4 * v + 2, v):
+        ok &= seen[start + v : start + v + len(ok)] > seen[start : start + len(ok)]
+    return np.flatnonzero(ok)
+
+
+class _Bucket:
+    """The documents of one bucket; each text's hashes are made when asked for."""
+
+    def __init__(self, table: pa.Table) -> None:
+        self.keys, self.raws = table["key"].to_pylist(), [_raw(t.as_py()) for t in table["text"]]
+
+    def names(self, places: list[np.ndarray], length: int) -> list[np.ndarray]:
+        return [_hashes(raw, length)[at] if len(at) else np.empty(0, np.uint64) for raw, at in zip(self.raws, places, strict=True)]
 
 
-def _bucket_hashes(table: pa.Table, length: int, gram: int) -> tuple[list, np.ndarray, np.ndarray]:
-    """Rows of a bucket with their hashes; the bucket's distinct hashes and how often each occurs in it."""
-    rows, all_hashes = [], []
-    for key, text, anchors in zip(table["key"].to_pylist(), table["text"].to_pylist(), table["anchors"].to_pylist(), strict=True):
-        raw = _raw(text)
-        starts, h = region_hashes(raw, anchors, length, gram)
-        rows.append((key, raw, starts, h))
-        all_hashes.append(h)
-    values, counts = np.unique(np.concatenate(all_hashes) if all_hashes else np.empty(0, np.uint64), return_counts=True)
-    return rows, values, counts
+_NEAR = pa.schema([("kind", pa.string()), ("bucket", pa.int64()), ("key", pa.int64()), ("text", pa.string()), ("repeats", pa.int64()), ("samples", pa.binary()), ("owner", pa.int32()), ("names", pa.binary()), ("twice", pa.binary())])
 
 
-def _send(length: int, gram: int, owner_bits: int):
+def _sent_rows(bucket: int, names: list[np.ndarray], owner_bits: int) -> list[dict]:
+    return [{"kind": "sent", "bucket": bucket, "owner": o, "names": x, "twice": t} for o, x, t in _split(*_distinct(names), owner_bits)]
+
+
+def _sample(order: int, gram: int, owner_bits: int):
+    """Step 1: a bucket's names of sampled triples."""
+    v, _ = difference_cover(order)
+
     def run(table: pa.Table) -> pa.Table:
-        _, values, counts = _bucket_hashes(table, length, gram)
-        edges = np.append(np.searchsorted(values, np.arange(1 << owner_bits, dtype=np.uint64) << _U(64 - owner_bits)), len(values))
-        bucket = table["bucket"][0].as_py()
-        full = [o for o in range(1 << owner_bits) if edges[o] < edges[o + 1]]
-        part = lambda x, o: x[edges[o] : edges[o + 1]]
-        return pa.table({
-            "bucket": pa.array([bucket] * len(full), pa.int64()), "owner": pa.array(full, pa.int32()),
-            "hashes": pa.array([part(values, o).tobytes() for o in full], pa.binary()), "twice": pa.array([np.packbits(part(counts, o) > 1).tobytes() for o in full], pa.binary()),
-        })
+        docs = _Bucket(table)
+        places = [region_samples(raw, np.frombuffer(a, np.uint64), order, gram) for raw, a in zip(docs.raws, table["anchors"].to_pylist(), strict=True)]
+        rows = _sent_rows(table["bucket"][0].as_py(), docs.names(places, 3 * v), owner_bits)
+        return pa.Table.from_pylist(rows, schema=_NEAR).select(["bucket", "owner", "names", "twice"])
 
     return run
 
 
-def _answer(table: pa.Table) -> pa.Table:
-    """One owner: which hashes occur twice, in one bucket or in two."""
-    lists = [np.frombuffer(b, np.uint64) for b in table["hashes"].to_pylist()]
-    twice = [np.unpackbits(np.frombuffer(b, np.uint8), count=len(x)).astype(bool) for b, x in zip(table["twice"].to_pylist(), lists, strict=True)]
-    values, counts = np.unique(np.concatenate(lists), return_counts=True)
-    shared = values[counts > 1]
-    bits = []
-    for x, t in zip(lists, twice, strict=True):
-        at = np.searchsorted(shared, x)
-        hit = (shared[np.minimum(at, len(shared) - 1)] == x) if len(shared) else np.zeros(len(x), bool)
-        bits.append(np.packbits(hit | t).tobytes())
-    return pa.table({"bucket": table["bucket"], "owner": table["owner"], "n": pa.array([len(x) for x in lists], pa.int64()), "bits": pa.array(bits, pa.binary())})
+def _recurse(length: int, order: int, gram: int, owner_bits: int):
+    """Step 2: repeated triples of each document, and the names of the strings that they leave."""
+    v, _ = difference_cover(order)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        docs = _Bucket(left)
+        places = [region_samples(raw, np.frombuffer(a, np.uint64), order, gram) for raw, a in zip(docs.raws, left["anchors"].to_pylist(), strict=True)]
+        names = docs.names(places, 3 * v)
+        shared = _repeated(names, right)
+        samples = [at[_among(x, shared)] for at, x in zip(places, names, strict=True)]
+        starts = [candidates(len(raw), at, length, order) for raw, at in zip(docs.raws, samples, strict=True)]
+        bucket = left["bucket"][0].as_py() if left.num_rows else 0
+        # The text goes on only where strings are left.
+        rows = [
+            {"kind": "doc", "bucket": bucket, "key": key, "text": raw.decode("utf-8", "surrogatepass") if len(s) else None, "repeats": len(at), "samples": at.astype(np.uint32).tobytes() if len(s) else b""}
+            for key, raw, at, s in zip(docs.keys, docs.raws, samples, starts, strict=True)
+        ]
+        return pa.Table.from_pylist(rows + _sent_rows(bucket, docs.names(starts, length), owner_bits), schema=_NEAR)
+
+    return run
 
 
 def cut_runs(raw: bytes, starts: np.ndarray, length: int) -> tuple[bytes, int, int]:
@@ -151,55 +308,78 @@ def cut_runs(raw: bytes, starts: np.ndarray, length: int) -> tuple[bytes, int, i
     return np.frombuffer(raw, np.uint8)[~gone].tobytes(), int(gone.sum()), runs
 
 
-def _mark(length: int, gram: int):
+def _mark(length: int, order: int):
+    """Step 3: what is cut of each document."""
+
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        rows, values, _ = _bucket_hashes(left, length, gram)
-        right = right.sort_by("owner")
-        bits = [np.unpackbits(np.frombuffer(b, np.uint8), count=n) for b, n in zip(right["bits"].to_pylist(), right["n"].to_pylist(), strict=True)]
-        shared = values[np.concatenate(bits).astype(bool)] if bits else values[:0]
+        docs = _Bucket(left)
+        starts = [candidates(len(raw), np.frombuffer(s, np.uint32).astype(np.int64), length, order) for raw, s in zip(docs.raws, left["samples"].to_pylist(), strict=True)]
+        names = docs.names(starts, length)
+        shared = _repeated(names, right)
         out: dict[str, list] = {"cut_key": [], "gone": [], "spans": [], "kept_sha": []}
-        for key, raw, starts, h in rows:
-            # shared is ascending: each lookup is a binary search.
-            at = np.minimum(np.searchsorted(shared, h), max(len(shared) - 1, 0))
-            hit = shared[at] == h if len(shared) else np.zeros(len(h), bool)
-            kept, gone, spans = cut_runs(raw, starts[hit], length)
-            for name, v in zip(out, (key, gone, spans, hashlib.sha256(kept).hexdigest()), strict=True):
-                out[name].append(v)
+        for key, raw, at, x in zip(docs.keys, docs.raws, starts, names, strict=True):
+            kept, gone, spans = cut_runs(raw, at[_among(x, shared)], length)
+            for name, value in zip(out, (key, gone, spans, hashlib.sha256(kept).hexdigest()), strict=True):
+                out[name].append(value)
         return pa.table({"cut_key": pa.array(out["cut_key"], pa.int64()), "gone": pa.array(out["gone"], pa.int64()), "spans": pa.array(out["spans"], pa.int64()), "kept_sha": pa.array(out["kept_sha"], pa.string())})
 
     return run
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """``id_col, n_bytes, n_removed, n_spans, kept_sha256`` for every row."""
+def _bits(names: int) -> int:
+    return max(4, (names // OWNER_NAMES).bit_length())
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, order: int = ORDER, gram: int = GRAM) -> DataFrame:
+    """``id_col, n_bytes, n_removed, n_spans, kept_sha256, n_repeats`` for every row.
+
+    ``n_repeats`` counts the sampled suffixes found whose first ``3 v`` bytes occur elsewhere too: at
+    least one if a string of ``4 v - 1`` bytes does, none if no string of ``3 v`` does. ``length`` must
+    be ``4 v - 1`` at least.
+    """
+    v, members = difference_cover(order)
+    if length < 4 * v - 1 or gram > 4 * v - 1:
+        raise ValueError("the strings are too short for this cover")
     text = F.col(text_col).cast("string")
     source = docs.select(F.xxhash64(F.col(id_col), text).alias("key"), F.col(id_col).cast("long").alias("id"), text.alias("text"))
-    scan = materialize(source.mapInArrow(_scan(length, gram), "key long, id long, n long, sha string, once array<long>, twice array<long>"), "repeats-scan")
+    size = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(text)).alias("bytes")).first()
+    total = size.bytes or 0
+    schema = "kind string, bucket long, key long, id long, n long, sha string, sampled long, anchors binary, owner int, names binary, twice binary"
+    scan = materialize(source.mapInArrow(_scan(order, gram, _bits(total * 2 // (4 * v - gram))), schema), "repeats-scan")
+    doc = scan.where("kind = 'doc'").select("bucket", "key", "id", "n", "sha", "sampled", "anchors")
+
     # Whole copies: all go; the one of least key stays a reference for other texts.
-    same = scan.where(f"n >= {length}").groupBy("sha").agg(F.count(F.lit(1)).alias("copies"), F.min("key").alias("reference")).where("copies > 1")
-    named = materialize(scan.select("key", "id", "n", "sha").join(same, "sha", "left"), "repeats-named")
-    alone = named.where("copies IS NULL OR key = reference").select("key").distinct()
-
-    held = scan.select("key", F.explode("once").alias("anchor"), F.lit(1).alias("k")).unionByName(scan.select("key", F.explode("twice").alias("anchor"), F.lit(2).alias("k")))
-    shared = held.groupBy("anchor").agg(F.sum("k").alias("times")).where("times > 1").select("anchor")
-    anchors = held.join(shared, "anchor").groupBy("key").agg(F.collect_set("anchor").alias("anchors"))
-    anchors = materialize(anchors.join(alone, "key", "left_semi"), "repeats-anchors")
-    near = keep_ids(source, anchors, "key")
-    buckets = max(1, anchors.count() // DOCS_PER_BUCKET)
-    near = near.dropDuplicates(["key"]) if not named.groupBy("key").count().where("count > 1").isEmpty() else near
-    near = near.join(anchors.withColumnRenamed("key", "anchor_key").hint("shuffle_hash"), F.col("key") == F.col("anchor_key"))
-    near = materialize(near.select("key", "text", "anchors", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(buckets)).alias("bucket")), "repeats-near")
-
-    owner_bits = min(16, max(5, buckets.bit_length() - 3))
-    sent = near.groupBy("bucket").applyInArrow(_send(length, gram, owner_bits), "bucket long, owner int, hashes binary, twice binary")
-    answers = sent.groupBy("owner").applyInArrow(_answer, "bucket long, owner int, n long, bits binary")
-    answers = materialize(answers, "repeats-answers")
-    cut = near.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(_mark(length, gram), "cut_key long, gone long, spans long, kept_sha string")
-    out = named.join(cut, F.col("key") == F.col("cut_key"), "left")
-    copied, nothing = F.col("copies").isNotNull(), hashlib.sha256(b"").hexdigest()
+    same = doc.where(f"n >= {4 * v - 1}").groupBy("sha").agg(F.count(F.lit(1)).alias("copies"), F.min("key").alias("reference")).where("copies > 1")
+    same = materialize(same, "repeats-same")
+    named = materialize(join_groups(doc.select("key", "id", "n", "sha", "sampled"), same, "sha", "copies", size.n), "repeats-named")
+    spare = named.where("copies IS NOT NULL AND key <> reference").select("key").distinct()
+
+    sent = scan.where("kind = 'sent'").select("bucket", "owner", "names", "twice")
+    near = doc.where("length(anchors) > 0").select("bucket", "key", "n", "anchors").groupBy("bucket").cogroup(_answers(sent).groupBy("bucket")).applyInArrow(_keep_anchors, "key long, n long, anchors binary")
+    near = materialize(near.dropDuplicates(["key"]).join(spare, "key", "left_anti"), "repeats-anchors")
+    held = near.agg(F.sum("n")).first()[0] or 0
+    buckets = 1 + held // BUCKET_BYTES
+
+    texts = keep_ids(source, near, "key").select("key", "text")
+    if not named.where("copies IS NOT NULL").groupBy("key").count().where("count > 1").isEmpty():  # equal rows under one id
+        texts = texts.dropDuplicates(["key"])
+    texts = texts.join(near.select(F.col("key").alias("near_key"), "anchors").hint("shuffle_hash"), F.col("key") == F.col("near_key"))
+    texts = materialize(texts.select("key", "text", "anchors", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(buckets)).alias("bucket")), "repeats-near")
+
+    sampled = texts.groupBy("bucket").applyInArrow(_sample(order, gram, _bits(held * len(members) // v)), "bucket long, owner int, names binary, twice binary")
+    triples = _answers(sampled)
+    left = texts.groupBy("bucket").cogroup(triples.groupBy("bucket")).applyInArrow(_recurse(length, order, gram, _bits(held)), "kind string, bucket long, key long, text string, repeats long, samples binary, owner int, names binary, twice binary")
+    left = materialize(left, "repeats-left")
+    answers = _answers(left.where("kind = 'sent'").select("bucket", "owner", "names", "twice"))
+    rest = left.where("kind = 'doc' AND text IS NOT NULL").select("bucket", "key", "text", "samples")
+    cut = rest.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(_mark(length, order), "cut_key long, gone long, spans long, kept_sha string")
+    found = left.where("kind = 'doc'").select("key", "repeats").join(cut, F.col("key") == F.col("cut_key"), "left").drop("cut_key")
+    out = named.join(found, "key", "left")
+    copied, whole, nothing = F.col("copies").isNotNull(), F.col("copies").isNotNull() & (F.col("n") >= length), hashlib.sha256(b"").hexdigest()
     return out.select(
         F.col("id").alias(id_col), F.col("n").alias("n_bytes"),
-        F.when(copied, F.col("n")).otherwise(F.coalesce("gone", F.lit(0))).cast("long").alias("n_removed"),
-        F.when(copied, F.lit(1)).otherwise(F.coalesce("spans", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(copied, F.lit(nothing)).otherwise(F.coalesce("kept_sha", "sha")).alias("kept_sha256"),
+        F.when(whole, F.col("n")).otherwise(F.coalesce("gone", F.lit(0))).cast("long").alias("n_removed"),
+        F.when(whole, F.lit(1)).otherwise(F.coalesce("spans", F.lit(0))).cast("long").alias("n_spans"),
+        F.when(whole, F.lit(nothing)).otherwise(F.coalesce("kept_sha", "sha")).alias("kept_sha256"),
+        F.when(copied, F.col("sampled")).otherwise(F.coalesce("repeats", F.lit(0))).cast("long").alias("n_repeats"),
     )
