@@ -7,9 +7,11 @@ of all documents. A lexicon of restored words that mark toxic documents, and a s
 model over its hits, are then fitted on the labelled rows that are not held out
 (``crc32(id as text) % 3 <> 1``) and score every restored text.
 
-Bounds, all parameters: the trigram model knows ``ALPHABET`` letters (others share a class), the
-lexicon keeps the ``LEXICON`` strongest words, the logistic fit sees the numbers (no texts) of at
-most ``FIT_ROWS`` labelled rows, smallest hash first. Counts cover all rows.
+Bounds, all parameters: the trigram model knows the ``ALPHABET`` commonest letters, others share a
+class, and letters become classes before trigrams are collected, so no count is lost; the logistic
+fit sees the numbers (no texts) of at most ``FIT_ROWS`` labelled rows, smallest hash first. Counts
+cover all rows. The lexicon holds every word that passes its test: up to ``LEXICON_SENT`` words it is
+sent to the workers, beyond that the restored words are joined with it.
 
 Edge cases: null and empty texts score as texts without hits; tokens of any length are read in
 linear time (those over ``KEEP_TOKEN`` characters are not remembered); equal texts score alike; without
@@ -22,15 +24,17 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textloom.session import materialize
+
 ALPHABET = 64
-LEXICON = 2000
+LEXICON_SENT = 200_000
 FIT_ROWS = 50_000
 KEEP_TOKEN = 64
 CACHE = 300_000
@@ -49,6 +53,8 @@ READINGS = {
 SEPARATORS = frozenset(".-_*~'`,:;/\\|·+=^")
 ODD = re.compile(r"[\W\d_]|(.)\1")
 SPACED = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
+#: Every such run has this in it; it starts with a blank, which is found fast.
+MAYBE_SPACED = re.compile(r" \S \S\s")
 TRIM = ".,;:?\"()[]{}«»“”"
 
 
@@ -57,13 +63,15 @@ def _fold(word: str) -> str:
 
 
 class CharModel:
-    """Interpolated character trigrams over a bounded alphabet."""
-
-    def __init__(self, counts: dict[tuple[str, str, str], int]) -> None:
-        letters = Counter()
-        for (_, _, c), n in counts.items():
-            letters[c] += n
-        self.letters = {c for c, _ in sorted(letters.items(), key=lambda x: (-x[1], x[0]))[:ALPHABET]}
+    """Interpolated character trigrams over a bounded alphabet; ``letters`` are those of their own class."""
+
+    def __init__(self, counts: dict[tuple[str, str, str], int], letters: set[str] | None = None) -> None:
+        if letters is None:
+            seen = Counter()
+            for (_, _, c), n in counts.items():
+                seen[c] += n
+            letters = {c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:ALPHABET]}
+        self.letters = letters
         tri, bi, two, one, uni = Counter(), Counter(), Counter(), Counter(), Counter()
         for (a, b, c), n in counts.items():
             a, b, c = self.cls(a), self.cls(b), self.cls(c)
@@ -146,29 +154,28 @@ def restore(token: str, model: CharModel, spaced: bool = False) -> str:
     return "".join(reversed(out))
 
 
-class Restorer:
-    """Restored words of texts, with a bounded memory of tokens."""
+class Restorer(dict):
+    """Token to restored word, with a bounded memory; ``of`` maps restored words further."""
 
-    def __init__(self, model: CharModel) -> None:
-        self.model, self.known = model, {}
+    def __init__(self, model: CharModel, of: Callable[[str], object] = str) -> None:
+        super().__init__()
+        self.model, self.of = model, of
 
-    def word(self, token: str) -> str:
-        got = self.known.get(token)
-        if got is None:
-            got = restore(_fold(token), self.model)
-            if len(token) > KEEP_TOKEN:
-                return got
-            if len(self.known) >= CACHE:
-                self.known.clear()
-            self.known[token] = got
+    def __missing__(self, token: str) -> object:
+        got = self.of(restore(_fold(token), self.model))
+        if len(token) <= KEEP_TOKEN:
+            if len(self) >= CACHE:
+                self.clear()
+            self[token] = got
         return got
 
-    def words(self, text: str) -> list[str]:
-        out = list(map(self.word, text.split()))
-        for m in SPACED.finditer(text):
-            letters = _fold(m[0].replace(" ", ""))
-            whole, split = restore(letters, self.model), restore(letters, self.model, True).split()
-            out += split if [whole] == split else [whole, *split]
+    def words(self, text: str) -> list:
+        out = list(map(self.__getitem__, text.split()))
+        if MAYBE_SPACED.search(text + " "):
+            for m in SPACED.finditer(text):
+                letters = _fold(m[0].replace(" ", ""))
+                whole, split = restore(letters, self.model), restore(letters, self.model, True).split()
+                out += map(self.of, split if [whole] == split else [whole, *split])
         return out
 
 
@@ -194,10 +201,15 @@ def _trigram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def learn_characters(docs: DataFrame, text_col: str = "text") -> CharModel:
-    """Trigram counts over the words of all documents; the alphabet bounds what is collected."""
+    """Trigram counts over the words of all documents; letters become classes before anything is collected."""
     grams = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_trigram_rows, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    grams = grams.orderBy(F.desc("n"), "gram").limit((ALPHABET + 2) ** 3)
-    return CharModel({tuple(r.gram): r.n for r in grams.collect()})
+    grams = materialize(grams, "toxic-grams")
+    letters = grams.groupBy(F.right("gram", F.lit(1)).alias("letter")).agg(F.sum("n").alias("n")).where(F.col("letter") != EDGE)
+    common = {r.letter for r in letters.orderBy(F.desc("n"), "letter").limit(ALPHABET).collect()}
+    others = "[^" + EDGE.replace("^", r"\^") + "".join(f"\\x{{{ord(c):x}}}" for c in sorted(common)) + "]"
+    # At most (ALPHABET + 2) ** 3 rows.
+    folded = grams.groupBy(F.regexp_replace("gram", others, OTHER).alias("gram")).agg(F.sum("n").alias("n"))
+    return CharModel({tuple(r.gram): r.n for r in folded.collect()}, common)
 
 
 def _word_rows(chars: CharModel):
@@ -220,23 +232,62 @@ def _word_rows(chars: CharModel):
     return run
 
 
-def features(words: list[str], lexicon: dict[str, float]) -> list[float]:
-    """Numbers of one restored text: lexicon hits in several shapes."""
-    hits = [lexicon[w] for w in words if w in lexicon]
-    n = len(hits)
-    return [1.0, float(n > 0), math.log1p(n), math.log1p(1000 * n / (len(words) + 20)), max(hits, default=0.0), math.log1p(len(words)) / 5]
+def features(odds: list[float]) -> list[float]:
+    """Numbers of one restored text from its words' odds (0 for words outside the lexicon)."""
+    hits = [x for x in odds if x]
+    return numbers(len(odds), len(hits), max(hits, default=0.0))
+
+
+def numbers(words: int, hits: int, top: float) -> list[float]:
+    return [1.0, float(hits > 0), math.log1p(hits), math.log1p(1000 * hits / (words + 20)), top, math.log1p(words) / 5]
 
 
 def _feature_rows(chars: CharModel, lexicon: dict[str, float]):
+    """``(text, *others)`` to ``(x, *others)``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Restorer(chars, lambda w: lexicon.get(w, 0.0))
+        for batch in batches:
+            rows = [features(own.words(t.as_py() or "")) for t in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), *batch.columns[1:]], names=["x", *batch.schema.names[1:]])
+
+    return run
+
+
+def _count_rows(chars: CharModel):
+    """``(key, text)`` to ``(key, word, n)`` of restored words, and a row with the number of all words (null)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Restorer(chars)
         for batch in batches:
-            rows = [features(own.words(t or ""), lexicon) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), batch.column(1), batch.column(2)], names=["x", "toxic", "h"])
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                words = own.words(text.as_py() or "")
+                seen = Counter(words)
+                yield pa.RecordBatch.from_arrays([pa.array([key] * (len(seen) + 1), pa.int64()), pa.array([None, *seen], pa.string()), pa.array([len(words), *seen.values()], pa.int64())], names=["key", "word", "n"])
 
     return run
 
 
+def featured(rows: DataFrame, chars: CharModel, lexicon: DataFrame, sent: int = LEXICON_SENT) -> DataFrame:
+    """``rows`` (``text`` and others) with ``x``, the numbers of the text, in place of ``text``.
+
+    ``lexicon`` (``word, odds``) is a written table. Beyond ``sent`` words it is not sent: each
+    distinct text's words are joined with it.
+    """
+    others = [c for c in rows.columns if c != "text"]
+    kinds = dict(rows.dtypes)
+    if lexicon.count() <= sent:
+        found = {r.word: r.odds for r in lexicon.collect()}
+        return rows.select("text", *others).mapInArrow(_feature_rows(chars, found), ", ".join(["x array<double>", *[f"`{c}` {kinds[c]}" for c in others]]))
+    key = F.xxhash64(F.coalesce("text", F.lit("")))
+    counted = rows.select(key.alias("key"), "text").dropDuplicates(["key"]).mapInArrow(_count_rows(chars), "key long, word string, n long")
+    hits = counted.join(lexicon, "word", "left").groupBy("key").agg(
+        F.sum(F.when(F.col("word").isNull(), F.col("n"))).cast("double").alias("w"), F.coalesce(F.sum(F.when(F.col("odds").isNotNull(), F.col("n"))), F.lit(0)).cast("double").alias("h"), F.coalesce(F.max("odds"), F.lit(0.0)).alias("top")
+    )
+    x = F.array(F.lit(1.0), (F.col("h") > 0).cast("double"), F.log1p("h"), F.log1p(F.col("h") * 1000 / (F.col("w") + 20)), F.col("top"), F.log1p("w") / 5)
+    return rows.withColumn("key", key).drop("text").join(hits.select("key", x.alias("x")), "key").select("x", *others)
+
+
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 30) -> np.ndarray:
     """Newton steps of a ridge logistic regression; the first column is the constant."""
     w = np.zeros(x.shape[1])
@@ -267,25 +318,17 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     counts = taught.select("text", "toxic").mapInArrow(_word_rows(chars), "word string, bad long, good long").groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     sizes = taught.agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")).first()
     bad, good = float(sizes.bad or 0), float(sizes.good or 0)
-    lexicon: dict[str, float] = {}
+    odds = F.log((F.col("bad") + 0.5) / (bad + 1)) - F.log((F.col("good") + 0.5) / (good + 1))
+    expected = (F.col("bad") + F.col("good")) * (bad / max(bad + good, 1.0))
+    strong = (F.col("bad") - expected) / F.sqrt(expected + 1) > 4
+    lexicon = materialize(counts.where((F.col("bad") >= 3) & strong & F.lit(bool(bad and good))).select("word", F.round(odds, 9).alias("odds")).where("odds > 1"), "toxic-lexicon")
     weights = np.zeros(6)
     if bad and good:
-        odds = F.log((F.col("bad") + 0.5) / (bad + 1)) - F.log((F.col("good") + 0.5) / (good + 1))
-        expected = (F.col("bad") + F.col("good")) * (bad / (bad + good))
-        strong = (F.col("bad") - expected) / F.sqrt(expected + 1) > 4
-        found = counts.where((F.col("bad") >= 3) & strong).select("word", odds.alias("odds")).where("odds > 1").orderBy(F.desc("odds"), "word").limit(LEXICON)
-        lexicon = {r.word: round(r.odds, 9) for r in found.collect()}
-        rows = taught.mapInArrow(_feature_rows(chars, lexicon), "x array<double>, toxic int, h long").orderBy("h", "x", "toxic").limit(FIT_ROWS).collect()
+        rows = featured(taught, chars, lexicon).orderBy("h", "x", "toxic").limit(FIT_ROWS).collect()
         weights = fit_logistic(np.array([r.x for r in rows]), np.array([r.toxic for r in rows], float))
     elif bad or good:
         weights[0] = 6.0 if bad else -6.0
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Restorer(chars)
-        for batch in batches:
-            x = np.array([features(own.words(t or ""), lexicon) for t in batch.column(1).to_pylist()]).reshape(-1, 6)
-            score = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], names=["id", "score"])
-
-    scored = source.mapInArrow(run, "id long, score double")
+    linear = F.aggregate(F.zip_with("x", F.array(*[F.lit(float(w)) for w in weights]), lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+    scored = featured(source, chars, lexicon).select("id", F.round(1 / (1 + F.exp(-F.least(F.lit(30.0), F.greatest(F.lit(-30.0), linear)))), 12).alias("score"))
     return scored.select(F.col("id").alias(id_col), _held_out("id").alias("held_out"), "score", (F.col("score") >= PREDICT).cast("int").alias("predicted"))
