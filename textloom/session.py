@@ -82,8 +82,8 @@ def keep_ids(df: DataFrame, ids: DataFrame, col: str, anti: bool = False, ids_co
 HOT_KEYS = 1000
 
 
-def join_groups(df: DataFrame, groups: DataFrame, key: str, weight: str, rows: int) -> DataFrame:
-    """Left join of ``df`` with ``groups``, which has one row a ``key`` and how many rows of ``df`` it has.
+def join_groups(df: DataFrame, groups: DataFrame, key: str, weight: str, rows: int, how: str = "left") -> DataFrame:
+    """Join (left or inner) of ``df`` with ``groups``, which has one row a ``key`` and how many rows of ``df`` it has.
 
     Keys that more than one in ``HOT_KEYS`` of all ``rows`` carry are at most ``HOT_KEYS``: they are
     broadcast, so their rows stay where they are. The others are shuffled, none of them hot. Both
@@ -92,7 +92,7 @@ def join_groups(df: DataFrame, groups: DataFrame, key: str, weight: str, rows: i
     least = max(100, rows // HOT_KEYS)
     hot = groups.where(F.col(weight) > least)
     if hot.isEmpty():
-        return df.join(groups, key, "left")
+        return df.join(groups, key, how)
     near = df.join(F.broadcast(hot), key)
-    rest = df.join(F.broadcast(hot.select(key)), key, "left_anti").join(groups.where(F.col(weight) <= least), key, "left")
+    rest = df.join(F.broadcast(hot.select(key)), key, "left_anti").join(groups.where(F.col(weight) <= least), key, how)
     return near.unionByName(rest)
