@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.session import materialize
+from textloom.session import keep_ids, materialize
 
 SPACE = r"[\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
@@ -39,22 +39,36 @@ def word_count(text: Column) -> Column:
     return F.size(F.filter(F.split(blank, SPACE), lambda w: w != "")).cast("long")
 
 
+def ranked(df: DataFrame, order: Column, name: str) -> DataFrame:
+    """Adds ``name``, the rank (from 0) by ``order``, without a window over all rows: ranges are sorted and then counted."""
+    ranges = materialize(df.repartitionByRange(order).withColumn("_range", F.spark_partition_id()), "mix-ranges")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    start = ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    own = F.row_number().over(Window.partitionBy("_range").orderBy(order)) - 1
+    return ranges.withColumn("_own", own).join(F.broadcast(start), "_range").withColumn(name, F.col("_start") + F.col("_own")).drop("_range", "_own", "_start")
+
+
 def targets(totals: DataFrame) -> DataFrame:
     """Adds ``target`` to one row a source (``sk, source, source_size``), by water-filling.
 
-    Ordered by how soon a source reaches its cap, the level grows while sources are capped and
-    falls afterwards, so its maximum is the common level of those below their cap.
+    The common level of those below their cap follows from which are capped; raising it caps more, until none is
+    added. Each round is one sum over the sources.
     """
-    by_name, everything = Window.orderBy(F.col("source").asc_nulls_last()), Window.partitionBy()
     weights = F.array(*[F.lit(float(w)) for w in WEIGHTS])
-    out = totals.withColumn("weight", F.element_at(weights, ((F.row_number().over(by_name) - 1) % len(WEIGHTS) + 1).cast("int")))
-    out = out.withColumn("cap", F.col("source_size") * float(CAP)).withColumn("total", F.sum("source_size").over(everything) * SHARE)
-    by_ratio = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last())
-    capped_before = F.coalesce(F.sum("cap").over(by_ratio.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    weight_left = F.sum("weight").over(by_ratio.rowsBetween(0, Window.unboundedFollowing))
-    out = out.withColumn("level", (F.col("total") - capped_before) / weight_left)
-    level = F.max("level").over(everything)
-    return out.select("sk", "source", "source_size", "n_docs", F.least(F.col("cap"), level * F.col("weight")).alias("target"))
+    out = ranked(totals, F.col("source").asc_nulls_last(), "_rank")
+    out = out.withColumn("weight", F.element_at(weights, (F.col("_rank") % len(WEIGHTS) + 1).cast("int"))).withColumn("cap", F.col("source_size") * float(CAP))
+    out = materialize(out.drop("_rank"), "mix-sources")
+    total = (out.agg(F.sum("source_size")).first()[0] or 0) * SHARE
+    level, capped = 0.0, -1
+    for _ in range(MAX_STEPS):
+        over = F.col("cap") < F.col("weight") * level
+        r = out.agg(F.count_if(over).alias("n"), F.coalesce(F.sum(F.when(over, F.col("cap"))), F.lit(0.0)).alias("cap"), F.sum(F.when(~over, F.col("weight"))).alias("weight")).first()
+        if r.n == capped or not r.weight:
+            break
+        level, capped = (total - r.cap) / r.weight, r.n
+    else:
+        raise RuntimeError("the sources' level did not settle")
+    return out.select("sk", "source", "source_size", "n_docs", F.least(F.col("cap"), F.col("weight") * level).alias("target"))
 
 
 def _rate(lam: str = "lam", x: str = "x") -> str:
@@ -84,22 +98,52 @@ def solve(sizes: DataFrame) -> DataFrame:
         state = materialize(step.select("sk", "source_size", "target", "n_docs", "unit", "lo", "hi", "lam", F.col("now_done").alias("done")), "mix-state")
         if state.where("NOT done").isEmpty():
             break
+    else:
+        raise RuntimeError("the dual did not settle")
     # Rounded, so that the order in which sums were added up cannot show.
     return state.select("sk", "source_size", "target", "n_docs", "unit", F.round("lam", 9).alias("lam"))
 
 
+def _source_key(source: Column) -> Column:
+    source = source.cast("string")
+    return F.coalesce(F.concat(F.lit("s"), source), F.lit("n"))
+
+
+def number_equal(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Adds ``name``: the number (from 1) of a row among those with equal ``keys`` (null equals null); which is which cannot show.
+
+    Rows that stand alone get 1 and stay where they are. The others are numbered inside each input partition, and
+    the partitions' counts are added up, so that no key's rows meet in one task.
+    """
+    key = F.xxhash64(*[F.coalesce(F.concat(F.lit("v"), F.col(k).cast("string")), F.lit("n")) for k in keys])
+    keyed = df.withColumn("_key", key).withColumn("_part", F.spark_partition_id())
+    many = materialize(keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_key"), "mix-equal")
+    if many.isEmpty():
+        return df.withColumn(name, F.lit(1).cast("long"))
+    again = keep_ids(keyed, many, "_key")
+    counts = again.groupBy("_key", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    start = counts.select("_key", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    own = F.row_number().over(Window.partitionBy("_key", "_part").orderBy(F.lit(1)))
+    numbered = again.withColumn("_own", own).join(start, ["_key", "_part"]).withColumn(name, F.col("_start") + F.col("_own"))
+    alone = keep_ids(keyed, many, "_key", anti=True).withColumn(name, F.lit(1).cast("long"))
+    return alone.select(*df.columns, name).unionByName(numbered.select(*df.columns, name))
+
+
 def mix_rates(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """``id_col, text_hash, size, source_size, target, rate, copies, taken`` for every row of ``docs``."""
-    source = F.col(source_col).cast("string")
+    """``id_col, sk, text_hash, nth, size, source_size, target, rate, copies, taken`` for every row of ``docs``.
+
+    ``sk`` names the source; ``nth`` tells equal rows (of one id, source and text) apart.
+    """
     sizes = docs.select(
-        F.col(id_col).alias("id"), source.alias("source"), F.coalesce(F.concat(F.lit("s"), source), F.lit("n")).alias("sk"),
+        F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), _source_key(F.col(source_col)).alias("sk"),
         word_count(F.col(text_col)).alias("size"), F.xxhash64(F.col(text_col).cast("string")).alias("text_hash"),
     )
     sizes = materialize(sizes, "mix-sizes")
-    rated = sizes.join(solve(sizes), "sk").withColumn("x", F.expr("size / unit"))
+    rated = number_equal(sizes, ["id", "sk", "text_hash"], "nth").join(solve(sizes), "sk").withColumn("x", F.expr("size / unit"))
     rated = rated.withColumn("rate", F.when(F.col("size") == 0, F.lit(1.0)).otherwise(F.round(F.expr(_rate()), 9)))
-    rated = rated.withColumn("bucket", F.expr(f"pmod(xxhash64(id, text_hash), CAST(ceil(n_docs / {BUCKET}) AS BIGINT))"))
-    packs = rated.groupBy("sk", "bucket", "source_size", "target").agg(F.array_sort(F.collect_list(F.expr("struct(-size AS neg, id, text_hash, size, rate)"))).alias("docs"))
+    rated = rated.withColumn("bucket", F.expr(f"pmod(xxhash64(id, text_hash, nth), CAST(ceil(n_docs / {BUCKET}) AS BIGINT))"))
+    packs = rated.groupBy("sk", "bucket", "source_size", "target").agg(F.array_sort(F.collect_list(F.expr("struct(-size AS neg, id, text_hash, nth, size, rate)"))).alias("docs"))
     start = F.struct(F.lit(0.0).alias("err"), F.expr("CAST(array() AS ARRAY<INT>)").alias("copies"))
 
     def diffuse(s: Column, d: Column) -> Column:
@@ -111,15 +155,22 @@ def mix_rates(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source
         return F.struct((want - copies * d["size"]).alias("err"), F.concat(s["copies"], F.array(copies)).alias("copies"))
 
     packs = packs.withColumn("copies", F.aggregate("docs", start, diffuse, lambda s: s["copies"]))
-    rows = packs.select("source_size", "target", F.explode(F.arrays_zip("docs", "copies")).alias("r"))
+    rows = packs.select("sk", "source_size", "target", F.explode(F.arrays_zip("docs", "copies")).alias("r"))
     return rows.select(
-        F.col("r.docs.id").alias(id_col), F.col("r.docs.text_hash").alias("text_hash"), F.col("r.docs.size").alias("size"), "source_size", "target",
+        F.col("r.docs.id").alias(id_col), "sk", F.col("r.docs.text_hash").alias("text_hash"), F.col("r.docs.nth").alias("nth"), F.col("r.docs.size").alias("size"), "source_size", "target",
         F.col("r.docs.rate").alias("rate"), F.col("r.copies").alias("copies"), (F.col("r.copies") * F.col("r.docs.size")).cast("long").alias("taken"),
     )
 
 
 def mix_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as the mix takes it, own columns only."""
-    taken = mix_rates(docs, id_col, source_col, text_col).groupBy(F.col(id_col).alias("_mix_id"), F.col("text_hash").alias("_mix_hash")).agg(F.max("copies").alias("_mix_copies"))
-    found = docs.join(taken.where("_mix_copies > 0").hint("shuffle_hash"), docs[id_col].eqNullSafe(F.col("_mix_id")) & (F.xxhash64(docs[text_col].cast("string")) == F.col("_mix_hash")))
-    return found.withColumn("_mix_again", F.explode(F.expr("sequence(1, _mix_copies)"))).select(*[docs[c] for c in docs.columns])
+    taken = mix_rates(docs, id_col, source_col, text_col).select(F.col(id_col).alias("_mix_id"), F.col("sk").alias("_mix_sk"), F.col("text_hash").alias("_mix_hash"), F.col("nth").alias("_mix_nth"), F.col("copies").alias("_mix_copies"))
+    taken = materialize(taken, "mix-taken")
+    rows, nth = docs, F.lit(1)
+    if not taken.where("_mix_nth > 1").isEmpty():
+        keyed = docs.withColumn("_mix_row_id", F.col(id_col)).withColumn("_mix_row_sk", _source_key(F.col(source_col))).withColumn("_mix_row_hash", F.xxhash64(F.col(text_col).cast("string")))
+        rows = number_equal(keyed, ["_mix_row_id", "_mix_row_sk", "_mix_row_hash"], "_mix_row_nth")
+        nth = F.col("_mix_row_nth")
+    same = rows[id_col].eqNullSafe(F.col("_mix_id")) & (_source_key(rows[source_col]) == F.col("_mix_sk")) & (F.xxhash64(rows[text_col].cast("string")) == F.col("_mix_hash")) & (nth == F.col("_mix_nth"))
+    found = rows.join(taken.where("_mix_copies > 0").hint("shuffle_hash"), same)
+    return found.withColumn("_mix_again", F.explode(F.expr("sequence(1, _mix_copies)"))).select(*[rows[c] for c in docs.columns])
