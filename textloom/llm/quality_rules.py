@@ -53,26 +53,36 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
 
 
-def _with_repeat_words(df: DataFrame, width: int = 3) -> DataFrame:
+def _with_repeat_words(df: DataFrame, width: int = 3, hash_bits: int = 64) -> DataFrame:
     """Adds ``n_repeat_words``: words inside a window of ``width`` that occurs at least twice.
 
     A window's hash is packed above its position into one long, so that a primitive sort brings
     equal windows together; neighbours are then compared word by word, so a hash collision
-    cannot count. Each array is a column of its own: a lambda that named an expression instead
+    cannot count. As it might stand between two equal windows, a text with one is done again by its words. Each array is a column of its own: a lambda that named an expression instead
     would evaluate it again for every element.
     """
     df = df.withColumn("_bits", F.ceil(F.log2(F.size("_words") + 2)).cast("int")).withColumn("_mask", F.expr("shiftleft(1L, _bits) - 1"))
+    # Fewer ``hash_bits`` make collisions likely (in tests).
+    name = lambda i: F.call_function("shiftrightunsigned", F.xxhash64(*[F.get("_hashes", i + k) for k in range(width)]), F.lit(64 - hash_bits))
     packed = F.transform(
         F.sequence(F.lit(0), F.size("_words") - width),
-        lambda i: F.call_function("shiftleft", F.xxhash64(*[F.get("_hashes", i + k) for k in range(width)]), F.col("_bits")).bitwiseOR(i.cast("long")),
+        lambda i: F.call_function("shiftleft", name(i), F.col("_bits")).bitwiseOR(i.cast("long")),
     )
     df = df.withColumn("_ordered", F.when(F.size("_words") > width, F.sort_array(packed)).otherwise(F.expr("CAST(array() AS ARRAY<BIGINT>)")))
     key = lambda x: F.call_function("shiftright", x, F.col("_bits"))
     at = lambda x: F.slice("_words", x.bitwiseAND(F.col("_mask")).cast("int") + 1, width)
-    # The slices are compared only where the keys agree.
-    same = lambda a, b: F.when(key(a) == key(b), at(a) == at(b)).otherwise(False)
-    marked = F.transform("_ordered", lambda x, i: F.when(F.when(i > 0, same(x, F.get("_ordered", i - 1))).otherwise(False) | same(x, F.get("_ordered", i + 1)), x.bitwiseAND(F.col("_mask"))))
-    df = df.withColumn("_marked", F.sort_array(F.array_compact(marked)))
+    # The slices are compared only where the keys agree: 1 equal, 2 a collision of keys.
+    same = lambda a, b: F.when(key(a) == key(b), F.when(at(a) == at(b), 1).otherwise(2)).otherwise(0)
+    before = lambda x, i: F.when(i > 0, same(x, F.get("_ordered", i - 1))).otherwise(0)
+    after = lambda x, i: F.coalesce(same(x, F.get("_ordered", i + 1)), F.lit(0))
+    judge = lambda x, p, n: F.when((p == 1) | (n == 1), x.bitwiseAND(F.col("_mask"))).when((p == 2) | (n == 2), F.lit(-1).cast("long"))
+    df = df.withColumn("_found", F.array_compact(F.transform("_ordered", lambda x, i: judge(x, before(x, i), after(x, i)))))
+    # Where keys collided, windows are sorted by their words.
+    exact = F.array_sort(F.transform(F.sequence(F.lit(0), F.size("_words") - width), lambda i: F.struct(F.slice("_words", i + 1, width).alias("w"), i.cast("long").alias("i"))))
+    df = df.withColumn("_exact", F.when(F.array_contains("_found", -1), exact))
+    twice = lambda x, i: (F.when(i > 0, x["w"] == F.get("_exact", i - 1)["w"]).otherwise(False)) | F.coalesce(x["w"] == F.get("_exact", i + 1)["w"], F.lit(False))
+    surely = F.transform(F.filter("_exact", twice), lambda x: x["i"])
+    df = df.withColumn("_marked", F.sort_array(F.when(F.col("_exact").isNotNull(), surely).otherwise(F.col("_found"))))
     state = F.struct(F.lit(-width).cast("long").alias("last"), F.lit(0).cast("long").alias("covered"))
     step = lambda s, p: F.struct(p.alias("last"), (s["covered"] + F.least(F.lit(width).cast("long"), p - s["last"])).alias("covered"))
     return df.withColumn("n_repeat_words", F.aggregate("_marked", state, step, lambda s: s["covered"]))
