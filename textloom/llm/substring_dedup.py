@@ -33,11 +33,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm.hashing import lists_of, rolling, word_hashes, words_of
-from textloom.session import keep_ids, materialize
+from textloom.session import join_groups, keep_ids, materialize
 
 LENGTH = 50
 SPARE_BITS = 12
-FLUSH = 1_000_000
+FLUSH = 500_000
 _U = np.uint64
 LAST = 2**63 - 1
 
@@ -66,8 +66,8 @@ def _scan(block: int, owner_bits: int):
         parts, grids, held = [], [], 0
         for batch in batches:
             rows = []
-            for key, i, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                words = words_of(text)
+            for key, i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                words = words_of(text.as_py())
                 h = word_hashes(words)
                 r = rolling(h, block)
                 grid = np.unique(r[::block])
@@ -158,15 +158,16 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     text = F.col(text_col).cast("string")
     source = docs.select(F.xxhash64(F.col(id_col), text).alias("key"), F.col(id_col).cast("long").alias("id"), text.alias("text"))
     # A block's chance to be hit by accident is the number of probes over 2 ** (32 + owner bits).
-    owner_bits = min(20, max(6, (docs.count() * 512).bit_length() + SPARE_BITS - 32))
+    rows = docs.count()
+    owner_bits = min(20, max(6, (rows * 512).bit_length() + SPARE_BITS - 32))
     schema = "kind string, key long, id long, n long, sha string, blocks array<long>, owner int, probes binary, several binary, index binary"
     scan = materialize(source.mapInArrow(_scan(block, owner_bits), schema), "substring-scan")
     doc = scan.where("kind = 'doc'").select("key", "id", "n", "sha", "blocks")
     shared = scan.where("kind = 'sent'").select("owner", "probes", "several", "index").groupBy("owner").applyInArrow(_answer(owner_bits), "block long")
 
     # The first document of each word sequence; the others go whole. The digest decides equality.
-    firsts = doc.groupBy("sha").agg(F.min(F.coalesce("id", F.lit(LAST))).alias("first"))
-    named = doc.select("key", "id", "n", "sha").join(firsts, "sha").withColumn("whole", F.expr(f"n >= {length} AND coalesce(id, {LAST}) > first"))
+    firsts = materialize(doc.groupBy("sha").agg(F.min(F.coalesce("id", F.lit(LAST))).alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1"), "substring-firsts")
+    named = join_groups(doc.select("key", "id", "n", "sha"), firsts, "sha", "copies", rows).withColumn("whole", F.expr(f"n >= {length} AND first IS NOT NULL AND coalesce(id, {LAST}) > first"))
     named = materialize(named.select("key", "id", "n", "sha", "whole"), "substring-named")
     hits = doc.select("key", F.explode("blocks").alias("block")).join(shared, "block").groupBy("key").agg(F.collect_set("block").alias("hits"))
     alone = named.where("NOT whole").select("key").distinct()
@@ -174,8 +175,9 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     near = keep_ids(source, hits, "key").join(hits.withColumnRenamed("key", "hit_key").hint("shuffle_hash"), F.col("key") == F.col("hit_key"))
     windows = materialize(near.select("id", "text", "hits").mapInArrow(_near_hits(length, block, owner_bits), "window long, id long"), "substring-windows")
-    least = windows.groupBy("window").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").select("window", "first")
-    later = windows.join(least, "window").where("id > first").groupBy("id").agg(F.collect_set("window").alias("windows"))
+    least = windows.groupBy("window").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count(F.lit(1)).alias("times")).where("first <> last").select("window", "first", "times")
+    least = materialize(least, "substring-least")
+    later = join_groups(windows, least, "window", "times", windows.count(), "inner").where("id > first").groupBy("id").agg(F.collect_set("window").alias("windows"))
     later = later.join(named.select("key", F.coalesce("id", F.lit(LAST)).alias("id")).distinct(), "id").select("key", "windows")
     later = materialize(later, "substring-later")
     again = keep_ids(source, later, "key").join(later.withColumnRenamed("key", "late_key").hint("shuffle_hash"), F.col("key") == F.col("late_key"))
