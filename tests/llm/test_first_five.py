@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from textloom.llm import bpe, exact_dedup, mixing, ngram_join, quality_rules
 from textloom.session import table
@@ -198,6 +199,65 @@ def test_mix_documents(odd):
     assert count == {i: c for i, c in taken.items() if c}
 
 
+def test_mix_of_equal_rows(spark):
+    """Equal rows, rows without an id and rows that repeat one: each is taken as often as its own copies say."""
+    text = lambda n: " ".join(f"w{k}" for k in range(n))
+    rows = [(1, text(10), "a")] * 5 + [(1, text(10), "b")] * 3 + [(None, text(7), "a")] * 4 + [(None, text(9), None), (1, text(11), "a"), (2, text(30), "b")] + [(9, text(5), "a")] * 700
+    for parts in (1, 7):
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(parts)
+        rates = mixing.mix_rates(df).collect()
+        assert len(rates) == len(rows)
+        want = defaultdict(int)
+        for r in rates:
+            want[r.doc_id, r["size"], r.sk] += r.copies
+        count = defaultdict(int)
+        for r in mixing.mix_documents(df).collect():
+            count[r.doc_id, len(r.text.split()), "n" if r.source is None else "s" + r.source] += 1
+        assert count == {k: v for k, v in want.items() if v}
+
+
+def test_targets_of_many_sources(spark):
+    rng = np.random.default_rng(5)
+    sizes = {f"s{k:03}": int(rng.integers(0, 10 ** rng.integers(1, 6))) for k in range(300)} | {None: 77}
+    df = spark.createDataFrame([("n" if s is None else "s" + s, s, n, 1) for s, n in sizes.items()], "sk string, source string, source_size long, n_docs long")
+    want = target_brute(sizes)
+    got = {r.source: r.target for r in mixing.targets(df).collect()}
+    assert got.keys() == want.keys() and all(got[s] == pytest.approx(want[s]) for s in want)
+
+
+def test_repeats_survive_hash_collisions(spark):
+    """With so few bits that keys collide in every text, the counts are still right."""
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, top, n)) for n, top in ((200, 5), (300, 40), (50, 3), (400, 400), (2, 2), (3, 1), (5, 1))]
+    df = spark.createDataFrame([(k, t.split()) for k, t in enumerate(texts)], "k int, _words array<string>")
+    df = df.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
+    for bits in (64, 3):
+        got = {r.k: r.n_repeat_words for r in quality_rules._with_repeat_words(df, hash_bits=bits).collect()}
+        for k, t in enumerate(texts):
+            w, seen, where = t.split(), defaultdict(list), set()
+            for i in range(len(w) - 2):
+                seen[tuple(w[i : i + 3])].append(i)
+            for ks in seen.values():
+                if len(ks) > 1:
+                    where.update(i + j for i in ks for j in range(3))
+            assert got[k] == len(where), (bits, k)
+
+
+def test_bpe_of_other_vocabularies(spark, tmp_path):
+    """A vocabulary that isn't spelt in the byte alphabet is left to the library."""
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    library = Tokenizer(models.BPE({"a": 0, "b": 1, "ü": 2, "日": 3, "ab": 4, "日日": 5, "[UNK]": 6}, [("a", "b"), ("日", "日")], unk_token="[UNK]"))
+    library.pre_tokenizer = pre_tokenizers.Whitespace()
+    path = str(tmp_path / "other.json")
+    library.save(path)
+    texts = ["ab ab 日日", "", None, "xü b", "日 日日a"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    coded = bpe.bpe_encode(df, path)
+    assert {r.doc_id: r.ids for r in coded.collect()} == {k: library.encode(t or "", add_special_tokens=False).ids for k, t in enumerate(texts)}
+    assert {r.doc_id: r.text for r in bpe.bpe_decode(coded, path).collect()} == {k: library.decode(library.encode(t or "", add_special_tokens=False).ids) for k, t in enumerate(texts)}
+
+
 @pytest.mark.parametrize("name", ["odd", "real", "empty"])
 def test_bpe(request, name):
     import public_tokenizers

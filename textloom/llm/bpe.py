@@ -56,8 +56,10 @@ class ForcedBoundaryCodec:
         special = {t["content"] for t in spec.get("added_tokens") or []}
         self.token_bytes: list[bytes] = [b""] * (max(vocab.values()) + 1)
         inside: set[tuple[int, int]] = set()
+        #: Every token is spelt in the byte alphabet; other vocabularies are left to the library.
+        self.by_bytes = all(c in alphabet for t in vocab if t not in special for c in t)
         for token, i in vocab.items():
-            raw = token.encode() if token in special else bytes(alphabet[c] for c in token)
+            raw = token.encode() if token in special or not self.by_bytes else bytes(alphabet[c] for c in token)
             self.token_bytes[i] = raw
             inside.update(zip(raw, raw[1:], strict=False))
         #: Bytes after which a blank is a forced boundary.
@@ -72,7 +74,7 @@ class ForcedBoundaryCodec:
         blocks = [b for b in spec.get("added_tokens") or [] if " " in b["content"] or b.get("lstrip") or b.get("rstrip") or b.get("single_word")]
         pre = spec.get("pre_tokenizer") or {}
         #: The argument above holds for this kind of tokenizer only; others get whole texts.
-        self.exact = not blocks and not spec.get("normalizer") and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
+        self.exact = self.by_bytes and not blocks and not spec.get("normalizer") and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
         self.store: dict[str, bytes] = {}
 
     def _fragment(self, fragment: str) -> bytes:
@@ -98,6 +100,8 @@ class ForcedBoundaryCodec:
 
     def decode(self, ids: bytes) -> str:
         """The text of encoded ids; bytes that are no UTF-8 become replacement characters."""
+        if not self.by_bytes:
+            return self.tokenizer.decode(np.frombuffer(ids, "<u4").tolist(), skip_special_tokens=False)
         pieces = self.token_bytes
         return b"".join(map(pieces.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
