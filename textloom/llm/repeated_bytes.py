@@ -40,6 +40,7 @@ from itertools import product
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -54,7 +55,7 @@ GRAM = 64
 #: What a bucket of documents holds, what a task gathers before it sends, and what an owner gets.
 BUCKET_BYTES = 2 << 20
 CHUNK_ANCHORS = 400_000
-OWNER_NAMES = 1 << 22
+OWNER_NAMES = 1 << 21
 _U = np.uint64
 
 
@@ -256,11 +257,13 @@ class _Bucket:
         return [_hashes(raw, length)[at] if len(at) else np.empty(0, np.uint64) for raw, at in zip(self.raws, places, strict=True)]
 
 
-_NEAR = pa.schema([("kind", pa.string()), ("bucket", pa.int64()), ("key", pa.int64()), ("text", pa.string()), ("repeats", pa.int64()), ("samples", pa.binary()), ("owner", pa.int32()), ("names", pa.binary()), ("twice", pa.binary())])
+_SENT = pa.schema([("bucket", pa.int64()), ("owner", pa.int32()), ("names", pa.binary()), ("twice", pa.binary())])
+_SENT_TYPE = "bucket long, owner int, names binary, twice binary"
 
 
-def _sent_rows(bucket: int, names: list[np.ndarray], owner_bits: int) -> list[dict]:
-    return [{"kind": "sent", "bucket": bucket, "owner": o, "names": x, "twice": t} for o, x, t in _split(*_distinct(names), owner_bits)]
+def _sent(table: pa.Table, names: list[np.ndarray], owner_bits: int) -> pa.Table:
+    bucket = table["bucket"][0].as_py()
+    return pa.Table.from_pylist([{"bucket": bucket, "owner": o, "names": x, "twice": t} for o, x, t in _split(*_distinct(names), owner_bits)], schema=_SENT)
 
 
 def _sample(order: int, gram: int, owner_bits: int):
@@ -270,14 +273,13 @@ def _sample(order: int, gram: int, owner_bits: int):
     def run(table: pa.Table) -> pa.Table:
         docs = _Bucket(table)
         places = [region_samples(raw, np.frombuffer(a, np.uint64), order, gram) for raw, a in zip(docs.raws, table["anchors"].to_pylist(), strict=True)]
-        rows = _sent_rows(table["bucket"][0].as_py(), docs.names(places, 3 * v), owner_bits)
-        return pa.Table.from_pylist(rows, schema=_NEAR).select(["bucket", "owner", "names", "twice"])
+        return _sent(table, docs.names(places, 3 * v), owner_bits)
 
     return run
 
 
-def _recurse(length: int, order: int, gram: int, owner_bits: int):
-    """Step 2: repeated triples of each document, and the names of the strings that they leave."""
+def _recurse(length: int, order: int, gram: int):
+    """Step 2: each document's repeated triples; its text goes on only if they leave strings."""
     v, _ = difference_cover(order)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -286,14 +288,24 @@ def _recurse(length: int, order: int, gram: int, owner_bits: int):
         names = docs.names(places, 3 * v)
         shared = _repeated(names, right)
         samples = [at[_among(x, shared)] for at, x in zip(places, names, strict=True)]
-        starts = [candidates(len(raw), at, length, order) for raw, at in zip(docs.raws, samples, strict=True)]
-        bucket = left["bucket"][0].as_py() if left.num_rows else 0
-        # The text goes on only where strings are left.
-        rows = [
-            {"kind": "doc", "bucket": bucket, "key": key, "text": raw.decode("utf-8", "surrogatepass") if len(s) else None, "repeats": len(at), "samples": at.astype(np.uint32).tobytes() if len(s) else b""}
-            for key, raw, at, s in zip(docs.keys, docs.raws, samples, starts, strict=True)
-        ]
-        return pa.Table.from_pylist(rows + _sent_rows(bucket, docs.names(starts, length), owner_bits), schema=_NEAR)
+        some = pa.array([len(candidates(len(raw), at, length, order)) > 0 for raw, at in zip(docs.raws, samples, strict=True)], pa.bool_())
+        text = pc.if_else(some, left["text"].combine_chunks(), pa.scalar(None, pa.string()))
+        return pa.table({"bucket": left["bucket"], "key": left["key"], "text": text, "repeats": pa.array([len(at) for at in samples], pa.int64()), "samples": pa.array([at.astype(np.uint32).tobytes() for at in samples], pa.binary())})
+
+    return run
+
+
+def _left(docs: _Bucket, table: pa.Table, length: int, order: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Places and names of the strings that are left."""
+    starts = [candidates(len(raw), np.frombuffer(s, np.uint32).astype(np.int64), length, order) for raw, s in zip(docs.raws, table["samples"].to_pylist(), strict=True)]
+    return starts, docs.names(starts, length)
+
+
+def _merge(length: int, order: int, owner_bits: int):
+    """Step 3: a bucket's names of the strings that are left."""
+
+    def run(table: pa.Table) -> pa.Table:
+        return _sent(table, _left(_Bucket(table), table, length, order)[1], owner_bits)
 
     return run
 
@@ -313,8 +325,7 @@ def _mark(length: int, order: int):
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         docs = _Bucket(left)
-        starts = [candidates(len(raw), np.frombuffer(s, np.uint32).astype(np.int64), length, order) for raw, s in zip(docs.raws, left["samples"].to_pylist(), strict=True)]
-        names = docs.names(starts, length)
+        starts, names = _left(docs, left, length, order)
         shared = _repeated(names, right)
         out: dict[str, list] = {"cut_key": [], "gone": [], "spans": [], "kept_sha": []}
         for key, raw, at, x in zip(docs.keys, docs.raws, starts, names, strict=True):
@@ -327,7 +338,7 @@ def _mark(length: int, order: int):
 
 
 def _bits(names: int) -> int:
-    return max(4, (names // OWNER_NAMES).bit_length())
+    return max(6, (names // OWNER_NAMES).bit_length())
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, order: int = ORDER, gram: int = GRAM) -> DataFrame:
@@ -366,14 +377,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = texts.join(near.select(F.col("key").alias("near_key"), "anchors").hint("shuffle_hash"), F.col("key") == F.col("near_key"))
     texts = materialize(texts.select("key", "text", "anchors", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(buckets)).alias("bucket")), "repeats-near")
 
-    sampled = texts.groupBy("bucket").applyInArrow(_sample(order, gram, _bits(held * len(members) // v)), "bucket long, owner int, names binary, twice binary")
-    triples = _answers(sampled)
-    left = texts.groupBy("bucket").cogroup(triples.groupBy("bucket")).applyInArrow(_recurse(length, order, gram, _bits(held)), "kind string, bucket long, key long, text string, repeats long, samples binary, owner int, names binary, twice binary")
+    triples = _answers(texts.groupBy("bucket").applyInArrow(_sample(order, gram, _bits(held * len(members) // v)), _SENT_TYPE))
+    left = texts.groupBy("bucket").cogroup(triples.groupBy("bucket")).applyInArrow(_recurse(length, order, gram), "bucket long, key long, text string, repeats long, samples binary")
     left = materialize(left, "repeats-left")
-    answers = _answers(left.where("kind = 'sent'").select("bucket", "owner", "names", "twice"))
-    rest = left.where("kind = 'doc' AND text IS NOT NULL").select("bucket", "key", "text", "samples")
+    rest = left.where("text IS NOT NULL").select("bucket", "key", "text", "samples")
+    answers = _answers(rest.groupBy("bucket").applyInArrow(_merge(length, order, _bits(held)), _SENT_TYPE))
     cut = rest.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(_mark(length, order), "cut_key long, gone long, spans long, kept_sha string")
-    found = left.where("kind = 'doc'").select("key", "repeats").join(cut, F.col("key") == F.col("cut_key"), "left").drop("cut_key")
+    found = left.select("key", "repeats").join(cut, F.col("key") == F.col("cut_key"), "left").drop("cut_key")
     out = named.join(found, "key", "left")
     copied, whole, nothing = F.col("copies").isNotNull(), F.col("copies").isNotNull() & (F.col("n") >= length), hashlib.sha256(b"").hexdigest()
     return out.select(
