@@ -1,6 +1,7 @@
 """Substring dedup, repeated bytes, PII, toxicity and chats against plain Python."""
 
 import hashlib
+import itertools
 import random
 import re
 from collections import defaultdict
@@ -225,7 +226,7 @@ def test_toxicity_restores_words():
             tri[tuple(w[k : k + 3])] += 1
     r = toxicity.Restorer(toxicity.CharModel(tri))
     for odd, plain in (("1d10t", "idiot"), ("st.u.p.i.d", "stupid"), ("looooser", "loser"), ("tr@sh", "trash"), ("$tup1d", "stupid"), ("letter", "letter"), ("book", "book"), ("Trash,", "trash")):
-        assert r.word(odd) == plain, odd
+        assert r[odd] == plain, odd
     assert "stupid" in r.words("so s t u p i d they said")
 
 
@@ -238,11 +239,11 @@ def test_toxicity_reads_whole_channel():
             tri[tuple(w[k : k + 3])] += 50
     r = toxicity.Restorer(toxicity.CharModel(tri))
     for odd, plain in (("stu" + "u" * 70 + "pid", "stupid"), ("s-t-u-p-i-d" + "-" * 70, "stupid"), ("stuupid", "stupid"), ("idiott", "idiot"), ("10$3r", "loser"), ("letter", "letter"), ("book", "book")):
-        assert r.word(odd) == plain, odd
-    assert r.word("|0$3r") == "loser" and r.word("4") == "a"
+        assert r[odd] == plain, odd
+    assert r["|0$3r"] == "loser" and r["4"] == "a"
     for text, words in (("a s t u p i d", ["a", "stupid"]), ("y o u a r e a n i d i o t", ["you", "are", "an", "idiot"]), ("y o u " * 30 + "l o s e r", ["you", "loser"])):
         assert set(words) <= set(r.words(text)), (text, r.words(text))
-    assert len(r.word("b@" * 100_000)) > 0
+    assert len(r["b@" * 100_000]) > 0
 
 
 def test_toxicity_held_out(spark):
@@ -254,6 +255,56 @@ def test_toxicity_held_out(spark):
     assert precision > 0.8 and recall > 0.6, (precision, recall)
 
 
+def test_toxicity_restoration_is_best(spark):
+    """Viterbi against all readings of short lattices."""
+    counts = defaultdict(int)
+    for w in ["stupid", "idiot", "loser", "you", "are", "an", "so", "the"] * 20:
+        w = "^^" + w + "^"
+        for k in range(len(w) - 2):
+            counts[tuple(w[k : k + 3])] += 1
+    model = toxicity.CharModel(counts)
+
+    def score(readings):
+        s, at = 0.0, "^^"
+        for letters, cost in readings:
+            s += cost
+            for c in letters:
+                if c == " ":
+                    s, at = s + model.log(at[0], at[1], "^"), "^^"
+                else:
+                    s, at = s + model.log(at[0], at[1], c), at[1] + c
+        return s + model.log(at[0], at[1], "^")
+
+    rng = random.Random(4)
+    for spaced in (False, True):
+        for _ in range(60):
+            token = "".join(rng.choice("stuidoa013.$@ee") for _ in range(rng.randint(3, 6)))
+            if not spaced and not toxicity.ODD.search(token) or not any(c.isalpha() or c in toxicity.READINGS for c in token):
+                continue
+            every = {}
+            for path in itertools.product(*toxicity.lattice(token, spaced)):
+                word = "".join(letters for letters, _ in path)
+                every[word] = max(every.get(word, -1e9), score(path))
+            assert every[toxicity.restore(token, model, spaced)] == pytest.approx(max(every.values())), token
+
+
+def test_toxicity_joined_lexicon(spark, real):
+    """A lexicon too large to be sent gives the same numbers by a join."""
+    chars = toxicity.learn_characters(real)
+    words = sorted({w for _, t in rows_of(real)[:40] for w in toxicity.Restorer(chars).words(t or "")})
+    lexicon = spark.createDataFrame([(w, 1.0 + len(w)) for w in words[::7]], "word string, odds double")
+    rows = real.select("text", "doc_id")
+    a, b = ({r.doc_id: r.x for r in toxicity.featured(rows, chars, lexicon, sent).collect()} for sent in (10**6, 0))
+    assert a.keys() == b.keys() and all(a[i] == pytest.approx(b[i]) for i in a)
+
+
+def test_toxicity_counts_every_letter(spark):
+    """Letters beyond the alphabet are counted as one class; none is lost."""
+    words = [chr(0x4E00 + k) * 3 for k in range(300)] + ["abc"] * 500
+    chars = toxicity.learn_characters(spark.createDataFrame([(" ".join(words),)], "text string"))
+    assert chars.total == sum(len(w) + 1 for w in words) and len(chars.letters) == toxicity.ALPHABET and {"a", "b", "c"} <= chars.letters
+
+
 @pytest.mark.parametrize("name", ["odd", "empty"])
 def test_toxicity_odd(request, spark, name):
     df = request.getfixturevalue(name)
