@@ -7,20 +7,50 @@ from __future__ import annotations
 
 import html
 import re
+import unicodedata
 from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Spans that a sweep must not touch: code, links, tags and front matter.
-PROTECTED = re.compile(r"(```.*?```|`[^`\n]*`|\]\([^)\n]*\)|<[^>\n]*>|\A---\n.*?\n---\n)", re.S)
+#: Spans that a sweep must not touch: code, and italics with a straight quote.
+PROTECTED = re.compile(r"```.*?```|`[^`\n]*`|\*[^*\n]*'[^*\n]*\*", re.S)
+
+
+def exposed(span: str) -> bool:
+    """An italic span with a letter that carries a mark (other than in transliterations) is a title: no protection."""
+    return span.startswith("*") and any(unicodedata.normalize("NFD", c)[1:] or c in "đĐ" for c in span if c.isalpha())
+
+
+def protect(text: str) -> tuple[str, list[str]]:
+    """The text with placeholders for its protected spans, and the spans."""
+    kept: list[str] = []
+
+    def hide(m: re.Match) -> str:
+        if exposed(m[0]):
+            return m[0]
+        kept.append(m[0])
+        return f"\0{len(kept) - 1}\0"
+
+    return PROTECTED.sub(hide, text), kept
+
+
+def restore(text: str, kept: list[str]) -> str:
+    return re.sub("\0(\\d+)\0", lambda m: kept[int(m[1])], text)
+
+
+def front_matter(text: str) -> tuple[str, str]:
+    """The leading block between rules, and the rest."""
+    m = re.match(r"---\n.*?\n---\n", text, re.S)
+    return (m[0], text[m.end() :]) if m else ("", text)
 
 
 def outside_protected(text: str, rewrite: Callable[[str], str]) -> str:
-    """``rewrite`` applied to what lies outside the protected spans."""
-    parts = PROTECTED.split(text or "")
-    return "".join(p if k % 2 else rewrite(p) for k, p in enumerate(parts))
+    """``rewrite`` applied to what lies outside front matter and the protected spans."""
+    front, body = front_matter(text or "")
+    body, kept = protect(body)
+    return front + restore(rewrite(body), kept)
 
 
 def protected_udf(rewrite: Callable[[str], str]):
@@ -34,40 +64,70 @@ def protected_udf(rewrite: Callable[[str], str]):
 
 
 def inline_html(text: str) -> str:
-    out = html.escape(text, quote=False)
-    out = re.sub(r"`([^`]+)`", r"<code>\1</code>", out)
-    out = re.sub(r"\*\*([^*]+)\*\*", r"<strong>\1</strong>", out)
-    return re.sub(r"\*([^*]+)\*", r"<em>\1</em>", out)
+    """Emphasis and code of one block; what stands between backticks is code and nothing else."""
+    out = []
+    for k, part in enumerate(re.split(r"`([^`]+)`", text)):
+        part = html.escape(part, quote=False)
+        if k % 2:
+            out.append(f"<code>{part}</code>")
+        else:
+            out.append(re.sub(r"\*([^*]+)\*", r"<em>\1</em>", re.sub(r"\*\*([^*]+)\*\*", r"<strong>\1</strong>", part)))
+    return "".join(out)
+
+
+_LIST = re.compile(r"\s*([-*+]|\d+\.)\s+")
+
+
+def _block_html(lines: list[str]) -> str:
+    """One block of Markdown lines."""
+    if all(x.lstrip().startswith(">") for x in lines):
+        return "<blockquote>" + "<br>".join(inline_html(re.sub(r"^\s*>\s?", "", x)) for x in lines) + "</blockquote>"
+    if len(lines) > 1 and all(x.startswith("|") for x in lines) and re.fullmatch(r"[|\s:-]+", lines[1]):
+        cells = lambda x, tag: "".join(f"<{tag}>{inline_html(c.strip())}</{tag}>" for c in x.strip("|").split("|"))
+        return "<table><tr>" + cells(lines[0], "th") + "</tr>" + "".join(f"<tr>{cells(x, 'td')}</tr>" for x in lines[2:]) + "</table>"
+    if all(_LIST.match(x) for x in lines):
+        tag = "ol" if re.match(r"\s*\d", lines[0]) else "ul"
+        return f"<{tag}>" + "".join("<li>" + inline_html(_LIST.sub("", x, count=1)) + "</li>" for x in lines) + f"</{tag}>"
+    return "<p>" + inline_html("\n".join(lines)) + "</p>"
 
 
 def markdown_html(text: str) -> str:
-    """Fences, headings, quotes, tables, lists and paragraphs to HTML."""
+    """Fences, headings, rules, quotes, tables, lists and paragraphs to HTML, line by line."""
     out: list[str] = []
-    blocks = re.split(r"\n{2,}|(?<=\n)(?=```)", (text or "").strip("\n"))
+    block: list[str] = []
     fence: list[str] | None = None
-    for block in blocks:
-        lines = block.split("\n")
-        if fence is not None or lines[0].startswith("```"):
-            fence = (fence or []) + lines
-            if len([x for x in fence if x.startswith("```")]) >= 2:
-                out.append("<pre>" + html.escape("\n".join(x for x in fence if not x.startswith("```")), quote=False) + "</pre>")
+
+    def flush() -> None:
+        if block:
+            out.append(_block_html(block))
+            block.clear()
+
+    for line in (text or "").split("\n"):
+        if fence is not None:
+            if line.startswith("```"):
+                out.append("<pre>" + html.escape("\n".join(fence), quote=False) + "</pre>")
                 fence = None
-        elif m := re.match(r"(#{1,6})\s+(.*)", lines[0]):
+            else:
+                fence.append(line)
+        elif line.startswith("```"):
+            flush()
+            fence = []
+        elif not line.strip():
+            flush()
+        elif m := re.match(r"(#{1,6})\s+(.*)", line):
+            flush()
             out.append(f"<h{len(m[1])}>{inline_html(m[2])}</h{len(m[1])}>")
-            if len(lines) > 1:
-                out.append("<p>" + inline_html("\n".join(lines[1:])) + "</p>")
-        elif all(x.lstrip().startswith(">") for x in lines):
-            out.append("<blockquote>" + "<br>".join(inline_html(re.sub(r"^\s*>\s?", "", x)) for x in lines) + "</blockquote>")
-        elif len(lines) > 1 and all(x.startswith("|") for x in lines) and re.fullmatch(r"[|\s:-]+", lines[1]):
-            cells = lambda x, tag: "".join(f"<{tag}>{inline_html(c.strip())}</{tag}>" for c in x.strip("|").split("|"))
-            out.append("<table><tr>" + cells(lines[0], "th") + "</tr>" + "".join(f"<tr>{cells(x, 'td')}</tr>" for x in lines[2:]) + "</table>")
-        elif all(re.match(r"\s*([-*+]|\d+\.)\s", x) for x in lines):
-            tag = "ol" if re.match(r"\s*\d", lines[0]) else "ul"
-            out.append(f"<{tag}>" + "".join("<li>" + inline_html(re.sub(r"^\s*([-*+]|\d+\.)\s+", "", x)) + "</li>" for x in lines) + f"</{tag}>")
-        elif block.strip():
-            out.append("<p>" + inline_html(block) + "</p>")
-    if fence:
-        out.append("<pre>" + html.escape("\n".join(fence[1:]), quote=False) + "</pre>")
+        elif re.fullmatch(r"\s*(---|\*\*\*|___)\s*", line):
+            flush()
+            out.append("<hr>")
+        else:
+            kind = lambda x: ">" if x.lstrip().startswith(">") else "|" if x.startswith("|") else "-" if _LIST.match(x) else ""
+            if block and kind(block[-1]) != kind(line):
+                flush()
+            block.append(line)
+    flush()
+    if fence is not None:
+        out.append("<pre>" + html.escape("\n".join(fence), quote=False) + "</pre>")
     return "\n".join(out)
 
 
@@ -77,11 +137,13 @@ def markdown_to_html(texts: pd.Series) -> pd.Series:
 
 
 def insert_marker(text: str, at: int, marker: str) -> str:
-    """A marker at an offset; at a line start it goes behind a heading, quote or list prefix."""
-    start = text.rfind("\n", 0, at) + 1
-    prefix = re.match(r"\s*(?:#{1,6}\s+|>\s*|[-*+]\s+|\d+\.\s+)", text[start:])
-    if prefix and at - start < prefix.end():
-        at = start + prefix.end()
+    """A marker at an offset. At a line's start: above a heading, with a blank line; behind a quote or list mark."""
+    if at == text.rfind("\n", 0, at) + 1:
+        line = text[at:].partition("\n")[0]
+        if re.match(r"\s*#", line):
+            return f"{text[:at]}{marker}\n\n{text[at:]}"
+        if mark := re.match(r"\s*(?:>\s?|(?:[-*+]|\d+[.)])\s+)", line):
+            at += mark.end()
     return text[:at] + marker + text[at:]
 
 
@@ -101,6 +163,16 @@ def enumerations(text: str, intro: str, classifiers: dict[str, str], default: st
     return re.sub(rf"({intro}\s+\w+)(?!\w)", one, text or "")
 
 
+def enumerated(intro: str, classifiers: dict[str, str], default: str, ahead: int = 60):
+    """A column function of :func:`enumerations`."""
+
+    @F.pandas_udf(T.StringType())
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else enumerations(t, intro, classifiers, default, ahead))
+
+    return run
+
+
 def code_map(text: str) -> list[tuple[int, str]]:
     """``(code, unicode)`` of a character map: single entries, ranges, and ranges with arrays."""
     out: list[tuple[int, str]] = []
@@ -128,7 +200,11 @@ def code_map_entries(texts: pd.Series) -> pd.Series:
 #: Code ranges (fixed values): base letters, subjoined letters, and the marks between syllables.
 BASE_LETTERS = r"\x{0F40}-\x{0F6C}"
 SUB_LETTERS = r"\x{0F90}-\x{0FBC}"
-SYLLABLE_MARKS = r"[\x{0F0B}\x{0F0C}\x{0F0D}\x{0F0E}\s]+"
+SYLLABLE_MARKS = r"[\x{0F0B}\x{0F0D}\x{0F0E}\x{0F11}\x{0F14}\s]+"
+#: Letters that only transliterations have (fixed values), as code points.
+FOREIGN = r"\x{0F4A}-\x{0F4C}\x{0F4E}\x{0F65}\x{0F91}\x{0F96}\x{0F9A}-\x{0F9C}\x{0F9E}\x{0FB5}\x{0FB7}"
+#: Letters that may end a syllable (fixed values).
+SUFFIXES = "གངདནབམའརལས"
 
 
 def syllables(text):
@@ -137,21 +213,36 @@ def syllables(text):
 
 
 def stacks(syllable):
-    """Letter stacks: a base letter with what is joined below it."""
-    return F.regexp_extract_all(syllable, F.lit(f"([{BASE_LETTERS}][{SUB_LETTERS}]*)"), F.lit(1))
+    """Letter stacks: a base letter with what is joined below it; joined letters without a base are one too."""
+    return F.regexp_extract_all(syllable, F.lit(f"([{BASE_LETTERS}][{SUB_LETTERS}]*|[{SUB_LETTERS}]+)"), F.lit(1))
+
+
+def foreign(stack, legal):
+    """The stack follows no native rule: it has a foreign letter, or two joined letters that no legal stack has."""
+    return stack.rlike(f"[{FOREIGN}]") | ((F.regexp_count(stack, F.lit(f"[{SUB_LETTERS}]")) >= 2) & ~F.array_contains(legal, stack))
 
 
 def illegal_stacks(syllable, legal):
-    """Stacks outside a legal set (an array column)."""
-    return F.array_except(stacks(syllable), legal)
+    """Stacks outside a legal set (an array column), foreign ones exempt; in order, with repeats."""
+    return F.filter(stacks(syllable), lambda s: ~F.array_contains(legal, s) & ~foreign(s, legal))
 
 
-def last_letter(syllable):
-    """The last base letter; null if none."""
+def final_letter(syllable, suffixes: str = SUFFIXES):
+    """The last base letter if there are two and it may end a syllable; null otherwise."""
     found = F.regexp_extract_all(syllable, F.lit(f"([{BASE_LETTERS}])"), F.lit(1))
-    return F.when(F.size(found) > 0, F.element_at(found, -1))
+    last = F.element_at(found, -1)
+    return F.when(F.size(found) >= 2, F.when(last.isin(list(suffixes)), last))
+
+
+def legal_stacks(bases: str, heads: dict[str, str], subs: dict[str, str], more: tuple[str, ...] = ()) -> list[str]:
+    """Legal stacks by rule: bases; a head over the joined forms of its roots; roots with a letter below; and listed ones.
+
+    ``heads`` maps a head to its roots, ``subs`` a joined letter to the roots that carry it. A base letter's
+    joined form is ``SUBJOINED`` code points further on.
+    """
+    joined = lambda c: chr(ord(c) + SUBJOINED)
+    return sorted({*bases, *(h + joined(r) for h, roots in heads.items() for r in roots), *(r + s for s, roots in subs.items() for r in roots), *more})
 
 
-def legal_stacks(bases: str, subs: str, roots: dict[str, str]) -> list[str]:
-    """Single bases, and for each sub letter the bases that carry it."""
-    return sorted({*bases, *(b + s for s in subs for b in roots.get(s, ""))})
+#: From a base letter to its joined form (fixed value).
+SUBJOINED = 0x50

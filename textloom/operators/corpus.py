@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions import text as X
+from textloom.operators import folds
+from textloom.session import keep_ids, materialize
 
 # --- explosions -----------------------------------------------------------------------------
 
@@ -25,11 +27,22 @@ def tokens(df: DataFrame, key: list[str], text: str = "text", separators: str =
     return df.select(*key, F.posexplode(X.words(F.col(text), separators)).alias("pos", "token"))
 
 
-def ngrams(df: DataFrame, key: list[str], n: int, text: str = "text", separators: str = r"[\s.,;:!?]+") -> DataFrame:
-    """``*key, gram, left, right``: every n-gram of tokens with its neighbours (null at the ends)."""
-    w = df.select(*key, X.words(F.lower(text), separators).alias("w"))
-    grams = F.transform(F.sequence(F.lit(0), F.size("w") - n), lambda i: F.struct(F.array_join(F.slice("w", i + 1, n), " ").alias("gram"), F.when(i > 0, F.get("w", i - 1)).alias("left"), F.get("w", i + n).alias("right")))
-    return w.where(F.size("w") >= n).select(*key, F.explode(grams).alias("g")).select(*key, "g.*")
+#: What no n-gram crosses: line ends and marks.
+RUN_MARKS = r"[\n.,;:!?]+"
+
+
+def runs(df: DataFrame, key: list[str], text: str = "text", marks: str = RUN_MARKS, separators: str = X.BLANK) -> DataFrame:
+    """``*key, w``: the tokens of each run between line ends or marks."""
+    parts = F.transform(F.split(F.lower(text), marks), lambda r: X.words(r, separators))
+    return df.select(*key, F.explode(parts).alias("w")).where(F.size("w") > 0)
+
+
+def contexts(df: DataFrame, key: str, token: str, width: int = 2, order: str = "pos") -> DataFrame:
+    """``signature``: up to ``width`` tokens on either side of each occurrence; the document's edges are ``^`` and ``$``."""
+    w = Window.partitionBy(key).orderBy(order)
+    before = [F.lag("token", k, "^").over(w) for k in range(width, 0, -1)]
+    after = [F.lead("token", k, "$").over(w) for k in range(1, width + 1)]
+    return df.select("token", F.concat_ws(" ", *before, F.lit("_"), *after).alias("signature")).where(F.col("token") == token).select("signature")
 
 
 # --- aggregations ---------------------------------------------------------------------------
@@ -52,9 +65,23 @@ def non_majority(counts: DataFrame, group: str, n: str = "n") -> DataFrame:
 
 def top_shares(counts: DataFrame, group: str, value: str, k: int = 3, n: str = "n") -> DataFrame:
     """``group, value, rank, n, share`` of the k commonest values; ties by value."""
-    w = Window.partitionBy(group)
-    ranked = counts.withColumn("rank", F.row_number().over(w.orderBy(F.desc(n), value))).withColumn("share", F.col(n) / F.sum(n).over(w))
-    return ranked.where(F.col("rank") <= k).select(group, value, "rank", n, F.round("share", 6).alias("share"))
+    total = counts.groupBy(group).agg(F.sum(n).alias("_total"))
+    ranked = counts.withColumn("rank", F.row_number().over(Window.partitionBy(group).orderBy(F.desc(n), value))).where(F.col("rank") <= k)
+    return ranked.join(total, group).select(group, value, "rank", n, F.round(F.col(n) / F.col("_total"), 6).alias("share"))
+
+
+def index_quantiles(df: DataFrame, group: str, value: str, forms: dict[str, str]) -> DataFrame:
+    """Quantiles by index into the ascending values of each group.
+
+    ``forms`` maps a name to the index, an expression over ``n``. Values are counted first, so the window of a
+    hot group sees its distinct values.
+    """
+    counts = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("c"))
+    w = Window.partitionBy(group).orderBy(value)
+    total = counts.groupBy(group).agg(F.sum("c").alias("n"))
+    spans = counts.withColumn("end", F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("start", F.col("end") - F.col("c")).join(total, group)
+    at = lambda e: F.max(F.when((F.expr(e) >= F.col("start")) & (F.expr(e) < F.col("end")), F.col(value)))
+    return spans.groupBy(group).agg(*[at(e).alias(name) for name, e in forms.items()])
 
 
 def weighted_mode(df: DataFrame, group: str, value: str, weight: str) -> DataFrame:
@@ -64,11 +91,29 @@ def weighted_mode(df: DataFrame, group: str, value: str, weight: str) -> DataFra
     return best.select(group, F.col("b.value").alias("mode"), (-F.col("b.neg")).alias("weight"))
 
 
-def branching(df: DataFrame, key: str, n: int, least: int = 2) -> DataFrame:
-    """``gram, n_tokens, count, n_left, n_right`` of n-grams seen ``least`` times."""
-    g = ngrams(df, [key], n)
-    out = g.groupBy("gram").agg(F.count(F.lit(1)).alias("count"), F.count_distinct("left").alias("n_left"), F.count_distinct("right").alias("n_right"))
-    return out.where(F.col("count") >= least).select("gram", F.lit(n).alias("n_tokens"), "count", "n_left", "n_right")
+def branching(df: DataFrame, key: str, sizes: tuple[int, ...] = (1, 2, 3, 4, 5), least: int = 25, text: str = "text") -> DataFrame:
+    """``gram, n_tokens, count, n_left, n_right`` of n-grams inside runs, seen ``least`` times.
+
+    ``n_left`` and ``n_right`` count different neighbours; a run's edge is one of them. A first pass counts
+    64-bit names of all n-grams, so that strings are made and shuffled only for those frequent enough.
+    """
+    words = runs(df, [key], text)
+    name = lambda i, n: F.xxhash64(F.slice("w", i + 1, n))
+
+    def gram(i: Column, n: int) -> Column:
+        left, right = F.when(i > 0, F.get("w", i - 1)), F.get("w", i + n)
+        return F.struct(name(i, n).alias("h"), F.array_join(F.slice("w", i + 1, n), " ").alias("gram"), F.lit(n).alias("n_tokens"), F.array(left, right).alias("beside"))
+
+    def each(make) -> Column:
+        """``make(place, size)`` of every n-gram of a run."""
+        at = lambda n: F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(0), F.size("w") - n), lambda i: make(i, n)))
+        return F.explode(F.flatten(F.array_compact(F.array(*map(at, sizes)))))
+
+    often = words.select(each(name).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= least).select("h")
+    seen = keep_ids(words.select(each(gram).alias("g")).select("g.*"), materialize(often, "grams-often"), "h")
+    beside = seen.select("gram", "n_tokens", F.posexplode("beside").alias("side", "other")).groupBy("gram", "n_tokens", "side", "other").agg(F.count(F.lit(1)).alias("c"))
+    out = beside.groupBy("gram", "n_tokens").agg(F.sum(F.when(F.col("side") == 0, F.col("c"))).alias("count"), F.count_if(F.col("side") == 0).alias("n_left"), F.count_if(F.col("side") == 1).alias("n_right"))
+    return out.where(F.col("count") >= least).select("gram", "n_tokens", "count", "n_left", "n_right")
 
 
 def branching_score(count: Column, left: Column, right: Column, n: Column) -> Column:
@@ -76,39 +121,33 @@ def branching_score(count: Column, left: Column, right: Column, n: Column) -> Co
     return F.round(F.log(count) * F.log(F.greatest(F.least(left, right), F.lit(1))) * (1 + 0.35 * n), 2)
 
 
-def term_candidates(df: DataFrame, key: str, stopwords: list[str], sizes: tuple[int, ...] = (1, 2, 3), least: int = 5, share: float = 0.85) -> DataFrame:
-    """Scored terms without stopwords at their ends, longer ones absorbing their parts.
+def term_candidates(
+    df: DataFrame, key: str, head_stop: list[str], tail_stop: list[str], sizes: tuple[int, ...] = (2, 3, 4, 5), least: int = 25, variety: int = 3, share: float = 0.85
+) -> DataFrame:
+    """Scored terms: no stopword of its kind at either end, ``variety`` neighbours on both sides, parts absorbed.
 
-    A term goes if a longer kept one contains it with at least ``share`` of its count. Terms are
+    A term goes if a longer candidate contains it with at least ``share`` of its count. Terms are
     matched by exploding the longer ones into their sub-grams, an equi-join rather than a
     containment test of all pairs.
     """
-    found = None
-    for n in sizes:
-        b = branching(df, key, n, least)
-        found = b if found is None else found.unionByName(b)
     w = F.split("gram", " ")
-    found = found.where(~F.element_at(w, 1).isin(stopwords) & ~F.element_at(w, -1).isin(stopwords))
-    top = max(sizes)
-    subs = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.lit(top)), lambda m: F.transform(F.sequence(F.lit(0), F.lit(top - 1)), lambda i: F.when(i + m <= F.size(w), F.array_join(F.slice(w, i + 1, m), " "))))))
-    parts = found.select(F.col("gram").alias("longer"), F.col("count").alias("longer_count"), F.explode(subs).alias("gram")).where("gram IS NOT NULL AND gram <> longer")
-    absorbed = parts.join(found.select("gram", F.col("count").alias("c")), "gram").where(F.col("longer_count") >= share * F.col("c")).select("gram").distinct()
+    found = branching(df, key, sizes, least).where((F.col("n_left") >= variety) & (F.col("n_right") >= variety))
+    found = materialize(found.where(~F.element_at(w, 1).isin(head_stop) & ~F.element_at(w, -1).isin(tail_stop)), "terms")
+    subs = F.flatten(F.transform(F.sequence(F.lit(1), F.size(w) - 1), lambda m: F.transform(F.sequence(F.lit(0), F.size(w) - m), lambda i: F.array_join(F.slice(w, i + 1, m), " "))))
+    parts = found.where("n_tokens > 1").select(F.col("count").alias("longer"), F.explode(F.array_distinct(subs)).alias("gram")).groupBy("gram").agg(F.max("longer").alias("longer"))
+    absorbed = parts.join(found.select("gram", "count"), "gram").where(F.col("longer") >= share * F.col("count")).select("gram")
     kept = found.join(absorbed, "gram", "left_anti")
     return kept.withColumn("score", branching_score(F.col("count"), F.col("n_left"), F.col("n_right"), F.col("n_tokens")))
 
 
-def prose_metrics(df: DataFrame, key: str, text: str = "text", long: int = 40, very_long: int = 80) -> DataFrame:
-    """Per document: words, sentences, their median, p90 and largest size, long ones, and rates."""
-    per_line = F.transform(F.split(text, "\n"), lambda x: F.transform(X.sentences(x), lambda s: F.size(X.words(s))))
-    m = df.select(key, F.filter(F.flatten(per_line), lambda n: n > 0).alias("sizes"), F.regexp_count(text, F.lit(";")).alias("semi"), F.regexp_count(text, F.lit("[\"']")).alias("straight"))
-    total = F.aggregate("sizes", F.lit(0), lambda s, x: s + x)
-    return m.select(
-        key, total.alias("words"), F.size("sizes").alias("sents"),
-        F.coalesce(X.index_quantile(F.col("sizes"), 0.5), F.lit(0)).alias("med"), F.coalesce(X.index_quantile(F.col("sizes"), 0.9), F.lit(0)).alias("p90"),
-        F.coalesce(F.array_max("sizes"), F.lit(0)).alias("max"),
-        F.size(F.filter("sizes", lambda n: n > long)).alias("long"), F.size(F.filter("sizes", lambda n: n > very_long)).alias("vlong"),
-        F.when(total > 0, F.col("semi") * 1000.0 / total).otherwise(0.0).alias("semi_per_1k"), F.col("straight").alias("straight_quotes"),
-    )
+def particle_rule(df: DataFrame, doc: str, order: str, particle: Column, final: Column, expect: dict[str, str]) -> DataFrame:
+    """``prev, got, want, n, agrees``: particles after each final letter against the one it asks for; the rest of the rule's
+    rows are its violations. Only particles that the rule knows, after letters that it knows, are checked."""
+    w = Window.partitionBy(doc).orderBy(order)
+    asked = F.create_map(*[F.lit(x) for pair in expect.items() for x in pair])
+    t = df.select(particle.alias("got"), F.lag(final).over(w).alias("prev"))
+    t = t.where(F.col("got").isin(sorted(set(expect.values()))) & F.col("prev").isin(list(expect))).withColumn("want", asked[F.col("prev")])
+    return t.groupBy("prev", "got", "want").agg(F.count(F.lit(1)).alias("n")).withColumn("agrees", F.col("got") == F.col("want"))
 
 
 # --- joins ----------------------------------------------------------------------------------
@@ -137,20 +176,27 @@ def as_of(events: DataFrame, anchors: DataFrame, group: str, at: str, value: str
     return u.withColumn("found", F.last(value, ignorenulls=True).over(w)).where("is_event = 1").select(group, at, F.col("found").alias(value))
 
 
-def parent_of(df: DataFrame, doc: str, order: str, level: str) -> DataFrame:
-    """Adds ``parent``: the order number of the nearest earlier row of a smaller level.
+def reconcile_records(records: DataFrame, files: DataFrame, key: str) -> DataFrame:
+    """Records against files: ``key, missing, orphan, edited, stale, unstamped``, for rows with a problem.
 
-    The open rows by level are folded along the document, so no row meets all earlier ones.
+    ``records`` has ``key, status, source_hash, output_hash``; ``files`` has ``key, source_now, output_now``
+    (null output: no file). Missing: done without a file. Orphan: pending with one. Edited and stale: a recorded
+    hash differs from today's. Unstamped: done without a hash.
     """
-    rows = F.array_sort(F.collect_list(F.struct(F.col(order).cast("long").alias("o"), F.col(level).cast("int").alias("l"))))
+    j = records.join(files, key, "left")
+    done, file = F.col("status") != "pending", F.col("output_now").isNotNull()
+    flags = {
+        "missing": done & ~file, "orphan": ~done & file, "edited": file & (F.col("output_hash") != F.col("output_now")),
+        "stale": done & (F.col("source_hash") != F.col("source_now")), "unstamped": done & F.col("output_hash").isNull(),
+    }
+    out = j.select(key, *[F.coalesce(v, F.lit(False)).alias(k) for k, v in flags.items()])
+    return out.where(" OR ".join(flags))
 
-    def step(s: Column, r: Column) -> Column:
-        open_ = F.filter(s["open"], lambda x: x["l"] < r["l"])
-        return F.struct(F.concat(open_, F.array(r)).alias("open"), F.concat(s["out"], F.array(F.struct(r["o"].alias("o"), F.when(F.size(open_) > 0, F.element_at(open_, -1)["o"]).alias("parent")))).alias("out"))
 
-    start = F.struct(F.expr("CAST(array() AS ARRAY<STRUCT<o: BIGINT, l: INT>>)").alias("open"), F.expr("CAST(array() AS ARRAY<STRUCT<o: BIGINT, parent: BIGINT>>)").alias("out"))
-    found = df.groupBy(doc).agg(rows.alias("rows")).select(doc, F.explode(F.aggregate("rows", start, step, lambda s: s["out"])).alias("r"))
-    return found.select(doc, F.col("r.o").alias(order), F.col("r.parent").alias("parent"))
+def parent_of(df: DataFrame, doc: str, order: str, level: str) -> DataFrame:
+    """``doc, order, parent``: the order number of the nearest earlier row of a smaller level."""
+    rows = df.select(doc, F.col(order).cast("long").alias(order), F.col(level).cast("int").alias("_l"))
+    return folds.folded(rows, doc, [order, "_l"], folds.parents, f"{order} long, parent long")
 
 
 # --- windows --------------------------------------------------------------------------------
@@ -174,33 +220,17 @@ def running_balance(df: DataFrame, doc: str, order: str, change: Column) -> Data
 
 
 def cluster_means(df: DataFrame, group: str, value: str, tolerance: float) -> DataFrame:
-    """1-D clusters of ascending values by running mean: ``group, cluster (from 1), mean, n``."""
-    start = F.expr("CAST(array() AS ARRAY<STRUCT<s: DOUBLE, n: BIGINT>>)")
-
-    def step(acc: Column, x: Column) -> Column:
-        last = F.element_at(acc, -1)
-        fits = (F.size(acc) > 0) & F.when(F.size(acc) > 0, F.abs(last["s"] / last["n"] - x) <= tolerance).otherwise(False)
-        joined = F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.struct((last["s"] + x).alias("s"), (last["n"] + 1).alias("n"))))
-        return F.when(fits, joined).otherwise(F.concat(acc, F.array(F.struct(x.cast("double").alias("s"), F.lit(1).cast("long").alias("n")))))
+    """1-D clusters of ascending values by running mean, closer than ``tolerance``: ``group, cluster (from 1), mean, n``.
 
-    values = F.array_sort(F.collect_list(F.col(value).cast("double")))
-    folded = df.groupBy(group).agg(F.aggregate(values, start, step).alias("c"))
-    return folded.select(group, F.posexplode("c").alias("k", "c")).select(group, (F.col("k") + 1).alias("cluster"), F.round(F.col("c.s") / F.col("c.n"), 6).alias("mean"), F.col("c.n").alias("n"))
+    A value can't be that close to an earlier cluster's mean without having joined it, so the last one decides.
+    """
+    return folds.folded(df.select(group, F.col(value).cast("double").alias("_v")), group, ["_v"], folds.clusters(tolerance), "cluster int, mean double, n long")
 
 
 def greedy_spans(df: DataFrame, group: str, order: str, size: str, most: int) -> DataFrame:
     """Neighbouring rows merged while their sizes sum to at most ``most``: ``group, span, first, last, total``."""
-    start = F.expr("CAST(array() AS ARRAY<STRUCT<first: BIGINT, last: BIGINT, total: BIGINT>>)")
-
-    def step(acc: Column, r: Column) -> Column:
-        last = F.element_at(acc, -1)
-        fits = F.when(F.size(acc) > 0, last["total"] + r["s"] <= most).otherwise(False)
-        head = F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))
-        return F.when(fits, F.concat(head, F.array(F.struct(last["first"].alias("first"), r["o"].alias("last"), (last["total"] + r["s"]).alias("total"))))).otherwise(F.concat(acc, F.array(F.struct(r["o"].alias("first"), r["o"].alias("last"), r["s"].alias("total")))))
-
-    rows = F.array_sort(F.collect_list(F.struct(F.col(order).cast("long").alias("o"), F.col(size).cast("long").alias("s"))))
-    folded = df.groupBy(group).agg(F.aggregate(rows, start, step).alias("spans"))
-    return folded.select(group, F.posexplode("spans").alias("k", "x")).select(group, (F.col("k") + 1).alias("span"), "x.first", "x.last", "x.total")
+    rows = df.select(group, F.col(order).cast("long").alias("_o"), F.col(size).cast("long").alias("_s"))
+    return folds.folded(rows, group, ["_o", "_s"], folds.spans(most), "span int, first long, last long, total long")
 
 
 def equal_parts(df: DataFrame, key: str, size: str, target: int) -> DataFrame:

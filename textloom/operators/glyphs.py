@@ -7,15 +7,20 @@ glyphs in one array, so pages are the unit of parallelism.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions import text as X
+from textloom.operators import folds
 
 
-def keep_region(glyphs: DataFrame, drop_fonts: list[str], low: float = 55.0, high: float = 535.0) -> DataFrame:
-    """Glyphs of the text block: not of the dropped fonts, and inside the band."""
-    return glyphs.where(~F.col("font").isin(drop_fonts) & F.col("y").between(low, high))
+def keep_region(glyphs: DataFrame, drop_fonts: list[str], low: float = 55.0, high: float = 535.0, folio_names: str | None = None) -> DataFrame:
+    """Glyphs of the text block: not of the dropped fonts, and inside the band.
+
+    The variant with ``folio_names``, a pattern, also drops fonts by name.
+    """
+    kept = glyphs.where(~F.col("font").isin(drop_fonts) & F.col("y").between(low, high))
+    return kept if folio_names is None else kept.where(~F.col("font").rlike(folio_names))
 
 
 def decode_chain(glyphs: DataFrame, repairs: DataFrame, font_maps: DataFrame) -> DataFrame:
@@ -34,17 +39,7 @@ def usage(glyphs: DataFrame) -> DataFrame:
 
 def page_lines(glyphs: DataFrame, tolerance: float = 3.0) -> DataFrame:
     """``page, line (from 0), y, x0, x1, text``: a glyph joins the first line within ``tolerance`` of its y."""
-    rows = F.array_sort(F.collect_list(F.struct("ord", "x", "y", "w", "text")))
-    start = F.expr("CAST(array() AS ARRAY<STRUCT<y: DOUBLE, x0: DOUBLE, x1: DOUBLE, text: STRING>>)")
-
-    def step(acc: Column, g: Column) -> Column:
-        end = g["x"] + g["w"]
-        at = F.array_position(F.transform(acc, lambda a: F.abs(a["y"] - g["y"]) <= tolerance), F.lit(True))
-        joined = F.transform(acc, lambda a, i: F.when(i + 1 == at, F.struct(a["y"].alias("y"), F.least(a["x0"], g["x"]).alias("x0"), F.greatest(a["x1"], end).alias("x1"), F.concat(a["text"], g["text"]).alias("text"))).otherwise(a))
-        return F.when(at > 0, joined).otherwise(F.concat(acc, F.array(F.struct(g["y"].alias("y"), g["x"].alias("x0"), end.alias("x1"), g["text"].alias("text")))))
-
-    folded = glyphs.groupBy("page").agg(F.aggregate(rows, start, step).alias("ls"))
-    return folded.select("page", F.posexplode("ls").alias("line", "l")).select("page", "line", "l.y", "l.x0", "l.x1", "l.text")
+    return folds.folded(glyphs, "page", ["ord", "x", "y", "w", "text"], folds.y_lines(tolerance), "line int, y double, x0 double, x1 double, text string")
 
 
 def page_paragraphs(lines: DataFrame, indent: float = 10.0, short: float = 20.0, q: float = 0.5) -> DataFrame:
@@ -95,7 +90,24 @@ def wrapped_runs(lines: DataFrame, gap: float = 16.0) -> DataFrame:
     return t.groupBy("page", "run").agg(F.min("line").alias("first"), F.max("line").alias("last"), F.array_join(F.transform(parts, lambda p: F.trim(p["text"])), " ").alias("text"))
 
 
-def forms_by_value(decoded: DataFrame, code: int, k: int = 8) -> DataFrame:
-    """The commonest words around one code under its current value: ``form, n``, at most ``k``."""
-    hit = decoded.where(F.col("code") == code).select("page", "line", F.col("text").alias("form"))
-    return hit.groupBy("form").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "form").limit(k)
+def forms_by_value(glyphs: DataFrame, code: int, values: list[str], k: int = 8) -> DataFrame:
+    """``value, form, n``: the ``k`` commonest words around one code under each competing value of it.
+
+    ``glyphs`` has ``page, ord, code, text``; words are runs between blanks, a page at a time.
+    """
+    w = Window.partitionBy("page").orderBy("ord")
+    blank = F.trim("text") == ""
+    t = glyphs.withColumn("_word", F.sum(blank.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))).where(~blank)
+    parts = F.array_sort(F.collect_list(F.struct("ord", F.when(F.col("code") == code, F.lit(None)).otherwise(F.col("text")).alias("t"))))
+    words = t.groupBy("page", "_word").agg(parts.alias("parts"), F.max((F.col("code") == code).cast("int")).alias("hit")).where("hit = 1")
+    formed = words.select(F.explode(F.array(*[F.lit(v) for v in values])).alias("value"), "parts")
+    form = F.array_join(F.transform("parts", lambda p: F.coalesce(p["t"], F.col("value"))), "")
+    counts = formed.groupBy("value", form.alias("form")).agg(F.count(F.lit(1)).alias("n"))
+    ranked = counts.withColumn("_k", F.row_number().over(Window.partitionBy("value").orderBy(F.desc("n"), "form")))
+    return ranked.where(F.col("_k") <= k).drop("_k")
+
+
+def decoders_agree(a: DataFrame, b: DataFrame, pages: list[int]) -> DataFrame:
+    """``page, same``: whether two decoders' texts (``page, text``) agree, white space aside, on a fixed list of pages."""
+    plain = lambda df, name: df.where(F.col("page").isin(pages)).select("page", F.regexp_replace("text", r"(?U)\s+", "").alias(name))
+    return plain(a, "_a").join(plain(b, "_b"), "page", "full").select("page", F.col("_a").eqNullSafe(F.col("_b")).alias("same"))

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textloom.functions import text as X
 from textloom.operators import corpus as C
@@ -61,6 +65,26 @@ def merge_results(results: DataFrame, settled: DataFrame, key: str = "term", val
     return merged, conflicts
 
 
+def merge_by_kind(rows: DataFrame, key: str, kind: str, order: str, value: str, kinds: tuple[str, ...]) -> DataFrame:
+    """``key`` and a column for each of ``kinds``: the last value of each, null where there is none (a full outer merge in one pass)."""
+    last = lambda k: F.max_by(F.when(F.col(kind) == k, F.col(value)), F.when(F.col(kind) == k, F.col(order)))
+    return rows.groupBy(key).agg(*[last(k).alias(k) for k in kinds])
+
+
+def select_rows(df: DataFrame, key: str, ids: list | None = None, batch: DataFrame | None = None, ledger: DataFrame | None = None, todo: str | None = None) -> DataFrame:
+    """Rows by one selector: explicit ids, the keys of a batch, those of a ledger, or a status predicate."""
+    if ids is not None:
+        return df.where(F.col(key).isin(ids))
+    chosen = batch if batch is not None else ledger
+    return df.join(chosen.select(key).distinct(), key, "left_semi") if chosen is not None else df.where(todo)
+
+
+def require_none(problems: DataFrame, what: str) -> None:
+    """Raises if there are problems upstream."""
+    if not problems.isEmpty():
+        raise ValueError(f"unresolved: {what}")
+
+
 def place_anchors(anchors: DataFrame, chunks: DataFrame) -> DataFrame:
     """Page anchors: placed only where the locator occurs exactly once in its chunk; ``page, chunk, status, at``."""
     j = anchors.join(chunks.select("chunk", "text"), "chunk", "left")
@@ -68,6 +92,87 @@ def place_anchors(anchors: DataFrame, chunks: DataFrame) -> DataFrame:
     return j.select("page", "chunk", F.when(at.isNotNull(), "placed").otherwise("open").alias("status"), at.alias("at"))
 
 
+def accept_placements(proposals: DataFrame, chunks: DataFrame, pages: DataFrame, quoted: int = 24) -> DataFrame:
+    """``page, chunk, at, verdict`` of proposed anchors (``page, chunk, locator, quote``); two signals must agree.
+
+    The quote must be how the page opens (its first ``quoted`` characters, white space as single blanks), and the
+    locator must occur exactly once in the chunk. The verdict is ``placed`` or the reason against it.
+    """
+    flat = lambda c: F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
+    j = proposals.join(chunks.select("chunk", "text"), "chunk", "left").join(pages.select("page", F.col("text").alias("_page")), "page", "left")
+    quote, at = flat(F.coalesce("quote", F.lit(""))), X.locator_at(F.col("text"), F.col("locator"))
+    opens = (quote != "") & F.startswith(flat(F.col("_page")), F.left(quote, F.lit(quoted)))
+    verdict = F.when(~F.coalesce(opens, F.lit(False)), "quote").when(at.isNull(), "locator").otherwise("placed")
+    return j.select("page", "chunk", F.when(verdict == "placed", at).alias("at"), verdict.alias("verdict"))
+
+
+def revalidate_anchors(anchors: DataFrame, chunks: DataFrame) -> DataFrame:
+    """``page, chunk, kind, status, locator``: recorded anchors carried over, those whose locator no longer holds demoted to pending."""
+    j = anchors.join(chunks.select("chunk", "text"), "chunk", "left")
+    holds = (F.col("kind") == "chunk-start") | F.coalesce(X.locator_at(F.col("text"), F.col("locator")).isNotNull(), F.lit(False))
+    return j.select("page", "chunk", "kind", F.when(holds, F.col("status")).otherwise("pending").alias("status"), F.when(holds, F.col("locator")).alias("locator"))
+
+
+def verse_ledger(units: DataFrame, old: DataFrame, key: str) -> DataFrame:
+    """Verse units (``key, start_line, n_lines, text_hash, risk``) with the status their text had in the old ledger, else pending."""
+    before = old.groupBy(key, "text_hash").agg(F.max("status").alias("_status"))
+    return units.join(before, [key, "text_hash"], "left").withColumn("status", F.coalesce("_status", F.lit("pending"))).drop("_status")
+
+
+def verse_batch(ledger: DataFrame, key: str, n: int = 40) -> DataFrame:
+    """``key, units``: the ``n`` riskiest pending units, by text, in line order."""
+    chosen = ledger.where("status = 'pending'").orderBy(F.desc("risk"), key, "start_line").limit(n)
+    return chosen.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("start_line", "n_lines"))).alias("units"))
+
+
+#: Marks of a text cut at its end and of one that continues (fixed values).
+CLOSE = r"\n*\*\([^)]*(?:tiếp sang|tiếp tục sang)[^)]*\)\*\s*\z"
+OPEN = r"\A(\s*>\s?)?\*\(\s*[….]*\s*tiếp theo[^)]*\)\*\s*[….]*\s*"
+
+
+def _weld(parts: list[str]) -> str:
+    """Fragments of one sentence after another, joined at line level; different kinds of block stay apart."""
+    out = parts[0]
+    for nxt in parts[1:]:
+        head, _, last = out.rpartition("\n")
+        first, _, rest = nxt.partition("\n")
+        quoted = [bool(re.match(r"\s*>", x)) for x in (last, first)]
+        if quoted[0] != quoted[1]:
+            out = f"{out}\n\n{nxt}"
+            continue
+        first = re.sub(r"^\s*>\s?", "", first).lstrip() if quoted[1] else first.lstrip()
+        if last.rstrip().endswith("…") and first.startswith("…"):
+            first = first[1:].lstrip()
+        out = "\n".join([*([head] if head or "\n" in out else []), f"{last.rstrip()} {first}", *([rest] if rest or "\n" in nxt else [])])
+    return out
+
+
+@F.pandas_udf(T.StringType())
+def welded(parts: pd.Series) -> pd.Series:
+    """Each list of fragments as one text."""
+    return parts.map(lambda p: _weld(list(p)))
+
+
+def assemble(chunks: DataFrame, book: str = "book", order: str = "chunk", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Chunks to a book's parts ``book, part, n, text``; anomalies ``book, chunk, what``; stutters ``book, chunk, overlap``.
+
+    A chunk with a mark that it continues joins one with a mark that it was cut. A mark on one side only is an
+    anomaly; a joined chunk that repeats the end of the one before stutters, which is reported and left.
+    """
+    w = Window.partitionBy(book).orderBy(order)
+    bare = F.trim(X.strip_front_matter(F.col(text)))
+    t = chunks.select(book, order, bare.rlike(OPEN).alias("open"), bare.rlike(CLOSE).alias("close"), F.trim(F.regexp_replace(F.regexp_replace(bare, OPEN, "$1"), CLOSE, "")).alias("t"))
+    t = t.withColumn("before", F.coalesce(F.lag("close").over(w), F.lit(False))).withColumn("prev", F.lag("t").over(w)).withColumn("last", F.lead(order).over(w).isNull())
+    what = F.when(F.col("open") & ~F.col("before"), "opens alone").when(~F.col("open") & F.col("before"), "closed before").when(F.col("last") & F.col("close"), "closes last")
+    anomalies = t.select(book, order, what.alias("what")).where("what IS NOT NULL")
+    overlap = X.suffix_prefix_overlap(X.seam_text(F.col("prev")), X.seam_text(F.col("t")))
+    stutters = t.where("open AND before").select(book, order, overlap.alias("overlap")).where("overlap > 0")
+    parts = t.withColumn("part", F.sum(F.when(F.col("open") & F.col("before"), 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    pieces = F.transform(F.array_sort(F.collect_list(F.struct(order, "t"))), lambda p: p["t"])
+    joined = parts.groupBy(book, "part").agg(F.count(F.lit(1)).alias("n"), pieces.alias("ps")).select(book, "part", "n", welded("ps").alias("text"))
+    return joined, anomalies, stutters
+
+
 def weld(chunks: DataFrame, book: str = "book", order: str = "chunk") -> DataFrame:
     """Chunks folded into paragraphs at seams: one that ends open joins the next that continues.
 
@@ -85,7 +190,21 @@ def same_content(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
     """Texts whose normalised content differs, with the offset of the first difference: ``key, at``."""
     norm = lambda c: F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]+", "")
     j = before.select(key, norm("text").alias("a")).join(after.select(key, norm("text").alias("b")), key)
-    j = j.where(F.xxhash64("a") != F.xxhash64("b"))
-    n = F.least(F.length("a"), F.length("b"))
-    first = F.when(n > 0, F.array_min(F.filter(F.sequence(F.lit(1), n), lambda k: F.substring("a", k, F.lit(1)) != F.substring("b", k, F.lit(1)))))
-    return j.select(key, F.coalesce(first, n + 1).alias("at"))
+    return j.where("a <> b").select(key, X.first_difference(F.col("a"), F.col("b")).alias("at"))
+
+
+def audit_by_group(tokens: DataFrame, group: str, probes: list[str], token: str = "token") -> DataFrame:
+    """``group, n_tokens, n_forms, n_collisions, probes``: tokens, distinct ones, case-folded forms with several, and hits of each probe."""
+    forms = tokens.groupBy(group, token).agg(F.count(F.lit(1)).alias("n"))
+    folded = forms.groupBy(group, F.lower(token).alias("_form")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"))
+    hits = [F.sum(F.when(F.col("_form").contains(p), F.col("n")).otherwise(0)) for p in probes]
+    return folded.groupBy(group).agg(F.sum("n").alias("n_tokens"), F.sum("k").alias("n_forms"), F.count_if(F.col("k") > 1).alias("n_collisions"), F.array(*hits).alias("probes"))
+
+
+def appendix(title: str, counts: dict[str, DataFrame]) -> DataFrame:
+    """``ord, line``: a generated appendix, a heading and a line for each measured count (a frame of one number)."""
+    spark = next(iter(counts.values())).sparkSession
+    out = spark.createDataFrame([(0, f"# {title}")], "ord int, line string")
+    for k, (name, df) in enumerate(counts.items(), 1):
+        out = out.unionByName(df.select(F.lit(k).alias("ord"), F.concat(F.lit(f"- {name}: "), F.format_number(F.col(df.columns[0]).cast("long"), 0)).alias("line")))
+    return out

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -11,99 +12,163 @@ from pyspark.sql import functions as F
 
 from textloom.functions import text as X
 from textloom.operators import corpus as C
+from textloom.operators import folds
 
+#: Phrases of one automaton.
 MAX_PHRASES = 100_000
 
 
+#: Values of one block, and blocks of one block of blocks, when running sums are made.
+BLOCK = 1024
+
+
+def running_below(values: DataFrame, n: str = "n") -> DataFrame:
+    """``v, below``: for each value (``v``, once) the sum of ``n`` over smaller values.
+
+    Sums are made in blocks of blocks of values, so that no window sees all rows: only the outermost, one row a
+    ``BLOCK ** 2`` values of the range, is whole.
+    """
+    t = values.withColumn("b", F.expr(f"v div {BLOCK}")).withColumn("c", F.expr(f"v div {BLOCK * BLOCK}"))
+    before = lambda part, order, x: F.coalesce(F.sum(x).over(Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = t.groupBy("c", "b").agg(F.sum(n).alias("m"))
+    outer = blocks.groupBy("c").agg(F.sum("m").alias("m")).select("c", before([F.lit(0)], "c", "m").alias("base_c"))
+    inner = blocks.select("c", "b", before(["c"], "b", "m").alias("base_b")).join(outer, "c").select("b", (F.col("base_b") + F.col("base_c")).alias("base"))
+    return t.select("v", "b", before(["b"], "v", n).alias("own")).join(inner, "b").select("v", (F.col("base") + F.col("own")).alias("below"))
+
+
 def count_in_ranges(ranges: DataFrame, points: DataFrame, key: str, low: str, high: str, point: str, out: str) -> DataFrame:
     """``key, out``: how many points lie in each closed range.
 
-    Points are counted per value; a running sum over values, made in coarse buckets first so that no
-    window sees all rows, turns each range into the difference of two lookups.
+    Points are counted per value; running sums over values turn each range into the difference of two lookups.
     """
     counts = points.groupBy(F.col(point).alias("v")).agg(F.count(F.lit(1)).alias("n"))
     ends = ranges.select(F.col(low).alias("v"), F.lit(0).cast("long").alias("n")).union(ranges.select((F.col(high) + 1).alias("v"), F.lit(0).cast("long").alias("n")))
-    values = counts.unionByName(ends).groupBy("v").agg(F.sum("n").alias("n")).withColumn("bucket", F.expr("v div 1024"))
-    buckets = values.groupBy("bucket").agg(F.sum("n").alias("m"))
-    base = buckets.withColumn("base", F.coalesce(F.sum("m").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("bucket", "base")
-    inside = Window.partitionBy("bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    below = values.withColumn("c", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(base, "bucket").select("v", (F.col("base") + F.col("c")).alias("below"))
+    below = running_below(counts.unionByName(ends).groupBy("v").agg(F.sum("n").alias("n")))
     a = ranges.join(below.select(F.col("v").alias(low), F.col("below").alias("b0")), low)
     b = a.withColumn("_end", F.col(high) + 1).join(below.select(F.col("v").alias("_end"), F.col("below").alias("b1")), "_end")
     return b.select(key, (F.col("b1") - F.col("b0")).alias(out))
 
 
 def nearest(left: DataFrame, right: DataFrame, group: str, value: str, key: str) -> DataFrame:
-    """``key, match, gap``: for each left row the right row of its group with the nearest value; ties by smaller key.
+    """``key, match, gap``: for each left row the other right row of its group with the nearest value; ties by smaller key.
 
-    The nearest value is the last at or before, or the first at or after: two windows over the
-    distinct values of a group, not all pairs.
+    A row of the same value is found by that value's two least keys; else the nearest smaller or greater value
+    decides, by windows over the distinct values of a group, not all pairs.
     """
-    best = right.groupBy(group, value).agg(F.min(key).alias("match"))
-    both = left.select(group, value, F.lit(None).cast("long").alias("match"), F.lit(None).cast("long").alias("at")).distinct().unionByName(best.withColumn("at", F.col(value).cast("long")))
+    best = right.groupBy(group, value).agg(F.min(key).alias("m"))
+    second = right.join(best, [group, value]).where(F.col(key) > F.col("m")).groupBy(group, value).agg(F.min(key).alias("m2"))
+    values = best.withColumn("at", F.col(value).cast("long")).unionByName(left.select(group, value).distinct().join(best, [group, value], "left_anti"), allowMissingColumns=True)
     w = Window.partitionBy(group).orderBy(value)
-    back, ahead = w.rangeBetween(Window.unboundedPreceding, Window.currentRow), w.rangeBetween(Window.currentRow, Window.unboundedFollowing)
-    pick = lambda c, win, last: F.last(c, ignorenulls=True).over(win) if last else F.first(c, ignorenulls=True).over(win)
-    found = both.withColumn("b_at", pick("at", back, True)).withColumn("b", pick("match", back, True)).withColumn("a_at", pick("at", ahead, False)).withColumn("a", pick("match", ahead, False)).where("at IS NULL")
-    found = found.withColumn("bg", F.col(value) - F.col("b_at")).withColumn("ag", F.col("a_at") - F.col(value))
-    back_wins = F.col("a").isNull() | (F.col("bg") < F.col("ag")) | ((F.col("bg") == F.col("ag")) & (F.col("b") <= F.col("a")))
-    found = found.select(group, value, F.when(back_wins, F.col("b")).otherwise(F.col("a")).alias("match"), F.when(back_wins, F.col("bg")).otherwise(F.col("ag")).alias("gap"))
-    return left.join(found, [group, value]).where("match IS NOT NULL").select(key, "match", "gap")
+    below, above = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
+    near = values.select(
+        group, value, "m", F.last("at", ignorenulls=True).over(below).alias("b_at"), F.last("m", ignorenulls=True).over(below).alias("b"),
+        F.first("at", ignorenulls=True).over(above).alias("a_at"), F.first("m", ignorenulls=True).over(above).alias("a"),
+    )
+    j = left.select(group, value, key).join(near, [group, value]).join(second, [group, value], "left")
+    own = F.when(F.col("m") != F.col(key), F.col("m")).otherwise(F.col("m2"))
+    bg, ag = F.col(value) - F.col("b_at"), F.col("a_at") - F.col(value)
+    back = F.col("a").isNull() | (bg < ag) | ((bg == ag) & (F.col("b") <= F.col("a")))
+    out = j.select(key, F.when(own.isNotNull(), own).when(back, F.col("b")).otherwise(F.col("a")).alias("match"), F.when(own.isNotNull(), F.lit(0)).when(back, bg).otherwise(ag).alias("gap"))
+    return out.where("match IS NOT NULL")
+
+
+def _slices(phrases: DataFrame, column: str) -> Iterator[list[str]]:
+    """The distinct phrases in slices of about ``MAX_PHRASES``, each small enough for one automaton."""
+    distinct = phrases.select(F.col(column).alias("p")).where("p <> ''").distinct()
+    parts = -(-distinct.count() // MAX_PHRASES)
+    for k in range(parts):
+        yield sorted(r.p for r in distinct.where(F.pmod(F.xxhash64("p"), F.lit(parts)) == k).collect())
+
+
+def _automaton(phrases: list[str]):
+    import ahocorasick
+
+    out = ahocorasick.Automaton()
+    for p in phrases:
+        out.add_word(p, p)
+    out.make_automaton()
+    return out
 
 
 def phrase_hits(docs: DataFrame, phrases: DataFrame, key: str) -> DataFrame:
     """``key, phrase, docs, hits`` of literal phrases in texts, hits not overlapping themselves.
 
-    One automaton over all phrases (at most ``MAX_PHRASES``, checked) reads each text once; empty
-    phrases never match.
+    One automaton over a slice of ``MAX_PHRASES`` phrases reads each text once; larger dictionaries take a pass for each
+    slice. Empty phrases never match.
     """
-    rows = [(r[key], r.phrase) for r in phrases.select(key, "phrase").where("phrase <> ''").limit(MAX_PHRASES + 1).collect()]
-    if len(rows) > MAX_PHRASES:
-        raise ValueError("the dictionary exceeds what one automaton may hold")
-    distinct = sorted({p for _, p in rows})
-    sent = docs.sparkSession.sparkContext.broadcast(distinct)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import ahocorasick
-
-        auto = ahocorasick.Automaton()
-        for p in sent.value:
-            auto.add_word(p, p)
-        if sent.value:
-            auto.make_automaton()
-        total: dict[str, list[int]] = {}
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                last: dict[str, int] = {}
-                here: dict[str, int] = {}
-                for end, p in auto.iter(text or "") if sent.value else ():
-                    if end - len(p) >= last.get(p, -1):
-                        last[p] = end
-                        here[p] = here.get(p, 0) + 1
-                for p, n in here.items():
-                    t = total.setdefault(p, [0, 0])
-                    t[0] += 1
-                    t[1] += n
-        yield pa.RecordBatch.from_pydict({"phrase": pa.array(list(total), pa.string()), "d": pa.array([t[0] for t in total.values()], pa.int64()), "h": pa.array([t[1] for t in total.values()], pa.int64())})
-
-    counted = docs.select("text").mapInArrow(run, "phrase string, d long, h long").groupBy("phrase").agg(F.sum("d").alias("docs"), F.sum("h").alias("hits"))
+
+    def counter(sent):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            auto = _automaton(sent.value)
+            total: dict[str, list[int]] = {}
+            for batch in batches:
+                for text in batch.column(0).to_pylist():
+                    last: dict[str, int] = {}
+                    here: dict[str, int] = {}
+                    for end, p in auto.iter(text or ""):
+                        if end - len(p) >= last.get(p, -1):
+                            last[p] = end
+                            here[p] = here.get(p, 0) + 1
+                    for p, n in here.items():
+                        t = total.setdefault(p, [0, 0])
+                        t[0] += 1
+                        t[1] += n
+            yield pa.RecordBatch.from_pydict({"phrase": pa.array(list(total), pa.string()), "d": pa.array([t[0] for t in total.values()], pa.int64()), "h": pa.array([t[1] for t in total.values()], pa.int64())})
+
+        return run
+
+    context = docs.sparkSession.sparkContext
+    counted = docs.sparkSession.createDataFrame([], "phrase string, d long, h long")
+    for part in _slices(phrases, "phrase"):
+        counted = counted.unionByName(docs.select("text").mapInArrow(counter(context.broadcast(part)), "phrase string, d long, h long"))
+    counted = counted.groupBy("phrase").agg(F.sum("d").alias("docs"), F.sum("h").alias("hits"))
     return phrases.join(counted, "phrase").select(key, "phrase", "docs", "hits")
 
 
-def next_greater(df: DataFrame, doc: str, order: str, value: str, out: str) -> DataFrame:
-    """Adds the least later value that is greater than the row's own, in its document.
+def phrase_pairs(docs: DataFrame, phrases: DataFrame, key: str) -> DataFrame:
+    """``key, phrase``: which phrases occur in which texts, each once (``docs`` has ``key, text``)."""
+    kind = dict(docs.dtypes)[key]
 
-    Later rows of a document are folded from its end into a sorted set of values.
+    def finder(sent):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            auto = _automaton(sent.value)
+            for batch in batches:
+                found = [sorted({p for _, p in auto.iter(t or "")}) for t in batch.column(1).to_pylist()]
+                at = [k for k, f in enumerate(found) for _ in f]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array([p for f in found for p in f], pa.string())], names=[key, "phrase"])
+
+        return run
+
+    out = docs.sparkSession.createDataFrame([], f"{key} {kind}, phrase string")
+    for part in _slices(phrases, "phrase"):
+        out = out.unionByName(docs.select(key, "text").mapInArrow(finder(docs.sparkSession.sparkContext.broadcast(part)), f"{key} {kind}, phrase string"))
+    return out
+
+
+def dictionary_views(docs: DataFrame, terms: DataFrame, key: str) -> DataFrame:
+    """``key, n_terms, view``: for each text the terms that bind everywhere and those that occur in it, as compact text.
+
+    ``terms`` has ``ord, headword, rendering, status, note`` and may have ``variants`` (an array). Fixed terms and sets of
+    variants bind everywhere; entries without a headword occur nowhere. A term is looked up by what stands before its
+    parenthesis.
     """
-    rows = F.array_sort(F.collect_list(F.struct((-F.col(order)).alias("neg"), F.col(order).alias("o"), F.col(value).cast("long").alias("v"))))
+    t = terms.withColumn("phrase", X.headword(F.col("headword"))).withColumn("binding", F.col("status").isin("fixed", "fixed-set"))
+    tag = F.when(F.col("status") == "fixed", "FIXED").when(F.col("status") == "fixed-set", "SET  ").otherwise("prov ")
+    note = X.first_sentence(F.coalesce("note", F.lit("")), 140, F.col("binding"))
+    line = F.concat(tag, F.lit(" "), "headword", F.lit(" -> "), "rendering", F.when(note != "", F.concat(F.lit("\n      "), note)).otherwise(F.lit("")))
+    t = t.select("ord", "phrase", "binding", line.alias("line"))
+    found = phrase_pairs(docs, t, key).join(t.where("NOT binding").select("ord", "phrase", "line"), "phrase").select(key, "ord", "line")
+    # What binds everywhere is one text, made once; each view has it merged in by order.
+    always = t.where("binding").agg(F.array_sort(F.collect_list(F.struct("ord", "line"))).alias("always"))
+    own = docs.select(key).join(found.groupBy(key).agg(F.collect_list(F.struct("ord", "line")).alias("own")), key, "left").join(F.broadcast(always))
+    rows = F.array_sort(F.concat("always", F.coalesce("own", F.expr("CAST(array() AS ARRAY<STRUCT<ord: BIGINT, line: STRING>>)"))))
+    return own.select(key, F.size(rows).alias("n_terms"), F.array_join(F.transform(rows, lambda r: r["line"]), "\n").alias("view"))
 
-    def step(s, r):
-        more = F.filter(s["seen"], lambda x: x > r["v"])
-        return F.struct(F.array_union(s["seen"], F.array(r["v"])).alias("seen"), F.concat(s["out"], F.array(F.struct(r["o"].cast("long").alias("o"), r["v"].alias("v"), F.array_min(more).alias("n")))).alias("out"))
 
-    start = F.struct(F.expr("CAST(array() AS ARRAY<BIGINT>)").alias("seen"), F.expr("CAST(array() AS ARRAY<STRUCT<o: BIGINT, v: BIGINT, n: BIGINT>>)").alias("out"))
-    found = df.groupBy(doc).agg(rows.alias("rows")).select(doc, F.explode(F.aggregate("rows", start, step, lambda s: s["out"])).alias("r"))
-    return found.select(doc, F.col("r.o").alias(order), F.col("r.v").alias(value), F.col("r.n").alias(out))
+def next_greater(df: DataFrame, doc: str, order: str, value: str, out: str) -> DataFrame:
+    """``doc, order, value, out``: the first later value that is greater than the row's own, in its document."""
+    rows = df.select(doc, F.col(order).cast("long").alias(order), F.col(value).cast("long").alias(value))
+    return folds.folded(rows, doc, [order, value], folds.next_greater, f"{order} long, {value} long, {out} long")
 
 
 def verse_units(docs: DataFrame, key: str, limit: int = 76, least: int = 2) -> DataFrame:
@@ -131,27 +196,58 @@ def gate(counters: DataFrame, baseline: DataFrame) -> DataFrame:
     return j.select("name", "value", "most", F.coalesce(F.col("value") <= F.col("most"), F.lit(False)).alias("ok"))
 
 
-def lcs_marks(before: str, after: str) -> tuple[int, int, int, str]:
-    """Words kept, removed and added, and the inline markup, by longest common subsequence."""
-    a, b = (before or "").split(), (after or "").split()
-    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i in range(len(a) - 1, -1, -1):
-        for j in range(len(b) - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if a[i] == b[j] else max(best[i + 1][j], best[i][j + 1])
+def word_edits(a: list[str], b: list[str]) -> Iterator[tuple[str, str]]:
+    """``(=, word)``, ``(-, word)`` and ``(+, word)`` by longest common subsequence; where both will do, words go before words come.
+
+    Rows of the table are made from the end, each at once; every so many are kept, and the ones between are made again when
+    the walk comes there, so space is the square root of the table's rows.
+    """
+    numbers: dict[str, int] = {}
+    x, y = (np.array([numbers.setdefault(w, len(numbers)) for w in words], np.int64) for words in (a, b))
+    n, m = len(x), len(y)
+    step = max(1, int(n**0.5))
+
+    def up(row: np.ndarray, i: int) -> np.ndarray:
+        best = row.copy()
+        best[:-1] = np.where(y == x[i], row[1:] + 1, row[:-1])
+        return np.maximum.accumulate(best[::-1])[::-1]
+
+    kept, row = {n: np.zeros(m + 1, np.int32)}, np.zeros(m + 1, np.int32)
+    for i in range(n - 1, -1, -1):
+        row = up(row, i)
+        if i % step == 0:
+            kept[i] = row
     i = j = 0
-    out = []
-    while i < len(a) or j < len(b):
-        if i < len(a) and j < len(b) and a[i] == b[j]:
-            out.append(a[i])
+    rows: dict[int, np.ndarray] = {}
+    while i < n and j < m:
+        if i not in rows or i + 1 not in rows:
+            end = min(n, (i // step + 1) * step)
+            rows = {end: kept[end]}
+            for k in range(end - 1, i - 1, -1):
+                rows[k] = up(rows[k + 1], k)
+        if x[i] == y[j]:
+            yield "=", a[i]
             i, j = i + 1, j + 1
-        elif j == len(b) or (i < len(a) and best[i + 1][j] >= best[i][j + 1]):
-            out.append(f"[-{a[i]}-]")
+        elif rows[i + 1][j] >= rows[i][j + 1]:
+            yield "-", a[i]
             i += 1
         else:
-            out.append(f"{{+{b[j]}+}}")
+            yield "+", b[j]
             j += 1
-    kept = best[0][0]
-    return kept, len(a) - kept, len(b) - kept, " ".join(out)
+    yield from (("-", w) for w in a[i:])
+    yield from (("+", w) for w in b[j:])
+
+
+def lcs_marks(before: str, after: str) -> tuple[int, int, int, str]:
+    """Words kept, removed and added, and the inline markup: removed words between ``~~``, added ones between ``**``."""
+    mark, counts, out, last = {"-": "~~", "+": "**", "=": ""}, {"=": 0, "-": 0, "+": 0}, [], "="
+    for kind, word in word_edits((before or "").split(), (after or "").split()):
+        if kind != last:
+            out += [mark[last], mark[kind]]
+            last = kind
+        out.append(word + " ")
+        counts[kind] += 1
+    return counts["="], counts["-"], counts["+"], "".join([*out, mark[last]]).strip()
 
 
 def word_diff(df: DataFrame, keys: list[str]) -> DataFrame:

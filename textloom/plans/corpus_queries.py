@@ -32,32 +32,11 @@ def docs(spark: SparkSession, d: str) -> DataFrame:
 
 #: Shared pieces of the oracles.
 LINES = "lines AS (SELECT doc_id, source, lang, unnest(range(len(string_split(text, chr(10))))) AS line_no, unnest(string_split(text, chr(10))) AS line FROM documents)"
-SENTS = rf"""{LINES}, sents AS (SELECT doc_id, source, unnest(string_split(regexp_replace(line, '([.!?]+["”’»)]?)\s+', '\1' || chr(1), 'g'), chr(1))) AS s FROM lines),
-  sized AS (SELECT doc_id, source, len(list_filter(string_split_regex(s, '\s+'), lambda x: x <> '')) AS n FROM sents), full_ AS (SELECT * FROM sized WHERE n > 0),
-  ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n) - 1 AS i, count(*) OVER (PARTITION BY doc_id) AS k FROM full_)"""
 WORDS = r"w AS (SELECT doc_id, source, lang, list_filter(string_split_regex(lower(text), '[\s.,;:!?]+'), lambda x: x <> '') AS ws FROM documents)"
 TOKENS = rf"{WORDS}, toks AS (SELECT doc_id, source, lang, unnest(ws) AS token, unnest(range(len(ws))) AS pos FROM w)"
-METRICS = rf"""{SENTS}, agg AS (SELECT doc_id, sum(n) AS words, count(*) AS sents, max(CASE WHEN i = floor(k * 0.5) THEN n END) AS med, max(CASE WHEN i = floor(k * 0.9) THEN n END) AS p90,
-  max(n) AS max, count(*) FILTER (n > 40) AS long, count(*) FILTER (n > 80) AS vlong FROM ranked GROUP BY doc_id),
-  metrics AS (SELECT doc_id, source, coalesce(words, 0) AS words, coalesce(sents, 0) AS sents, coalesce(med, 0) AS med, coalesce(p90, 0) AS p90, coalesce(max, 0) AS max, coalesce(long, 0) AS long, coalesce(vlong, 0) AS vlong,
-  CASE WHEN coalesce(words, 0) > 0 THEN len(regexp_extract_all(text, ';')) * 1000.0 / words ELSE 0 END AS semi_per_1k, len(regexp_extract_all(text, '["'']')) AS straight_quotes FROM documents LEFT JOIN agg USING (doc_id))"""
-
-
-@query(f"WITH {METRICS} SELECT doc_id, words, sents, med, p90, max, long, vlong, semi_per_1k, straight_quotes FROM metrics")
-def prose_metrics(spark, d):
-    return C.prose_metrics(docs(spark, d), "doc_id")
-
-
-@query(f"WITH {METRICS} SELECT count(*) AS docs, sum(words) AS words, sum(sents) AS sents, sum(long) AS long, sum(vlong) AS vlong, max(max) AS max FROM metrics")
-def corpus_style_totals(spark, d):
-    m = C.prose_metrics(docs(spark, d), "doc_id")
-    return m.agg(F.count(F.lit(1)).alias("docs"), F.sum("words").alias("words"), F.sum("sents").alias("sents"), F.sum("long").alias("long"), F.sum("vlong").alias("vlong"), F.max("max").alias("max"))
-
-
-@query(f"WITH {METRICS} SELECT doc_id, long * 10 + vlong * 20 AS burden FROM metrics WHERE long * 10 + vlong * 20 > 0 ORDER BY burden DESC, doc_id LIMIT 50")
-def lint_worklist(spark, d):
-    m = C.prose_metrics(docs(spark, d), "doc_id").select("doc_id", F.expr("long * 10 + vlong * 20").alias("burden"))
-    return m.where("burden > 0").orderBy(F.desc("burden"), "doc_id").limit(50)
+#: Tokens of runs between line ends and marks.
+RUNS = r"""rs AS (SELECT doc_id, unnest(range(len(x))) AS run, unnest(x) AS r FROM (SELECT doc_id, string_split_regex(lower(text), '[\n.,;:!?]+') AS x FROM documents)), rw AS (SELECT doc_id, run, list_filter(string_split_regex(r, '\s+'), lambda x: x <> '') AS ws FROM rs),
+  rt AS (SELECT doc_id, run, unnest(ws) AS token, unnest(range(len(ws))) AS pos FROM rw)"""
 
 
 @query("SELECT source, sum(n_chars) AS chars, " + ", ".join(f"sum(len(regexp_extract_all(text, '{p}'))) * 1000.0 / sum(n_chars) AS {n}" for n, p in FEATURES) + " FROM documents GROUP BY source")
@@ -102,30 +81,37 @@ def duplicate_text_groups(spark, d):
     return n.join(first, "hash").select("hash", "n", "examples")
 
 
-def _gram_oracle(n: int) -> str:
+def _gram_oracle(n: int, least: int) -> str:
     gram = " || ' ' || ".join(["token", *[f"lead(token, {k}) OVER p" for k in range(1, n)]])
-    return f"SELECT gram, {n} AS n_tokens, count(*) AS count, count(DISTINCT l) AS n_left, count(DISTINCT r) AS n_right FROM (SELECT {gram} AS gram, lag(token) OVER p AS l, lead(token, {n}) OVER p AS r FROM toks WINDOW p AS (PARTITION BY doc_id ORDER BY pos)) WHERE gram IS NOT NULL GROUP BY gram HAVING count(*) >= "
+    return f"SELECT gram, {n} AS n_tokens, count(*) AS count, count(DISTINCT coalesce(l, '^')) AS n_left, count(DISTINCT coalesce(r, '$')) AS n_right FROM (SELECT {gram} AS gram, lag(token) OVER p AS l, lead(token, {n}) OVER p AS r FROM rt WINDOW p AS (PARTITION BY doc_id, run ORDER BY pos)) WHERE gram IS NOT NULL GROUP BY gram HAVING count(*) >= {least}"
 
 
-@query(f"WITH {TOKENS} {_gram_oracle(1)}3 UNION ALL {_gram_oracle(2)}3")
+def _grams(sizes: tuple[int, ...], least: int) -> str:
+    return " UNION ALL ".join(_gram_oracle(n, least) for n in sizes)
+
+
+@query(f"WITH {RUNS} {_grams((1, 2, 3, 4, 5), 3)}")
 def ngram_branching(spark, d):
-    return C.branching(docs(spark, d), "doc_id", 1, 3).unionByName(C.branching(docs(spark, d), "doc_id", 2, 3))
+    return C.branching(docs(spark, d), "doc_id", least=3)
+
 
+HEAD_STOP, TAIL_STOP = STOP, [*STOP, "an", "on", "für", "et"]
 
-_IN = "(" + ", ".join(f"'{s}'" for s in STOP) + ")"
 
+def _in(words: list[str]) -> str:
+    return "(" + ", ".join(f"'{w}'" for w in words) + ")"
 
-@query(f"""WITH {TOKENS}, b AS ({_gram_oracle(1)}5 UNION ALL {_gram_oracle(2)}5 UNION ALL {_gram_oracle(3)}5),
-  f AS (SELECT * FROM b WHERE string_split(gram, ' ')[1] NOT IN {_IN} AND string_split(gram, ' ')[-1] NOT IN {_IN})
-  SELECT gram, n_tokens, count, n_left, n_right, round(ln(count) * ln(greatest(least(n_left, n_right), 1)) * (1 + 0.35 * n_tokens), 2) AS score FROM f s
-  WHERE NOT EXISTS (SELECT 1 FROM f l WHERE l.n_tokens > s.n_tokens AND contains(' ' || l.gram || ' ', ' ' || s.gram || ' ') AND l.count >= 0.85 * s.count)""")
+
+@query(f"""WITH {RUNS}, b AS ({_grams((2, 3, 4, 5), 5)}), f AS (SELECT *, string_split(gram, ' ') AS w FROM b WHERE least(n_left, n_right) >= 3 AND string_split(gram, ' ')[1] NOT IN {_in(HEAD_STOP)} AND string_split(gram, ' ')[-1] NOT IN {_in(TAIL_STOP)}),
+  subs AS (SELECT count, array_to_string(w[i + 1:i + m], ' ') AS gram FROM (SELECT *, unnest(range(0, n_tokens - m + 1)) AS i FROM (SELECT *, unnest(range(1, n_tokens)) AS m FROM f))), top AS (SELECT gram, max(count) AS longer FROM subs GROUP BY gram)
+  SELECT f.gram, n_tokens, count, n_left, n_right, round(ln(count) * ln(greatest(least(n_left, n_right), 1)) * (1 + 0.35 * n_tokens), 2) AS score FROM f LEFT JOIN top ON f.gram = top.gram WHERE longer IS NULL OR longer < 0.85 * count""")
 def term_candidates(spark, d):
-    return C.term_candidates(docs(spark, d), "doc_id", STOP)
+    return C.term_candidates(docs(spark, d), "doc_id", HEAD_STOP, TAIL_STOP, least=5)
 
 
-@query(f"WITH {TOKENS}, b AS ({_gram_oracle(2)}5) SELECT gram, round(ln(count) * ln(greatest(least(n_left, n_right), 1)) * 1.7, 2) AS score FROM b ORDER BY score DESC, gram LIMIT 40")
+@query(f"WITH {RUNS}, b AS ({_grams((2,), 5)}) SELECT gram, round(ln(count) * ln(greatest(least(n_left, n_right), 1)) * 1.7, 2) AS score FROM b ORDER BY score DESC, gram LIMIT 40")
 def top_terms(spark, d):
-    b = C.branching(docs(spark, d), "doc_id", 2, 5)
+    b = C.branching(docs(spark, d), "doc_id", (2,), 5)
     return b.select("gram", C.branching_score(F.col("count"), F.col("n_left"), F.col("n_right"), F.lit(2)).alias("score")).orderBy(F.desc("score"), "gram").limit(40)
 
 
@@ -139,11 +125,7 @@ def word_probe(spark, d):
 
 @query("WITH t AS (SELECT source, list_sort(list(n_chars)) AS v, count(*) AS n FROM documents GROUP BY source) SELECT source, v[CAST(floor(n * 0.9) AS INT) + 1] AS floor_n, v[CAST(floor((n - 1) * 0.9) AS INT) + 1] AS floor_n1, v[CAST(least(floor(n * 1.0), n - 1) AS INT) + 1] AS clamped FROM t")
 def quantile_forms(spark, d):
-    # By rank in a partitioned window: no group is gathered into one value.
-    w = Window.partitionBy("source")
-    r = docs(spark, d).select("source", "n_chars").withColumn("i", F.row_number().over(w.orderBy("n_chars")) - 1).withColumn("n", F.count(F.lit(1)).over(w))
-    at = lambda e: F.max(F.when(F.col("i") == F.expr(e), F.col("n_chars")))
-    return r.groupBy("source").agg(at("floor(n * 0.9D)").alias("floor_n"), at("floor((n - 1) * 0.9D)").alias("floor_n1"), at("least(floor(n * 1.0D), n - 1)").alias("clamped"))
+    return C.index_quantiles(docs(spark, d), "source", "n_chars", {"floor_n": "floor(n * 0.9D)", "floor_n1": "floor((n - 1) * 0.9D)", "clamped": "least(floor(n * 1.0D), n - 1)"})
 
 
 @query(f"WITH {TOKENS}, c AS (SELECT source, token, count(*) AS n FROM toks GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n DESC, token) AS rank, n / sum(n) OVER (PARTITION BY source) AS s FROM c) SELECT source, token, rank, n, round(s, 6) AS share FROM r WHERE rank <= 3")
@@ -221,11 +203,11 @@ def rule_agreement(spark, d):
     return p.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("prev") == "e").alias("agree"), (F.count_if(F.col("prev") == "e") / F.count(F.lit(1))).alias("rate"))
 
 
-@query(f"""WITH {TOKENS}, p AS (SELECT token, lag(token, 1, '^') OVER q || ' _ ' || lead(token, 1, '$') OVER q AS signature FROM toks WINDOW q AS (PARTITION BY doc_id ORDER BY pos))
-  SELECT signature, count(*) AS n FROM p WHERE token = 'the' GROUP BY signature HAVING count(*) > 1""")
+@query(f"""WITH {TOKENS}, p AS (SELECT token, lag(token, 2, '^') OVER q || ' ' || lag(token, 1, '^') OVER q || ' _ ' || lead(token, 1, '$') OVER q || ' ' || lead(token, 2, '$') OVER q AS signature FROM toks WINDOW q AS (PARTITION BY doc_id ORDER BY pos))
+  SELECT signature, count(*) AS n FROM p WHERE token = 'the' GROUP BY signature""")
 def signature_census(spark, d):
-    g = C.ngrams(docs(spark, d), ["doc_id"], 1).where("gram = 'the'")
-    return g.groupBy(F.concat(F.coalesce("left", F.lit("^")), F.lit(" _ "), F.coalesce("right", F.lit("$"))).alias("signature")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    t = C.tokens(docs(spark, d).select("doc_id", F.lower("text").alias("text")), ["doc_id"], separators=r"[\s.,;:!?]+")
+    return C.census(C.contexts(t, "doc_id", "the"), ["signature"])
 
 
 @query(f"""WITH {TOKENS}, s AS (SELECT DISTINCT lang, token FROM toks), p AS (SELECT a.lang AS a, b.lang AS b, count(*) AS shared FROM s a JOIN s b ON a.token = b.token AND a.lang < b.lang GROUP BY ALL), n AS (SELECT lang, count(*) AS n FROM s GROUP BY lang)

@@ -18,9 +18,12 @@ def _number(pattern: str = r"(\d+)\.[^./]*$"):
     return F.regexp_extract(F.col("_metadata.file_path"), pattern, 1).cast("int")
 
 
-def page_texts(spark: SparkSession, path: str, first: int | None = None, last: int | None = None) -> DataFrame:
-    """``page, text`` of whole-text files; the page number is in the file's name; missing files are skipped."""
-    pages = spark.read.text(path, wholetext=True).select(_number().alias("page"), F.col("value").alias("text"))
+NAME = r"(\d+)\.[^./]*$"
+
+
+def page_texts(spark: SparkSession, path: str, first: int | None = None, last: int | None = None, number: str = NAME) -> DataFrame:
+    """``page, text`` of whole-text files; the page number is in the file's path (``number``); missing files are skipped."""
+    pages = spark.read.text(path, wholetext=True).select(_number(number).alias("page"), F.col("value").alias("text"))
     if first is not None:
         pages = pages.where(F.col("page") >= first)
     return pages if last is None else pages.where(F.col("page") <= last)
@@ -32,23 +35,25 @@ def paragraphs(pages: DataFrame) -> DataFrame:
     return pages.select("page", F.posexplode(parts).alias("para", "text"))
 
 
-def json_arrays(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def json_arrays(spark: SparkSession, path: str, schema: str, number: str = NAME) -> DataFrame:
     """Rows of files that hold one JSON array each, with ``page`` and ``ord``, the order in the file."""
-    raw = spark.read.text(path, wholetext=True).select(_number().alias("page"), F.col("value"))
+    raw = spark.read.text(path, wholetext=True).select(_number(number).alias("page"), F.col("value"))
     rows = raw.select("page", F.posexplode(F.from_json("value", f"array<struct<{schema}>>")).alias("ord", "r"))
     return rows.select("page", "ord", "r.*")
 
 
-def journal(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Rows of a JSONL journal whose ``type`` is result; blank, malformed and other lines are skipped."""
-    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl").text(path)
-    parsed = lines.select(F.from_json("value", f"type string, result struct<{schema}>", {"mode": "PERMISSIVE"}).alias("j"))
+def journal(spark: SparkSession, path: str, schema: str, name: str = "*.jsonl", depth: int = 4) -> DataFrame:
+    """Rows of JSONL journals below ``path`` (at most ``depth`` folders down) whose ``type`` is result; blank, malformed and
+    other lines are skipped."""
+    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", name).text(path)
+    below = F.size(F.split(F.regexp_extract("_metadata.file_path", X.literal("/" + path.rstrip("/").rpartition("/")[2] + "/") + "(.*)$", 1), "/")) - 1
+    parsed = lines.where(below <= depth).select(F.from_json("value", f"type string, result struct<{schema}>", {"mode": "PERMISSIVE"}).alias("j"))
     return parsed.where("j.type = 'result' AND j.result IS NOT NULL").select("j.result.*")
 
 
-def markdown_chunks(spark: SparkSession, path: str) -> DataFrame:
-    """``chunk, front, body`` of Markdown files with a front matter block; CRLF becomes LF."""
-    raw = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.md$", 1).alias("chunk"), F.replace("value", F.lit("\r\n"), F.lit("\n")).alias("t"))
+def markdown_chunks(spark: SparkSession, path: str, name: str = r"([^/]+)\.md$") -> DataFrame:
+    """``chunk, front, body`` of Markdown files with a front matter block; CRLF becomes LF. ``name`` finds the chunk in the path."""
+    raw = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_path"), name, 1).alias("chunk"), F.replace("value", F.lit("\r\n"), F.lit("\n")).alias("t"))
     front = F.regexp_extract("t", r"\A---\n((?s:.*?))\n---\n", 1)
     pairs = F.map_from_entries(F.transform(F.filter(F.split(front, "\n"), lambda x: x.contains(":")), lambda x: F.struct(F.trim(F.substring_index(x, ":", 1)), F.trim(F.regexp_replace(x, r"^[^:]*:", "")))))
     return raw.select("chunk", pairs.alias("front"), X.strip_front_matter(F.col("t")).alias("body"))
@@ -103,10 +108,23 @@ def fixed_width(df: DataFrame, widths: dict[str, int]) -> DataFrame:
     return df.select(F.concat_ws(" ", *cells).alias("line"))
 
 
-def status_document(counts: DataFrame, title: str, most: int = 200) -> str:
-    """A Markdown status table of a small aggregate (at most ``most`` rows, checked)."""
-    rows = counts.limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError("a status document shows small aggregates only")
-    head = [f"# {title}", "", "| " + " | ".join(counts.columns) + " |", "|" + "-|" * len(counts.columns)]
-    return "\n".join(head + ["| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in rows]) + "\n"
+def status_document(tables: dict[str, DataFrame], title: str, most: int = 200) -> str:
+    """A Markdown status document: a heading and a table for each small aggregate (at most ``most`` rows each, checked)."""
+    out = [f"# {title}"]
+    for name, counts in tables.items():
+        rows = counts.limit(most + 1).collect()
+        if len(rows) > most:
+            raise ValueError("a status document shows small aggregates only")
+        out += ["", f"## {name}", "", "| " + " | ".join(counts.columns) + " |", "|" + "-|" * len(counts.columns)]
+        out += ["| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in rows]
+    return "\n".join(out) + "\n"
+
+
+def swap(plan: Plan, spark: SparkSession) -> None:
+    """Rewrites a folder by way of a new one beside it: the old one goes only when the new one is complete."""
+    fresh = f"{plan.path.rstrip('/')}.new"
+    Plan(plan.df, fresh, plan.kind, plan.partition_by, "overwrite").write()
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    store = path(plan.path).getFileSystem(spark._jsc.hadoopConfiguration())
+    store.delete(path(plan.path), True)
+    store.rename(path(fresh), path(plan.path))
