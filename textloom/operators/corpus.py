@@ -97,21 +97,18 @@ def branching(df: DataFrame, key: str, sizes: tuple[int, ...] = (1, 2, 3, 4, 5),
     ``n_left`` and ``n_right`` count different neighbours; a run's edge is one of them. A first pass counts
     64-bit names of all n-grams, so that strings are made and shuffled only for those frequent enough.
     """
-    words = runs(df, [key], text)
-    name = lambda i, n: F.xxhash64(F.slice("w", i + 1, n))
-
-    def gram(i: Column, n: int) -> Column:
-        left, right = F.when(i > 0, F.get("w", i - 1)), F.get("w", i + n)
-        return F.struct(name(i, n).alias("h"), F.array_join(F.slice("w", i + 1, n), " ").alias("gram"), F.lit(n).alias("n_tokens"), F.array(left, right).alias("beside"))
-
-    def each(make) -> Column:
-        """``make(place, size)`` of every n-gram of a run."""
-        at = lambda n: F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(0), F.size("w") - n), lambda i: make(i, n)))
-        return F.explode(F.flatten(F.array_compact(F.array(*map(at, sizes)))))
-
-    often = words.select(each(name).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= least).select("h")
-    seen = keep_ids(words.select(each(gram).alias("g")).select("g.*"), materialize(often, "grams-often"), "h")
-    beside = seen.select("gram", "n_tokens", F.posexplode("beside").alias("side", "other")).groupBy("gram", "n_tokens", "side", "other").agg(F.count(F.lit(1)).alias("c"))
+    top = max(sizes)
+    # One row a token, with what stands before it and the tokens that follow: shifted arrays, zipped.
+    ahead = [F.slice("w", k + 1, F.size("w")).alias(f"t{k}") for k in range(top + 1)]
+    rows = runs(df, [key], text).select(F.explode(F.arrays_zip(F.concat(F.array(F.lit(None)), "w").alias("left"), *ahead)).alias("z")).select("z.*").where("t0 IS NOT NULL")
+    name = lambda n: F.when(F.col(f"t{n - 1}").isNotNull(), F.xxhash64(*[f"t{k}" for k in range(n)]))
+    grams = rows.select("*", F.explode(F.array(*[F.struct(name(n).alias("h"), F.lit(n).alias("n_tokens")) for n in sizes])).alias("g")).select("*", "g.h", "g.n_tokens").where("h IS NOT NULL")
+    often = grams.select("h").groupBy("h").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= least).select("h")
+    seen = keep_ids(grams, materialize(often, "grams-often"), "h")
+    tokens_ = F.array(*[f"t{k}" for k in range(top + 1)])
+    sides = F.array("left", F.get(tokens_, F.col("n_tokens")))
+    seen = seen.select(F.array_join(F.slice(tokens_, 1, F.col("n_tokens")), " ").alias("gram"), "n_tokens", F.posexplode(sides).alias("side", "other"))
+    beside = seen.groupBy("gram", "n_tokens", "side", "other").agg(F.count(F.lit(1)).alias("c"))
     out = beside.groupBy("gram", "n_tokens").agg(F.sum(F.when(F.col("side") == 0, F.col("c"))).alias("count"), F.count_if(F.col("side") == 0).alias("n_left"), F.count_if(F.col("side") == 1).alias("n_right"))
     return out.where(F.col("count") >= least).select("gram", "n_tokens", "count", "n_left", "n_right")
 

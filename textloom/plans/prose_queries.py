@@ -8,7 +8,7 @@ from textloom.functions import markup as M
 from textloom.functions import text as X
 from textloom.operators import prose as P
 from textloom.plans.made import MARKED, MARKED_LINES, Plans, marked
-from textloom.session import table
+from textloom.session import materialize, table
 
 query = Plans()
 QUERIES, ORACLES = query.queries, query.oracles
@@ -75,7 +75,7 @@ def lint_status(spark, d):
   c AS (SELECT 'worst' AS how, doc_id, row_number() OVER (ORDER BY burden DESC, ay_per_1k DESC, doc_id) AS place FROM open QUALIFY place <= 10)
   SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c""")
 def lint_batches(spark, d):
-    rows = _lint(spark, d)[0].select("doc_id", "status", "burden", "ay_per_1k")
+    rows = materialize(_lint(spark, d)[0].select("doc_id", "status", "burden", "ay_per_1k"), "lint")
     picks = {"ids": P.pick_batch(rows, "doc_id", ids=[8, 2, 3]), "first": P.pick_batch(rows, "doc_id", first=True), "worst": P.pick_batch(rows, "doc_id")}
     out = None
     for how, df in picks.items():
