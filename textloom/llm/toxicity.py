@@ -28,6 +28,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +38,9 @@ ALPHABET = 64
 LEXICON_SENT = 200_000
 FIT_ROWS = 50_000
 KEEP_TOKEN = 64
-CACHE = 300_000
+CACHE = 400_000
+#: Trigrams whose probability a worker remembers.
+MEMO = 1_000_000
 FLUSH_WORDS = 500_000
 PREDICT = 0.7
 #: Channel cost of a word boundary between spaced letters.
@@ -81,20 +84,40 @@ class CharModel:
             one[b] += n
             uni[c] += n
         self.tri, self.bi, self.two, self.one, self.uni, self.total = tri, bi, two, one, uni, sum(uni.values())
-        self.memo: dict[tuple[str, str, str], float] = {}
+        self.logs = _Logs(self)
+        #: Names the model, for what a worker remembers between tasks.
+        self.name = xxhash.xxh3_128_hexdigest(repr((sorted(self.letters), sorted(tri.items()))))
 
     def cls(self, c: str) -> str:
         return c if c in self.letters or c == EDGE else OTHER
 
     def log(self, a: str, b: str, c: str) -> float:
-        a, b, c = self.cls(a), self.cls(b), self.cls(c)
-        got = self.memo.get((a, b, c))
-        if got is None:
-            p1 = (self.uni[c] + 1) / (self.total + ALPHABET + 2)
-            p2 = (self.two[b, c] + 4 * p1) / (self.one[b] + 4)
-            got = self.memo[a, b, c] = math.log((self.tri[a, b, c] + 4 * p2) / (self.bi[a, b] + 4))
+        return self.logs[a + b + c]
+
+
+class _Logs(dict):
+    """Log probability of a trigram's last letter, by the three letters; made when first asked for."""
+
+    def __init__(self, model: CharModel) -> None:
+        super().__init__()
+        self.model = model
+
+    def __missing__(self, gram: str) -> float:
+        m = self.model
+        a, b, c = map(m.cls, gram)
+        p1 = (m.uni[c] + 1) / (m.total + ALPHABET + 2)
+        p2 = (m.two[b, c] + 4 * p1) / (m.one[b] + 4)
+        got = math.log((m.tri[a, b, c] + 4 * p2) / (m.bi[a, b] + 4))
+        if len(self) < MEMO:
+            self[gram] = got
         return got
 
+    def __reduce__(self):
+        return _Logs, (self.model,)
+
+
+RUNS = re.compile(r"(.)\1*", re.S)
+
 
 def lattice(token: str, spaced: bool = False) -> list[list[tuple[str, float]]]:
     """Readings of each run of equal characters: letters (possibly none) and their channel cost.
@@ -102,10 +125,20 @@ def lattice(token: str, spaced: bool = False) -> list[list[tuple[str, float]]]:
     With ``spaced``, a blank (the end of a word) may stand before any of them but the first, and
     between equal letters.
     """
-    out = []
-    for m in re.finditer(r"(.)\1*", token, re.S):
+    out: list[list[tuple[str, float]]] = []
+    plain = False
+    for m in RUNS.finditer(token):
         c, n = m[1], len(m[0])
         reads: list[tuple[str, float]] = []
+        if n == 1 and not spaced and c.isalpha():
+            # Neighbouring letters with one reading are one step.
+            if plain:
+                out[-1] = [(out[-1][0][0] + c, 0.0)]
+            else:
+                out.append([(c, 0.0)])
+            plain = True
+            continue
+        plain = False
         if c.isalpha():
             reads.append((c, 0.0 if n == 1 else -1.0))
             if n >= 2:
@@ -130,7 +163,8 @@ def restore(token: str, model: CharModel, spaced: bool = False) -> str:
     """The likeliest word behind one lower-case token, or words (blanks between them) behind ``spaced`` letters."""
     if not spaced and not ODD.search(token) or not any(c.isalpha() or c in READINGS for c in token):
         return token
-    # Beam of states: the last two letters; per state the best score and its readings, last first.
+    # States: the last two letters; per state the best score and its readings, last first.
+    logs = model.logs
     states: dict[str, tuple[float, tuple]] = {EDGE * 2: (0.0, ())}
     for reads in lattice(token, spaced):
         now: dict[str, tuple[float, tuple]] = {}
@@ -139,9 +173,9 @@ def restore(token: str, model: CharModel, spaced: bool = False) -> str:
                 s, at = score + cost, last
                 for c in letters:
                     if c == " ":
-                        s, at = s + model.log(at[0], at[1], EDGE), EDGE * 2
+                        s, at = s + logs[at + EDGE], EDGE * 2
                     else:
-                        s += model.log(at[0], at[1], c)
+                        s += logs[at + c]
                         at = at[1] + c
                 if at not in now or s > now[at][0]:
                     now[at] = (s, (letters, path))
@@ -154,15 +188,36 @@ def restore(token: str, model: CharModel, spaced: bool = False) -> str:
     return "".join(reversed(out))
 
 
+#: Per model, its instance and the odd words restored so far: a worker's tasks share them. Only the last model is kept.
+_SHARED: dict[str, tuple[CharModel, dict[str, str]]] = {}
+
+
+def shared(model: CharModel) -> tuple[CharModel, dict[str, str]]:
+    if model.name not in _SHARED:
+        _SHARED.clear()
+        _SHARED[model.name] = model, {}
+    return _SHARED[model.name]
+
+
 class Restorer(dict):
     """Token to restored word, with a bounded memory; ``of`` maps restored words further."""
 
     def __init__(self, model: CharModel, of: Callable[[str], object] = str) -> None:
         super().__init__()
-        self.model, self.of = model, of
+        (self.model, self.known), self.of = shared(model), of
 
     def __missing__(self, token: str) -> object:
-        got = self.of(restore(_fold(token), self.model))
+        word = _fold(token)
+        if ODD.search(word):
+            found = self.known.get(word)
+            if found is None:
+                found = restore(word, self.model)
+                if len(word) <= KEEP_TOKEN:
+                    if len(self.known) >= CACHE:
+                        self.known.clear()
+                    self.known[word] = found
+            word = found
+        got = self.of(word)
         if len(token) <= KEEP_TOKEN:
             if len(self) >= CACHE:
                 self.clear()
