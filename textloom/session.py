@@ -39,14 +39,25 @@ def scratch(spark: SparkSession) -> str:
     return path
 
 
-def materialize(df: DataFrame, tag: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
+def scratch_path(spark: SparkSession, tag: str) -> str:
+    """A new path in the shared folder."""
+    return f"{scratch(spark)}/{tag}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a table of the shared folder whose last reader has ended."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def materialize(df: DataFrame, tag: str = "table", partition_by: tuple[str, ...] = (), path: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder (at ``path`` if given) and read it back.
 
     The written table survives lost executors, has exact size statistics for the planner and is
-    computed once however often it is read.
+    computed once however often it is read. Unless ``remove`` deletes it, it stays until the application ends.
     """
     spark = df.sparkSession
-    path = f"{scratch(spark)}/{tag}-{uuid.uuid4().hex}"
+    path = path or scratch_path(spark, tag)
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
