@@ -80,6 +80,12 @@ def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(table(spark, sf_dir, "embeddings"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textloom.llm.vector_codes import encode_vectors
+
+    return encode_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_chat_formatting": op2_chat_formatting,
@@ -92,9 +98,40 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe": op9_bpe,
     "op10_toxicity": op10_toxicity,
     "op11_nearest_neighbours": op11_nearest_neighbours,
+    "op13_vector_codes": op13_vector_codes,
 }
 
+def codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    """DuckDB SQL of op13: each round compares every part with every entry."""
+    nearest = "SELECT x.n, x.p, arg_min(b.e, (list_sum(list_transform(list_zip(x.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::HUGEINT, b.e)) AS e"
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"a{k} AS MATERIALIZED ({nearest} FROM x JOIN b{k} b USING (p) GROUP BY x.n, x.p)")
+        if k < rounds:
+            steps.append(f"m{k} AS (SELECT p, e, i, sum(v[i])::HUGEINT AS s, count(*)::HUGEINT AS c FROM a{k} JOIN x USING (n, p), range(1, len(v) + 1) t(i) GROUP BY ALL)")
+            steps.append(f"v{k} AS (SELECT p, e, list(((s - ((s % c) + c) % c) // c)::BIGINT ORDER BY i) AS v FROM m{k} GROUP BY p, e)")
+            steps.append(f"b{k + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(w.v, b.v) AS v FROM b{k} b LEFT JOIN v{k} w USING (p, e))")
+    steps_sql = ",\n        ".join(steps)
+    return f"""
+        WITH k AS (
+          SELECT row_number() OVER (ORDER BY vec_id) AS n, vec_id, label, embedding FROM embeddings
+          WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+        x AS MATERIALIZED (
+          SELECT n, p, list_transform(embedding[p * len(embedding) // {parts} + 1 : (p + 1) * len(embedding) // {parts}], lambda c: floor({scale} * c::DOUBLE)::BIGINT) AS v
+          FROM k, range({parts}) t(p)),
+        b0 AS MATERIALIZED (SELECT p, n - 1 AS e, v FROM x WHERE n <= {entries}),
+        {steps_sql},
+        coded AS (
+          SELECT n, string_agg(printf('%02x', a.e), '' ORDER BY p) AS code,
+            sum(list_sum(list_transform(list_zip(x.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))))::BIGINT AS error
+          FROM a{rounds} a JOIN x USING (n, p) JOIN b{rounds} b USING (p, e) GROUP BY n)
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+          (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) FROM b{rounds}) AS codebooks_sha256
+        FROM coded JOIN k USING (n)"""
+
+
 ORACLES: dict[str, str] = {
+    "op13_vector_codes": codes_sql(),
     "op8_exact_dedup": r"""
         WITH d AS (
           SELECT doc_id, length(coalesce(text, '')) AS n, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS sha
