@@ -80,6 +80,12 @@ def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(table(spark, sf_dir, "embeddings"))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textloom.llm.phrases import mine_phrases
+
+    return mine_phrases(table(spark, sf_dir, "documents"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textloom.llm.vector_codes import encode_vectors
 
@@ -98,9 +104,37 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe": op9_bpe,
     "op10_toxicity": op10_toxicity,
     "op11_nearest_neighbours": op11_nearest_neighbours,
+    "op12_phrases": op12_phrases,
     "op13_vector_codes": op13_vector_codes,
 }
 
+def phrases_sql(longest: int = 5, least: int = 100, top: int = 2000) -> str:
+    """DuckDB SQL of op12: all n-grams of all pieces as lists, without a dictionary or keys."""
+    return rf"""
+        WITH pieces AS (
+          SELECT coalesce(lang, 'und') AS lang,
+            unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+          FROM documents),
+        lists AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+        places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS p FROM lists),
+        grams AS (SELECT lang, w[p : p + k - 1] AS g, k, p FROM places, range(1, {longest + 1}) t(k) WHERE p + k - 1 <= len(w)),
+        f AS MATERIALIZED (SELECT lang, g, k, count(*) AS n FROM grams GROUP BY ALL HAVING count(*) >= {least}),
+        totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM lists GROUP BY lang),
+        cuts AS (
+          SELECT c.lang, c.g, c.n AS a, t.n, cut, x.n AS l, y.n AS r,
+            ((1000::HUGEINT * c.n * t.n) // (x.n::HUGEINT * y.n))::BIGINT AS score
+          FROM f c JOIN totals t USING (lang), range(1, {longest}) u(cut), f x, f y
+          WHERE c.k > 1 AND cut < c.k AND x.lang = c.lang AND x.g = c.g[1 : cut] AND y.lang = c.lang AND y.g = c.g[cut + 1 :]),
+        lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+        longer AS (
+          SELECT lang, g[s : s + k - 1] AS g, max(n) AS n
+          FROM (SELECT lang, g, n, k AS whole FROM f) h, range(2, {longest}) v(k), range(1, {longest + 1}) z(s)
+          WHERE k < whole AND s + k - 1 <= whole GROUP BY ALL),
+        left_over AS (SELECT * FROM lowest WHERE NOT EXISTS (SELECT 1 FROM longer o WHERE o.lang = lowest.lang AND o.g = lowest.g AND 100 * o.n >= 100 * lowest.a))
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank, array_to_string(g, ' ') AS phrase, a, l, r, n, score
+        FROM left_over QUALIFY rank <= {top}"""
+
+
 def codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
     """DuckDB SQL of op13: each round compares every part with every entry."""
     nearest = "SELECT x.n, x.p, arg_min(b.e, (list_sum(list_transform(list_zip(x.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::HUGEINT, b.e)) AS e"
@@ -131,6 +165,7 @@ def codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4
 
 
 ORACLES: dict[str, str] = {
+    "op12_phrases": phrases_sql(),
     "op13_vector_codes": codes_sql(),
     "op8_exact_dedup": r"""
         WITH d AS (
