@@ -42,19 +42,19 @@ def doctor(spark, d):
     return C.reconcile_records(records, now, "doc_id")
 
 
-@query("""WITH s AS (SELECT conv_id, arg_max(turn, turn) AS system FROM conversations WHERE role = 'system' GROUP BY 1), u AS (SELECT conv_id, arg_max(left(text, 20), turn) AS "user" FROM conversations WHERE role = 'user' GROUP BY 1), a AS (SELECT conv_id, arg_max(left(text, 20), turn) AS assistant FROM conversations WHERE role = 'assistant' GROUP BY 1)
-  SELECT conv_id, (SELECT left(text, 20) FROM conversations c WHERE c.conv_id = k.conv_id AND c.turn = k.system AND role = 'system') AS system, "user", assistant FROM (SELECT * FROM s FULL JOIN u USING (conv_id) FULL JOIN a USING (conv_id)) k""")
+@query("""WITH s AS (SELECT conv_id, arg_max(turn, turn) AS system FROM conversations WHERE role = 'system' GROUP BY 1), u AS (SELECT conv_id, arg_max(text, turn) AS "user" FROM conversations WHERE role = 'user' GROUP BY 1), a AS (SELECT conv_id, arg_max(text, turn) AS assistant FROM conversations WHERE role = 'assistant' GROUP BY 1)
+  SELECT conv_id, (SELECT text FROM conversations c WHERE c.conv_id = k.conv_id AND c.turn = k.system AND role = 'system') AS system, "user", assistant FROM (SELECT * FROM s FULL JOIN u USING (conv_id) FULL JOIN a USING (conv_id)) k""")
 def three_way_merge(spark, d):
-    t = table(spark, d, "conversations").select("conv_id", "role", "turn", F.left("text", F.lit(20)).alias("head"))
+    t = table(spark, d, "conversations").select("conv_id", "role", "turn", F.col("text").alias("head"))
     return L.merge_by_kind(t, "conv_id", "role", "turn", "head", ("system", "user", "assistant"))
 
 
-@query("""WITH r AS (SELECT conv_id % 40 AS term, left(text, 8) AS value, conv_id * 100 + turn AS ord, CASE WHEN turn % 3 = 0 THEN 'fail' ELSE 'pass' END AS verdict FROM conversations), s AS (SELECT item_id AS term, left(text, 8) AS value FROM benchmark WHERE item_id % 3 = 0),
+@query("""WITH r AS (SELECT conv_id % 40 AS term, text AS value, conv_id * 100 + turn AS ord, CASE WHEN turn % 3 = 0 THEN 'fail' ELSE 'pass' END AS verdict FROM conversations), s AS (SELECT item_id AS term, text AS value FROM benchmark WHERE item_id % 3 = 0),
   p AS (SELECT term, arg_max(value, ord) AS new FROM r WHERE verdict = 'pass' GROUP BY term)
   SELECT coalesce(s.term, p.term) AS term, coalesce(value, new) AS value, value IS NOT NULL AND new IS NOT NULL AND value <> new AS conflict FROM s FULL JOIN p ON s.term = p.term""")
 def verified_merge(spark, d):
-    r = table(spark, d, "conversations").select((F.col("conv_id") % 40).alias("term"), F.left("text", F.lit(8)).alias("value"), (F.col("conv_id") * 100 + F.col("turn")).alias("ord"), F.when(F.col("turn") % 3 == 0, "fail").otherwise("pass").alias("verdict"))
-    s = table(spark, d, "benchmark").where("item_id % 3 = 0").select(F.col("item_id").alias("term"), F.left("text", F.lit(8)).alias("value"))
+    r = table(spark, d, "conversations").select((F.col("conv_id") % 40).alias("term"), F.col("text").alias("value"), (F.col("conv_id") * 100 + F.col("turn")).alias("ord"), F.when(F.col("turn") % 3 == 0, "fail").otherwise("pass").alias("verdict"))
+    s = table(spark, d, "benchmark").where("item_id % 3 = 0").select(F.col("item_id").alias("term"), F.col("text").alias("value"))
     merged, conflicts = L.merge_results(r, s)
     return merged.join(conflicts.select("term", F.lit(True).alias("c")), "term", "left").select("term", "value", F.coalesce("c", F.lit(False)).alias("conflict"))
 
@@ -246,13 +246,13 @@ def _place(spark) -> str:
     return f"{scratch(spark)}/sink-{uuid.uuid4().hex}"
 
 
-@query("SELECT page_id AS page, para, sha1(t) AS text FROM (SELECT page_id, unnest(range(len(p))) AS para, unnest(p) AS t FROM (SELECT page_id, ['first ' || url, left(regexp_replace(html, '\\s+', ' ', 'g'), 90)] AS p FROM pages))".replace("\\\\", "\\"))
+@query("SELECT page_id AS page, para, sha1(t) AS text FROM (SELECT page_id, unnest(range(len(p))) AS para, unnest(p) AS t FROM (SELECT page_id, ['first ' || url, regexp_replace(html, '\\s+', ' ', 'g')] AS p FROM pages))".replace("\\\\", "\\"))
 def page_files(spark, d):
     """Pages written as one text file each, read back by their numbers, and cut at blank lines."""
     place = _place(spark)
-    body = F.concat(F.lit("first "), "url", F.lit("\n \n"), F.left(F.regexp_replace("html", r"\s+", " "), F.lit(90)))
+    body = F.concat(F.lit("first "), "url", F.lit("\n \n"), F.regexp_replace("html", r"\s+", " "))
     files.view_per_key(table(spark, d, "pages").select(F.col("page_id").alias("page"), body.alias("body")).repartition("page"), place, "page", F.col("body")).write()
-    pages = files.page_texts(spark, f"{place}/*/*", number=r"page=(\d+)/")
+    pages = files.page_texts(spark, f"{place}/*/*", number=r"page=(\d+)/[^/]*$")
     return files.paragraphs(pages.select("page", F.regexp_replace("text", r"\n$", "").alias("text"))).select("page", "para", F.sha1("text").alias("text"))
 
 
@@ -262,7 +262,7 @@ def json_array_files(spark, d):
     row = lambda i: F.struct(F.lit(i * 2).alias("code"), (F.length("url") + 0.5).alias("x"))
     t = table(spark, d, "pages").select(F.col("page_id").alias("page"), F.to_json(F.array(*[row(i) for i in range(3)])).alias("body"))
     files.view_per_key(t.repartition("page"), place, "page", F.col("body")).write()
-    return files.json_arrays(spark, f"{place}/*/*", "code int, x double", number=r"page=(\d+)/")
+    return files.json_arrays(spark, f"{place}/*/*", "code int, x double", number=r"page=(\d+)/[^/]*$")
 
 
 @query("SELECT conv_id AS k, turn, role FROM conversations WHERE role <> 'system'")
@@ -283,7 +283,7 @@ def markdown_files(spark, d):
     text = F.concat(F.lit("---\r\nkind: body\r\nsection: a: b\r\n---\r\n"), "text")
     t = table(spark, d, "benchmark").select(F.concat(F.lit("c"), "item_id").alias("chunk"), text.alias("t"))
     files.view_per_key(t.repartition("chunk"), place, "chunk", F.col("t")).write()
-    found = files.markdown_chunks(spark, f"{place}/*/*", name=r"chunk=([^/]+)/")
+    found = files.markdown_chunks(spark, f"{place}/*/*", name=r"chunk=([^/]+)/[^/]*$")
     return found.select("chunk", F.col("front")["kind"].alias("kind"), F.col("front")["section"].alias("section"), F.sha1("body").alias("body"))
 
 

@@ -44,10 +44,13 @@ def json_arrays(spark: SparkSession, path: str, schema: str, number: str = NAME)
 
 def journal(spark: SparkSession, path: str, schema: str, name: str = "*.jsonl", depth: int = 4) -> DataFrame:
     """Rows of JSONL journals below ``path`` (at most ``depth`` folders down) whose ``type`` is result; blank, malformed and
-    other lines are skipped."""
-    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", name).text(path)
-    below = F.size(F.split(F.regexp_extract("_metadata.file_path", X.literal("/" + path.rstrip("/").rpartition("/")[2] + "/") + "(.*)$", 1), "/")) - 1
-    parsed = lines.where(below <= depth).select(F.from_json("value", f"type string, result struct<{schema}>", {"mode": "PERMISSIVE"}).alias("j"))
+    other lines are skipped. Folders are listed level by level, so files further down aren't even listed."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    levels = [f"{path.rstrip('/')}/{'*/' * k}{name}" for k in range(depth + 1)]
+    store = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [level for level in levels if store.globStatus(hadoop(level))]
+    lines = spark.read.text(found) if found else spark.createDataFrame([], "value string")
+    parsed = lines.select(F.from_json("value", f"type string, result struct<{schema}>", {"mode": "PERMISSIVE"}).alias("j"))
     return parsed.where("j.type = 'result' AND j.result IS NOT NULL").select("j.result.*")
 
 
