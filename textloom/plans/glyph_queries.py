@@ -16,15 +16,17 @@ from textloom.session import table
 query = Plans()
 QUERIES, ORACLES = query.queries, query.oracles
 
-# --- glyphs: each character of the benchmark's items, 60 a line, every fifth line indented --------
+# --- glyphs: each character of the documents, 60 a line, 25 lines a page, every fifth line indented --------
 
 #: The stream gives x for e; a repair table knows better, and a font map knows q.
-_SRC = "src AS (SELECT item_id AS page, replace(text, chr(10), ' ') AS text FROM benchmark), g AS (SELECT page, i AS ord, substr(text, CAST(i + 1 AS INT), 1) AS c, 'F' || (i % 2 + 1) AS font, 50.0 + 8 * (i % 60) + CASE WHEN (i // 60) % 5 = 0 THEN 20 ELSE 0 END AS x, 520.0 - 16 * (i // 60) + 0.5 * (i % 3) AS y FROM (SELECT *, unnest(range(length(text))) AS i FROM src))"
+_SRC = "src AS (SELECT doc_id * 10000 + k AS page, substr(replace(text, chr(10), ' '), k * 1500 + 1, 1500) AS text FROM (SELECT *, unnest(range((length(text) + 1499) // 1500)) AS k FROM documents)), g AS (SELECT page, i AS ord, substr(text, CAST(i + 1 AS INT), 1) AS c, 'F' || (i % 2 + 1) AS font, 50.0 + 8 * (i % 60) + CASE WHEN (i // 60) % 5 = 0 THEN 20 ELSE 0 END AS x, 520.0 - 16 * (i // 60) + 0.5 * (i % 3) AS y FROM (SELECT *, unnest(range(length(text))) AS i FROM src))"
 
 
 def stream(spark, d):
     """``page, ord, font, code, u, x, y, size, w`` with a folio and a running head on each page."""
-    t = table(spark, d, "benchmark").select(F.col("item_id").alias("page"), F.replace("text", F.lit("\n"), F.lit(" ")).alias("text"))
+    k = F.explode(F.sequence(F.lit(0), F.floor((F.length("text") - 1) / 1500).cast("int")))
+    t = table(spark, d, "documents").where("length(text) > 0").select("doc_id", F.replace("text", F.lit("\n"), F.lit(" ")).alias("text"), k.alias("k"))
+    t = t.select((F.col("doc_id") * 10000 + F.col("k")).alias("page"), F.col("text").substr(F.col("k") * 1500 + 1, F.lit(1500)).alias("text"))
     i = F.col("ord")
     g = t.select("page", F.posexplode(F.filter(F.split("text", ""), lambda c: c != "")).alias("ord", "c"))
     line = F.floor(i / 60)
@@ -41,7 +43,7 @@ def _tables(spark):
     return spark.createDataFrame([(ord("e"), "e")], "code int, to string"), spark.createDataFrame([("F1", ord("q"), "q"), ("F2", ord("q"), "q")], "font string, code int, unicode string")
 
 
-@query("SELECT item_id AS page, length(replace(text, chr(10), ' ')) + 1 AS kept, length(text) AS by_name FROM benchmark")
+@query(f"WITH {_SRC} SELECT page, length(text) + 1 AS kept, length(text) AS by_name FROM src")
 def region_filter(spark, d):
     """Glyphs of the text block by either predicate: dropped fonts, and fonts dropped by name too."""
     g = stream(spark, d)
@@ -70,7 +72,7 @@ def clean_pages(spark, d):
     return G.clean_pages(g, *_tables(spark), ["Folio"]).select("page", F.sha1("text").alias("text"))
 
 
-@query("SELECT item_id AS page FROM benchmark WHERE item_id % 3 = 0 AND length(text) > 60")
+@query(f"WITH {_SRC} SELECT page FROM src WHERE page % 3 = 0 AND length(text) > 60")
 def order_proof(spark, d):
     """Pages whose rebuilt text is not the stream's: on every third page a glyph comes back to the first line."""
     g = G.keep_region(stream(spark, d), ["Folio"], folio_names="Folio")
@@ -188,6 +190,7 @@ def wrapped_entries(spark, d):
 #: Latin letters to base letters, joined letters, vowels and marks (fixed values).
 _FROM = "abcdefghijklmnopqrstuvwxyz ,."
 _TO = "ཀགངདནབམརལསའཏཔྱྲླྭཊིེོུ་ྐྵཱ།༑༔"
+#: Base letters, and the roots that each head and each joined letter goes with: facts of the script (fixed values).
 BASES = "ཀཁགངཅཆཇཉཏཐདནཔཕབམཙཚཛཝཞཟའཡརལཤསཧཨ"
 LEGAL = M.legal_stacks(BASES, {"ར": "ཀགངཇཉཏདནབམཙཛ", "ལ": "ཀགངཅཇཏདཔབཧ", "ས": "ཀགངཉཏདནཔབམཙ"}, {"ྱ": "ཀཁགཔཕབམ", "ྲ": "ཀཁགཏཐདནཔཕབམཤསཧ", "ླ": "ཀགབརསཟ", "ྭ": BASES, "ྷ": "གཇདབཛ"})
 _LEGAL = "[" + ", ".join(f"'{s}'" for s in LEGAL) + "]"
@@ -247,11 +250,11 @@ def code_maps(spark, d):
 _ESC = "replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
 
 
-@query(f"SELECT doc_id, sha1('<h2>' || {_ESC.format('h')} || '</h2>' || chr(10) || '<p>' || {_ESC.format('p')} || ' <strong>b</strong> <code>*c*</code></p>' || chr(10) || '<hr>' || chr(10) || '<blockquote>' || {_ESC.format('h')} || '<br>two</blockquote>' || chr(10) || '<ul><li>' || {_ESC.format('h')} || '</li><li>x</li></ul>' || chr(10) || '<table><tr><th>a</th></tr><tr><td>' || {_ESC.format('h')} || '</td></tr></table>' || chr(10) || '<pre>' || {_ESC.format('p')} || chr(10) || chr(10) || 'end</pre>') AS html FROM (SELECT doc_id, 'T ' || regexp_replace(left(text, 30), '[^a-zA-Z<>&]', '_', 'g') AS h, 'P ' || regexp_replace(text, '[^a-zA-Z<>&]', '_', 'g') AS p FROM documents)")
+@query(f"SELECT doc_id, sha1('<h2>' || {_ESC.format('h')} || '</h2>' || chr(10) || '<p>' || {_ESC.format('p')} || ' <strong>b</strong> <code>*c*</code></p>' || chr(10) || '<hr>' || chr(10) || '<blockquote>' || {_ESC.format('h')} || '<br>two</blockquote>' || chr(10) || '<ul><li>' || {_ESC.format('h')} || '</li><li>x</li></ul>' || chr(10) || '<table><tr><th>a</th></tr><tr><td>' || {_ESC.format('h')} || '</td></tr></table>' || chr(10) || '<pre>' || {_ESC.format('p')} || chr(10) || chr(10) || 'end</pre>') AS html FROM (SELECT doc_id, 'T ' || regexp_replace(text, '[*`|{chr(92)}n]', '_', 'g') || '.' AS h, 'P ' || regexp_replace(text, '[*`|{chr(92)}n]', '_', 'g') || '.' AS p FROM documents)")
 def rendered_html(spark, d):
-    """A page of every kind of block around each document's letters."""
-    plain = lambda c: F.regexp_replace(c, "[^a-zA-Z<>&]", "_")
-    h, p = F.concat(F.lit("T "), plain(F.left("text", F.lit(30)))), F.concat(F.lit("P "), plain("text"))
+    """A page of every kind of block around each document's whole text, in one line."""
+    plain = F.concat(F.regexp_replace("text", r"[*`|\n]", "_"), F.lit("."))
+    h, p = F.concat(F.lit("T "), plain), F.concat(F.lit("P "), plain)
     md = F.concat(F.lit("## "), h, F.lit("\n"), p, F.lit(" **b** `*c*`\n\n---\n> "), h, F.lit("\n> two\n\n- "), h, F.lit("\n- x\n\n|a|\n|-|\n|"), h, F.lit("|\n\n```\n"), p, F.lit("\n\nend\n```\n"))
     return table(spark, d, "documents").select("doc_id", F.sha1(M.markdown_to_html(md)).alias("html"))
 
@@ -263,15 +266,13 @@ def injected_markers(spark, d):
     return t.select("doc_id", F.sha1(M.marker_inserted("t", "at", F.lit("【7】"))).alias("text"))
 
 
-@query("SELECT doc_id, sha1(replace(regexp_replace(left(text, 40), '[^a-z ]', 'x', 'g'), 'has', 'hxs') || ' has ' || ['sorts', 'lines', 'things'][doc_id % 3 + 1] || ' end') AS text FROM documents")
+@query("""WITH t AS (SELECT doc_id, string_split(replace(replace(text, 'has', 'hxs'), ' the ', ' has three '), ' has three') AS p FROM documents),
+  a AS (SELECT doc_id, p[1] AS lead, list_transform(range(2, len(p) + 1), lambda i: struct_pack(own := p[i], ahead := lower(left(array_to_string(p[i : i + 8], ' has three'), 60)))) AS x FROM t)
+  SELECT doc_id, sha1(lead || array_to_string(list_transform(x, lambda y: ' has three ' || CASE WHEN instr(y.ahead, 'a') = 0 AND instr(y.ahead, 'or') = 0 THEN 'things' WHEN instr(y.ahead, 'or') = 0 OR instr(y.ahead, 'a') > 0 AND instr(y.ahead, 'a') < instr(y.ahead, 'or') THEN 'sorts' ELSE 'lines' END || y.own), '')) AS text FROM a""")
 def enumerations(spark, d):
-    """A number's classifier, chosen by what follows it."""
-    word = F.when(F.col("doc_id") % 3 == 0, "kinds").when(F.col("doc_id") % 3 == 1, "rope").otherwise("none")
-    lead = F.replace(F.regexp_replace(F.left("text", F.lit(40)), "[^a-z ]", "x"), F.lit("has"), F.lit("hxs"))
-    t = table(spark, d, "documents").select("doc_id", lead.alias("lead"), F.concat(F.lit("has three: "), word, F.lit(" of end")).alias("t"))
-    out = M.enumerated("has", {"kinds": "sorts", "rope": "lines"}, "things")("t")
-    cut = F.regexp_extract(out, r"^has three (\w+)", 1)
-    return t.select("doc_id", F.sha1(F.concat("lead", F.lit(" has "), cut, F.lit(" end"))).alias("text"))
+    """A number's classifier, chosen by what follows it: in whole texts, for each of their articles."""
+    t = table(spark, d, "documents").select("doc_id", F.replace(F.replace("text", F.lit("has"), F.lit("hxs")), F.lit(" the "), F.lit(" has three ")).alias("t"))
+    return t.select("doc_id", F.sha1(M.enumerated("has", {"a": "sorts", "or": "lines"}, "things")("t")).alias("text"))
 
 
 @query(f"SELECT page_id, sha1({_ESC.format('html')}) AS escaped, true AS back FROM pages")
