@@ -14,8 +14,11 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Spans that a sweep must not touch: code, and italics with a straight quote.
-PROTECTED = re.compile(r"```.*?```|`[^`\n]*`|\*[^*\n]*'[^*\n]*\*", re.S)
+#: Spans that a sweep must not touch (fixed values of the definition).
+FENCE, CODE, QUOTED_ITALIC = r"```.*?```", r"`[^`\n]*`", r"\*[^*\n]*'[^*\n]*\*"
+PROTECTED = re.compile(f"{FENCE}|{CODE}|{QUOTED_ITALIC}", re.S)
+#: Code points that no text should hold: one that a text lacks marks where its kept segments were.
+NONCHARACTERS = [*map(chr, range(0xFDD0, 0xFDF0)), "\uffff", "\ufffe"]
 
 
 def exposed(span: str) -> bool:
@@ -23,21 +26,25 @@ def exposed(span: str) -> bool:
     return span.startswith("*") and any(unicodedata.normalize("NFD", c)[1:] or c in "đĐ" for c in span if c.isalpha())
 
 
-def protect(text: str) -> tuple[str, list[str]]:
-    """The text with placeholders for its protected spans, and the spans."""
-    kept: list[str] = []
+def segments(text: str) -> tuple[list[str], list[str]]:
+    """Free and kept segments by turns: one free segment more than kept ones."""
+    free, kept, at = [], [], 0
+    for m in PROTECTED.finditer(text):
+        if not exposed(m[0]):
+            free.append(text[at : m.start()])
+            kept.append(m[0])
+            at = m.end()
+    return [*free, text[at:]], kept
 
-    def hide(m: re.Match) -> str:
-        if exposed(m[0]):
-            return m[0]
-        kept.append(m[0])
-        return f"\0{len(kept) - 1}\0"
 
-    return PROTECTED.sub(hide, text), kept
-
-
-def restore(text: str, kept: list[str]) -> str:
-    return re.sub("\0(\\d+)\0", lambda m: kept[int(m[1])], text)
+def _rewritten(free: list[str], rewrite: Callable[[str], str]) -> list[str]:
+    """All free segments rewritten as one text, so that a rewrite sees no segment's edge as a text's; one by one if that can't be told apart again."""
+    for mark in NONCHARACTERS:
+        if not any(mark in x for x in free):
+            out = rewrite(mark.join(free)).split(mark)
+            if len(out) == len(free):
+                return out
+    return [rewrite(x) for x in free]
 
 
 def front_matter(text: str) -> tuple[str, str]:
@@ -49,8 +56,8 @@ def front_matter(text: str) -> tuple[str, str]:
 def outside_protected(text: str, rewrite: Callable[[str], str]) -> str:
     """``rewrite`` applied to what lies outside front matter and the protected spans."""
     front, body = front_matter(text or "")
-    body, kept = protect(body)
-    return front + restore(rewrite(body), kept)
+    free, kept = segments(body)
+    return front + "".join(a + b for a, b in zip(_rewritten(free, rewrite), [*kept, ""], strict=True))
 
 
 def protected_udf(rewrite: Callable[[str], str]):

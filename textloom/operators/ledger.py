@@ -130,21 +130,25 @@ CLOSE = r"\n*\*\([^)]*(?:tiếp sang|tiếp tục sang)[^)]*\)\*\s*\z"
 OPEN = r"\A(\s*>\s?)?\*\(\s*[….]*\s*tiếp theo[^)]*\)\*\s*[….]*\s*"
 
 
+_QUOTE_MARK = re.compile(r"\s*>\s?")
+
+
+def _seam(last: str, first: str) -> str:
+    """The line that a cut line and its continuation make: one quote mark, one ellipsis, one blank."""
+    left, right = last.rstrip(), _QUOTE_MARK.sub("", first, count=1).lstrip() if _QUOTE_MARK.match(first) else first.lstrip()
+    return f"{left} {right.removeprefix('…').lstrip() if left.endswith('…') else right}"
+
+
 def _weld(parts: list[str]) -> str:
-    """Fragments of one sentence after another, joined at line level; different kinds of block stay apart."""
-    out = parts[0]
-    for nxt in parts[1:]:
-        head, _, last = out.rpartition("\n")
-        first, _, rest = nxt.partition("\n")
-        quoted = [bool(re.match(r"\s*>", x)) for x in (last, first)]
-        if quoted[0] != quoted[1]:
-            out = f"{out}\n\n{nxt}"
-            continue
-        first = re.sub(r"^\s*>\s?", "", first).lstrip() if quoted[1] else first.lstrip()
-        if last.rstrip().endswith("…") and first.startswith("…"):
-            first = first[1:].lstrip()
-        out = "\n".join([*([head] if head or "\n" in out else []), f"{last.rstrip()} {first}", *([rest] if rest or "\n" in nxt else [])])
-    return out
+    """Fragments as one text: a list of lines, where a fragment's first line goes on the last line so far if both are quoted or neither is."""
+    lines: list[str] = []
+    for part in parts:
+        own = part.split("\n")
+        if lines:
+            same = bool(_QUOTE_MARK.match(lines[-1])) == bool(_QUOTE_MARK.match(own[0]))
+            own[:1] = [_seam(lines.pop(), own[0])] if same else ["", own[0]]
+        lines += own
+    return "\n".join(lines)
 
 
 @F.pandas_udf(T.StringType())
