@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from textloom.plans import corpus_queries, glyph_queries, ledger_queries, prose_queries, sequence_queries
+from textloom.plans import corpus_queries, glyph_queries, ledger_queries, page_queries, prose_queries, scan_queries, sequence_queries
 
-MODULES = (corpus_queries, sequence_queries, prose_queries, ledger_queries, glyph_queries)
+MODULES = (corpus_queries, sequence_queries, prose_queries, ledger_queries, glyph_queries, page_queries, scan_queries)
 
 
 def queries() -> dict:
