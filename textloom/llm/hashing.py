@@ -1,11 +1,18 @@
-"""Word and rolling hashes in numpy (unsigned 64-bit, wrapping)."""
+"""Word and rolling hashes in numpy (unsigned 64-bit, wrapping).
+
+``rolling`` is fast, and only fit for filters: sequences with equal hashes can be made. ``doubled`` decides: its
+multipliers come from ``content_seed``, a digest of all rows, so that no input can be made to fit them.
+"""
 
 from __future__ import annotations
 
+import hashlib
 from functools import lru_cache
 
 import numpy as np
 import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: Words that a worker remembers: about 40 MB.
 WORD_CACHE = 250_000
@@ -66,6 +73,59 @@ def rolling(h: np.ndarray, length: int) -> np.ndarray:
     return mix((sums[length:] - sums[:-length]) * down[: n - length + 1] + _U(length))
 
 
+def content_seed(rows: DataFrame, *columns: str) -> int:
+    """64 bits that depend on all rows, in any order."""
+    h = F.xxhash64(*columns)
+    found = rows.agg(F.count(F.lit(1)), F.sum(h.cast("decimal(38,0)")), F.bit_xor(F.xxhash64(h, F.lit(7)))).first()
+    return int.from_bytes(hashlib.sha256(repr(tuple(map(str, found))).encode()).digest()[:8], "little")
+
+
+@lru_cache(maxsize=512)
+def _multipliers(seed: int, level: int) -> tuple[np.uint64, np.uint64]:
+    d = hashlib.sha256(f"{seed}:{level}".encode()).digest()
+    return tuple(_U(int.from_bytes(d[k : k + 8], "little") | 1) for k in (0, 8))
+
+
+def _joined(x: np.ndarray, y: np.ndarray, seed: int, level: int) -> np.ndarray:
+    a, b = _multipliers(seed, level)
+    z = x * a + (y ^ (y >> _U(32))) * b
+    return z ^ (z >> _U(29))
+
+
+def doubled(units: np.ndarray, length: int, seed: int, width: int = 1) -> np.ndarray:
+    """Names of every run of ``length``: two names of half a run, one behind the other, make one, from ``units`` that stand for ``width`` places."""
+    n, k, names, level = len(units) + width - length, width, units, 0
+    if n <= 0:
+        return np.empty(0, np.uint64)
+    while 2 * k <= length:
+        names, k, level = _joined(names[:-k], names[k:], seed, level), 2 * k, level + 1
+    return _joined(names[:n], names[length - k : length - k + n], seed, level) if k < length else names
+
+
+def byte_names(raw: bytes, length: int, seed: int) -> np.ndarray:
+    """``doubled`` names of every string of ``length`` (eight or more) bytes: eight bytes are their own name."""
+    if len(raw) < length:
+        return np.empty(0, np.uint64)
+    eight = np.ndarray((len(raw) - 7,), "<u8", raw, strides=(1,)).astype(np.uint64)
+    return doubled(eight, length, seed, 8)
+
+
+def among_pairs(pairs: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Which rows of ``pairs`` (two columns) are rows of ``wanted``."""
+    out = np.zeros(len(pairs), bool)
+    if not len(wanted) or not len(pairs):
+        return out
+    wanted = wanted[np.argsort(wanted[:, 0], kind="stable")]
+    at = np.searchsorted(wanted[:, 0], pairs[:, 0])
+    while True:  # once, but for rows of ``wanted`` that share a first name
+        here = at < len(wanted)
+        here[here] = wanted[at[here], 0] == pairs[here, 0]
+        if not here.any():
+            return out
+        out[here] |= wanted[at[here], 1] == pairs[here, 1]
+        at[here] += 1
+
+
 def lists_of(column) -> list[np.ndarray]:
     """The rows of an Arrow list column of longs as numpy views (no Python numbers)."""
     offsets, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)

@@ -17,9 +17,12 @@ with the same three tuples of ``v`` bytes.
 3. Merge. The suffixes left, sampled or not, are sorted by the name of their first ``LENGTH``
    bytes, neighbours are compared, and the bytes of equal ones marked, merged to runs and dropped.
 
-Names are 64-bit hashes, whose order stands for that of the strings: any order will do for finding
-equal neighbours. A list of names is sent sorted, split by owner and byte plane by byte plane; what
-comes back is a bitmap.
+Names are hashes, whose order stands for that of the strings: any order will do for finding equal
+neighbours. Those of steps 0 to 2 have 64 bits and only choose what goes on: strings that share one by accident go on
+for nothing. Those of step 3 decide. They have 96 bits, a name and a check, built from the bytes by doubling, with multipliers that a digest of
+the whole table seeds: no text can be made to collide with another, and among 10^13 strings a chance collision has a
+probability of less than 10^-3. A list of names is sent sorted, split by owner and byte plane by byte plane; what comes
+back is a bitmap.
 
 Texts that are whole copies are answered at once; one of each stays as a reference. A passage in
 very many documents is one name for each bucket of documents. Buckets hold a bounded number of
@@ -45,7 +48,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.hashing import rolling
+from textloom.llm.hashing import byte_names, content_seed, rolling
 from textloom.session import join_groups, keep_ids, materialize
 
 LENGTH = 400
@@ -295,21 +298,68 @@ def _recurse(length: int, order: int, gram: int):
     return run
 
 
-def _left(docs: _Bucket, table: pa.Table, length: int, order: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Places and names of the strings that are left."""
+# --- step 3: names with checks ----------------------------------------------------------------
+
+
+def pair_order(names: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that brings equal pairs together, names ascending, and where in it a new pair begins."""
+    order = np.argsort(names, kind="stable")
+    n, c = names[order], checks[order]
+    if ((n[1:] == n[:-1]) & (c[1:] != c[:-1])).any():
+        order = np.lexsort((checks, names))
+        n, c = names[order], checks[order]
+    new = np.ones(len(n), bool)
+    new[1:] = (n[1:] != n[:-1]) | (c[1:] != c[:-1])
+    return order, new
+
+
+def _pairs_left(docs: _Bucket, table: pa.Table, length: int, order: int, seed: int, mask: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Places of the strings that are left in each document, and the names and checks of all of them."""
     starts = [candidates(len(raw), np.frombuffer(s, np.uint32).astype(np.int64), length, order) for raw, s in zip(docs.raws, table["samples"].to_pylist(), strict=True)]
-    return starts, docs.names(starts, length)
+    none = [np.empty(0, np.uint64)]
+    names = [byte_names(raw, length, seed)[at] & _U(mask) for raw, at in zip(docs.raws, starts, strict=True) if len(at)]
+    checks = [(byte_names(raw, length, seed + 1)[at] >> _U(32)).astype(np.uint32) for raw, at in zip(docs.raws, starts, strict=True) if len(at)]
+    return starts, np.concatenate(none + names), np.concatenate([np.empty(0, np.uint32), *checks])
 
 
-def _merge(length: int, order: int, owner_bits: int):
-    """Step 3: a bucket's names of the strings that are left."""
+def _merge(length: int, order: int, owner_bits: int, seed: int, mask: int):
+    """Step 3: a bucket's distinct names of the strings that are left, by owner."""
 
     def run(table: pa.Table) -> pa.Table:
-        return _sent(table, _left(_Bucket(table), table, length, order)[1], owner_bits)
+        _, names, checks = _pairs_left(_Bucket(table), table, length, order, seed, mask)
+        by, new = pair_order(names, checks)
+        first = np.flatnonzero(new)
+        twice = np.diff(np.append(first, len(by))) > 1
+        names, checks, bucket, rows = names[by[first]], checks[by[first]], table["bucket"][0].as_py(), []
+        at = 0
+        for owner, blob, bits in _split(names, twice, owner_bits):
+            n = len(blob) // 8
+            rows.append({"bucket": bucket, "owner": owner, "names": blob, "checks": checks[at : at + n].tobytes(), "twice": bits})
+            at += n
+        return pa.Table.from_pylist(rows, schema=_PAIRS)
 
     return run
 
 
+_PAIRS = pa.schema([("bucket", pa.int64()), ("owner", pa.int32()), ("names", pa.binary()), ("checks", pa.binary()), ("twice", pa.binary())])
+_PAIRS_TYPE = "bucket long, owner int, names binary, checks binary, twice binary"
+
+
+def _answer_pairs(table: pa.Table) -> pa.Table:
+    """One owner: which pairs occur twice, in one bucket or in two."""
+    names = [from_planes(b) for b in table["names"].to_pylist()]
+    sizes = [len(x) for x in names]
+    checks = np.concatenate([np.frombuffer(b, np.uint32) for b in table["checks"].to_pylist()])
+    twice = np.concatenate([np.unpackbits(np.frombuffer(b, np.uint8), count=n) for b, n in zip(table["twice"].to_pylist(), sizes, strict=True)]).astype(bool)
+    by, new = pair_order(np.concatenate(names), checks)
+    first = np.flatnonzero(new)
+    shared = (np.diff(np.append(first, len(by))) > 1) | np.logical_or.reduceat(twice[by], first)
+    flags = np.empty(len(by), bool)
+    flags[by] = shared[np.cumsum(new) - 1]
+    bits = [np.packbits(x).tobytes() for x in np.split(flags, np.cumsum(sizes)[:-1])]
+    return pa.table({"bucket": table["bucket"], "owner": table["owner"], "n": pa.array(sizes, pa.int64()), "bits": pa.array(bits, pa.binary())})
+
+
 def cut_runs(raw: bytes, starts: np.ndarray, length: int) -> tuple[bytes, int, int]:
     """What is left without the strings at ``starts``, bytes removed, and maximal removed runs."""
     change = np.zeros(len(raw) + 1, np.int64)
@@ -320,16 +370,21 @@ def cut_runs(raw: bytes, starts: np.ndarray, length: int) -> tuple[bytes, int, i
     return np.frombuffer(raw, np.uint8)[~gone].tobytes(), int(gone.sum()), runs
 
 
-def _mark(length: int, order: int):
+def _mark(length: int, order: int, seed: int, mask: int):
     """Step 3: what is cut of each document."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         docs = _Bucket(left)
-        starts, names = _left(docs, left, length, order)
-        shared = _repeated(names, right)
+        starts, names, checks = _pairs_left(docs, left, length, order, seed, mask)
+        by, new = pair_order(names, checks)
+        right = right.sort_by("owner")
+        bits = [np.unpackbits(np.frombuffer(b, np.uint8), count=n) for b, n in zip(right["bits"].to_pylist(), right["n"].to_pylist(), strict=True)]
+        flags = np.empty(len(by), bool)
+        flags[by] = np.concatenate([np.empty(0, np.uint8), *bits]).astype(bool)[np.cumsum(new) - 1] if len(by) else []
+        shared = np.split(flags, np.cumsum([len(at) for at in starts])[:-1])
         out: dict[str, list] = {"cut_key": [], "gone": [], "spans": [], "kept_sha": []}
-        for key, raw, at, x in zip(docs.keys, docs.raws, starts, names, strict=True):
-            kept, gone, spans = cut_runs(raw, at[_among(x, shared)], length)
+        for key, raw, at, again in zip(docs.keys, docs.raws, starts, shared, strict=True):
+            kept, gone, spans = cut_runs(raw, at[again], length)
             for name, value in zip(out, (key, gone, spans, hashlib.sha256(kept).hexdigest()), strict=True):
                 out[name].append(value)
         return pa.table({"cut_key": pa.array(out["cut_key"], pa.int64()), "gone": pa.array(out["gone"], pa.int64()), "spans": pa.array(out["spans"], pa.int64()), "kept_sha": pa.array(out["kept_sha"], pa.string())})
@@ -341,12 +396,12 @@ def _bits(names: int) -> int:
     return max(6, (names // OWNER_NAMES).bit_length())
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, order: int = ORDER, gram: int = GRAM) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, order: int = ORDER, gram: int = GRAM, name_bits: int = 64) -> DataFrame:
     """``id_col, n_bytes, n_removed, n_spans, kept_sha256, n_repeats`` for every row.
 
     ``n_repeats`` counts the sampled suffixes found whose first ``3 v`` bytes occur elsewhere too: at
     least one if a string of ``4 v - 1`` bytes does, none if no string of ``3 v`` does. ``length`` must
-    be ``4 v - 1`` at least.
+    be ``4 v - 1`` at least. With fewer ``name_bits`` more is left to the checks.
     """
     v, members = difference_cover(order)
     if length < 4 * v - 1 or gram > 4 * v - 1:
@@ -381,8 +436,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     left = texts.groupBy("bucket").cogroup(triples.groupBy("bucket")).applyInArrow(_recurse(length, order, gram), "bucket long, key long, text string, repeats long, samples binary")
     left = materialize(left, "repeats-left")
     rest = left.where("text IS NOT NULL").select("bucket", "key", "text", "samples")
-    answers = _answers(rest.groupBy("bucket").applyInArrow(_merge(length, order, _bits(held)), _SENT_TYPE))
-    cut = rest.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(_mark(length, order), "cut_key long, gone long, spans long, kept_sha string")
+    seed, mask = content_seed(doc, "sha", "id"), (1 << 64) - (1 << (64 - name_bits))
+    pairs = rest.groupBy("bucket").applyInArrow(_merge(length, order, _bits(held), seed, mask), _PAIRS_TYPE)
+    answers = pairs.groupBy("owner").applyInArrow(_answer_pairs, "bucket long, owner int, n long, bits binary")
+    cut = rest.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(_mark(length, order, seed, mask), "cut_key long, gone long, spans long, kept_sha string")
     found = left.select("key", "repeats").join(cut, F.col("key") == F.col("cut_key"), "left").drop("cut_key")
     out = named.join(found, "key", "left")
     copied, whole, nothing = F.col("copies").isNotNull(), F.col("copies").isNotNull() & (F.col("n") >= length), hashlib.sha256(b"").hexdigest()
