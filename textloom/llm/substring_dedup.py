@@ -9,9 +9,13 @@ words of every document is a probe:
    hit per ``2 ** SPARE_BITS`` blocks at every size), with a bit for those that several
    documents of the partition hold; blocks leave as they are.
 2. An owner answers with the blocks that another document's windows hit.
-3. Around hits only, windows of the full length get hashed; a window's least document decides,
+3. Around hits only, windows of the full length get names; a window's least document decides,
    and the hits become maximal repeats as neighbouring windows merge.
 
+The hashes of steps 1 and 2 only choose where to look. A name in step 3 has 128 bits: two lanes of word hashes and
+of multipliers, all seeded by a digest of the whole table, so that no text can be made to collide with another,
+and among 10^13 windows a chance collision has a probability of about 10^-13.
+
 Documents with the same word sequence collapse first: all but the first are removed whole. A
 passage that very many documents share is one entry per partition in step 1 and one partial
 minimum per task in step 3.
@@ -32,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.hashing import lists_of, rolling, word_hashes, words_of
+from textloom.llm.hashing import among_pairs, content_seed, doubled, lists_of, rolling, word_hashes, words_of
 from textloom.session import join_groups, keep_ids, materialize
 
 LENGTH = 50
@@ -107,34 +111,39 @@ def _answer(owner_bits: int):
     return run
 
 
-def _near_hits(length: int, block: int, owner_bits: int):
-    """Hashes of the windows that hold a hit grid block, as ``(window, id)``; each once a document."""
+def window_names(words: list[bytes], length: int, seed: int) -> np.ndarray:
+    """128-bit names of every window, as rows of two lanes."""
+    return np.stack([doubled(word_hashes(words, (seed + lane) % 2**64), length, seed + lane) for lane in (0, 1)], axis=1)
+
+
+def _near_hits(length: int, block: int, owner_bits: int, seed: int):
+    """Names of the windows that hold a hit grid block, as ``(window, id)``; each once a document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, text, hits in zip(batch.column(0).to_pylist(), batch.column(1), lists_of(batch.column(2)), strict=True):
-                h = word_hashes(words_of(text.as_py()))
-                grid = rolling(h, block)[::block] >> _U(32 - owner_bits)
+                words = words_of(text.as_py())
+                grid = rolling(word_hashes(words), block)[::block] >> _U(32 - owner_bits)
                 at = np.flatnonzero(np.isin(grid.view(np.int64), hits)) * block
                 if not len(at):
                     continue
                 starts = np.unique((at[:, None] - np.arange(length - block + 1)[None, :]).ravel())
-                starts = starts[(starts >= 0) & (starts <= len(h) - length)]
-                window = np.unique(rolling(h, length)[starts]).view(np.int64)
+                starts = starts[(starts >= 0) & (starts <= len(words) - length)]
+                window = np.unique(np.ascontiguousarray(window_names(words, length, seed)[starts]).view("V16").ravel())
                 for k in range(0, len(window), 50_000):
                     w = window[k : k + 50_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(w), pa.array(np.full(len(w), i if i is not None else LAST, np.int64))], names=["window", "id"])
+                    yield pa.RecordBatch.from_arrays([pa.Array.from_buffers(pa.binary(16), len(w), [None, pa.py_buffer(w.tobytes())]).cast(pa.binary()), pa.array(np.full(len(w), i if i is not None else LAST, np.int64))], names=["window", "id"])
 
     return run
 
 
-def _remove(length: int):
+def _remove(length: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             removed, shas = [], []
-            for text, windows in zip(batch.column(1), lists_of(batch.column(2)), strict=True):
+            for text, windows in zip(batch.column(1), batch.column(2), strict=True):
                 words = words_of(text.as_py())
-                keep = ~covered(word_hashes(words), windows, length)
+                keep = ~covered(window_names(words, length, seed), b"".join(windows.as_py()), length, len(words))
                 kept = [w for w, k in zip(words, keep.tolist(), strict=True) if k]
                 removed.append(len(words) - len(kept))
                 shas.append(_digest(kept))
@@ -143,10 +152,10 @@ def _remove(length: int):
     return run
 
 
-def covered(h: np.ndarray, windows: np.ndarray, length: int) -> np.ndarray:
-    """Which units lie in one of ``windows``, merged to maximal runs."""
-    starts = np.flatnonzero(np.isin(rolling(h, length).view(np.int64), windows))
-    change = np.zeros(len(h) + 1, np.int64)
+def covered(names: np.ndarray, windows: bytes, length: int, n: int) -> np.ndarray:
+    """Which of ``n`` units lie in a window whose name (128 bits) is among ``windows``; overlapping ones make one run."""
+    starts = np.flatnonzero(among_pairs(names, np.frombuffer(windows, np.uint64).reshape(-1, 2)))
+    change = np.zeros(n + 1, np.int64)
     np.add.at(change, starts, 1)
     np.add.at(change, starts + length, -1)
     return np.cumsum(change)[:-1] > 0
@@ -173,15 +182,16 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     alone = named.where("NOT whole").select("key").distinct()
     hits = materialize(hits.join(alone, "key", "left_semi"), "substring-hits")
 
+    seed = content_seed(doc, "sha", "id")
     near = keep_ids(source, hits, "key").join(hits.withColumnRenamed("key", "hit_key").hint("shuffle_hash"), F.col("key") == F.col("hit_key"))
-    windows = materialize(near.select("id", "text", "hits").mapInArrow(_near_hits(length, block, owner_bits), "window long, id long"), "substring-windows")
+    windows = materialize(near.select("id", "text", "hits").mapInArrow(_near_hits(length, block, owner_bits, seed), "window binary, id long"), "substring-windows")
     least = windows.groupBy("window").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count(F.lit(1)).alias("times")).where("first <> last").select("window", "first", "times")
     least = materialize(least, "substring-least")
     later = join_groups(windows, least, "window", "times", windows.count(), "inner").where("id > first").groupBy("id").agg(F.collect_set("window").alias("windows"))
     later = later.join(named.select("key", F.coalesce("id", F.lit(LAST)).alias("id")).distinct(), "id").select("key", "windows")
     later = materialize(later, "substring-later")
     again = keep_ids(source, later, "key").join(later.withColumnRenamed("key", "late_key").hint("shuffle_hash"), F.col("key") == F.col("late_key"))
-    cut_rows = again.select("key", "text", "windows").mapInArrow(_remove(length), "cut_key long, gone long, kept_sha string").dropDuplicates(["cut_key"])
+    cut_rows = again.select("key", "text", "windows").mapInArrow(_remove(length, seed), "cut_key long, gone long, kept_sha string").dropDuplicates(["cut_key"])
     out = named.join(cut_rows, F.col("key") == F.col("cut_key"), "left")
     nothing = hashlib.sha256(b"").hexdigest()
     return out.select(
