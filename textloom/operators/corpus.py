@@ -7,6 +7,11 @@ docstring; extra columns are dropped unless stated.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -91,12 +96,74 @@ def weighted_mode(df: DataFrame, group: str, value: str, weight: str) -> DataFra
     return best.select(group, F.col("b.value").alias("mode"), (-F.col("b.neg")).alias("weight"))
 
 
-def branching(df: DataFrame, key: str, sizes: tuple[int, ...] = (1, 2, 3, 4, 5), least: int = 25, text: str = "text") -> DataFrame:
+#: Tokens that a broadcast vocabulary may have.
+VOCABULARY = 1 << 20
+
+
+def _places(longest: int, vocabulary: pa.Array):
+    """For every token of every run: ids of the tokens from there on (0 where one is rare or the run ends, and after that), and names of the
+    neighbours of the n-grams that begin there (0 at a run's edge)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, names = batch.column(0), batch.column(1)
+            ids = pc.fill_null(pc.add(pc.index_in(words.flatten(), value_set=vocabulary), 1), 0).to_numpy().astype(np.int32)
+            sizes = words.value_lengths().to_numpy()
+            end = np.repeat(np.cumsum(sizes), sizes)
+            place = np.arange(len(ids))
+            edged = np.append(names.flatten().to_numpy(), 0)
+            alive, columns = ids > 0, [ids]
+            for k in range(1, longest):
+                alive = alive & (place + k < end)
+                alive[alive] = ids[place[alive] + k] > 0
+                columns.append(np.where(alive, np.append(ids, np.zeros(longest, np.int32))[k : k + len(ids)], 0).astype(np.int32))
+            left = np.where(place > end - np.repeat(sizes, sizes), edged[place - 1], 0)
+            right = [edged[np.where(place + n < end, place + n, len(ids))] for n in range(1, longest + 1)]
+            some = ids > 0
+            yield pa.RecordBatch.from_arrays([pa.array(c[some]) for c in (*columns, left, *right)], names=[*(f"i{k}" for k in range(longest)), "left", *(f"r{n}" for n in range(1, longest + 1))])
+
+    return run
+
+
+def branching(df: DataFrame, key: str, sizes: tuple[int, ...] = (1, 2, 3, 4, 5), least: int = 25, text: str = "text", most: int = VOCABULARY) -> DataFrame:
     """``gram, n_tokens, count, n_left, n_right`` of n-grams inside runs, seen ``least`` times.
 
-    ``n_left`` and ``n_right`` count different neighbours; a run's edge is one of them. A first pass counts
-    64-bit names of all n-grams, so that strings are made and shuffled only for those frequent enough.
+    ``n_left`` and ``n_right`` count different neighbours (by 64-bit names); a run's edge is one of them. Level by level: an n-gram is counted only
+    where its first and its last n - 1 tokens are frequent, and neighbours only of the frequent ones. Rows hold numbers of
+    frequent tokens; a vocabulary beyond ``most`` tokens is not broadcast: then names of all n-grams are counted.
     """
+    longest = max(sizes)
+    found = materialize(runs(df, [key], text).select("w", F.transform("w", lambda x: F.xxhash64(x)).alias("names")), "runs")
+    often = materialize(found.select(F.explode("w").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("count")).where(F.col("count") >= least), "tokens-often")
+    if often.count() > most:
+        return _branching_by_names(df, key, sizes, least, text)
+    tokens_ = often.select("token").toArrow()["token"].combine_chunks()
+    ids = df.sparkSession.createDataFrame(pa.table({"token": tokens_, "id": pa.array(range(1, len(tokens_) + 1), pa.int32())}), "token string, id int")
+    kinds = ", ".join([*(f"i{k} int" for k in range(longest)), "left long", *(f"r{n} long" for n in range(1, longest + 1))])
+    places = materialize(found.mapInArrow(_places(longest, tokens_), kinds), "places")
+    out, before = None, None
+    for n in range(1, longest + 1):
+        keys = [f"i{k}" for k in range(n)]
+        rows = places.where(f"i{n - 1} > 0")
+        if before is not None:
+            rows = rows.join(before, keys[:-1], "left_semi").join(before.toDF(*keys[1:]), keys[1:], "left_semi")
+        counts = materialize(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("count")).where(F.col("count") >= least), "grams-often")
+        before = counts.select(*keys)
+        if n not in sizes:
+            continue
+        sides = places.where(f"i{n - 1} > 0").join(before, keys, "left_semi").select(*keys, F.posexplode(F.array("left", f"r{n}")).alias("side", "other"))
+        beside = sides.groupBy(*keys, "side", "other").agg(F.count(F.lit(1)).alias("c")).groupBy(*keys).agg(F.count_if(F.col("side") == 0).alias("n_left"), F.count_if(F.col("side") == 1).alias("n_right"))
+        named = counts.join(beside, keys)
+        for k in keys:
+            named = named.join(ids.select(F.col("id").alias(k), F.col("token").alias(f"w{k}")), k)
+        part = named.select(F.concat_ws(" ", *[f"w{k}" for k in keys]).alias("gram"), F.lit(n).alias("n_tokens"), "count", "n_left", "n_right")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _branching_by_names(df: DataFrame, key: str, sizes: tuple[int, ...], least: int, text: str) -> DataFrame:
+    """The same for a vocabulary of any size: a first pass counts 64-bit names of all n-grams, so that strings are made and shuffled only for
+    those frequent enough."""
     top = max(sizes)
     # One row a token, with what stands before it and the tokens that follow: shifted arrays, zipped.
     ahead = [F.slice("w", k + 1, F.size("w")).alias(f"t{k}") for k in range(top + 1)]
