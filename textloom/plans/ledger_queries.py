@@ -13,7 +13,7 @@ from textloom.operators import ledger as L
 from textloom.operators import review as R
 from textloom.plans.made import Plans
 from textloom.session import scratch, table
-from textloom.sources import files
+from textloom.sources import files, versions
 
 query = Plans()
 QUERIES, ORACLES = query.queries, query.oracles
@@ -310,6 +310,33 @@ def ledger_rewrite(spark, d):
     return spark.read.schema(kinds).json(place).unionByName(spark.createDataFrame([("refused", refused, 0)], kinds))
 
 
+@query("""WITH a AS (SELECT doc_id, sha1(text) AS h FROM documents WHERE doc_id % 7 <> 0), b AS (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN sha1(text || ' x') ELSE sha1(text) END AS h FROM documents WHERE doc_id % 7 = 0 OR doc_id % 4 = 0 OR doc_id % 4 = 1),
+  c AS (SELECT coalesce(b.doc_id, a.doc_id) AS doc_id, coalesce(b.h, a.h) AS h FROM a FULL JOIN b USING (doc_id)), d AS (SELECT * FROM c WHERE doc_id % 11 <> 3)
+  SELECT coalesce(a.doc_id, d.doc_id) AS doc_id, CASE WHEN a.h IS NULL THEN 'new' WHEN d.h IS NULL THEN 'gone' WHEN a.h = d.h THEN 'same' ELSE 'changed' END AS status FROM a FULL JOIN d USING (doc_id)""")
+def stored_versions(spark, d):
+    """Three versions of a ledger: written, merged with new texts, rows withdrawn; the first compared with the last."""
+    t, i = docs(spark, d), F.col("doc_id")
+    book = versions.VersionedLedger(spark, _place(spark))
+    first = book.commit(lambda head: t.where("doc_id % 7 <> 0").select("doc_id", F.sha1("text").alias("h")))
+    new = t.where("doc_id % 7 = 0 OR doc_id % 4 IN (0, 1)").select("doc_id", F.sha1(F.when(i % 4 == 0, F.concat("text", F.lit(" x"))).otherwise(F.col("text"))).alias("h"))
+    book.commit(versions.merged("doc_id", new))
+    last = book.commit(lambda head: head.where("doc_id % 11 <> 3"))
+    return versions.compared(book.read(first), book.read(last), "doc_id", "h")
+
+
+@query()
+def stored_versions_review(spark, d):
+    """Word diffs of the paragraphs that changed between two stored versions of the texts (tested against the frames they were made of)."""
+    from textloom.operators import prose as P
+
+    book, t = versions.VersionedLedger(spark, _place(spark)), docs(spark, d).select("doc_id", "text")
+    line = lambda x, i: F.when(i % 7 == 2, F.replace(x, F.lit(" "), F.lit(" so "))).otherwise(x)
+    book.commit(lambda head: t)
+    book.commit(lambda head: head.select("doc_id", F.array_join(F.transform(F.split("text", "\n"), line), "\n").alias("text")))
+    both = book.read(1).select("doc_id", F.col("text").alias("before")).join(book.read(2).select("doc_id", F.col("text").alias("after")), "doc_id")
+    return P.review(both, "doc_id").select("doc_id", "para", "status", F.sha1("markup").alias("markup"))
+
+
 @query("SELECT doc_id // 100 AS part, sha1(string_agg('<!-- page ' || doc_id || ' -->' || chr(10) || text, chr(10) || chr(10) ORDER BY doc_id)) AS book FROM documents GROUP BY 1")
 def whole_book(spark, d):
     return files.whole_book(docs(spark, d).select(F.col("doc_id").alias("page"), "text"), 100).select("part", F.sha1("text").alias("book"))

@@ -124,10 +124,18 @@ def status_document(tables: dict[str, DataFrame], title: str, most: int = 200) -
 
 
 def swap(plan: Plan, spark: SparkSession) -> None:
-    """Rewrites a folder by way of a new one beside it: the old one goes only when the new one is complete."""
-    fresh = f"{plan.path.rstrip('/')}.new"
+    """Rewrites a folder by way of a new one beside it.
+
+    The old one is set aside before the new one takes its name and goes last, so the rows are never without a complete
+    folder: a driver lost in between leaves ``.new`` or ``.old`` beside it. For readers that must not notice, see ``versions``.
+    """
+    name = plan.path.rstrip("/")
+    fresh, aside = f"{name}.new", f"{name}.old"
     Plan(plan.df, fresh, plan.kind, plan.partition_by, "overwrite").write()
     path = spark._jvm.org.apache.hadoop.fs.Path
-    store = path(plan.path).getFileSystem(spark._jsc.hadoopConfiguration())
-    store.delete(path(plan.path), True)
-    store.rename(path(fresh), path(plan.path))
+    store = path(name).getFileSystem(spark._jsc.hadoopConfiguration())
+    store.delete(path(aside), True)
+    if store.exists(path(name)):
+        store.rename(path(name), path(aside))
+    store.rename(path(fresh), path(name))
+    store.delete(path(aside), True)
