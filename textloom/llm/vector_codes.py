@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -90,7 +91,15 @@ def squares(x: np.ndarray, entries: np.ndarray) -> np.ndarray:
 
 
 def _roots(x: np.ndarray) -> np.ndarray:
-    return np.sqrt(x.astype(float))
+    """Square roots as doubles; infinite beyond them."""
+    return np.sqrt(x.astype(float)) if x.dtype != object else np.vectorize(_root, otypes=[float])(x)
+
+
+def _root(v: int) -> float:
+    try:
+        return math.sqrt(v) if v < 1 << 1000 else float(math.isqrt(v))
+    except OverflowError:
+        return math.inf
 
 
 def slack(near: np.ndarray, distances: np.ndarray) -> np.ndarray:
@@ -100,7 +109,8 @@ def slack(near: np.ndarray, distances: np.ndarray) -> np.ndarray:
     others = distances.copy()
     others[np.arange(len(near)), near] = np.inf
     lower, upper = others.min(axis=1), distances[np.arange(len(near)), near]
-    return lower - upper - 1e-9 * (lower + upper + 1.0)
+    with np.errstate(invalid="ignore"):
+        return lower - upper - 1e-9 * (lower + upper + 1.0)
 
 
 class Changes:
@@ -199,8 +209,10 @@ def _first(entries: np.ndarray, width: int, scale: int, block_rows: int):
 
 
 def _down(slacks: np.ndarray, drift: np.ndarray) -> np.ndarray:
-    """Keys as 32-bit floats that are not above the exact ones."""
-    return np.nextafter((slacks + drift - 1e-9 * np.abs(drift)).astype(np.float32), np.float32(-np.inf))
+    """Keys as 32-bit floats that are not above the exact ones; of what can't be computed, below all."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        keys = np.nextafter((slacks + drift - 1e-9 * np.abs(drift)).astype(np.float32), np.float32(-np.inf))
+    return np.where(np.isnan(keys), np.float32(-np.inf), keys)
 
 
 def _next(entries: np.ndarray, drift: np.ndarray, width: int):
@@ -261,7 +273,7 @@ class Codebooks:
                 self.sums[r["part"], r["entry"], r["component"]] += value
         new, used = self.entries.astype(object), self.n > 0
         new[used] = self.sums[used] // self.n[used][:, None]
-        moved = np.sqrt(((new - self.entries) ** 2).sum(axis=2).astype(float)) if new.size else np.zeros(self.n.shape)
+        moved = _roots(((new - self.entries) ** 2).sum(axis=2))
         for e in range(moved.shape[1]):
             others = np.delete(moved, e, axis=1)
             self.drift[:, e] += (moved[:, e] + (others.max(axis=1) if others.size else 0.0)) * (1 + 1e-9)
