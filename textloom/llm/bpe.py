@@ -1,17 +1,19 @@
 """BPE encoding and decoding with forced-boundary splitting.
 
 Two adjacent bytes that never occur inside any vocabulary token can never be merged, so a cut
-between them is certain. The pairs are read from the vocabulary; a text is cut wherever such a
-pair stands at the start of a blank after a visible character, where the tokenizer's own
-pre-splitting cuts too (it never crosses from visible to blank, and nothing to the left looks
-past that point). Fragments are encoded independently by the library, remembered, and their ids
+between them is certain. The pairs are read from the vocabulary. A text is cut first wherever such a pair is a
+visible character before a blank, which yields words; a word that is met for the first time is cut at every other such pair between two
+characters, so texts without blanks fall to pieces too. Pieces and words are encoded independently by the library, remembered, and their ids
 concatenated. A word that occurs a million times is encoded once per worker.
 
+The library splits a text by a pattern before it merges. A cut leaves that as it is: runs of letters, digits or marks that are cut are two
+such runs, and the pattern looks no further. Three exceptions are not cut: behind white space (the last blank of several
+belongs to what follows), and before and behind an apostrophe (``'s`` and its like are pieces of their own).
+
 The tokenizer file is named by a parameter, read on the driver and sent to the executors (its
 size is checked: at most ``MAX_TOKENIZER_BYTES``), so executors need no shared folder for it.
 
-Edge cases: null counts as empty; an empty text has no ids; very long texts without blanks are
-one fragment, encoded whole; the strings of special tokens inside a text become special tokens, as
+Edge cases: null counts as empty; an empty text has no ids; texts without blanks are cut at absent pairs only; the strings of special tokens inside a text become special tokens, as
 in the library's default; equal texts give equal ids; an empty table gives an empty result;
 other columns, whatever their names, are ignored by ``bpe_digest``.
 """
@@ -42,6 +44,10 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in kept} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+#: White space of any kind, as bytes.
+SPACES = tuple(c.encode() for c in map(chr, range(0x10000)) if not 0xD800 <= ord(c) < 0xE000 and c.isspace())
+
+
 class ForcedBoundaryCodec:
     """A byte-level BPE tokenizer that encodes fragments between forced boundaries."""
 
@@ -62,6 +68,8 @@ class ForcedBoundaryCodec:
             raw = token.encode() if token in special or not self.by_bytes else bytes(alphabet[c] for c in token)
             self.token_bytes[i] = raw
             inside.update(zip(raw, raw[1:], strict=False))
+        #: Pairs that are cut: the second byte begins a character, and neither is an apostrophe.
+        self.absent = frozenset((a, b) for a in range(256) for b in range(256) if (a, b) not in inside and not 0x80 <= b < 0xC0 and 0x27 not in (a, b))
         #: Bytes after which a blank is a forced boundary.
         self.before_blank = [b for b in range(256) if (b, 0x20) not in inside]
         # A visible character ends in an ASCII byte or in a continuation byte. Only classes of
@@ -77,13 +85,31 @@ class ForcedBoundaryCodec:
         self.exact = self.by_bytes and not blocks and not spec.get("normalizer") and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
         self.store: dict[str, bytes] = {}
 
+    def pieces(self, fragment: str) -> list[str]:
+        """A fragment cut at every absent pair."""
+        raw = fragment.encode("utf-8", "surrogatepass")
+        cuts = [k for k, pair in enumerate(zip(raw, raw[1:], strict=False), 1) if pair in self.absent and not raw[max(0, k - 3) : k].endswith(SPACES)]
+        return [raw[i:j].decode("utf-8", "surrogatepass") for i, j in zip([0, *cuts], [*cuts, len(raw)], strict=True)] if cuts else [fragment]
+
     def _fragment(self, fragment: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(fragment, add_special_tokens=False).ids, "<u4").tobytes()
+        pieces = self.pieces(fragment)
+        if len(pieces) > 1:
+            get = self.store.get
+            ids = b"".join([get(p) or self._piece(p) for p in pieces])
+            self._remember(fragment, ids)
+            return ids
+        return self._piece(fragment)
+
+    def _piece(self, piece: str) -> bytes:
+        ids = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+        self._remember(piece, ids)
+        return ids
+
+    def _remember(self, fragment: str, ids: bytes) -> None:
         if len(fragment) <= CACHE_CHARS:
             if len(self.store) >= CACHE_ENTRIES:
                 self.store.clear()
             self.store[fragment] = ids
-        return ids
 
     def encode(self, text: str) -> bytes:
         """The ids of ``text`` as little-endian unsigned 32-bit integers."""
