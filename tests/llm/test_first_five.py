@@ -294,3 +294,29 @@ def test_bpe_cuts_agree_with_library():
         ids = library.encode(t, add_special_tokens=False).ids
         assert np.frombuffer(codec.encode(t), "<u4").tolist() == ids, repr(t)
         assert codec.decode(codec.encode(t)) == library.decode(ids, skip_special_tokens=False), repr(t)
+
+
+def test_bpe_cuts_at_every_absent_pair():
+    """Strings of awkward characters, most of them with cuts, against the library."""
+    import random
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    codec, library = bpe.ForcedBoundaryCodec(bpe.read_tokenizer(path)), Tokenizer.from_file(path)
+    library.no_truncation()
+    library.no_padding()
+    rng = random.Random(1)
+    kinds = ["abcXYZ", "0123456789", "'!?.,-_#", "sStTrReEvVmMlLdD'", "  \t\n\r\x0b\x0c\x1c\x1f\x85\xa0", "　  中文字漢日本語", "éüñçßÉ", "́̈‍", "😀👍🏽", "²½Ⅷ৩", "\x00\x01\x7f\xad"]
+    cut = 0
+    for _ in range(20_000):
+        pool = rng.sample(kinds, rng.randint(1, 4))
+        text = "".join(rng.choice(rng.choice(pool)) for _ in range(rng.randint(1, 40))) + rng.choice(["", "", "", "<|endoftext|>x"])
+        pieces = codec.pieces(text)
+        cut += len(pieces) > 1
+        assert "".join(pieces) == text
+        assert np.frombuffer(codec.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+    assert cut > 15_000
+    # A text without blanks falls to pieces.
+    assert max(map(len, codec.pieces("漢字かな交じり文" * 50 + "aZ9" * 500))) < 1600 and len(codec.pieces("漢字かな交じり文" * 50)) > 50
