@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
@@ -62,6 +63,30 @@ def materialize(df: DataFrame, tag: str = "table", partition_by: tuple[str, ...]
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scope:
+    """Tables that are written for some steps and deleted when those have ended: ``with Scope(spark) as scope: t = scope.keep(df)``.
+
+    What is read from them must be written before the end. Shuffle files of finished queries go with them, as soon
+    as the driver has collected its garbage.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, []
+
+    def keep(self, df: DataFrame, tag: str = "table") -> DataFrame:
+        self.paths.append(scratch_path(self.spark, tag))
+        return materialize(df, path=self.paths[-1])
+
+    def __enter__(self) -> Scope:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for path in self.paths:
+            remove(self.spark, path)
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
+
 #: Ids that a broadcast may hold: about 32 MB when built.
 BROADCAST_IDS = 500_000
 
