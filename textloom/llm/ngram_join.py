@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from textloom.llm.components import components
 from textloom.llm.hashing import content_seed, mix, words_table
-from textloom.session import keep_ids, materialize, row_hash
+from textloom.session import Scope, keep_ids, materialize, row_hash
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Cost model: a candidate check in signature rows, and the chance that two documents of one
@@ -306,12 +306,16 @@ class _Join:
 
     def candidates(self) -> DataFrame:
         """``sig, pivot, node``: every signature that several nodes share; sig only where three or more do."""
+        with Scope(self.source.sparkSession) as scope:
+            return self._candidates(scope)
+
+    def _candidates(self, scope: Scope) -> DataFrame:
         rows = self.named.count()
         singles = self.source
         copies = self.nodes.where("rows > 1").select("node", "rep", "rep_row")
         if not copies.isEmpty():
             spare = self.named.where("size > 0").select("id", "row", "node").join(copies, "node").where(f"NOT ({IS_REP})").select("id", "row").distinct()
-            singles = keep_ids(self.source, materialize(spare, "jaccard-spare"), "id", anti=True, row=F.col("row"))
+            singles = keep_ids(self.source, scope.keep(spare, "jaccard-spare"), "id", anti=True, row=F.col("row"))
         made = singles.mapInArrow(_signature_rows(self.width, self.seed, self.percent, rows), "sig long, node long")
         # Both uses filter alike, so that they share one exchange.
         made = made.where("sig IS NOT NULL AND node IS NOT NULL").repartition("sig")
@@ -321,15 +325,19 @@ class _Join:
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs ``(a, b)`` of nodes that are as similar as wanted."""
+        with Scope(self.source.sparkSession) as scope:
+            return self._verified(pairs, scope)
+
+    def _verified(self, pairs: DataFrame, scope: Scope) -> DataFrame:
         sized = self.nodes.select("node", "size", "sketch")
         a, b = (sized.select(F.col("node").alias(k), F.col("size").alias(f"n{k}"), F.col("sketch").alias(f"s{k}")) for k in "ab")
         near = pairs.join(a, "a").join(b, "b").where(f"least(na, nb) * 100 >= {self.percent} * greatest(na, nb)")
         differ = "aggregate(zip_with(sa, sb, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
         near = near.where(f"{differ} * {100 + self.percent} <= {100 - self.percent} * (na + nb)").select("a", "b")
-        pairs = materialize(near, "jaccard-pairs")
+        pairs = scope.keep(near, "jaccard-pairs")
         wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
         reps = self.nodes.join(wanted, "node", "left_semi").select(F.col("rep").alias("id"), F.col("rep_row").alias("row"))
-        rows = keep_ids(self.source, materialize(reps, "jaccard-reps"), "id", row=F.col("row"))
+        rows = keep_ids(self.source, scope.keep(reps, "jaccard-reps"), "id", row=F.col("row"))
 
         def named(batches: Iterator[pa.RecordBatch], width=self.width, seed=self.seed) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -339,7 +347,7 @@ class _Join:
         texts = rows.mapInArrow(named, "node long, text string")
         if not self.nodes.where("rep IS NULL").isEmpty():  # rows without an id share it
             texts = texts.dropDuplicates(["node"])
-        texts = materialize(texts, "jaccard-texts")
+        texts = scope.keep(texts, "jaccard-texts")
         second = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
         both = second.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").select("a", "b", "x", "y")
         return materialize(both.mapInArrow(_check_rows(self.width, self.seed, self.percent), "a long, b long"), "jaccard-links")
