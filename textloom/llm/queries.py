@@ -65,7 +65,7 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textloom.llm.pii import detect_pii
 
     out = detect_pii(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_id", "n_secret", "n_spans")
+    return out.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_id", "n_secret", "n_account", "n_tel", "n_spans")
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
