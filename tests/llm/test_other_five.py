@@ -387,3 +387,27 @@ def test_chat_repeated_rows(spark):
 def test_chat_empty(spark):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string, extra int")
     assert chat_format.format_chats(df).collect() == []
+
+
+def test_pii_recall_by_kind():
+    """Forms of values that the patterns don't list, in a sentence, and numbers that are nothing of the kind."""
+    rng = random.Random(1)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    hexes = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    mixed = lambda n: "".join(rng.choice("abcdefXYZuvw0123456789") for _ in range(n))
+    make = {
+        "account": [lambda: digits(16), lambda: " ".join(digits(4) for _ in range(4)), lambda: digits(13)],
+        "tel": [lambda: f"({digits(3)}) {digits(3)}-{digits(4)}", lambda: f"{digits(3)}.{digits(3)}.{digits(4)}", lambda: f"0{digits(3)} {digits(3)} {digits(4)}"],
+        "id": [lambda: f"{digits(3)}-{digits(2)}-{digits(4)}", lambda: "DE" + digits(2) + " " + " ".join(digits(4) for _ in range(4)), lambda: ":".join(hexes(2) for _ in range(6))],
+        "secret": [lambda: hexes(40), lambda: f"xyz_{mixed(30)}", lambda: f"auth={mixed(32)}", lambda: f'"{hexes(32)}"', lambda: "ghp_" + mixed(36)],
+    }
+    model = pii.train([(e, pii.FORM_WEIGHT) for e in pii.form_examples()] + [(e, 1) for text in pii_rows(300, 5) for e in pii.examples(text)])
+    for kind, forms in make.items():
+        found = 0
+        for k in range(120):
+            value = forms[k % len(forms)]()
+            base, added = pii.find_spans(f"Lorem ipsum dolor {value} sit amet, consectetur.", model)
+            found += any(s < 18 + len(value) and e > 18 for _, s, e in base + added)
+        assert found >= 0.9 * 120, (kind, found)
+    for text in ("In 1999 the 25 items cost 3.50 each, see 4.2.1 and page 12-14.", "Version 3.0 of 2024-05-06, 10:30.", "x=3, y=4; a_b = c", "Total 1,234,567 and 12 345 678 rows"):
+        assert pii.find_spans(text, model) == ([], []), text
