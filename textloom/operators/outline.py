@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from textloom.functions import text as X
 from textloom.operators import folds
 from textloom.operators.corpus import cluster_means
+from textloom.session import materialize
 
 
 def match_headings(entries: DataFrame, headings: DataFrame) -> DataFrame:
@@ -33,14 +34,46 @@ def match_headings(entries: DataFrame, headings: DataFrame) -> DataFrame:
     return a.groupBy("book", "key").cogroup(b.groupBy("book", "key")).applyInArrow(run, f"book {book}, ord long, page long, heading long")
 
 
+def _segment(length: str, i: str, most: int) -> tuple[str, str]:
+    """SQL of the start (from 0) and the length of segment ``i`` of ``most + 1`` nearly equal ones of a text of some length."""
+    base, wide = f"({length} div {most + 1})", f"({length} % {most + 1})"
+    first = f"({most + 1} - {wide})"
+    return f"({i} * {base} + greatest(0, {i} - {first}))", f"({base} + CASE WHEN {i} >= {first} THEN 1 ELSE 0 END)"
+
+
+def titles_within(asked: DataFrame, titles: DataFrame, most: int) -> DataFrame:
+    """``book, ord, h, other, d``: titles (``book, h, other, size``) at most ``most`` edits from a key (``book, ord, key``).
+
+    A title is cut to ``most + 1`` segments; one of them stands unchanged in any key that near, at a place that the
+    lengths and the edits to its left and right allow. So segments are joined with the parts of the keys that may be them.
+    """
+    start, length = _segment("size", "i", most)
+    index = titles.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(most)))).withColumn("part", F.expr(f"substring(other, int({start}) + 1, int({length}))")).select("book", "size", "i", "part", "h", "other")
+    probes = asked.withColumn("n", F.length("key")).withColumn("size", F.explode(F.expr(f"sequence(greatest(0, n - {most}), n + {most})"))).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(most))))
+    probes = probes.withColumn("p", F.expr(start)).withColumn("l", F.expr(length)).withColumn("low", F.expr(f"greatest(0, p - i, p + n - size - ({most} - i))")).withColumn("high", F.expr(f"least(n - l, p + i, p + n - size + ({most} - i))"))
+    probes = probes.where("low <= high").withColumn("at", F.explode(F.sequence("low", "high"))).select("book", "ord", "key", "size", "i", F.expr("substring(key, int(at) + 1, int(l))").alias("part")).distinct()
+    near = probes.join(index, ["book", "size", "i", "part"]).select("book", "ord", "key", "h", "other").distinct()
+    return near.withColumn("d", F.levenshtein("key", "other", most)).where("d >= 0").select("book", "ord", "h", "other", "d")
+
+
 def nearest_titles(unmatched: DataFrame, headings: DataFrame) -> DataFrame:
-    """``book, ord, nearest, distance``: for entries without a heading the closest title of the book by edit distance.
+    """``book, ord, nearest, distance``: for entries without a heading the closest title of the book by edit distance; ties by order.
 
-    A diagnostic: each of the few unmatched entries meets the headings of its own book.
+    The threshold rises from 0 by doubling, and an entry leaves when it has a title within it: titles that are as near are
+    then all found. So an entry meets titles about as far as its best, not all of its book.
     """
-    j = unmatched.select("book", "ord", "key").join(headings.select("book", F.col("ord").alias("h"), F.col("key").alias("other")), "book")
-    best = j.withColumn("d", F.levenshtein("key", "other")).groupBy("book", "ord").agg(F.min(F.struct("d", "h", "other")).alias("b"))
-    return best.select("book", "ord", F.col("b.other").alias("nearest"), F.col("b.d").alias("distance"))
+    titles = materialize(headings.select("book", F.col("ord").alias("h"), F.col("key").alias("other"), F.length("key").alias("size")), "titles")
+    asked = materialize(unmatched.select("book", "ord", "key").join(titles.select("book").distinct(), "book", "left_semi"), "asked")
+    longest = max(asked.agg(F.max(F.length("key"))).first()[0] or 0, titles.agg(F.max("size")).first()[0] or 0)
+    out, most = None, 0
+    while True:
+        near = titles_within(asked, titles, most).groupBy("book", "ord").agg(F.min(F.struct("d", "h", "other")).alias("b"))
+        near = materialize(near.select("book", "ord", F.col("b.other").alias("nearest"), F.col("b.d").alias("distance")), "nearest")
+        out = near if out is None else out.unionByName(near)
+        asked = materialize(asked.join(near, ["book", "ord"], "left_anti"), "asked")
+        if most >= longest or asked.isEmpty():
+            return out
+        most = max(1, 2 * most)
 
 
 def levels_by_indent(entries: DataFrame, tolerance: float = 1.2) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from textloom.functions import text as X
 from textloom.operators import corpus as C
 from textloom.operators import folds
+from textloom.session import materialize
 
 #: Phrases of one automaton.
 MAX_PHRASES = 100_000
@@ -145,24 +147,41 @@ def phrase_pairs(docs: DataFrame, phrases: DataFrame, key: str) -> DataFrame:
     return out
 
 
-def dictionary_views(docs: DataFrame, terms: DataFrame, key: str) -> DataFrame:
-    """``key, n_terms, view``: for each text the terms that bind everywhere and those that occur in it, as compact text.
+#: Bytes of the part of a dictionary that binds everywhere, which every view repeats.
+BINDING_BYTES = 1 << 20
 
-    ``terms`` has ``ord, headword, rendering, status, note`` and may have ``variants`` (an array). Fixed terms and sets of
-    variants bind everywhere; entries without a headword occur nowhere. A term is looked up by what stands before its
-    parenthesis.
-    """
+
+def term_lines(terms: DataFrame) -> DataFrame:
+    """``ord, phrase, binding, line`` of dictionary terms (``ord, headword, rendering, status, note``): what a view shows of each."""
     t = terms.withColumn("phrase", X.headword(F.col("headword"))).withColumn("binding", F.col("status").isin("fixed", "fixed-set"))
     tag = F.when(F.col("status") == "fixed", "FIXED").when(F.col("status") == "fixed-set", "SET  ").otherwise("prov ")
     note = X.first_sentence(F.coalesce("note", F.lit("")), 140, F.col("binding"))
     line = F.concat(tag, F.lit(" "), "headword", F.lit(" -> "), "rendering", F.when(note != "", F.concat(F.lit("\n      "), note)).otherwise(F.lit("")))
-    t = t.select("ord", "phrase", "binding", line.alias("line"))
-    found = phrase_pairs(docs, t, key).join(t.where("NOT binding").select("ord", "phrase", "line"), "phrase").select(key, "ord", "line")
-    # What binds everywhere is one text, made once; each view has it merged in by order.
-    always = t.where("binding").agg(F.array_sort(F.collect_list(F.struct("ord", "line"))).alias("always"))
-    own = docs.select(key).join(found.groupBy(key).agg(F.collect_list(F.struct("ord", "line")).alias("own")), key, "left").join(F.broadcast(always))
-    rows = F.array_sort(F.concat("always", F.coalesce("own", F.expr("CAST(array() AS ARRAY<STRUCT<ord: BIGINT, line: STRING>>)"))))
-    return own.select(key, F.size(rows).alias("n_terms"), F.array_join(F.transform(rows, lambda r: r["line"]), "\n").alias("view"))
+    return t.select("ord", "phrase", "binding", line.alias("line"))
+
+
+def own_terms(docs: DataFrame, lines: DataFrame, key: str) -> DataFrame:
+    """``key, ord, line``: the terms (of :func:`term_lines`) that don't bind everywhere, for each text they occur in."""
+    free = lines.where("NOT binding")
+    return phrase_pairs(docs, free, key).join(free.select("ord", "phrase", "line"), "phrase").select(key, "ord", "line")
+
+
+def dictionary_views(docs: DataFrame, terms: DataFrame, key: str) -> DataFrame:
+    """``key, n_terms, view``: for each text the terms that bind everywhere and those that occur in it, as compact text.
+
+    Fixed terms and sets of variants bind everywhere; entries without a headword occur nowhere. A term is looked up by what
+    stands before its parenthesis. What binds everywhere stands in every view, so it may have ``BINDING_BYTES``
+    bytes; beyond that keep it once, and take :func:`own_terms` for each text.
+    """
+    lines = materialize(term_lines(terms), "term-lines")
+    bound = lines.where("binding").select("ord", "line").orderBy("ord", "line")
+    if (bound.agg(F.sum(F.octet_length("line"))).first()[0] or 0) > BINDING_BYTES:
+        raise ValueError("too much binds everywhere to be repeated in every view")
+    rows = [(r["ord"], r["line"]) for r in bound.collect()]
+    always = F.from_json(F.lit(json.dumps([{"ord": o, "line": x} for o, x in rows])), "array<struct<ord: bigint, line: string>>")
+    own = docs.select(key).join(own_terms(docs, lines, key).groupBy(key).agg(F.collect_list(F.struct(F.col("ord").cast("long").alias("ord"), "line")).alias("own")), key, "left")
+    every = F.array_sort(F.concat(always, F.coalesce("own", F.expr("CAST(array() AS ARRAY<STRUCT<ord: BIGINT, line: STRING>>)"))))
+    return own.select(key, F.size(every).alias("n_terms"), F.array_join(F.transform(every, lambda r: r["line"]), "\n").alias("view"))
 
 
 def next_greater(df: DataFrame, doc: str, order: str, value: str, out: str) -> DataFrame:
@@ -196,9 +215,70 @@ def gate(counters: DataFrame, baseline: DataFrame) -> DataFrame:
     return j.select("name", "value", "most", F.coalesce(F.col("value") <= F.col("most"), F.lit(False)).alias("ok"))
 
 
+#: Edits up to which a diff costs their number times the words; beyond it, all pairs of words are compared, a row at once.
+FEW_EDITS = 256
+
+
+def edit_frontiers(x: list[int], y: list[int], most: int) -> list[dict[int, int]] | None:
+    """For 0, 1, 2, … edits and each diagonal (place in ``x`` minus place in ``y``) the first place in ``x`` from which the ends are that near.
+
+    The last one reaches the beginnings. None if they are more than ``most`` edits apart.
+    """
+    n, m = len(x), len(y)
+    found: list[dict[int, int]] = []
+    for d in range(most + 1):
+        now: dict[int, int] = {}
+        before, earlier = (found[d - 1] if d else {}), (found[d - 2] if d > 1 else {})
+        for k in range(n - m - d, n - m + d + 1, 2):
+            ways = [earlier[k]] if k in earlier else [] if d else [n]
+            if before.get(k + 1, 0) > 0:
+                ways.append(before[k + 1] - 1)
+            if k - 1 in before and before[k - 1] - k + 1 > 0:
+                ways.append(before[k - 1])
+            if ways:
+                i = min(ways)
+                while i > 0 and i > k and x[i - 1] == y[i - k - 1]:
+                    i -= 1
+                now[k] = i
+        found.append(now)
+        if now.get(0) == 0:
+            return found
+    return None
+
+
 def word_edits(a: list[str], b: list[str]) -> Iterator[tuple[str, str]]:
     """``(=, word)``, ``(-, word)`` and ``(+, word)`` by longest common subsequence; where both will do, words go before words come.
 
+    From a pair of places on, the fewest edits never grow along a diagonal, so the places from which ``d`` edits are enough
+    are all behind a frontier, and the walk asks only which of two steps leads behind the next one.
+    """
+    numbers: dict[str, int] = {}
+    x, y = ([numbers.setdefault(w, len(numbers)) for w in words] for words in (a, b))
+    frontiers = edit_frontiers(x, y, FEW_EDITS)
+    if frontiers is None:
+        yield from _word_edits_by_table(a, b)
+        return
+    i = j = 0
+    d = len(frontiers) - 1
+    while i < len(x) and j < len(y):
+        if x[i] == y[j]:
+            yield "=", a[i]
+            i, j = i + 1, j + 1
+            continue
+        d -= 1
+        if frontiers[d].get(i - j + 1, len(x) + 1) <= i + 1:
+            yield "-", a[i]
+            i += 1
+        else:
+            yield "+", b[j]
+            j += 1
+    yield from (("-", w) for w in a[i:])
+    yield from (("+", w) for w in b[j:])
+
+
+def _word_edits_by_table(a: list[str], b: list[str]) -> Iterator[tuple[str, str]]:
+    """The same for texts with many edits.
+
     Rows of the table are made from the end, each at once; every so many are kept, and the ones between are made again when
     the walk comes there, so space is the square root of the table's rows.
     """

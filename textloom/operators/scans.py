@@ -17,6 +17,7 @@ an empty result; columns that begin with an underscore are the functions' own.
 from __future__ import annotations
 
 from bisect import bisect_right
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +30,13 @@ from textloom.session import materialize
 HOW = {"sum": F.sum, "min": F.min, "max": F.max, "last": lambda c: F.last(c, ignorenulls=True)}
 
 
-def blocked(df: DataFrame, key: str, *order: str, blocks: int | None = None) -> DataFrame:
+def blocked(df: DataFrame, key: str, *order: str, blocks: int | None = None, keep: Callable[[DataFrame, str], DataFrame] = materialize) -> DataFrame:
     """``df`` with ``_block``: ranges of rows in the order of (key, order), numbered in it, written once.
 
-    Without ``blocks`` there are as many as the session has shuffle partitions.
+    Without ``blocks`` there are as many as the session has shuffle partitions. ``keep`` writes the table.
     """
     n = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return materialize(df.repartitionByRange(n, key, *order).withColumn("_block", F.spark_partition_id()), "blocks")
+    return keep(df.repartitionByRange(n, key, *order).withColumn("_block", F.spark_partition_id()), "blocks")
 
 
 def running(blocks: DataFrame, key: str, order: list[str], value: Column, name: str, how: str = "sum", before: bool = False) -> DataFrame:
