@@ -120,7 +120,7 @@ def number_equal(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     many = materialize(keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_key"), "mix-equal")
     if many.isEmpty():
         return df.withColumn(name, F.lit(1).cast("long"))
-    again = keep_ids(keyed, many, "_key")
+    again = materialize(keep_ids(keyed, many, "_key"), "mix-again")  # written, so that a row's partition is one and the same in what follows
     counts = again.groupBy("_key", "_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     start = counts.select("_key", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
