@@ -25,10 +25,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.session import materialize
+from textloom.operators.scans import blocked, running
+from textloom.session import Scope, materialize
 
 ROLES = ("system", "user", "assistant")
 BLOCK = 64
@@ -205,23 +206,21 @@ def decode(lines: DataFrame, model: Model) -> DataFrame:
     return known.select("conv", "pos", F.col("last").alias("state"))
 
 
-def number_lines(lines: DataFrame) -> DataFrame:
+def number_lines(lines: DataFrame, scope: Scope) -> DataFrame:
     """Adds ``pos``, dense from 0 inside a conversation.
 
-    A hot conversation must not be one window: lines are counted by coarse spans of turns first,
-    and only numbered inside a span.
+    A scan over ranges of lines in order: neither a conversation nor a turn with very many lines is one task.
     """
-    span = F.expr(f"coalesce(turn, -1) div {BLOCK}")
-    lines = lines.withColumn("conv", F.coalesce(F.concat(F.lit("c"), "conv"), F.lit("n"))).withColumn("span", span)
-    counts = lines.groupBy("conv", "span").count()
-    offsets = counts.withColumn("offset", F.coalesce(F.sum("count").over(Window.partitionBy("conv").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("count")
-    inside = Window.partitionBy("conv", "span").orderBy(F.col("turn").asc_nulls_first(), "row", "copy", "at")
-    return lines.withColumn("n", F.row_number().over(inside)).join(offsets, ["conv", "span"]).withColumn("pos", (F.col("offset") + F.col("n") - 1).cast("long")).drop("n", "offset", "span")
+    order = ["turn", "row", "copy", "at"]
+    lines = lines.withColumn("conv", F.coalesce(F.concat(F.lit("c"), "conv"), F.lit("n")))
+    ranges = blocked(lines, "conv", *order, keep=scope.keep)
+    return running(ranges, "conv", order, F.lit(1).cast("long"), "n").withColumn("pos", F.col("n") - 1).drop("n", "_block")
 
 
 def format_chats(chats: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """One row a message: ``conv_id, turn, given, role, rendered`` (decoded role of its first line; canonical text)."""
-    numbered = materialize(number_lines(_lines(chats, conv_col, turn_col, role_col, text_col)), "chat-lines")
+    with Scope(chats.sparkSession) as scope:
+        numbered = materialize(number_lines(_lines(chats, conv_col, turn_col, role_col, text_col), scope), "chat-lines")
     decoded = decode(numbered, learn(numbered))
     names = F.array(*[F.lit(r) for r in ROLES])
     placed = numbered.join(decoded.withColumnRenamed("state", "found"), ["conv", "pos"]).withColumn("role", F.element_at(names, F.col("found") + 1))
