@@ -13,7 +13,22 @@ from pyspark.sql import functions as F
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table, read by Spark so that any store Spark knows will do."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+#: A table of more bytes is dealt out if it comes in fewer pieces than there are cores.
+SPREAD_BYTES = 1 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df``, on all cores: a file of one row group can only be read by one task, so its rows are dealt to others before the work begins.
+
+    Tables in at least as many pieces as there are cores (all large ones) stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores or df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() <= SPREAD_BYTES:
+        return df
+    return df.repartition(cores)
 
 
 def scratch(spark: SparkSession) -> str:
