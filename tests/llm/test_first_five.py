@@ -320,3 +320,42 @@ def test_bpe_cuts_at_every_absent_pair():
     assert cut > 15_000
     # A text without blanks falls to pieces.
     assert max(map(len, codec.pieces("漢字かな交じり文" * 50 + "aZ9" * 500))) < 1600 and len(codec.pieces("漢字かな交じり文" * 50)) > 50
+
+
+def plain_em(counts):
+    """EM over vote patterns in plain Python: ``(prior, good, bad)``."""
+    q = quality_rules
+    signs = [v for _, v, _ in q.RULES]
+    own, other = [q.PRIOR_OWN[v] for v in signs], [q.PRIOR_OWN[v] / q.SPECIFIC[v] for v in signs]
+    good0, bad0 = [o if v > 0 else x for v, o, x in zip(signs, own, other, strict=True)], [o if v < 0 else x for v, o, x in zip(signs, own, other, strict=True)]
+    prior, good, bad, w = q.PRIOR_GOOD, good0, bad0, q.PRIOR_WEIGHT
+    for _ in range(q.ITERATIONS):
+        post = {p: posterior(p, prior, good, bad) for p in counts}
+        yes, no = sum(post[p] * n for p, n in counts.items()), sum((1 - post[p]) * n for p, n in counts.items())
+        prior = min(0.99, max(0.01, (q.PRIOR_GOOD * w + yes) / (w + yes + no)))
+        raw_good = [(g * w + sum(post[p] * n for p, n in counts.items() if p[k])) / (w + yes) for k, g in enumerate(good0)]
+        raw_bad = [(b * w + sum((1 - post[p]) * n for p, n in counts.items() if p[k])) / (w + no) for k, b in enumerate(bad0)]
+        held = lambda x, most: min(0.999, max(1e-6, min(x, most)))
+        good = [held(g, b / q.SPECIFIC[-1] if v < 0 else 1e9) for g, b, v in zip(raw_good, raw_bad, signs, strict=True)]
+        bad = [held(b, g / q.SPECIFIC[1] if v > 0 else 1e9) for g, b, v in zip(raw_good, raw_bad, signs, strict=True)]
+    return prior, good, bad
+
+
+def posterior(votes, prior, good, bad):
+    odds = prior / (1 - prior)
+    for v, g, b in zip(votes, good, bad, strict=True):
+        odds *= g / b if v else (1 - g) / (1 - b)
+    return odds / (1 + odds)
+
+
+@pytest.mark.parametrize("name", ["odd", "real"])
+def test_quality_posteriors_are_those_of_plain_em(request, name):
+    """The estimate and the verdicts again, pattern by pattern, in plain Python."""
+    rows = quality_rules.score_quality(request.getfixturevalue(name)).collect()
+    counts = defaultdict(int)
+    for r in rows:
+        counts[tuple(r.votes)] += 1
+    prior, good, bad = plain_em(counts)
+    for r in rows:
+        p = posterior(r.votes, prior, good, bad)
+        assert r.p_good == pytest.approx(p, abs=1e-6) and r.kept == (not r.base_failed and r.p_good >= quality_rules.THRESHOLD)

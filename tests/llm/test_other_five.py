@@ -411,3 +411,15 @@ def test_pii_recall_by_kind():
         assert found >= 0.9 * 120, (kind, found)
     for text in ("In 1999 the 25 items cost 3.50 each, see 4.2.1 and page 12-14.", "Version 3.0 of 2024-05-06, 10:30.", "x=3, y=4; a_b = c", "Total 1,234,567 and 12 345 678 rows"):
         assert pii.find_spans(text, model) == ([], []), text
+
+
+def test_chat_one_turn_holds_all_lines(spark):
+    """A conversation whose turns are all null is numbered over many ranges, densely and in order."""
+    from textloom.session import Scope
+
+    df = spark.createDataFrame([(7, None, "user", f"User: q{k}\nmore\nand more") for k in range(400)] + [(8, 1, "user", "hi"), (None, None, None, None)], "conv_id long, turn long, role string, text string")
+    with Scope(spark) as scope:
+        rows = chat_format.number_lines(chat_format._lines(df, "conv_id", "turn", "role", "text"), scope).collect()
+    hot = sorted((r for r in rows if r.conv == "c7"), key=lambda r: r.pos)
+    assert [r.pos for r in hot] == list(range(1200)) and sorted(r.pos for r in rows if r.conv != "c7") == [0, 0]
+    assert [(r.row, r.copy, r["at"]) for r in hot] == sorted((r.row, r.copy, r["at"]) for r in hot)

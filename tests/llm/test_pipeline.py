@@ -74,3 +74,16 @@ def test_near_copies_without_own_id(spark):
     assert [len(x) for x in one] == [1] * 6
     assert one[1:4] == [[rows[3]], [rows[4]], [rows[6]]]
     assert len(got) == 8
+
+
+def test_stages_keep_odd_rows_whole(spark, odd, tmp_path):
+    """Nulls, ties, repeated rows and columns named like internal ones: every stage but the last keeps all columns, and only whole rows."""
+    docs, rows = odd, Counter(tuple(r) for r in odd.collect())
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = materialize(stage(spark, docs, DIR), "test-odd")
+        assert docs.columns == odd.columns
+        now = Counter(tuple(r) for r in docs.collect())
+        assert set(now) <= set(rows)
+        rows = now
+    odd.unionByName(odd.limit(5)).write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} <= {r.doc_id for r in odd.collect()}
