@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from textloom.functions import markup as M
 from textloom.functions import text as X
+from textloom.operators import offsets as O
 from textloom.operators import prose as P
 from textloom.plans.made import MARKED, MARKED_LINES, Plans, marked
 from textloom.session import materialize, table
@@ -147,6 +149,30 @@ def sweep_texts(spark, d):
     return out.select("doc_id", "verse", "hyphen", F.sha1("text").alias("swept"))
 
 
+_LOCATOR = "substr(replace(replace(text, ' chúng ta ', ' an-so '), ' an ', ' An-So-ly '), 9, 60)"
+
+
+@query(rf"""WITH {MARKED}, l AS (SELECT doc_id, {_curled(_LOCATOR)} AS t0 FROM marked),
+  h AS (SELECT doc_id, replace(replace(replace(regexp_replace(regexp_replace(t0, '(?i)(^|[^\p{{L}}])an-so-ly($|[^\p{{L}}])', '\1An So ly\2', 'g'), '(^|[^\p{{L}}])an-so($|[^\p{{L}}])', '\1an so\2', 'g'), 'tion', 'sion'), 'Tion', 'Sion'), 'TION', 'SION') AS t FROM l)
+  SELECT doc_id, sha1(replace(t, 'Vì vậy', 'Vì Vậy')) AS locator FROM h""")
+def sweep_locators(spark, d):
+    """Locators, pieces of the texts, swept like the texts they are to be found in."""
+    t = marked(spark, d).withColumn("text", F.replace(F.replace("text", F.lit(" chúng ta "), F.lit(" an-so ")), F.lit(" an "), F.lit(" An-So-ly ")))
+    out = P.sweep_locators(t.select("doc_id", F.substring("text", 9, 60).alias("locator")), "doc_id", P.Sweep(["an-so", "an-so-ly"], {"tion": "sion"}, {"Vì vậy": "Vì Vậy"}))
+    return out.select("doc_id", F.sha1("locator").alias("locator"))
+
+
+@query(r"""WITH p AS (SELECT doc_id, text, string_split(text, ' ') AS w FROM documents), s AS (SELECT doc_id, text, w, unnest(range(0, len(w), 50)) AS k FROM p),
+  a AS (SELECT doc_id, text, CAST(coalesce(list_sum(list_transform(w[1 : k], lambda x: length(x))), 0) + k AS BIGINT) AS spot FROM s WHERE regexp_matches(w[k + 1], '^[a-zA-Z]+$'))
+  SELECT doc_id, spot AS "at", spot + 3 * ((length(left(text, spot)) - length(replace(left(text, spot), ' the ', ''))) // 5) AS "to", true AS exact FROM a""")
+def carried_words(spark, d):
+    """Places of words, carried through a rewrite that puts words in."""
+    t = table(spark, d, "documents").select("doc_id", "text", F.replace("text", F.lit(" the "), F.lit(" the ấy ")).alias("after"))
+    w = Window.partitionBy("doc_id").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
+    words = t.select("doc_id", F.posexplode(F.split("text", " ")).alias("k", "w")).withColumn("at", F.coalesce(F.sum(F.length("w") + 1).over(w), F.lit(0)))
+    return O.carried(t, words.where("k % 50 = 0 AND w RLIKE '^[a-zA-Z]+$'"), "doc_id", ["text", "after"])
+
+
 @query(r"SELECT doc_id, sha1(array_to_string(list_transform(string_split(replace(replace(text, '`', ''), ' is ', ' `is he` '), '`'), lambda x, i: CASE WHEN i % 2 = 0 THEN x ELSE replace(x, 'e', 'E') END), '`')) AS swept FROM (SELECT doc_id, replace(replace(text, '*', ''), '''', '') AS text FROM documents)")
 def protected_spans(spark, d):
     clean = F.regexp_replace("text", "[*'`]", "")
