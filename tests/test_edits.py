@@ -6,7 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from textloom.operators import outline, review
+from textloom.operators import offsets, outline, prose, review
 
 
 def test_frontiers_walk_as_the_table_does(monkeypatch):
@@ -73,3 +73,39 @@ def test_views_whose_common_part_is_large_are_refused(spark, monkeypatch):
     with pytest.raises(ValueError, match="binds everywhere"):
         review.dictionary_views(docs, terms, "k")
     assert [(r.k, r.ord) for r in review.own_terms(docs, review.term_lines(terms), "k").collect()] == [(1, 1)]
+
+
+def test_positions_keep_their_words():
+    rng = random.Random(5)
+    for _ in range(300):
+        texts = [" ".join(rng.choice(["ab", "c", "dé", "f,", "g."]) for _ in range(rng.randint(0, 30)))]
+        for _ in range(2):
+            words = texts[-1].split(" ")
+            for _ in range(rng.randint(0, 4)):
+                at = rng.randrange(len(words) + 1)
+                words[at : at + rng.randint(0, 2)] = rng.choices(["new", "x", "c"], k=rng.randint(0, 2))
+            texts.append(" ".join(words))
+        first, second = offsets.position_map(texts[0], texts[1]), offsets.position_map(texts[1], texts[2])
+        both = offsets.composed(first, second)
+        for old, new, n in both:
+            assert texts[0][old : old + n] == texts[2][new : new + n]
+        assert all(a[0] + a[2] <= b[0] and a[1] + a[2] <= b[1] for a, b in zip(both, both[1:], strict=False))
+        for at in range(len(texts[0])):
+            one, kept = offsets.carry(at, first, len(texts[1]))
+            two, again = offsets.carry(one, second, len(texts[2]))
+            to, exact = offsets.carry(at, both, len(texts[2]))
+            assert exact == (kept and again) and (not exact or to == two and texts[0][at] == texts[2][to])
+
+
+def test_marks_are_carried_through_sweep_and_reflow(spark):
+    before = "> one “two” three\n\nfour an-so five six, " + "long words " * 20 + "\nand on it goes, seven."
+    rules = prose.Sweep(["an-so"], {"three": "drei"}, {}, ("hyphen", "register"))
+    swept = rules.text(before)[0]
+    flowed = prose.reflow(swept)[0]
+    rows = spark.createDataFrame([(1, before, swept, flowed), (2, None, None, None)], "k int, a string, b string, c string")
+    marks = spark.createDataFrame([(1, before.index(w)) for w in ("one", "four", "five", "seven", "three")] + [(1, None), (2, 0), (9, 3)], "k int, at int")
+    got = {r["at"]: (r.to, r.exact) for r in offsets.carried(rows, marks, "k", ["a", "b", "c"]).where("k = 1").collect()}
+    for word in ("one", "four", "five", "seven"):
+        to, exact = got[before.index(word)]
+        assert exact and flowed[to:].startswith(word)
+    assert not got[before.index("three")][1]
