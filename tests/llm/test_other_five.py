@@ -423,3 +423,35 @@ def test_chat_one_turn_holds_all_lines(spark):
     hot = sorted((r for r in rows if r.conv == "c7"), key=lambda r: r.pos)
     assert [r.pos for r in hot] == list(range(1200)) and sorted(r.pos for r in rows if r.conv != "c7") == [0, 0]
     assert [(r.row, r.copy, r["at"]) for r in hot] == sorted((r.row, r.copy, r["at"]) for r in hot)
+
+
+def test_toxicity_scores_are_those_of_plain_python(spark):
+    """Lexicon, fit, scores and verdicts again, text by text, from the same character model."""
+    import math
+    import zlib
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{n}.parquet") for n in ("documents", "labels"))
+    held = lambda i: zlib.crc32(str(i).encode()) % 3 == 1
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    taught = {r.doc_id: r.toxic for r in labels.collect() if r.toxic is not None and r.doc_id in texts and not held(r.doc_id)}
+    own = toxicity.Restorer(toxicity.learn_characters(docs))
+    words = {i: list(own.words(t)) for i, t in texts.items()}
+    seen = {0: defaultdict(int), 1: defaultdict(int)}
+    for i, toxic in taught.items():
+        for w in set(words[i]):
+            seen[toxic][w] += 1
+    bad = sum(taught.values())
+    good = len(taught) - bad
+    lexicon = {}
+    for w in seen[1]:
+        b, g = seen[1][w], seen[0][w]
+        expected = (b + g) * bad / (bad + good)
+        odds = math.log((b + 0.5) / (bad + 1)) - math.log((g + 0.5) / (good + 1))
+        if b >= 3 and (b - expected) / math.sqrt(expected + 1) > 4 and odds > 1:
+            lexicon[w] = round(odds, 9)
+    numbers = {i: toxicity.features([lexicon.get(w, 0.0) for w in own]) for i, own in words.items()}
+    order = sorted(taught)
+    weights = toxicity.fit_logistic(np.array([numbers[i] for i in order]), np.array([taught[i] for i in order], float))
+    for r in toxicity.score_toxicity(docs, labels).collect():
+        score = 1 / (1 + math.exp(-min(30.0, max(-30.0, float(np.dot(numbers[r.doc_id], weights))))))
+        assert r.score == pytest.approx(score, abs=1e-6) and r.predicted == int(r.score >= 0.7) and r.held_out == held(r.doc_id)
