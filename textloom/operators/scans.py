@@ -215,6 +215,43 @@ def _following(rows: DataFrame, blocks: int | None) -> DataFrame:
     return running(falling, "_key", ["_down"], F.col("_row"), "_after", "last", before=True).select("_key", "_row", "_after")
 
 
+def section_chunks(sections: DataFrame, books: DataFrame, target: int = 4, most: int = 5, blocks: int | None = None) -> DataFrame:
+    """``book, first, last, part, parts, n_sections, owner``: a book's pages cut to chunks at the starts of its sections.
+
+    ``sections`` has ``book, page, level, title``, ``books`` has ``book, first, last`` (pages). A book begins a chunk at its first
+    page; short neighbours are merged up to ``most`` pages, and what has more than ``target`` is cut to nearly equal parts.
+    A chunk belongs to its section of lowest level, the first of them; without one to the last section before it (null: none).
+    """
+    inside = sections.join(books.select("book", F.col("first").alias("_first"), F.col("last").alias("_last")), "book").where("page BETWEEN _first AND _last")
+    inside = materialize(inside.select(F.col("book").alias("book"), F.col("page").cast("long").alias("page"), "level", "title"), "sections")
+    starts = inside.select("book", "page").unionByName(books.select("book", F.col("first").cast("long").alias("page"))).distinct()
+    ends = starts.unionByName(books.select("book", (F.col("last") + 1).cast("long").alias("page"))).distinct()
+    falling = blocked(ends.withColumn("_down", -F.col("page")), "book", "_down", blocks=blocks)
+    sized = running(falling, "book", ["_down"], F.col("page"), "_next", "last", before=True).where("_next IS NOT NULL").select("book", "page", (F.col("_next") - F.col("page")).alias("size"))
+    merged = greedy_spans(sized, "book", "page", "size", most, blocks)
+    cut = merged.select("book", "first", "total", F.ceil(F.col("total") / target).cast("int").alias("parts")).withColumn("part", F.explode(F.sequence(F.lit(1), F.col("parts"))))
+    wide = F.ceil(F.col("total") / F.col("parts"))
+    cut = cut.withColumn("_from", F.col("first") + (F.col("part") - 1) * wide).withColumn("_to", F.least(F.col("first") + F.col("part") * wide, F.col("first") + F.col("total")) - 1)
+    chunks = materialize(cut.where("_from <= _to").select("book", F.col("_from").cast("long").alias("first"), F.col("_to").cast("long").alias("last"), "part", "parts"), "chunks")
+    found = range_pairs(chunks.select("book", "first", "last"), inside, "first", "last", "page", group="book")
+    own = found.groupBy("book", "first").agg(F.count(F.lit(1)).alias("n_sections"), F.min(F.struct("level", "page", "title")).alias("_own"))
+    # The last section before a chunk: a scan over sections and chunks in the order of pages.
+    both = inside.groupBy("book", "page").agg(F.max_by("title", "level").alias("title")).unionByName(chunks.select("book", F.col("first").alias("page"), F.lit(None).cast("string").alias("title"), F.lit(True).alias("_asks")), allowMissingColumns=True)
+    both = both.withColumn("_kind", F.coalesce("_asks", F.lit(False)).cast("int"))
+    asked = running(blocked(both, "book", "page", "_kind", blocks=blocks), "book", ["page", "_kind"], F.col("title"), "_before", "last").where("_kind = 1").select("book", F.col("page").alias("first"), "_before")
+    out = chunks.join(own, ["book", "first"], "left").join(asked, ["book", "first"])
+    return out.select("book", "first", "last", "part", "parts", F.coalesce("n_sections", F.lit(0)).alias("n_sections"), F.coalesce("_own.title", "_before").alias("owner"))
+
+
+def tiled(chunks: DataFrame, books: DataFrame) -> DataFrame:
+    """``book, proved``: whether a book's chunks (``book, first, last``) cover each of its pages once."""
+    sums = chunks.groupBy("book").agg(F.sum(F.col("last") - F.col("first") + 1).alias("_n"), F.min("first").alias("_a"), F.max("last").alias("_b"), F.count_distinct("first").alias("_k"), F.count(F.lit(1)).alias("_m"))
+    after = chunks.select("book", (F.col("last") + 1).alias("first")).join(chunks.select("book", "first"), ["book", "first"]).groupBy("book").agg(F.count(F.lit(1)).alias("_joins"))
+    j = books.join(sums, "book", "left").join(after, "book", "left")
+    proof = (F.col("_n") == F.col("last") - F.col("first") + 1) & (F.col("_a") == F.col("first")) & (F.col("_b") == F.col("last")) & (F.col("_k") == F.col("_m")) & (F.coalesce("_joins", F.lit(0)) == F.col("_m") - 1)
+    return j.select("book", F.coalesce(proof, F.lit(False)).alias("proved"))
+
+
 # --- range join -----------------------------------------------------------------------------
 
 #: Cells of the coarsest level that cover all points; a cell with more than one in ``HOT`` rows is split.

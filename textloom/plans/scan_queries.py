@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from textloom.operators import corpus as C
 from textloom.operators import scans as S
 from textloom.plans.made import Plans
-from textloom.session import table
+from textloom.session import materialize, table
 
 query = Plans()
 QUERIES, ORACLES = query.queries, query.oracles
@@ -58,6 +58,23 @@ def hot_spans(spark, d):
     return S.greedy_spans(t, "book", "ord", "size", 1200)
 
 
+@query("""WITH RECURSIVE p AS (SELECT page_id // 25 AS book, page_id % 25 + 1 AS page, page_id % 3 AS level, sha1(url) AS title FROM pages), b AS (SELECT book, min(page) AS first, max(page) AS last FROM p GROUP BY book),
+  s AS (SELECT * FROM p WHERE page * (book % 5 + 2) % 7 < 2 AND page <> 1), st AS (SELECT DISTINCT book, page FROM (SELECT book, page FROM s UNION ALL SELECT book, first FROM b)),
+  z AS (SELECT st.book, st.page, coalesce(lead(st.page) OVER w, b.last + 1) - st.page AS size, row_number() OVER w AS j FROM st JOIN b USING (book) WINDOW w AS (PARTITION BY st.book ORDER BY st.page)),
+  f AS (SELECT book, j, page, 1 AS span, size AS total FROM z WHERE j = 1 UNION ALL
+    SELECT f.book, z.j, z.page, CASE WHEN total + size <= 5 THEN span ELSE span + 1 END, CASE WHEN total + size <= 5 THEN total + size ELSE size END FROM f JOIN z ON z.book = f.book AND z.j = f.j + 1),
+  m AS (SELECT book, min(page) AS a, arg_max(total, j) AS n FROM f GROUP BY book, span), k AS (SELECT *, CAST(ceil(n / 4.0) AS INT) AS parts FROM m), q AS (SELECT *, unnest(range(1, parts + 1)) AS part, CAST(ceil(n / CAST(parts AS DOUBLE)) AS INT) AS wide FROM k),
+  c AS (SELECT book, a + (part - 1) * wide AS first, least(a + part * wide, a + n) - 1 AS last, part, parts FROM q WHERE a + (part - 1) * wide <= least(a + part * wide, a + n) - 1)
+  SELECT c.book, c.first, c.last, part, parts, (SELECT count(*) FROM s WHERE s.book = c.book AND s.page BETWEEN c.first AND c.last) AS n_sections,
+    coalesce((SELECT arg_min(title, (level, page)) FROM s WHERE s.book = c.book AND s.page BETWEEN c.first AND c.last), (SELECT arg_max(title, page) FROM s WHERE s.book = c.book AND s.page <= c.first)) AS owner, true AS proved FROM c""")
+def section_chunking(spark, d):
+    """Pages of each book cut to chunks at its sections, with owners, and the proof that they tile the book."""
+    p = table(spark, d, "pages").select(F.expr("page_id div 25").alias("book"), (F.col("page_id") % 25 + 1).alias("page"), (F.col("page_id") % 3).alias("level"), F.sha1("url").alias("title"))
+    books = p.groupBy("book").agg(F.min("page").alias("first"), F.max("page").alias("last"))
+    chunks = materialize(S.section_chunks(p.where("page * (book % 5 + 2) % 7 < 2 AND page <> 1"), books), "section-chunks")
+    return chunks.join(S.tiled(chunks, books), "book")
+
+
 @query("""WITH r AS (SELECT source, lang, min(n_chars) AS low, approx AS high FROM (SELECT source, lang, n_chars, max(n_chars) OVER (PARTITION BY source) AS approx FROM documents) GROUP BY ALL)
   SELECT source, lang, low, high, page_id, n FROM r JOIN (SELECT page_id, length(html) AS n FROM pages) ON n BETWEEN low AND high""")
 def range_pairs(spark, d):
