@@ -16,19 +16,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
-#: A table of more bytes is dealt out if it comes in fewer pieces than there are cores.
-SPREAD_BYTES = 1 << 20
+#: A table in fewer files than there are cores is dealt out if it has more bytes than the first, and at most the second for each core.
+SPREAD_BYTES, PIECE_BYTES = 1 << 20, 64 << 20
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """``df``, on all cores: a file of one row group can only be read by one task, so its rows are dealt to others before the work begins.
+    """``df``, on all cores: a small file is often one row group, which only one task can read, so its rows are dealt to others before the work begins.
 
-    Tables in at least as many pieces as there are cores (all large ones) stay as they are.
+    Large tables, and those in at least as many files as there are cores, stay as they are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores or df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() <= SPREAD_BYTES:
-        return df
-    return df.repartition(cores)
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return df.repartition(cores) if SPREAD_BYTES < size <= cores * PIECE_BYTES and len(df.inputFiles()) < cores else df
 
 
 def scratch(spark: SparkSession) -> str:
