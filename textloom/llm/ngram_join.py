@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from textloom.llm.components import components
 from textloom.llm.hashing import content_seed, mix, words_table
-from textloom.session import Scope, keep_ids, materialize, row_hash
+from textloom.session import Scope, keep_ids, materialize, remove, row_hash, scratch_path
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Cost model: a candidate check in signature rows, and the chance that two documents of one
@@ -295,10 +295,14 @@ class _Join:
         for k in range(100):
             self.seed = (first + k) % 2**64
             named = self.source.mapInArrow(_name_rows(width, self.seed), "id long, row long, size long, node long, check long, sketch array<long>")
-            self.named = materialize(named, "jaccard-named")
-            nodes = self.named.where("size > 0").groupBy("node").agg(F.expr(LEAST_ROW).alias("least"), F.first("size").alias("size"), F.first("sketch").alias("sketch"), F.min("check").alias("low"), F.max("check").alias("high"), F.count(F.lit(1)).alias("rows"))
+            path = scratch_path(docs.sparkSession, "jaccard-sketched")
+            sketched = materialize(named, path=path)
+            nodes = sketched.where("size > 0").groupBy("node").agg(F.expr(LEAST_ROW).alias("least"), F.first("size").alias("size"), F.first("sketch").alias("sketch"), F.min("check").alias("low"), F.max("check").alias("high"), F.count(F.lit(1)).alias("rows"))
             nodes = nodes.select("*", F.col("least.id").alias("rep"), F.col("least.row").alias("rep_row")).drop("least")
             self.nodes = materialize(nodes, "jaccard-nodes")
+            # The sketches are with the nodes now; rows keep their names only.
+            self.named = materialize(sketched.select("id", "row", "size", "node"), "jaccard-named")
+            remove(docs.sparkSession, path)
             # Two different sets under one name: all names are made anew.
             if self.nodes.where("low <> high").isEmpty():
                 return
