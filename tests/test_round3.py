@@ -1,5 +1,7 @@
 """Faults found on larger tables, each on rows small enough to read."""
 
+from textloom.functions import text as X
+
 
 def test_an_entry_without_heading_takes_no_other_entrys(spark):
     from textloom.operators import outline as O
@@ -10,3 +12,16 @@ def test_an_entry_without_heading_takes_no_other_entrys(spark):
     assert near == {0: (22, True, 23), 1: (24, False, 25), 2: (26, True, 27), 3: (28, True, 99)}
     far = {r.ord: (r.page, r.matched) for r in O.build_outline(entries, heads, 20, 99).collect()}
     assert far[1] == (28, True) and far[3] == (28, False)
+
+
+def test_notes_are_whole_by_the_pattern_that_is_given(spark):
+    from pyspark.sql import functions as F
+    from textloom.operators import review as R
+
+    t = spark.createDataFrame([(1, "One of only two. Two.", False), (2, "This is never cut. Two.", False), (3, "One. Two.", True)], "ord long, note string, binding boolean")
+    note = lambda *c: [r.n for r in t.select("ord", X.first_sentence(F.col("note"), 140, F.col("binding"), *c).alias("n")).orderBy("ord").collect()]
+    assert note() == ["One of only two. Two.", "This is never cut. Two.", "One. Two."]
+    assert note("^This is never") == ["One of only two.", "This is never cut. Two.", "One. Two."]
+    terms = spark.createDataFrame([(1, "aa (x)", "b", "provisional", "One of only two. Two.")], "ord long, headword string, rendering string, status string, note string")
+    docs = spark.createDataFrame([(7, "x aa y")], "doc_id long, text string")
+    assert R.dictionary_views(docs, terms, "doc_id", "^This is never").first()["view"] == "prov  aa (x) -> b\n      One of only two."

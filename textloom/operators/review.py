@@ -151,11 +151,14 @@ def phrase_pairs(docs: DataFrame, phrases: DataFrame, key: str) -> DataFrame:
 BINDING_BYTES = 1 << 20
 
 
-def term_lines(terms: DataFrame) -> DataFrame:
-    """``ord, phrase, binding, line`` of dictionary terms (``ord, headword, rendering, status, note``): what a view shows of each."""
+def term_lines(terms: DataFrame, constraint: str = X.CONSTRAINT) -> DataFrame:
+    """``ord, phrase, binding, line`` of dictionary terms (``ord, headword, rendering, status, note``): what a view shows of each.
+
+    Notes that match ``constraint`` are shown whole.
+    """
     t = terms.withColumn("phrase", X.headword(F.col("headword"))).withColumn("binding", F.col("status").isin("fixed", "fixed-set"))
     tag = F.when(F.col("status") == "fixed", "FIXED").when(F.col("status") == "fixed-set", "SET  ").otherwise("prov ")
-    note = X.first_sentence(F.coalesce("note", F.lit("")), 140, F.col("binding"))
+    note = X.first_sentence(F.coalesce("note", F.lit("")), 140, F.col("binding"), constraint)
     line = F.concat(tag, F.lit(" "), "headword", F.lit(" -> "), "rendering", F.when(note != "", F.concat(F.lit("\n      "), note)).otherwise(F.lit("")))
     return t.select("ord", "phrase", "binding", line.alias("line"))
 
@@ -166,14 +169,14 @@ def own_terms(docs: DataFrame, lines: DataFrame, key: str) -> DataFrame:
     return phrase_pairs(docs, free, key).join(free.select("ord", "phrase", "line"), "phrase").select(key, "ord", "line")
 
 
-def dictionary_views(docs: DataFrame, terms: DataFrame, key: str) -> DataFrame:
+def dictionary_views(docs: DataFrame, terms: DataFrame, key: str, constraint: str = X.CONSTRAINT) -> DataFrame:
     """``key, n_terms, view``: for each text the terms that bind everywhere and those that occur in it, as compact text.
 
     Fixed terms and sets of variants bind everywhere; entries without a headword occur nowhere. A term is looked up by what
     stands before its parenthesis. What binds everywhere stands in every view, so it may have ``BINDING_BYTES``
     bytes; beyond that keep it once, and take :func:`own_terms` for each text.
     """
-    lines = materialize(term_lines(terms), "term-lines")
+    lines = materialize(term_lines(terms, constraint), "term-lines")
     bound = lines.where("binding").select("ord", "line").orderBy("ord", "line")
     if (bound.agg(F.sum(F.octet_length("line"))).first()[0] or 0) > BINDING_BYTES:
         raise ValueError("too much binds everywhere to be repeated in every view")
