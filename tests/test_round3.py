@@ -1,5 +1,6 @@
 """Faults found on larger tables, each on rows small enough to read."""
 
+from textloom.functions import soup
 from textloom.functions import text as X
 
 
@@ -25,3 +26,12 @@ def test_notes_are_whole_by_the_pattern_that_is_given(spark):
     terms = spark.createDataFrame([(1, "aa (x)", "b", "provisional", "One of only two. Two.")], "ord long, headword string, rendering string, status string, note string")
     docs = spark.createDataFrame([(7, "x aa y")], "doc_id long, text string")
     assert R.dictionary_views(docs, terms, "doc_id", "^This is never").first()["view"] == "prov  aa (x) -> b\n      One of only two."
+
+
+def test_references_cut_off_at_a_title_stay_where_asked(spark):
+    page = '<h1>a &amp; b&amp</h1><p>&copy; &xamp; <a href="?a&amp;b&amp">&lt;c</a>'
+    assert "".join(r[8] for r in soup.blocks(page)) == "a & b&© &xamp; <c"
+    assert "".join(r[8] for r in soup.blocks(page, lenient=False)) == "a & b&amp© &xamp; <c"
+    assert [r[12] for r in soup.blocks(page, lenient=False) if r[12]] == ["?a&b&amp"]
+    rows = soup.page_blocks(spark.createDataFrame([(1, page)], "page_id long, html string"), "page_id", lenient=False)
+    assert "b&amp" in {r.text.split()[-1] for r in rows.where("kind = 'heading'").collect()}

@@ -14,8 +14,9 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from html.entities import html5
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -56,6 +57,7 @@ class Reader:
     runs: list[list] = field(default_factory=list)
     blocks: int = 0
     tables: int = 0
+    plain: Callable[[str], str] = html.unescape
 
     def add(self, text: str) -> None:
         style = {name for name, _ in self.styles}
@@ -96,7 +98,7 @@ class Reader:
     def start(self, tag: str, rest: str) -> Iterator[tuple]:
         if tag in STYLES:
             link = _HREF.search(rest) if tag == "a" else None
-            self.styles.append((STYLES[tag], html.unescape(next((g for g in link.groups() if g is not None), "")) if link else None))
+            self.styles.append((STYLES[tag], self.plain(next((g for g in link.groups() if g is not None), "")) if link else None))
         elif tag == "br":
             self.add("\0")
         elif tag == "hr":
@@ -169,13 +171,18 @@ class Reader:
             yield from self.close({tag}, {"td", "th"})
 
 
-def blocks(page: str | None) -> Iterator[tuple]:
-    """Rows of ``ROW`` of a page."""
-    reader, at, page = Reader(), 0, (page or "").replace("\0", "")
+def ended_references(text: str) -> str:
+    """Text with its character references decoded, but for those without the semicolon (which pages cut off in the middle have)."""
+    return re.sub(r"&(#?[0-9a-zA-Z]+;)", lambda m: html.unescape(m[0]) if m[1][0] == "#" else html5.get(m[1], m[0]), text)
+
+
+def blocks(page: str | None, lenient: bool = True) -> Iterator[tuple]:
+    """Rows of ``ROW`` of a page. ``lenient``: references without their semicolon are decoded as browsers do, else they stay."""
+    reader, at, page = Reader(plain=html.unescape if lenient else ended_references), 0, (page or "").replace("\0", "")
     hidden = False  # in the head, but for the title
     while m := _TAG.search(page, at):
         if not hidden or reader.open[-1].tag == "title":
-            reader.add(html.unescape(page[at : m.start()]))
+            reader.add(reader.plain(page[at : m.start()]))
         at, tag = m.end(), (m[2] or "").lower()
         if not tag:
             continue
@@ -190,11 +197,11 @@ def blocks(page: str | None) -> Iterator[tuple]:
             yield from reader.start(tag, m[3])
             if tag == "title":
                 end = re.compile(r"</title\s*>|(?=<body)", re.I).search(page, at)
-                reader.add(html.unescape(page[at : end.start() if end else len(page)]))
+                reader.add(reader.plain(page[at : end.start() if end else len(page)]))
                 at = end.end() if end else len(page)
                 yield from reader.close({"title"}, set())
     if not hidden:
-        reader.add(html.unescape(page[at:]))
+        reader.add(reader.plain(page[at:]))
     while len(reader.open) > 1:
         yield from reader.flush()
         reader.open.pop()
@@ -203,15 +210,18 @@ def blocks(page: str | None) -> Iterator[tuple]:
 
 @F.udtf(returnType=ROW)
 class PageBlocks:
-    """``blocks`` as a table function of one column."""
+    """``blocks`` as a table function of a page and whether to be lenient."""
 
-    def eval(self, page: str) -> Iterator[tuple]:
-        yield from blocks(page)
+    def eval(self, page: str, lenient: bool) -> Iterator[tuple]:
+        yield from blocks(page, lenient)
 
 
-def page_blocks(pages: DataFrame, key: str, page: str = "html") -> DataFrame:
-    """``key`` and the columns of ``ROW``, for every run of every page; pages without a block have no row."""
-    return pages.select(key, page).lateralJoin(PageBlocks(F.col(page).outer())).drop(page)
+def page_blocks(pages: DataFrame, key: str, page: str = "html", lenient: bool = True) -> DataFrame:
+    """``key`` and the columns of ``ROW``, for every run of every page; pages without a block have no row.
+
+    ``lenient``: references without their semicolon are decoded too.
+    """
+    return pages.select(key, page).lateralJoin(PageBlocks(F.col(page).outer(), F.lit(lenient))).drop(page)
 
 
 def page_markdown(rows: DataFrame, key: str) -> DataFrame:
