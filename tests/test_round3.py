@@ -71,3 +71,19 @@ def test_glyph_lines_are_those_of_the_plain_fold(spark):
     assert key(plain) == key(got) and len(key(got)) > 9
     rows_of = G.lined_pages(g, G.Decoder(repairs, maps)).select("page", F.length("raw").alias("n")).collect()
     assert {r.page: r.n for r in rows_of} == {r.page: r.n for r in G.decode_chain(g, repairs, maps).groupBy("page").agg(F.sum(F.length("text")).alias("n")).collect()}
+
+
+def test_overlaps_are_those_of_plain_search(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    chance = random.Random(5)
+    rows = [(k, "".join(chance.choice("ab") for _ in range(chance.randrange(0, 80))), "") for k in range(60)]
+    rows = [(k, a, a[chance.randrange(0, len(a) + 1) :] + "ba" * 9) for k, a, _ in rows] + [(60, "a" * 400, "a" * 400), (61, None, "a"), (62, "", ""), (63, "x" * 30, "x" * 29), (64, "ab" * 90, "ab" * 90)]
+    t = spark.createDataFrame(rows, "k int, a string, b string")
+    got = {r.k: r.n for r in t.select("k", X.suffix_prefix_overlap(F.col("a"), F.col("b"), 5, 70).alias("n")).collect()}
+    for k, a, b in rows:
+        a, b = a or "", b or ""
+        assert got[k] == max((n for n in range(5, min(70, len(a), len(b)) + 1) if a[-n:] == b[:n]), default=0), k
+    assert "python" in t.select(X.suffix_prefix_overlap(F.col("a"), F.col("b")))._jdf.queryExecution().toString().lower()  # and no list of all lengths
