@@ -87,3 +87,18 @@ def test_overlaps_are_those_of_plain_search(spark):
         a, b = a or "", b or ""
         assert got[k] == max((n for n in range(5, min(70, len(a), len(b)) + 1) if a[-n:] == b[:n]), default=0), k
     assert "python" in t.select(X.suffix_prefix_overlap(F.col("a"), F.col("b")))._jdf.queryExecution().toString().lower()  # and no list of all lengths
+
+
+def test_unlike_texts_try_few_edits():
+    from textloom.operators import review as R
+
+    assert R.worthwhile_edits(100, 100) < 60 < R.worthwhile_edits(2000, 2000) <= R.FEW_EDITS
+    asked = []
+    plain = R.edit_frontiers
+    R.edit_frontiers = lambda x, y, most: asked.append(most) or plain(x, y, most)
+    try:
+        a, b = [f"a{k}" for k in range(300)], [f"b{k}" for k in range(300)]
+        assert list(R.word_edits(a, b)) == list(R._word_edits_by_table(a, b)) and not asked
+        assert list(R.word_edits(a, a[:50] + b[:9] + a[55:])) == list(R._word_edits_by_table(a, a[:50] + b[:9] + a[55:])) and asked
+    finally:
+        R.edit_frontiers = plain

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -222,6 +223,11 @@ def gate(counters: DataFrame, baseline: DataFrame) -> DataFrame:
 FEW_EDITS = 256
 
 
+def worthwhile_edits(n: int, m: int) -> int:
+    """Up to how many edits frontiers (some of their square steps) are cheaper than the table (``n`` rows of ``m`` cells, at once)."""
+    return min(FEW_EDITS, int((n * (25 + m / 80)) ** 0.5))
+
+
 def edit_frontiers(x: list[int], y: list[int], most: int) -> list[dict[int, int]] | None:
     """For 0, 1, 2, … edits and each diagonal (place in ``x`` minus place in ``y``) the first place in ``x`` from which the ends are that near.
 
@@ -257,7 +263,9 @@ def word_edits(a: list[str], b: list[str]) -> Iterator[tuple[str, str]]:
     """
     numbers: dict[str, int] = {}
     x, y = ([numbers.setdefault(w, len(numbers)) for w in words] for words in (a, b))
-    frontiers = edit_frontiers(x, y, FEW_EDITS)
+    most = worthwhile_edits(len(x), len(y))
+    # What the texts share, in any order, says how many edits there must be.
+    frontiers = edit_frontiers(x, y, most) if len(x) + len(y) - 2 * (Counter(x) & Counter(y)).total() <= most else None
     if frontiers is None:
         yield from _word_edits_by_table(a, b)
         return
