@@ -111,3 +111,17 @@ def test_few_texts_are_held_at_once():
     batch = pa.RecordBatch.from_pydict({"t": pa.array([str(k) for k in range(200)])})
     parts = list(P.pieces(iter([batch, batch])))
     assert max(p.num_rows for p in parts) <= P.AT_ONCE < 200 and pa.Table.from_batches(parts).num_rows == 400
+
+
+def test_blocks_grow_in_number_not_in_size(spark):
+    from textloom.operators import scans as S
+
+    before, S.BLOCK_ROWS = S.BLOCK_ROWS, 50
+    try:
+        t = spark.range(3000).selectExpr("7L AS book", "id AS ord", "id % 5 AS level")
+        rows = S.blocked(t, "book", "ord")
+        assert rows.select("_block").distinct().count() > 40 and rows.groupBy("_block").count().agg({"count": "max"}).first()[0] < 200
+        got = {r.ord: r.parent for r in S.parent_of(t, "book", "ord", "level").collect()}
+        assert got == {k: None if k % 5 == 0 else k - 1 for k in range(3000)}
+    finally:
+        S.BLOCK_ROWS = before

@@ -30,12 +30,17 @@ from textloom.session import materialize
 HOW = {"sum": F.sum, "min": F.min, "max": F.max, "last": lambda c: F.last(c, ignorenulls=True)}
 
 
+#: Rows of a block, about.
+BLOCK_ROWS = 200_000
+
+
 def blocked(df: DataFrame, key: str, *order: str, blocks: int | None = None, keep: Callable[[DataFrame, str], DataFrame] = materialize) -> DataFrame:
     """``df`` with ``_block``: ranges of rows in the order of (key, order), numbered in it, written once.
 
-    Without ``blocks`` there are as many as the session has shuffle partitions. ``keep`` writes the table.
+    Without ``blocks`` there are as many as the session has shuffle partitions, or more, so that a block (which some steps hold
+    whole) has about ``BLOCK_ROWS`` rows however large the table is. ``keep`` writes the table.
     """
-    n = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = blocks or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // BLOCK_ROWS))
     return keep(df.repartitionByRange(n, key, *order).withColumn("_block", F.spark_partition_id()), "blocks")
 
 
