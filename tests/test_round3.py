@@ -125,3 +125,18 @@ def test_blocks_grow_in_number_not_in_size(spark):
         assert got == {k: None if k % 5 == 0 else k - 1 for k in range(3000)}
     finally:
         S.BLOCK_ROWS = before
+
+
+def test_frequent_grams_aren_t_broadcast_beyond_a_count(spark):
+    from textloom.operators import corpus as C
+
+    t = spark.createDataFrame([(k, "a b c a b d. a b c") for k in range(5)], "doc_id long, text string")
+    key = lambda df: sorted(tuple(r) for r in df.collect())
+    want, most = key(C.branching(t, "doc_id", least=3)), C.BROADCAST_IDS
+    C.BROADCAST_IDS = 1
+    try:
+        beyond = C.branching(t, "doc_id", least=3)
+        assert "BroadcastHashJoin" not in beyond._jdf.queryExecution().executedPlan().toString()
+        assert key(beyond) == want and ("a b c", 3, 10, 1, 2) in want
+    finally:
+        C.BROADCAST_IDS = most
