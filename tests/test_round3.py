@@ -140,3 +140,14 @@ def test_frequent_grams_aren_t_broadcast_beyond_a_count(spark):
         assert key(beyond) == want and ("a b c", 3, 10, 1, 2) in want
     finally:
         C.BROADCAST_IDS = most
+
+
+def test_views_are_moved_by_their_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from textloom.sources import files
+
+    plan = files.view_per_key(spark.range(5).select(F.col("id").alias("page")), str(tmp_path / "v"), "page", F.concat(F.lit("[{\"a\":"), "page", F.lit("}]")))
+    assert plan.options["mapreduce.fileoutputcommitter.algorithm.version"] == "2"
+    plan.write()
+    rows = files.json_arrays(spark, str(tmp_path / "v"), "a int", number=r"page=(\d+)/[^/]*$", below=True).collect()
+    assert sorted((r.page, r.a) for r in rows) == [(k, k) for k in range(5)]
