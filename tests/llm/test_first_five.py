@@ -322,6 +322,27 @@ def test_bpe_cuts_at_every_absent_pair():
     assert max(map(len, codec.pieces("漢字かな交じり文" * 50 + "aZ9" * 500))) < 1600 and len(codec.pieces("漢字かな交じり文" * 50)) > 50
 
 
+def test_bpe_hands_new_pieces_over_together(monkeypatch):
+    """Many texts of new words are one call of the library; double blanks, blanks behind white space and stores that overflow change no id."""
+    import random
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    codec, library = bpe.ForcedBoundaryCodec(bpe.read_tokenizer(path)), Tokenizer.from_file(path)
+    rng = random.Random(4)
+    texts = ["".join(rng.choice(["abq", "zü", "日本", "x", "7", ".", "'s", "\n", "\x1c", "\xa0", "<|endoftext|>", " ", " ", " ", " ", "  "]) for _ in range(40)) for _ in range(400)] + ["", " ", "  a", "a  ", " a", "a", "<|endoftext|>"]
+    wanted = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    calls, whole = [], codec._encode_pieces
+    monkeypatch.setattr(codec, "_encode_pieces", lambda pieces: calls.append(len(pieces)) or whole(pieces))
+    for most in (bpe.CACHE_ENTRIES, 50):
+        monkeypatch.setattr(bpe, "CACHE_ENTRIES", most)
+        for k in range(0, len(texts), 100):
+            assert [np.frombuffer(x, "<u4").tolist() for x in codec.encode_all(texts[k : k + 100])] == wanted[k : k + 100]
+    assert 1 <= len(calls) <= 10 and calls[0] > 20
+
+
 def plain_em(counts):
     """EM over vote patterns in plain Python: ``(prior, good, bad)``."""
     q = quality_rules
