@@ -343,6 +343,27 @@ def test_bpe_hands_new_pieces_over_together(monkeypatch):
     assert 1 <= len(calls) <= 10 and calls[0] > 20
 
 
+def test_packed_signatures_lose_none():
+    """Packed signatures come back, in less than their rows took, and a bucket's candidates are those of plain grouping."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    for n, buckets, top in ((1, 4, 1 << 63), (5000, 7, 1 << 63), (400_000, 3, 1 << 63), (100, 1, 1 << 40)):
+        sigs, nodes = rng.integers(0, top, n, dtype=np.uint64), rng.integers(-9, 9, n) * 10**17
+        sigs[n // 2 :] = sigs[: n - n // 2]
+        rows = list(ngram_join.pack(sigs, nodes, buckets))
+        pairs = [p for _, *row in rows for p in zip(*(x.tolist() for x in ngram_join.unpack(*row)), strict=True)]
+        assert sorted(pairs) == sorted(zip((sigs >> np.uint64(64 - ngram_join.SIG_BITS)).tolist(), nodes.tolist(), strict=True))
+        if n == 400_000:
+            assert sum(len(x) for _, *row in rows for x in row) < 7 * n
+        groups = defaultdict(set)
+        for s, x in pairs:
+            groups[s].add(x)
+        table = pa.table([pa.array(c) for c in zip(*rows, strict=True)], names=["bucket", "steps", "places", "names"])
+        got = [(-1 if r["sig"] is None else r["sig"], r["pivot"], r["node"]) for r in ngram_join._candidate_rows(table).to_pylist()]
+        assert sorted(got) == sorted((s if len(v) > 2 else -1, min(v), x) for s, v in groups.items() for x in v - {min(v)})
+
+
 def plain_em(counts):
     """EM over vote patterns in plain Python: ``(prior, good, bad)``."""
     q = quality_rules

@@ -12,6 +12,9 @@ A segment that is empty would match in every second document, so empty subsets a
 signatures. The allocation has spare segments for that; the few sets that still lack enough
 filled segments also emit their empty ones, which meet only each other.
 
+Signatures travel in packed rows, one for each bucket and some two million signatures of a task: sorted and cut to 46 bits, each is the
+step from the one before. Signatures that agree in 46 bits only add candidates.
+
 Copies collapse first: equal sets are one node. Candidates of one signature are checked against
 its least node (a star, not all pairs); links found there make components. Nodes that a signature
 holds together but links don't are then compared by parity sketches, which bound the difference
@@ -52,6 +55,9 @@ SHARED_SHINGLE = 0.00002
 NEAR = 3
 #: Bits of a parity sketch, and rows of a block when one signature's nodes are compared by sketch.
 SKETCH_BITS = 2048
+#: Bits of a signature that are sent (equal ones only make candidates, so that fewer lose none); signatures that a task packs
+#: at once; shingles for each bucket of signatures (which are somewhat fewer), and buckets at most.
+SIG_BITS, PACKED_SIGS, BUCKET_SHINGLES, MOST_BUCKETS = 46, 1 << 21, 1 << 21, 1 << 16
 BLOCK_ROWS = 2048
 #: The row that stands for others: the least id (null last), then the least text hash.
 LEAST_ROW = "min(struct(id IS NULL AS none, id, row))"
@@ -247,27 +253,83 @@ def _cross_rows(percent: int, best: bool):
     return run
 
 
-def _signature_rows(width: int, seed: int, percent: int, rows: int):
+def pack(sigs: np.ndarray, nodes: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes, bytes, bytes]]:
+    """``bucket, steps, places, names``: signatures of ``SIG_BITS`` bits in order, as steps from one to the next, and the places of their nodes in a list of names.
+
+    A step has 4 bytes, or 8 if one of its row needs them; a place has 2, or 4.
+    """
+    names, place = np.unique(nodes, return_inverse=True)
+    sigs = sigs >> _U(64 - SIG_BITS)
+    order = np.argsort(sigs, kind="stable")
+    sigs, place = sigs[order], place[order]
+    cuts = np.searchsorted(sigs, bucket_bounds(buckets)).tolist()
+    for k, (i, j) in enumerate(zip([0, *cuts], [*cuts, len(sigs)], strict=True)):
+        if j > i:
+            steps, (used, own) = np.diff(sigs[i:j], prepend=_U(0)), np.unique(place[i:j], return_inverse=True)
+            first = steps[:1].copy()
+            steps[0] = 0
+            wide = np.uint64 if steps.max() >> _U(32) else np.uint32
+            yield k, first.tobytes() + steps.astype(wide).tobytes(), own.astype(np.uint16 if len(used) <= 1 << 16 else np.uint32).tobytes(), names[used].tobytes()
+
+
+def unpack(steps: bytes, places: bytes, names: bytes) -> tuple[np.ndarray, np.ndarray]:
+    known = np.frombuffer(names, np.int64)
+    place = np.frombuffer(places, np.uint16 if len(known) <= 1 << 16 else np.uint32)
+    wide = np.uint64 if len(steps) - 8 == 8 * len(place) else np.uint32
+    return np.cumsum(np.frombuffer(steps, wide, offset=8), dtype=np.uint64) + np.frombuffer(steps, _U, 1), known[place]
+
+
+def bucket_bounds(buckets: int) -> np.ndarray:
+    """Where all buckets but the first begin."""
+    return np.array([(k << SIG_BITS) // buckets for k in range(1, buckets)], np.uint64)
+
+
+def _signature_rows(width: int, seed: int, percent: int, rows: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = bands(percent, rows)
+        sigs, nodes, held = [], [], 0
+
+        def packed() -> Iterator[pa.RecordBatch]:
+            for row in pack(np.concatenate(sigs), np.concatenate(nodes), buckets):
+                yield pa.RecordBatch.from_arrays([pa.array([row[0]], pa.int32()), *[pa.array([x], pa.binary()) for x in row[1:]]], names=["bucket", "steps", "places", "names"])
+
         for batch in batches:
-            sigs, nodes, held = [], [], 0
-            for text in batch.column(1).to_pylist():
-                tokens = shingle_set(text, width, seed)
+            for text in batch.column(1):
+                tokens = shingle_set(text.as_py(), width, seed)
                 found = signatures(tokens, table)
                 if len(found):
-                    sigs.append(found.view(np.int64))
+                    sigs.append(found)
                     nodes.append(np.full(len(found), set_name(tokens)[0], np.int64))
                     held += len(found)
-                if held > 200_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs)), pa.array(np.concatenate(nodes))], names=["sig", "node"])
+                if held >= PACKED_SIGS:
+                    yield from packed()
                     sigs, nodes, held = [], [], 0
-            if held:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs)), pa.array(np.concatenate(nodes))], names=["sig", "node"])
+        if held:
+            yield from packed()
 
     return run
 
 
+def _candidate_rows(table: pa.Table) -> pa.Table:
+    """``sig, pivot, node`` of a bucket: each signature's nodes but the least, sig only where three or more nodes share it."""
+    found = [unpack(*(x.as_py() for x in row)) for row in zip(table["steps"], table["places"], table["names"], strict=True)]
+    sigs, nodes = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.argsort(sigs, kind="stable")
+    sigs = sigs[order]
+    new = np.append(True, sigs[1:] != sigs[:-1])
+    shared = ~new | np.append(~new[1:], False)
+    sigs, nodes = sigs[shared], nodes[order][shared]
+    order = np.lexsort([nodes, sigs])
+    sigs, nodes = sigs[order], nodes[order]
+    other = np.append(True, (sigs[1:] != sigs[:-1]) | (nodes[1:] != nodes[:-1]))[: len(sigs)]
+    sigs, nodes = sigs[other], nodes[other]
+    starts = np.flatnonzero(np.append(True, sigs[1:] != sigs[:-1])[: len(sigs)])
+    size = np.diff(np.append(starts, len(sigs)))
+    rest, n, pivot = np.ones(len(sigs), bool), np.repeat(size, size), np.repeat(nodes[starts], size)
+    rest[starts] = False
+    return pa.table({"sig": pa.array(sigs[rest].view(np.int64), pa.int64(), mask=n[rest] <= 2), "pivot": pivot[rest], "node": nodes[rest]})
+
+
 def _check_rows(width: int, seed: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Rows of one pivot come together, so its set is at hand.
@@ -314,18 +376,15 @@ class _Join:
             return self._candidates(scope)
 
     def _candidates(self, scope: Scope) -> DataFrame:
-        rows = self.named.count()
+        rows, shingles = self.named.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
         singles = self.source
         copies = self.nodes.where("rows > 1").select("node", "rep", "rep_row")
         if not copies.isEmpty():
             spare = self.named.where("size > 0").select("id", "row", "node").join(copies, "node").where(f"NOT ({IS_REP})").select("id", "row").distinct()
             singles = keep_ids(self.source, scope.keep(spare, "jaccard-spare"), "id", anti=True, row=F.col("row"))
-        made = singles.mapInArrow(_signature_rows(self.width, self.seed, self.percent, rows), "sig long, node long")
-        # Both uses filter alike, so that they share one exchange.
-        made = made.where("sig IS NOT NULL AND node IS NOT NULL").repartition("sig")
-        groups = made.groupBy("sig").agg(F.min("node").alias("pivot"), F.max("node").alias("last"), F.count(F.lit(1)).alias("n")).where("pivot <> last")
-        found = made.join(groups.hint("shuffle_hash"), "sig").where("node <> pivot")
-        return materialize(found.select(F.expr("CASE WHEN n > 2 THEN sig END AS sig"), "pivot", "node"), "jaccard-candidates")
+        buckets = int(min(MOST_BUCKETS, max(self.source.sparkSession.sparkContext.defaultParallelism, shingles // BUCKET_SHINGLES)))
+        made = singles.mapInArrow(_signature_rows(self.width, self.seed, self.percent, rows, buckets), "bucket int, steps binary, places binary, names binary")
+        return materialize(made.groupBy("bucket").applyInArrow(_candidate_rows, "sig long, pivot long, node long"), "jaccard-candidates")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs ``(a, b)`` of nodes that are as similar as wanted."""
