@@ -1,5 +1,9 @@
 """Faults found on larger tables, each on rows small enough to read."""
 
+import re
+
+from pyspark.sql import functions as F
+
 from textloom.functions import soup
 from textloom.functions import text as X
 
@@ -151,3 +155,19 @@ def test_views_are_moved_by_their_tasks(spark, tmp_path):
     plan.write()
     rows = files.json_arrays(spark, str(tmp_path / "v"), "a int", number=r"page=(\d+)/[^/]*$", below=True).collect()
     assert sorted((r.page, r.a) for r in rows) == [(k, k) for k in range(5)]
+
+
+def test_stacks_of_whole_texts_and_quotes_by_what_precedes(spark):
+    """A text's illegal stacks are those of its syllables, looked up in a list or an array; quotes are found before what precedes them is looked at."""
+    from textloom.functions import markup
+
+    texts = ["བསྒྲུབས་ཀྱི། ྱཀཱྵ་ཊ ྐ་ཀྐ\nཀྱ", "", "།་ ", "ཀྲྲ"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    legal = ["ཀྱ", "བ", "ས", "ཀ"]
+    whole = [r[0] for r in df.select(markup.illegal_stacks(F.col("t"), legal)).collect()]
+    parts = [r[0] for r in df.select(F.flatten(F.transform(markup.syllables(F.col("t")), lambda s: markup.illegal_stacks(s, F.array(*map(F.lit, legal)))))).collect()]
+    assert whole == parts and whole[0] and "array_contains" not in df.select(markup.illegal_stacks(F.col("t"), legal))._jdf.queryExecution().toString()
+    odd = "'\"a\"' \"\"b\"\". 😀\"c\" '\"d\".' \u2013'e'\n\"f\" x'y'"
+    curled = re.sub(f"(?<![^{X.OPENS_AFTER}])\"", "“", odd).replace('"', "”").replace("”.", ".”")
+    curled = re.sub(f"(?<![^{X.OPENS_AFTER}”])'", "‘", curled).replace("'", "’")
+    assert spark.createDataFrame([(odd,)], "t string").select(X.curly_quotes(F.col("t"))).first()[0] == curled
