@@ -40,7 +40,7 @@ LONGEST, LEAST, TOP, PERCENT = 5, 100, 2000, 100
 #: Words that a broadcast dictionary may have, and their bytes.
 DICTIONARY, DICTIONARY_BYTES = 1 << 20, 32 << 20
 #: Distinct words that a task counts, tokens of a written row, keys that a task sorts, keys of a range; all about.
-HELD_WORDS, ROW_TOKENS, FLUSH_KEYS, RANGE_KEYS = 400_000, 1 << 16, 1 << 21, 1 << 20
+HELD_WORDS, ROW_TOKENS, FLUSH_KEYS, RANGE_KEYS = 400_000, 1 << 16, 1 << 20, 1 << 20
 #: Keys that the ranges' bounds are taken from, and the ranges at most (some 60 keys for each).
 SAMPLE_KEYS, RANGES = 1 << 21, 1 << 15
 
@@ -234,6 +234,7 @@ def _flushes(batches: Iterator[pa.RecordBatch], longest: int, digits: int) -> It
 
     def sort() -> tuple[list[np.ndarray], np.ndarray]:
         columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+        parts.clear()
         return counted(columns, np.ones(len(columns[0]), np.int64))
 
     for batch in batches:
