@@ -171,3 +171,22 @@ def test_stacks_of_whole_texts_and_quotes_by_what_precedes(spark):
     curled = re.sub(f"(?<![^{X.OPENS_AFTER}])\"", "“", odd).replace('"', "”").replace("”.", ".”")
     curled = re.sub(f"(?<![^{X.OPENS_AFTER}”])'", "‘", curled).replace("'", "’")
     assert spark.createDataFrame([(odd,)], "t string").select(X.curly_quotes(F.col("t"))).first()[0] == curled
+
+
+def test_particles_of_whole_texts_are_those_of_their_syllables(spark):
+    """Read backwards, a text gives the particles behind final letters that its syllables give one by one; no window, no row a syllable."""
+    import random
+
+    from textloom.functions import markup
+    from textloom.plans import glyph_queries as G
+
+    rng = random.Random(28)
+    texts = ["".join(rng.choices("ཀགངདསརའཏ་་།\n x\u00a0ྱི😀༌", k=rng.randrange(60))) for _ in range(400)] + ["", "་", "བད་ག", "ད་ག་ག", "བད", "གད།་ \tགས་ཀ་", "བདx😀ི་གབ་ང", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    finals, known = "".join(G.EXPECT), "ཀགང"
+    got = sorted((r.id, r.prev, r.got) for r in df.select("id", F.inline(markup.particles(F.col("t"), finals, known))).collect())
+    rows = df.select("id", F.posexplode(markup.syllables(F.col("t"))).alias("pos", "s")).select("id", "pos", "s", markup.final_letter(F.col("s")).alias("fin")).orderBy("id", "pos").collect()
+    want = sorted((b.id, a.fin, b.s[0]) for a, b in zip(rows, rows[1:]) if a.id == b.id and a.fin and a.fin in finals and b.s[0] in known)
+    assert got == want and len(want) > 100
+    plan = G.particle_agreement(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "posexplode" not in plan
