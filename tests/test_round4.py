@@ -42,3 +42,50 @@ def test_folders_are_listed_by_few_tasks(spark, tmp_path):
     pages = files.page_texts(spark, str(tmp_path / "v"), number=r"page=(\d+)/[^/]*$", below=True)
     assert sorted(r.page for r in pages.collect()) == list(range(300))
     assert spark.conf.get(files.LISTING) == before and pages.rdd.getNumPartitions() <= files._tasks(spark)
+
+
+def branches(texts, sizes, least):
+    """Brute force: counts and different neighbours of n-grams inside runs."""
+    import re
+    from collections import defaultdict
+
+    seen = defaultdict(lambda: [0, set(), set()])
+    for text in texts:
+        for run in re.split(r"[\n.,;:!?]+", (text or "").lower()):
+            w = run.split()
+            for n in sizes:
+                for i in range(len(w) - n + 1):
+                    x = seen[" ".join(w[i : i + n]), n]
+                    x[0] += 1
+                    x[1].add(w[i - 1] if i else None)
+                    x[2].add(w[i + n] if i + n < len(w) else None)
+    return sorted((g, n, c, len(a), len(b)) for (g, n), (c, a, b) in seen.items() if c >= least)
+
+
+def test_grams_are_those_of_brute_force_and_no_row_is_made_for_each(spark, monkeypatch):
+    import random
+
+    from textloom.operators import corpus as C
+    from textloom.operators import grams as G
+
+    chance = random.Random(4)
+    texts = [" ".join(chance.choice(["aa", "b", "C", "d.", "é", "ff\n", f"x{chance.randrange(400)}"]) for _ in range(chance.randrange(60))) for _ in range(200)] + [None, "", "...", "aa"]
+    t = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(C, "_branching_by_names", None)  # not for a vocabulary as small as this
+    monkeypatch.setattr(G, "AT_ONCE", 500)  # which tasks don't see, as they import their own
+    for sizes, least in (((1, 2, 3, 4, 5), 3), ((2,), 2), ((2, 4), 3), ((1,), 5), ((3, 4, 5, 6, 7), 2)):
+        assert sorted(tuple(r) for r in C.branching(t, "doc_id", sizes, least).collect()) == branches(texts, sizes, least), sizes
+    assert C.branching(t, "doc_id", (1, 2), 10**6).collect() == []
+    assert C.VOCABULARY > 1_200_000  # what 1 GB of documents has
+
+
+def test_windows_of_one_hash_are_told_apart(monkeypatch):
+    import numpy as np
+    from textloom.operators import grams as G
+
+    monkeypatch.setattr(G, "named", lambda codes: (codes[0] % 2).astype(np.uint64))
+    rows = [(5, 1), (3, 2), (5, 1), (4, 9), (3, -2), (3, 2), (5, 1)]
+    cols, n, _ = G.together([np.array(c, np.int64) for c in zip(*rows, strict=True)])
+    assert sorted(zip(*map(list, cols), n.tolist(), strict=True)) == [(3, -2, 1), (3, 2, 2), (4, 9, 1), (5, 1, 3)]
+    for values in (np.array([1, -1, 70000], np.int32), np.empty(0, np.int64), np.array([-(1 << 63), 5])):
+        assert G.unpacked(G.packed(values), values.dtype).tolist() == values.tolist()
