@@ -89,3 +89,41 @@ def test_windows_of_one_hash_are_told_apart(monkeypatch):
     assert sorted(zip(*map(list, cols), n.tolist(), strict=True)) == [(3, -2, 1), (3, 2, 2), (4, 9, 1), (5, 1, 3)]
     for values in (np.array([1, -1, 70000], np.int32), np.empty(0, np.int64), np.array([-(1 << 63), 5])):
         assert G.unpacked(G.packed(values), values.dtype).tolist() == values.tolist()
+
+
+def test_words_that_only_came_or_went_are_found_in_one_pass(monkeypatch):
+    import random
+
+    from textloom.operators import offsets as O
+    from textloom.operators import review as R
+
+    def by_table(before, after):
+        out, old, new = [], 0, 0
+        for kind, piece in R._word_edits_by_table(O._PIECE.findall(before), O._PIECE.findall(after)):
+            n = len(piece)
+            if kind == "=":
+                if out and out[-1][0] + out[-1][2] == old and out[-1][1] + out[-1][2] == new:
+                    out[-1] = (*out[-1][:2], out[-1][2] + n)
+                else:
+                    out.append((old, new, n))
+            old, new = old + n * (kind != "+"), new + n * (kind != "-")
+        return out
+
+    chance = random.Random(6)
+    for _ in range(300):
+        a = [chance.choice("a b aa ấy , . the".split()) for _ in range(chance.randrange(12))]
+        b = [w for x in a for w in ([x] if chance.random() < 0.7 else [x, chance.choice("a the ấy".split())])]
+        for x, y in ((a, b), (b, a), (a, a[2:] + b[:3])):
+            assert list(R.word_edits(x, y)) == list(R._word_edits_by_table(x, y))
+            assert O.position_map(" ".join(x), " ".join(y)) == by_table(" ".join(x), " ".join(y))
+    monkeypatch.setattr(R, "_word_edits_by_table", None)
+    long = " ".join(["of the word"] * 3000)  # more edits than frontiers are made for
+    assert len(O.position_map(long, long.replace(" the ", " the ấy "))) == 3001
+    assert sum(kind == "+" for kind, _ in R.word_edits(long.split(), long.replace(" the ", " the ấy ").split())) == 3000
+
+
+def test_no_row_a_word_is_shuffled_for_carried_words(spark):
+    from textloom.plans import prose_queries as Q
+
+    plan = Q.QUERIES["carried_words"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Window") < plan.rindex("HashAggregate") < plan.rindex("Generate")

@@ -11,11 +11,12 @@ import re
 from bisect import bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.operators.review import word_edits
+from textloom.operators.review import places_within, word_edits
 
 _PIECE = re.compile(r"\w+|\s|[^\w\s]")
 
@@ -25,9 +26,14 @@ Stretch = tuple[int, int, int]
 
 def position_map(before: str, after: str) -> list[Stretch]:
     """The stretches of words, blanks and marks that a longest common subsequence keeps."""
+    a, b = _PIECE.findall(before), _PIECE.findall(after)
+    if (places := places_within(a, b)) is not None:
+        return _stretches(np.arange(len(a)), np.array(places, np.int64), a, b)
+    if (places := places_within(b, a)) is not None:
+        return _stretches(np.array(places, np.int64), np.arange(len(b)), a, b)
     out: list[Stretch] = []
     old = new = 0
-    for kind, piece in word_edits(_PIECE.findall(before), _PIECE.findall(after)):
+    for kind, piece in word_edits(a, b):
         n = len(piece)
         if kind == "=":
             if out and out[-1][0] + out[-1][2] == old and out[-1][1] + out[-1][2] == new:
@@ -39,6 +45,16 @@ def position_map(before: str, after: str) -> list[Stretch]:
     return out
 
 
+def _stretches(i: np.ndarray, j: np.ndarray, a: list[str], b: list[str]) -> list[Stretch]:
+    """Neighbouring pieces of ``a`` and ``b`` that are paired, as stretches."""
+    if not len(i):
+        return []
+    old, new = (np.cumsum([0, *map(len, pieces)]) for pieces in (a, b))
+    first = np.flatnonzero(np.append(True, (np.diff(i) != 1) | (np.diff(j) != 1)))
+    last = np.append(first[1:], len(i)) - 1
+    return list(zip(old[i[first]].tolist(), new[j[first]].tolist(), (old[i[last] + 1] - old[i[first]]).tolist(), strict=True))
+
+
 def carry(at: int, stretches: list[Stretch], end: int) -> tuple[int, bool]:
     """Where a position goes, and whether what stood there still does; ``end`` is the new text's length."""
     k = bisect_right(stretches, at, key=lambda s: s[0]) - 1

@@ -255,12 +255,30 @@ def edit_frontiers(x: list[int], y: list[int], most: int) -> list[dict[int, int]
     return None
 
 
+def places_within(a: list, b: list) -> list[int] | None:
+    """The first places in ``b`` where all of ``a`` stands in order; None if it doesn't. Then ``a`` is the longest common subsequence, and the edits are these."""
+    out, at = [], -1
+    try:
+        for w in a:
+            at = b.index(w, at + 1)
+            out.append(at)
+    except ValueError:
+        return None
+    return out
+
+
 def word_edits(a: list[str], b: list[str]) -> Iterator[tuple[str, str]]:
     """``(=, word)``, ``(-, word)`` and ``(+, word)`` by longest common subsequence; where both will do, words go before words come.
 
     From a pair of places on, the fewest edits never grow along a diagonal, so the places from which ``d`` edits are enough
-    are all behind a frontier, and the walk asks only which of two steps leads behind the next one.
+    are all behind a frontier, and the walk asks only which of two steps leads behind the next one. Where words only came, or only went, however
+    many, one pass finds them.
     """
+    for kind, small, large in (("+", a, b), ("-", b, a)):
+        if len(small) <= len(large) and (places := places_within(small, large)) is not None:
+            kept = set(places)
+            yield from (("=" if k in kept else kind, w) for k, w in enumerate(large))
+            return
     numbers: dict[str, int] = {}
     x, y = ([numbers.setdefault(w, len(numbers)) for w in words] for words in (a, b))
     most = worthwhile_edits(len(x), len(y))

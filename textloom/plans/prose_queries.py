@@ -175,9 +175,12 @@ def sweep_locators(spark, d):
 def carried_words(spark, d):
     """Places of words, carried through a rewrite that puts words in."""
     t = table(spark, d, "documents").select("doc_id", "text", F.replace("text", F.lit(" the "), F.lit(" the ấy ")).alias("after"))
-    w = Window.partitionBy("doc_id").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
-    words = t.select("doc_id", F.posexplode(F.split("text", " ")).alias("k", "w")).withColumn("at", F.coalesce(F.sum(F.length("w") + 1).over(w), F.lit(0)))
-    return O.carried(t, words.where("k % 50 = 0 AND w RLIKE '^[a-zA-Z]+$'"), "doc_id", ["text", "after"])
+    # Lengths are summed for each fifty words where they are read; only the sums meet in a window.
+    words = t.select("doc_id", F.posexplode(F.split("text", " ")).alias("k", "w")).groupBy("doc_id", F.expr("k div 50").alias("c"))
+    parts = words.agg(F.sum(F.length("w") + 1).alias("n"), F.bool_or(F.expr("k % 50 = 0 AND w RLIKE '^[a-zA-Z]+$'")).alias("word"))
+    w = Window.partitionBy("doc_id").orderBy("c").rowsBetween(Window.unboundedPreceding, -1)
+    spots = parts.withColumn("at", F.coalesce(F.sum("n").over(w), F.lit(0)))
+    return O.carried(t, spots.where("word"), "doc_id", ["text", "after"])
 
 
 @query(r"SELECT doc_id, sha1(array_to_string(list_transform(string_split(replace(replace(text, '`', ''), ' is ', ' `is he` '), '`'), lambda x, i: CASE WHEN i % 2 = 0 THEN x ELSE replace(x, 'e', 'E') END), '`')) AS swept FROM (SELECT doc_id, replace(replace(text, '*', ''), '''', '') AS text FROM documents)")
